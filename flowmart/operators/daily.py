@@ -115,9 +115,10 @@ def home_detail_firsts(
         from flowmart.streaming.processors import home_detail_stream
         return home_detail_stream(df, key, page, ts=ts, tz=tz, per_page=per_page)
     k = F.concat_ws("\u0001", _col(key), _col(page)) if per_page else _col(key)
-    firsts = first_of_day(df, k, ts, tiebreak, tz, carry=[("_page", page)])
+    firsts = first_of_day(df, k, ts, tiebreak, tz, carry=[("_mid", key), ("_page", page)])
     return firsts.select(
-        F.col("_ts").alias("ts"),
+        F.col("_mid").alias("mid"), F.col("_page").alias("page_id"),
+        F.col("_ts").alias("ts"), *([F.col("_tb").alias(tiebreak)] if tiebreak else []),
         (F.col("_page") == "home").cast("bigint").alias("homeUv"),
         (F.col("_page") != "home").cast("bigint").alias("detailUv"),
     )
@@ -146,8 +147,10 @@ def login_firsts(
     prev = F.lag("_day").over(Window.partitionBy("_key").orderBy("_day"))
     days = F.floor((F.col("_ts") - to_ts(prev, offset=offset)) / F.lit(DAY_MS))
     back = F.when(prev.isNotNull() & (days > back_days), 1).otherwise(0)
-    return firsts.select(F.col("_ts").alias("ts"), F.lit(1).cast("bigint").alias("uu"),
-                         back.cast("bigint").alias("back"))
+    return firsts.select(
+        F.col("_key").alias("uid"), F.col("_day").alias("day"), F.col("_ts").alias("ts"),
+        *([F.col("_tb").alias(tiebreak)] if tiebreak else []),
+        F.lit(1).cast("bigint").alias("uu"), back.cast("bigint").alias("back"))
 
 
 def fix_is_new(

@@ -77,8 +77,117 @@ GROUP BY w, vc, ch, ar, is_new
 """
 
 
+def _firsts(src: str, keys: str) -> str:
+    return f"""(SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {keys}, d
+                ORDER BY ts, event_id) AS rn FROM {src}) WHERE rn = 1)"""
+
+
+HOME_DETAIL = "pl WHERE page_id IN ('home', 'good_detail')"
+LOGIN = "pl WHERE uid IS NOT NULL AND (last_page_id IS NULL OR last_page_id = 'login')"
+
+
+def home_detail_daily(per_page: bool) -> str:
+    keys = "mid, page_id" if per_page else "mid"
+    return f"""
+WITH {PAGE_LOG}, hd AS (SELECT * FROM {HOME_DETAIL})
+SELECT mid, page_id, ts, event_id,
+       CAST(page_id = 'home' AS BIGINT) AS homeUv,
+       CAST(page_id <> 'home' AS BIGINT) AS detailUv
+FROM {_firsts('hd', keys)}
+"""
+
+
+def home_detail_window(size_ms: int, bounds: str) -> str:
+    stt, edt = _window(size_ms, bounds)
+    return f"""
+WITH {PAGE_LOG}, hd AS (SELECT * FROM {HOME_DETAIL}),
+f AS (SELECT *, ts - (ts % {size_ms}) AS w FROM {_firsts('hd', 'mid')})
+SELECT {stt} AS stt, {edt} AS edt,
+       CAST(sum(CASE WHEN page_id = 'home' THEN 1 ELSE 0 END) AS BIGINT) AS homeUvCt,
+       CAST(sum(CASE WHEN page_id <> 'home' THEN 1 ELSE 0 END) AS BIGINT) AS goodDetailUvCt
+FROM f GROUP BY w
+"""
+
+
+LOGIN_FIRSTS = f"""
+lg AS (SELECT * FROM {LOGIN}),
+lf AS (SELECT uid, d, ts, event_id, lag(d) OVER (PARTITION BY uid ORDER BY d) AS prev
+       FROM {_firsts('lg', 'uid')}),
+lr AS (SELECT uid, d AS day, ts, event_id, CAST(1 AS BIGINT) AS uu,
+              CAST(CASE WHEN prev IS NOT NULL AND
+                   (ts - (epoch_ms(CAST(prev AS TIMESTAMP)) - 8 * 3600 * 1000)) // 86400000 > 7
+                   THEN 1 ELSE 0 END AS BIGINT) AS back
+       FROM lf)"""
+
+
+def login_return() -> str:
+    return f"WITH {PAGE_LOG}, {LOGIN_FIRSTS} SELECT * FROM lr"
+
+
+def login_window(size_ms: int, bounds: str) -> str:
+    stt, edt = _window(size_ms, bounds)
+    return f"""
+WITH {PAGE_LOG}, {LOGIN_FIRSTS}, f AS (SELECT *, ts - (ts % {size_ms}) AS w FROM lr)
+SELECT {stt} AS stt, {edt} AS edt, CAST(sum(back) AS BIGINT) AS backCt,
+       CAST(sum(uu) AS BIGINT) AS uuCt
+FROM f GROUP BY w
+"""
+
+
+KEYWORD_ROWS = "pli WHERE last_page_id = 'search' AND item IS NOT NULL"
+
+
+def keyword_window(size_ms: int) -> str:
+    stt, edt = _window(size_ms)
+    return f"""
+WITH {PAGE_LOG_ITEM},
+kw AS (SELECT ts - (ts % {size_ms}) AS w,
+              unnest(regexp_extract_all(lower(item), '[a-z0-9]+')) AS keyword
+       FROM {KEYWORD_ROWS})
+SELECT {stt} AS stt, {edt} AS edt, keyword, CAST(count(*) AS BIGINT) AS keyword_count
+FROM kw GROUP BY w, keyword
+"""
+
+
+DAILY_UV = f"""
+WITH {PAGE_LOG}
+SELECT event_id, mid, ts,
+       CAST(CASE WHEN lag(d) OVER (PARTITION BY mid ORDER BY ts, event_id) IS DISTINCT FROM d
+                 THEN 1 ELSE 0 END AS BIGINT) AS uv
+FROM pl
+"""
+
+FIX_IS_NEW = f"""
+WITH {PAGE_LOG},
+s AS (SELECT *, CASE WHEN first_value(is_new) OVER w = '1' THEN first_value(d) OVER w
+                     ELSE '1970-01-01' END AS state
+      FROM pl WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id))
+SELECT event_id, mid, ts, is_new AS raw_is_new,
+       CASE WHEN is_new = '1' AND d <> state THEN '0' ELSE is_new END AS is_new
+FROM s
+"""
+
+
+def _filtered(where: str) -> str:
+    return f"WITH {PAGE_LOG} SELECT event_id, mid, page_id, last_page_id, ts FROM pl WHERE {where}"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
         "traffic_window_hourly": traffic_window(3_600_000, "last_page_id"),
+        "home_detail_window": home_detail_window(10_000, "date"),
+        "home_detail_window_hourly": home_detail_window(3_600_000, "datetime"),
+        "login_window": login_window(10_000, "date"),
+        "login_window_hourly": login_window(3_600_000, "datetime"),
+        "keyword_window": keyword_window(10_000),
+        "keyword_window_hourly": keyword_window(3_600_000),
+        "daily_uv": DAILY_UV,
+        "home_detail_daily": home_detail_daily(False),
+        "home_detail_daily_per_page": home_detail_daily(True),
+        "login_return": login_return(),
+        "fix_is_new": FIX_IS_NEW,
+        "page_filter": _filtered("page_id IN ('home', 'good_detail')"),
+        "login_filter": _filtered("uid IS NOT NULL AND (last_page_id IS NULL OR last_page_id = 'login')"),
+        "keyword_filter": f"WITH {PAGE_LOG_ITEM} SELECT event_id, item, ts FROM {KEYWORD_ROWS}",
     }

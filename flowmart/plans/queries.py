@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from flowmart.operators import dws
+from flowmart.operators import daily, dws
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
 
@@ -31,8 +32,101 @@ def traffic_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                               tiebreak=TIEBREAK, load_ts=False)
 
 
+def home_detail_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    return dws.home_detail_window(log, "10 seconds", tiebreak=TIEBREAK, load_ts=False)
+
+
+def home_detail_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    return dws.home_detail_window(log, "1 hour", tiebreak=TIEBREAK, bounds="datetime",
+                                  load_ts=False)
+
+
+def login_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    return dws.login_window(log, "10 seconds", tiebreak=TIEBREAK, load_ts=False)
+
+
+def login_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    return dws.login_window(log, "1 hour", tiebreak=TIEBREAK, bounds="datetime", load_ts=False)
+
+
+def keyword_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir), with_item=True)
+    return dws.keyword_window(log, "10 seconds", load_ts=False)
+
+
+def keyword_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir), with_item=True)
+    return dws.keyword_window(log, "1 hour", load_ts=False)
+
+
+def daily_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    out = daily.daily_first_flag(log, "common.mid", "uv", "ts", TIEBREAK)
+    return out.select("event_id", F.col("common.mid").alias("mid"), "ts", "uv")
+
+
+def home_detail_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = dws.page_filter(fx.page_log(Tables(spark, sf_dir)))
+    return daily.home_detail_firsts(log, tiebreak=TIEBREAK)
+
+
+def home_detail_daily_per_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = dws.page_filter(fx.page_log(Tables(spark, sf_dir)))
+    return daily.home_detail_firsts(log, tiebreak=TIEBREAK, per_page=True)
+
+
+def login_return(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = dws.login_filter(fx.page_log(Tables(spark, sf_dir)))
+    return daily.login_firsts(log, tiebreak=TIEBREAK)
+
+
+def fix_is_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = fx.page_log(Tables(spark, sf_dir))
+    raw = log.select("event_id", "ts", "common", F.col("common.is_new").alias("raw_is_new"))
+    out = daily.fix_is_new(raw, tiebreak=TIEBREAK)
+    return out.select("event_id", F.col("common.mid").alias("mid"), "ts", "raw_is_new",
+                      F.col("common.is_new").alias("is_new"))
+
+
+def _page_cols(df: DataFrame) -> DataFrame:
+    return df.select("event_id", F.col("common.mid").alias("mid"),
+                     F.col("page.page_id").alias("page_id"),
+                     F.col("page.last_page_id").alias("last_page_id"), "ts")
+
+
+def page_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_cols(dws.page_filter(fx.page_log(Tables(spark, sf_dir))))
+
+
+def login_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _page_cols(dws.login_filter(fx.page_log(Tables(spark, sf_dir))))
+
+
+def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = dws.keyword_filter(fx.page_log(Tables(spark, sf_dir), with_item=True))
+    return df.select("event_id", F.col("page.item").alias("item"), "ts")
+
+
 def queries() -> dict[str, Query]:
     return {
         "traffic_window": traffic_window,
         "traffic_window_hourly": traffic_window_hourly,
+        "home_detail_window": home_detail_window,
+        "home_detail_window_hourly": home_detail_window_hourly,
+        "login_window": login_window,
+        "login_window_hourly": login_window_hourly,
+        "keyword_window": keyword_window,
+        "keyword_window_hourly": keyword_window_hourly,
+        "daily_uv": daily_uv,
+        "home_detail_daily": home_detail_daily,
+        "home_detail_daily_per_page": home_detail_daily_per_page,
+        "login_return": login_return,
+        "fix_is_new": fix_is_new,
+        "page_filter": page_filter,
+        "login_filter": login_filter,
+        "keyword_filter": keyword_filter,
     }
