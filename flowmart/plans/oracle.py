@@ -172,6 +172,100 @@ def _filtered(where: str) -> str:
     return f"WITH {PAGE_LOG} SELECT event_id, mid, page_id, last_page_id, ts FROM pl WHERE {where}"
 
 
+# ODS log lines, built exactly as flowmart.sources.fixtures.ods_log_text does.
+ODS = PAGE_LOG + """,
+ods_parts AS (
+  SELECT pl.*,
+    concat('{"ar":"', ar, '","ch":"', ch, '","is_new":"', is_new, '","mid":"', mid,
+           '","uid":"', uid, '","vc":"', vc, '"}') AS common_txt,
+    concat('{"during_time":', during_time, ',"item_type":"keyword"',
+           CASE WHEN last_page_id IS NOT NULL THEN concat(',"last_page_id":"', last_page_id, '"') END,
+           ',"page_id":"', page_id, '"}') AS page_txt,
+    concat('{"entry":"icon","loading_time":', k * 10, '}') AS start_txt,
+    concat('{"error_code":', k, ',"msg":"e', k, '"}') AS err_txt,
+    CASE WHEN k % 3 > 0 THEN concat('[', array_to_string(list_transform(range(k % 3), lambda i:
+      concat('{"display_type":"query","item":"', event_id * 10 + i,
+             '","item_type":"sku_id","order":"', i + 1, '","pos_id":"', (k + i) % 5, '"}')), ','),
+      ']') END AS disp_txt,
+    CASE WHEN k % 2 > 0 THEN concat('[', array_to_string(list_transform(range(k % 2), lambda i:
+      concat('{"action_id":"favor_add","item":"', event_id, '","item_type":"sku_id","ts":',
+             ts + 500 + i, '}')), ','), ']') END AS act_txt
+  FROM pl
+),
+ods AS (
+  SELECT *, concat('{"common":', common_txt,
+      CASE WHEN ch <> 'signup' THEN concat(',"page":', page_txt) END,
+      CASE WHEN ch = 'signup' THEN concat(',"start":', start_txt) END,
+      CASE WHEN disp_txt IS NOT NULL THEN concat(',"displays":', disp_txt) END,
+      CASE WHEN ch <> 'signup' AND act_txt IS NOT NULL THEN concat(',"actions":', act_txt) END,
+      CASE WHEN ch = 'error' THEN concat(',"err":', err_txt) END,
+      ',"ts":', ts, '}') AS line,
+    event_id % 10 = 0 AS dirty
+  FROM ods_parts
+),
+clean AS (SELECT * FROM ods WHERE NOT dirty),
+fixed AS (
+  SELECT *, CASE WHEN is_new = '1' AND d <> (CASE WHEN first_value(is_new) OVER w = '1'
+                 THEN first_value(d) OVER w ELSE '1970-01-01' END) THEN '0' ELSE is_new END
+            AS is_new_fixed
+  FROM clean WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id)
+)"""
+
+PARSE_CLEAN = f"""
+WITH {ODS}
+SELECT event_id, mid, is_new,
+       CASE WHEN ch <> 'signup' THEN page_id END AS page_id,
+       CASE WHEN ch <> 'signup' THEN last_page_id END AS last_page_id,
+       CASE WHEN ch <> 'signup' THEN during_time END AS during_time,
+       CASE WHEN ch = 'signup' THEN start_txt END AS start,
+       CASE WHEN ch = 'error' THEN err_txt END AS err,
+       ts,
+       CASE WHEN k % 3 > 0 THEN k % 3 END AS n_displays,
+       CASE WHEN ch <> 'signup' AND k % 2 > 0 THEN k % 2 END AS n_actions
+FROM clean
+"""
+
+PARSE_DIRTY = f"""
+WITH {ODS}
+SELECT event_id, substring(line, 1, length(line) - 1) AS value FROM ods WHERE dirty
+"""
+
+LOG_PAGE = f"""
+WITH {ODS}
+SELECT event_id, mid, uid, is_new_fixed AS is_new, vc, ch, ar, page_id, last_page_id,
+       during_time, ts
+FROM fixed WHERE ch <> 'signup'
+"""
+
+LOG_START = f"""
+WITH {ODS}
+SELECT event_id, mid, is_new_fixed AS is_new, start_txt AS start,
+       CASE WHEN k % 3 > 0 THEN k % 3 END AS n_displays, ts
+FROM fixed WHERE ch = 'signup'
+"""
+
+LOG_ERROR = f"""
+WITH {ODS}
+SELECT event_id, mid, is_new_fixed AS is_new, err_txt AS err, page_id, ts
+FROM fixed WHERE ch = 'error'
+"""
+
+LOG_DISPLAY = f"""
+WITH {ODS}, p AS (SELECT *, unnest(range(k % 3)) AS i FROM fixed WHERE ch <> 'signup')
+SELECT event_id, 'query' AS display_type, CAST(event_id * 10 + i AS VARCHAR) AS item,
+       'sku_id' AS item_type, CAST(i + 1 AS VARCHAR) AS display_order,
+       CAST((k + i) % 5 AS VARCHAR) AS pos_id, page_id, ts
+FROM p
+"""
+
+LOG_ACTION = f"""
+WITH {ODS}, p AS (SELECT *, unnest(range(k % 2)) AS i FROM fixed WHERE ch <> 'signup')
+SELECT event_id, 'favor_add' AS action_id, CAST(event_id AS VARCHAR) AS item,
+       'sku_id' AS item_type, CAST(ts + 500 + i AS VARCHAR) AS action_ts, page_id
+FROM p
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
@@ -190,4 +284,11 @@ def oracle_sql() -> dict[str, str]:
         "page_filter": _filtered("page_id IN ('home', 'good_detail')"),
         "login_filter": _filtered("uid IS NOT NULL AND (last_page_id IS NULL OR last_page_id = 'login')"),
         "keyword_filter": f"WITH {PAGE_LOG_ITEM} SELECT event_id, item, ts FROM {KEYWORD_ROWS}",
+        "parse_clean": PARSE_CLEAN,
+        "parse_dirty": PARSE_DIRTY,
+        "log_page": LOG_PAGE,
+        "log_start": LOG_START,
+        "log_error": LOG_ERROR,
+        "log_display": LOG_DISPLAY,
+        "log_action": LOG_ACTION,
     }

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmart.operators import daily, dws
+from flowmart.operators import daily, dws, logsplit
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
 
@@ -111,6 +111,63 @@ def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("event_id", F.col("page.item").alias("item"), "ts")
 
 
+def _log_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return logsplit.log_layer(fx.ods_log_text(Tables(spark, sf_dir)), tiebreak=TIEBREAK)
+
+
+def parse_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = logsplit.parse_log(fx.ods_log_text(Tables(spark, sf_dir)))
+    return valid.select(
+        "event_id", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
+        F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
+        F.col("page.during_time").alias("during_time"), "start", "err", "ts",
+        F.size("displays").alias("n_displays"), F.size("actions").alias("n_actions"))
+
+
+def parse_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, dirty = logsplit.parse_log(fx.ods_log_text(Tables(spark, sf_dir)))
+    return dirty.select("event_id", "value")
+
+
+def log_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    page = _log_layer(spark, sf_dir)["page"]
+    return page.select(
+        "event_id", *[F.col(f"common.{c}").alias(c) for c in ("mid", "uid", "is_new", "vc", "ch", "ar")],
+        F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
+        F.col("page.during_time").alias("during_time"), "ts")
+
+
+def log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    start = _log_layer(spark, sf_dir)["start"]
+    return start.select("event_id", F.col("common.mid").alias("mid"),
+                        F.col("common.is_new").alias("is_new"), "start",
+                        F.size("displays").alias("n_displays"), "ts")
+
+
+def log_error(spark: SparkSession, sf_dir: str) -> DataFrame:
+    err = _log_layer(spark, sf_dir)["error"]
+    return err.select("event_id", F.col("common.mid").alias("mid"),
+                      F.col("common.is_new").alias("is_new"), "err",
+                      F.col("page.page_id").alias("page_id"), "ts")
+
+
+def log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = _log_layer(spark, sf_dir)["display"]
+    return d.select("event_id", F.col("display")["display_type"].alias("display_type"),
+                    F.col("display")["item"].alias("item"),
+                    F.col("display")["item_type"].alias("item_type"),
+                    F.col("display")["order"].alias("display_order"),
+                    F.col("display")["pos_id"].alias("pos_id"), "page_id", "ts")
+
+
+def log_action(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = _log_layer(spark, sf_dir)["action"]
+    return a.select("event_id", F.col("action")["action_id"].alias("action_id"),
+                    F.col("action")["item"].alias("item"),
+                    F.col("action")["item_type"].alias("item_type"),
+                    F.col("action")["ts"].alias("action_ts"), "page_id")
+
+
 def queries() -> dict[str, Query]:
     return {
         "traffic_window": traffic_window,
@@ -129,4 +186,11 @@ def queries() -> dict[str, Query]:
         "page_filter": page_filter,
         "login_filter": login_filter,
         "keyword_filter": keyword_filter,
+        "parse_clean": parse_clean,
+        "parse_dirty": parse_dirty,
+        "log_page": log_page,
+        "log_start": log_start,
+        "log_error": log_error,
+        "log_display": log_display,
+        "log_action": log_action,
     }
