@@ -266,6 +266,96 @@ FROM p
 """
 
 
+def _amt(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
+
+
+DETAIL_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
+             "strftime(l_shipdate, '%Y%m%d'))")
+DT = "'%Y-%m-%d %H:%M:%S'"
+PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+
+CART = f"""
+cart AS (
+  SELECT 'cart-' || {DETAIL_ID} AS id, CAST(l_suppkey AS VARCHAR) AS user_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id, {_amt('l_extendedprice')} AS cart_price,
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS sku_num,
+         'sku_' || CAST(l_partkey AS VARCHAR) AS sku_name, '1' AS is_checked,
+         strftime(l_shipdate, {DT}) AS create_time, CAST(NULL AS VARCHAR) AS operate_time,
+         '0' AS is_ordered, CAST(NULL AS VARCHAR) AS order_time, l_returnflag AS source_type,
+         CAST(l_linenumber AS VARCHAR) AS source_id,
+         epoch_us(l_shipdate) // 1000000 AS ts
+  FROM lineitem WHERE l_quantity <= 10
+)"""
+
+DIC = """
+dic AS (SELECT * FROM (VALUES ('A', 'source A'), ('N', 'source N')) t(dic_code, dic_name))"""
+
+CDC_CART = f"WITH {CART} SELECT * FROM cart"
+
+CART_LOOKUP = f"""
+WITH {CART}, {DIC}
+SELECT id, user_id, sku_id, cart_price, sku_num, sku_name, is_checked, create_time,
+       operate_time, is_ordered, order_time, source_type, dic_name, source_id
+FROM cart JOIN dic ON cart.source_type = dic.dic_code
+"""
+
+ORDER_DETAIL_WIDE = f"""
+WITH {DIC},
+od AS (
+  SELECT {DETAIL_ID} AS id, CAST(l_orderkey AS VARCHAR) AS order_id,
+         CAST(l_partkey AS VARCHAR) AS sku_id, 'sku_' || CAST(l_partkey AS VARCHAR) AS sku_name,
+         {_amt('l_extendedprice')} AS order_price,
+         CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS sku_num,
+         strftime(l_shipdate, {DT}) AS create_time, l_returnflag AS source_type,
+         CAST(l_suppkey AS VARCHAR) AS source_id,
+         CAST(CAST({PRICE} * (1 - CAST(l_discount AS DECIMAL(18,2))) AS DECIMAL(18,2)) AS VARCHAR)
+           AS split_total_amount,
+         CAST(CAST({PRICE} * CAST(l_discount AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS VARCHAR)
+           AS split_activity_amount,
+         CAST(CAST({PRICE} * CAST(l_tax AS DECIMAL(18,2)) AS DECIMAL(18,2)) AS VARCHAR)
+           AS split_coupon_amount
+  FROM lineitem
+),
+oi AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS id, 'consignee_' || CAST(o_custkey AS VARCHAR) AS consignee,
+         {_amt('o_totalprice')} AS total_amount, o_orderstatus AS order_status,
+         CAST(o_custkey AS VARCHAR) AS user_id, '1101' AS payment_way,
+         o_orderpriority AS order_comment, 'otn' || CAST(o_orderkey AS VARCHAR) AS out_trade_no,
+         '0.00' AS activity_reduce_amount, '0.00' AS coupon_reduce_amount,
+         {_amt('o_totalprice')} AS original_total_amount, '5.00' AS feight_fee
+  FROM orders
+),
+oa AS (
+  SELECT {DETAIL_ID} AS order_detail_id, l_linestatus AS activity_id,
+         CAST(l_linenumber AS VARCHAR) AS activity_rule_id
+  FROM lineitem WHERE l_discount >= 0.05
+),
+oc AS (
+  SELECT {DETAIL_ID} AS order_detail_id, CAST(l_suppkey AS VARCHAR) AS coupon_id,
+         'cu-' || {DETAIL_ID} AS coupon_use_id
+  FROM lineitem WHERE l_tax = 0
+)
+SELECT od.id, od.order_id, od.sku_id, od.sku_name, od.order_price, od.sku_num,
+       od.create_time, od.source_type, dic.dic_name, od.source_id, od.split_total_amount,
+       od.split_activity_amount, od.split_coupon_amount, oi.consignee,
+       CAST(NULL AS VARCHAR) AS consignee_tel, oi.total_amount, oi.order_status, oi.user_id,
+       oi.payment_way, CAST(NULL AS VARCHAR) AS delivery_address, oi.order_comment,
+       oi.out_trade_no, CAST(NULL AS VARCHAR) AS trade_body,
+       CAST(NULL AS VARCHAR) AS expire_time, CAST(NULL AS VARCHAR) AS process_status,
+       CAST(NULL AS VARCHAR) AS tracking_no, CAST(NULL AS VARCHAR) AS parent_order_id,
+       CAST(NULL AS VARCHAR) AS province_id, oi.activity_reduce_amount,
+       oi.coupon_reduce_amount, oi.original_total_amount, oi.feight_fee,
+       CAST(NULL AS VARCHAR) AS feight_fee_reduce,
+       oa.activity_id, oa.activity_rule_id, oc.coupon_id, oc.coupon_use_id
+FROM od
+JOIN oi ON od.order_id = oi.id
+LEFT JOIN oa ON od.id = oa.order_detail_id
+LEFT JOIN oc ON od.id = oc.order_detail_id
+JOIN dic ON od.source_type = dic.dic_code
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
@@ -291,4 +381,7 @@ def oracle_sql() -> dict[str, str]:
         "log_error": LOG_ERROR,
         "log_display": LOG_DISPLAY,
         "log_action": LOG_ACTION,
+        "cdc_cart": CDC_CART,
+        "cart_lookup": CART_LOOKUP,
+        "order_detail_wide": ORDER_DETAIL_WIDE,
     }

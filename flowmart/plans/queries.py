@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowmart.operators import daily, dws, logsplit
+from flowmart import schemas
+from flowmart.operators import cdc, daily, dws, logsplit, trade
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
 
@@ -168,6 +169,21 @@ def log_action(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("action")["ts"].alias("action_ts"), "page_id")
 
 
+def cdc_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    return cdc.cdc_slice(feed, "cart_info", schemas.CART_INFO_COLS)
+
+
+def cart_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    return trade.cart_add(feed, fx.base_dic(spark))
+
+
+def order_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    return trade.order_detail(feed, fx.base_dic(spark))
+
+
 def queries() -> dict[str, Query]:
     return {
         "traffic_window": traffic_window,
@@ -193,4 +209,7 @@ def queries() -> dict[str, Query]:
         "log_error": log_error,
         "log_display": log_display,
         "log_action": log_action,
+        "cdc_cart": cdc_cart,
+        "cart_lookup": cart_lookup,
+        "order_detail_wide": order_detail_wide,
     }
