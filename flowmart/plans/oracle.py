@@ -356,6 +356,169 @@ JOIN dic ON od.source_type = dic.dic_code
 """
 
 
+# Configuration change feed derived from events (fixtures.config_changes_from_events).
+CONFIG_CHANGES = PAGE_LOG + """,
+chg0 AS (
+  SELECT event_id, ts AS ts_ms, CAST(mid AS BIGINT) AS user_id, k,
+         CASE ch WHEN 'error' THEN 'd' WHEN 'signup' THEN 'c' ELSE 'u' END AS op,
+         'src_' || CAST(user_id AS VARCHAR) AS key,
+         CASE WHEN k % 2 = 0 THEN 'dim' ELSE 'dwd' END AS sink_type,
+         CASE WHEN ch = 'purchase' THEN 'update' ELSE 'insert' END AS source_type,
+         CASE k % 3 WHEN 0 THEN 'id,name,v' WHEN 1 THEN 'id,name' ELSE 'id,name, v' END
+           AS sink_columns,
+         CASE k % 4 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE 'id' END AS sink_pk
+  FROM pl
+),
+chg AS (
+  SELECT *, CASE WHEN k % 7 = 0 AND op = 'u' THEN 'src_' || CAST(user_id + 1 AS VARCHAR)
+                 ELSE key END AS before_key
+  FROM chg0
+),
+cfg_rows AS (
+  SELECT event_id, ts_ms, op, 'before' AS side, before_key AS source_table, * EXCLUDE (event_id, ts_ms, op)
+  FROM chg WHERE op <> 'c'
+  UNION ALL
+  SELECT event_id, ts_ms, op, 'after' AS side, key AS source_table, * EXCLUDE (event_id, ts_ms, op)
+  FROM chg WHERE op <> 'd'
+),
+cfg AS (
+  SELECT event_id, ts_ms, op, side, source_table, source_type,
+         'dim_' || source_table || '_v' || CAST(k % 5 AS VARCHAR) AS sink_table,
+         sink_type, sink_columns, sink_pk, CAST(NULL AS VARCHAR) AS sink_extend
+  FROM cfg_rows
+)"""
+
+
+def config_fold(layer: str, evict_moved: bool = False) -> str:
+    key = ("source_table || '_' || source_type" if layer == "dwd" else "source_table")
+    evict = ""
+    if evict_moved:
+        evict = f"""
+  UNION ALL
+  SELECT {_prefixed(key, 'b')} AS config_key, b.ts_ms, b.event_id AS seq, 'remove' AS action,
+         b.*
+  FROM cfg b JOIN cfg a ON a.event_id = b.event_id AND a.side = 'after'
+  WHERE b.side = 'before' AND b.op <> 'd' AND b.sink_type = '{layer}'
+    AND (a.sink_type <> '{layer}' OR {_prefixed(key, 'a')} <> {_prefixed(key, 'b')})"""
+    return f"""
+WITH {CONFIG_CHANGES},
+touches AS (
+  SELECT {key} AS config_key, ts_ms, event_id AS seq, 'remove' AS action, cfg.*
+  FROM cfg WHERE side = 'before' AND op = 'd' AND sink_type = '{layer}'
+  UNION ALL
+  SELECT {key} AS config_key, ts_ms, event_id AS seq, 'put' AS action, cfg.*
+  FROM cfg WHERE side = 'after' AND sink_type = '{layer}'{evict}
+),
+last AS (
+  SELECT *, row_number() OVER (PARTITION BY config_key ORDER BY ts_ms DESC, seq DESC) AS rn
+  FROM touches
+)
+SELECT config_key, source_table, source_type, sink_table, sink_type, sink_columns, sink_pk,
+       sink_extend
+FROM last WHERE rn = 1 AND action = 'put'
+"""
+
+
+def _prefixed(key: str, alias: str) -> str:
+    return key.replace("source_table", f"{alias}.source_table").replace(
+        "source_type", f"{alias}.source_type")
+
+
+def _cells(select_cols: str, names: list[str], values: list[str]) -> str:
+    n = ", ".join(f"'{x}'" for x in names)
+    v = ", ".join(f"CAST({x} AS VARCHAR)" for x in values)
+    return f'{select_cols}, unnest([{n}]) AS "column", unnest([{v}]) AS value'
+
+
+DIM_SOURCES = f"""
+dim_cells AS (
+  SELECT {_cells("'dim_user_info' AS sink_table, 'id' AS sink_pk, 'user_info' AS \"table\", "
+                 "'bootstrap-insert' AS type, CAST(1700000000 AS BIGINT) AS ts, "
+                 "CAST(c_custkey AS VARCHAR) AS id",
+                 ["id", "name", "nation_id", "balance", "segment", "phone_num"],
+                 ["c_custkey", "c_name", "c_nationkey", "CAST(c_acctbal AS DECIMAL(18,2))",
+                  "c_mktsegment", "NULL"])}
+  FROM customer
+  UNION ALL
+  SELECT {_cells("'dim_user_info', 'id', 'user_info', 'update', CAST(1700000100 AS BIGINT), "
+                 "CAST(c_custkey AS VARCHAR)",
+                 ["id", "balance"], ["c_custkey", "CAST(c_acctbal + 1000 AS DECIMAL(18,2))"])}
+  FROM customer WHERE c_acctbal < 1000
+  UNION ALL
+  SELECT {_cells("'dim_sku_info', 'id', 'sku_info', 'insert', CAST(1700000000 AS BIGINT), "
+                 "CAST(p_partkey AS VARCHAR)",
+                 ["id", "name", "brand", "size"], ["p_partkey", "p_name", "p_brand", "p_size"])}
+  FROM part
+  UNION ALL
+  SELECT {_cells("'dim_base_trademark', 'id', 'base_trademark', 'insert', "
+                 "CAST(1700000000 AS BIGINT), CAST(s_suppkey AS VARCHAR)",
+                 ["id", "tm_name"], ["s_suppkey", "s_name"])}
+  FROM supplier
+  UNION ALL
+  SELECT {_cells("'dim_base_province', 'id', 'base_province', 'bootstrap-insert', "
+                 "CAST(1700000000 AS BIGINT), CAST(n_nationkey AS VARCHAR)",
+                 ["id", "name", "region_id"], ["n_nationkey", "n_name", "n_regionkey"])}
+  FROM nation
+)"""
+
+DIM_ROUTE = f"WITH {DIM_SOURCES} SELECT * FROM dim_cells"
+
+DIM_UPSERT = f"""
+WITH {DIM_SOURCES},
+r AS (SELECT *, row_number() OVER (PARTITION BY sink_table, id, "column"
+                                   ORDER BY ts DESC, value DESC NULLS LAST) AS rn
+      FROM dim_cells)
+SELECT sink_table, id AS pk, "column", coalesce(value, '') AS value FROM r WHERE rn = 1
+"""
+
+DWD_ROUTE = f"""
+SELECT {_cells("'dwd_trade_cart_add' AS sink_table, 'cart_info' AS \"table\", 'insert' AS type, "
+               "epoch_us(l_shipdate) // 1000000 AS ts, 'cart-' || " + DETAIL_ID + " AS id",
+               ["id", "user_id", "sku_id", "sku_num", "source_type"],
+               ["'cart-' || " + DETAIL_ID, "l_suppkey", "l_partkey", "CAST(l_quantity AS BIGINT)",
+                "l_returnflag"])}
+FROM lineitem WHERE l_quantity <= 10
+UNION ALL
+SELECT {_cells("'dwd_trade_order_status', 'order_info', 'update', "
+               "epoch_us(o_orderdate) // 1000000 + 86400, CAST(o_orderkey AS VARCHAR)",
+               ["id", "order_status", "operate_time"],
+               ["o_orderkey", "'1004'", "strftime(o_orderdate + INTERVAL 1 DAY, " + DT + ")"])}
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT {_cells("'dwd_tool_coupon_use', 'order_detail_coupon', 'insert', "
+               "epoch_us(l_shipdate) // 1000000, 'cpn-' || " + DETAIL_ID,
+               ["id", "coupon_id", "order_id", "create_time"],
+               ["'cpn-' || " + DETAIL_ID, "l_suppkey", "l_orderkey",
+                "strftime(l_shipdate, " + DT + ")"])}
+FROM lineitem WHERE l_tax = 0
+"""
+
+ENSURE_SCHEMA = f"""
+WITH folded AS ({config_fold('dim')}),
+s AS (
+  SELECT sink_table,
+         CASE WHEN sink_pk IS NULL OR sink_pk = '' THEN 'id' ELSE sink_pk END AS pk,
+         coalesce(sink_extend, '') AS sink_extend,
+         string_split(sink_columns, ',') AS cols
+  FROM folded
+),
+u AS (SELECT sink_table, pk, sink_extend, unnest(cols) AS column_name,
+             unnest(range(1, len(cols) + 1)) AS position FROM s)
+SELECT 'GMALL_REALTIME' AS schema_name, sink_table, CAST(position AS BIGINT) AS position,
+       column_name, 'varchar' AS column_type, column_name = pk AS is_pk, sink_extend
+FROM u
+"""
+
+TIME_FUNCTIONS = f"""
+WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events),
+f AS (SELECT event_id, ms, {_date('ms')} AS date, {_dt('ms')} AS datetime,
+             ms - ms % 10000 AS window_start FROM e)
+SELECT *, epoch_us(CAST(date AS TIMESTAMP)) // 1000 - 28800000 AS day_start_ms,
+          epoch_us(CAST(datetime AS TIMESTAMP)) // 1000 - 28800000 AS second_ms
+FROM f
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
@@ -384,4 +547,12 @@ def oracle_sql() -> dict[str, str]:
         "cdc_cart": CDC_CART,
         "cart_lookup": CART_LOOKUP,
         "order_detail_wide": ORDER_DETAIL_WIDE,
+        "config_fold": config_fold("dim"),
+        "config_fold_dwd": config_fold("dwd"),
+        "config_fold_evict": config_fold("dim", evict_moved=True),
+        "dim_route": DIM_ROUTE,
+        "dwd_route": DWD_ROUTE,
+        "dim_upsert": DIM_UPSERT,
+        "ensure_schema": ENSURE_SCHEMA,
+        "time_functions": TIME_FUNCTIONS,
     }

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart import schemas
-from flowmart.operators import cdc, daily, dws, logsplit, trade
+from flowmart.functions import timefn
+from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, trade
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
 
@@ -116,13 +117,18 @@ def _log_layer(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return logsplit.log_layer(fx.ods_log_text(Tables(spark, sf_dir)), tiebreak=TIEBREAK)
 
 
+def _size(c: str):
+    """Element count, null for a missing array (whatever the ANSI setting)."""
+    return F.when(F.col(c).isNotNull(), F.size(c)).cast("bigint")
+
+
 def parse_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     valid, _ = logsplit.parse_log(fx.ods_log_text(Tables(spark, sf_dir)))
     return valid.select(
         "event_id", F.col("common.mid").alias("mid"), F.col("common.is_new").alias("is_new"),
         F.col("page.page_id").alias("page_id"), F.col("page.last_page_id").alias("last_page_id"),
         F.col("page.during_time").alias("during_time"), "start", "err", "ts",
-        F.size("displays").alias("n_displays"), F.size("actions").alias("n_actions"))
+        _size("displays").alias("n_displays"), _size("actions").alias("n_actions"))
 
 
 def parse_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +148,7 @@ def log_start(spark: SparkSession, sf_dir: str) -> DataFrame:
     start = _log_layer(spark, sf_dir)["start"]
     return start.select("event_id", F.col("common.mid").alias("mid"),
                         F.col("common.is_new").alias("is_new"), "start",
-                        F.size("displays").alias("n_displays"), "ts")
+                        _size("displays").alias("n_displays"), "ts")
 
 
 def log_error(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +190,63 @@ def order_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade.order_detail(feed, fx.base_dic(spark))
 
 
+def _config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.config_changes_from_events(Tables(spark, sf_dir))
+
+
+def config_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.fold_changes(_config_changes(spark, sf_dir), "dim", seq=TIEBREAK)
+
+
+def config_fold_dwd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.fold_changes(_config_changes(spark, sf_dir), "dwd", seq=TIEBREAK)
+
+
+def config_fold_evict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return config.fold_changes(_config_changes(spark, sf_dir), "dim", evict_moved=True,
+                               seq=TIEBREAK)
+
+
+def _long(df: DataFrame, *cols: str) -> DataFrame:
+    return df.select(*cols, F.col("data")["id"].alias("id"),
+                     F.explode("data").alias("column", "value"))
+
+
+def _dim_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    return dim.route(feed, config.snapshot(fx.config_snapshot(spark), "dim"))
+
+
+def dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _long(_dim_routed(spark, sf_dir), "sink_table", "sink_pk", "table", "type", "ts")
+
+
+def dwd_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    routed = dwd.route(feed, config.snapshot(fx.config_snapshot(spark), "dwd"))
+    return _long(routed, "sink_table", "table", "type", "ts")
+
+
+def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim.upsert_fold(_dim_routed(spark, sf_dir))
+
+
+def ensure_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dim.schema_rows(config_fold(spark, sf_dir))
+    return rows.withColumn("position", F.col("position").cast("bigint"))
+
+
+def time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = Tables(spark, sf_dir)("events").select("event_id", timefn.ntz_to_ms("ts").alias("ms"))
+    return e.select(
+        "event_id", "ms",
+        timefn.to_date_str("ms").alias("date"),
+        timefn.to_ymd_hms("ms").alias("datetime"),
+        timefn.window_start_ms("ms", 10_000).alias("window_start"),
+    ).select("*", timefn.to_ts("date").alias("day_start_ms"),
+             timefn.to_ts("datetime", is_full=True).alias("second_ms"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "traffic_window": traffic_window,
@@ -212,4 +275,12 @@ def queries() -> dict[str, Query]:
         "cdc_cart": cdc_cart,
         "cart_lookup": cart_lookup,
         "order_detail_wide": order_detail_wide,
+        "config_fold": config_fold,
+        "config_fold_dwd": config_fold_dwd,
+        "config_fold_evict": config_fold_evict,
+        "dim_route": dim_route,
+        "dwd_route": dwd_route,
+        "dim_upsert": dim_upsert,
+        "ensure_schema": ensure_schema,
+        "time_functions": time_functions,
     }
