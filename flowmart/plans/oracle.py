@@ -519,6 +519,18 @@ FROM f
 """
 
 
+DICTIONARY_TERMS = f"""
+WITH {PAGE_LOG_ITEM},
+dict AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[a-z0-9]+')) AS term FROM part),
+lens AS (SELECT DISTINCT length(term) AS len FROM dict),
+kw AS (SELECT event_id, lower(item) AS src FROM {KEYWORD_ROWS}),
+subs AS (SELECT event_id, src, len, unnest(range(1, length(src) - len + 2)) AS pos
+         FROM kw JOIN lens ON length(kw.src) >= lens.len)
+SELECT event_id, CAST(pos AS BIGINT) AS pos, dict.term
+FROM subs JOIN dict ON substring(src, pos, len) = dict.term
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
@@ -555,4 +567,5 @@ def oracle_sql() -> dict[str, str]:
         "dim_upsert": DIM_UPSERT,
         "ensure_schema": ENSURE_SCHEMA,
         "time_functions": TIME_FUNCTIONS,
+        "dictionary_terms": DICTIONARY_TERMS,
     }

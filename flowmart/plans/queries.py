@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart import schemas
-from flowmart.functions import timefn
+from flowmart.functions import text, timefn
 from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, trade
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
@@ -247,6 +247,15 @@ def time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
              timefn.to_ts("datetime", is_full=True).alias("second_ms"))
 
 
+def dictionary_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    items = dws.keyword_filter(fx.page_log(t, with_item=True)).select(
+        "event_id", F.col("page.item").alias("item"))
+    vocab = t("part").select(F.explode(text.split_words("p_name")).alias("term"))
+    hits = text.dictionary_terms(items, "item", vocab)
+    return hits.select("event_id", F.col("pos").cast("bigint").alias("pos"), "term")
+
+
 def queries() -> dict[str, Query]:
     return {
         "traffic_window": traffic_window,
@@ -283,4 +292,5 @@ def queries() -> dict[str, Query]:
         "dim_upsert": dim_upsert,
         "ensure_schema": ensure_schema,
         "time_functions": time_functions,
+        "dictionary_terms": dictionary_terms,
     }
