@@ -76,7 +76,7 @@ def daily_first_flag(
     """
     if df.isStreaming:
         from flowmart.streaming.processors import daily_first_flag_stream
-        return daily_first_flag_stream(df, key, flag=flag, ts=ts, tz=tz)
+        return daily_first_flag_stream(df, key, flag=flag, ts=ts, tz=tz, tiebreak=tiebreak)
     if tiebreak is None:
         day = to_date_str(ts, tz)
         w = Window.partitionBy(_col(key)).orderBy(F.col(ts))
@@ -113,7 +113,8 @@ def home_detail_firsts(
     """
     if df.isStreaming:
         from flowmart.streaming.processors import home_detail_stream
-        return home_detail_stream(df, key, page, ts=ts, tz=tz, per_page=per_page)
+        return home_detail_stream(df, key, page, ts=ts, tz=tz, per_page=per_page,
+                                  tiebreak=tiebreak)
     k = F.concat_ws("\u0001", _col(key), _col(page)) if per_page else _col(key)
     firsts = first_of_day(df, k, ts, tiebreak, tz, carry=[("_mid", key), ("_page", page)])
     return firsts.select(
@@ -142,7 +143,8 @@ def login_firsts(
     """
     if df.isStreaming:
         from flowmart.streaming.processors import login_stream
-        return login_stream(df, key, ts=ts, tz=tz, back_days=back_days, offset=offset)
+        return login_stream(df, key, ts=ts, tz=tz, back_days=back_days, offset=offset,
+                            tiebreak=tiebreak)
     firsts = first_of_day(df, key, ts, tiebreak, tz)
     prev = F.lag("_day").over(Window.partitionBy("_key").orderBy("_day"))
     days = F.floor((F.col("_ts") - to_ts(prev, offset=offset)) / F.lit(DAY_MS))
@@ -172,7 +174,7 @@ def fix_is_new(
     """
     if df.isStreaming:
         from flowmart.streaming.processors import fix_is_new_stream
-        return fix_is_new_stream(df, key, flag, ts=ts, tz=tz)
+        return fix_is_new_stream(df, key, flag, ts=ts, tz=tz, tiebreak=tiebreak)
     fields = [F.col(ts).alias("_ts")]
     if tiebreak:
         fields.append(F.col(tiebreak).alias("_tb"))

@@ -59,18 +59,20 @@ def keyword_filter(df: DataFrame) -> DataFrame:
                     & F.col("page.item").isNotNull())
 
 
-def traffic_measures(df: DataFrame, session_field: str = "last_page") -> DataFrame:
-    """Uv (already flagged), sv, pv and duration per row.
+def traffic_measures(df: DataFrame, session_field: str = "last_page",
+                     keep: tuple[str, ...] = ()) -> DataFrame:
+    """Flat measure rows: mid, dimensions, sv (session start), duration.
 
     The reference tests ``page.last_page`` for a session start (Q7), a field
     its logs do not carry, so every row starts a session;
-    ``session_field="last_page_id"`` gives the intended test.
+    ``session_field="last_page_id"`` gives the intended test.  uv is added by
+    the daily state step and pv is a row count.
     """
     return df.select(
-        "ts", *(["rt"] if "rt" in df.columns else []),
+        *keep, "ts", *(["rt"] if "rt" in df.columns else []),
+        F.col("common.mid").alias("mid"),
         F.col("common.vc").alias("vc"), F.col("common.ch").alias("ch"),
         F.col("common.ar").alias("ar"), F.col("common.is_new").alias("isNew"),
-        F.col("uv"),
         F.when(F.col(f"page.{session_field}").isNull(), 1).otherwise(0).cast("bigint").alias("sv"),
         F.col("page.during_time").alias("dur"),
     )
@@ -89,11 +91,11 @@ def traffic_window(
 
     Rows without a mid cannot be keyed and are dropped (Q15).
     """
-    log = log.where(F.col("common.mid").isNotNull())
-    flagged = daily.daily_first_flag(log, "common.mid", "uv", "ts", tiebreak, tz)
-    m = traffic_measures(_rt(flagged, "ts"), session_field)
+    log = _rt(log.where(F.col("common.mid").isNotNull()), "ts")
+    m = traffic_measures(log, session_field, keep=(tiebreak,) if tiebreak else ())
+    flagged = daily.daily_first_flag(m, "mid", "uv", "ts", tiebreak, tz)
     out = (
-        m.groupBy(F.window("rt", size).alias("w"), "vc", "ch", "ar", "isNew")
+        flagged.groupBy(F.window("rt", size).alias("w"), "vc", "ch", "ar", "isNew")
         .agg(F.sum("uv").alias("uvCt"), F.sum("sv").alias("svCt"),
              F.count(F.lit(1)).alias("pvCt"), F.sum("dur").alias("durSum"))
         .select(*window_bounds("w", tz, bounds), "vc", "ch", "ar", "isNew",
@@ -112,7 +114,7 @@ def home_detail_window(
     load_ts: bool = True,
 ) -> DataFrame:
     """A3 + T6 + P15: home and detail unique visitors per window (all keys)."""
-    pages = page_filter(log).where(F.col("common.mid").isNotNull())
+    pages = _rt(page_filter(log).where(F.col("common.mid").isNotNull()), "ts")
     rows = daily.home_detail_firsts(pages, "common.mid", "page.page_id", "ts", tiebreak,
                                     tz, per_page)
     out = (
@@ -133,7 +135,8 @@ def login_window(
     load_ts: bool = True,
 ) -> DataFrame:
     """A4 + T8 + P15: unique and returning logins per window (all keys)."""
-    rows = daily.login_firsts(login_filter(log), "common.uid", "ts", tiebreak, tz, back_days)
+    rows = daily.login_firsts(_rt(login_filter(log), "ts"), "common.uid", "ts", tiebreak, tz,
+                              back_days)
     out = (
         _rt(rows, "ts").groupBy(F.window("rt", size).alias("w"))
         .agg(F.sum("back").alias("backCt"), F.sum("uu").alias("uuCt"))
