@@ -67,20 +67,20 @@ def log_layer_stream(raw: DataFrame, value: str = "value", tiebreak: str | None
         ok = ok & F.coalesce(c, F.lit(False))
     dirty = p.where(~ok).select(*keep, value)
     good = p.where(ok).select(
-        *keep, F.col(value), F.col("_rec.common.mid").alias("_mid"),
-        F.col("_rec.common.is_new").alias("_is_new"), F.col("_rec.ts").alias("ts"))
+        *keep, F.col(value), F.col("_rec.common.mid").alias("mid_key"),
+        F.col("_rec.common.is_new").alias("is_new_raw"), F.col("_rec.ts").alias("ts"))
     good = good.withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay)
-    return fix_is_new_stream(good, "_mid", "_is_new", "ts", tz, tiebreak), dirty
+    return fix_is_new_stream(good, "mid_key", "is_new_raw", "ts", tz, tiebreak), dirty
 
 
 def split_batch(batch: DataFrame, value: str = "value") -> dict[str, DataFrame]:
     """The five outputs of one micro-batch of repaired records."""
-    keep = [c for c in batch.columns if c not in (value, "_mid", "_is_new", "ts", "rt", "_fixed")]
+    keep = [c for c in batch.columns if c not in (value, "mid_key", "is_new_raw", "ts", "rt", "fm_fixed")]
     p = parse.parse_json(batch, schemas.LOG, value)
-    rec = p.select(*keep, "_fixed",
+    rec = p.select(*keep, "fm_fixed",
                    *[F.col(f"_rec.{f.name}").alias(f.name) for f in schemas.LOG.fields])
-    rec = rec.withColumn("common", F.col("common").withField("is_new", F.col("_fixed")))
-    return logsplit.split_log(rec.drop("_fixed"))
+    rec = rec.withColumn("common", F.col("common").withField("is_new", F.col("fm_fixed")))
+    return logsplit.split_log(rec.drop("fm_fixed"))
 
 
 def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",

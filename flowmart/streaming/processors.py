@@ -41,8 +41,8 @@ def _offset_hours(offset: str) -> timezone:
 
 
 class LastDateProcessor(StatefulProcessor):
-    """See the module docstring.  Input columns used: ``_day``, ``ts``,
-    ``_raw`` (fix mode), ``_page`` (home_detail mode), optional tiebreak."""
+    """See the module docstring.  Input columns used: ``fm_day``, ``ts``,
+    ``fm_raw`` (fix mode), ``fm_page`` (home_detail mode), optional tiebreak."""
 
     def __init__(self, mode: str, out_cols: Sequence[str], tiebreak: str | None = None,
                  ttl_ms: int | None = None, back_days: int = 7, offset: str = "+08:00"):
@@ -66,15 +66,15 @@ class LastDateProcessor(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         order = ["ts"] + ([self.tiebreak] if self.tiebreak else [])
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        days = pdf["_day"].astype(object)
+        days = pdf["fm_day"].astype(object)
         state = self.last.get()[0] if self.last.exists() else None
 
         if self.mode == "fix":
             if state is None:
-                state = days.iloc[0] if pdf["_raw"].iloc[0] == "1" else EPOCH_DATE
+                state = days.iloc[0] if pdf["fm_raw"].iloc[0] == "1" else EPOCH_DATE
                 self.last.update((state,))
-            raw = pdf["_raw"]
-            pdf["_fixed"] = raw.where(~((raw == "1") & (days != state)), "0")
+            raw = pdf["fm_raw"]
+            pdf["fm_fixed"] = raw.where(~((raw == "1") & (days != state)), "0")
             yield pdf[self.out_cols]
             return
 
@@ -88,12 +88,12 @@ class LastDateProcessor(StatefulProcessor):
             self.handle.registerTimer(int(pdf["ts"].max()) + self.ttl_ms)
 
         if self.mode == "flag":
-            pdf["_flag"] = first.astype("int64")
+            pdf["fm_flag"] = first.astype("int64")
             yield pdf[self.out_cols]
         elif self.mode == "home_detail":
             out = pdf[first].copy()
-            out["homeUv"] = (out["_page"] == "home").astype("int64")
-            out["detailUv"] = (out["_page"] != "home").astype("int64")
+            out["homeUv"] = (out["fm_page"] == "home").astype("int64")
+            out["detailUv"] = (out["fm_page"] != "home").astype("int64")
             yield out[self.out_cols]
         elif self.mode == "login":
             out = pdf[first].copy()
@@ -131,8 +131,8 @@ def _run(df: DataFrame, key: Column | str, processor: LastDateProcessor,
          out_schema: T.StructType) -> DataFrame:
     if "rt" not in df.columns:
         raise ValueError("stream input needs an event-time column 'rt' with a watermark")
-    return (df.withColumn("_key", _col(key)).where(F.col("_key").isNotNull())
-            .groupBy("_key")
+    return (df.withColumn("fm_key", _col(key)).where(F.col("fm_key").isNotNull())
+            .groupBy("fm_key")
             .transformWithStateInPandas(statefulProcessor=processor,
                                         outputStructType=out_schema, outputMode="Append",
                                         timeMode="EventTime", eventTimeColumnName="rt"))
@@ -149,11 +149,11 @@ def daily_first_flag_stream(df: DataFrame, key: Column | str, flag: str = "uv",
                             ttl_ms: int | None = TWO_DAYS_MS) -> DataFrame:
     """T7 + T9 on a flat stream: every row, + ``flag``."""
     _require_flat(df)
-    src = df.withColumn("_day", to_date_str(ts, tz))
+    src = df.withColumn("fm_day", to_date_str(ts, tz))
     cols = df.columns
-    schema = T.StructType(_fields(df, cols) + [T.StructField("_flag", T.LongType())])
-    p = LastDateProcessor("flag", cols + ["_flag"], tiebreak, ttl_ms)
-    return _run(src, key, p, schema).withColumnRenamed("_flag", flag)
+    schema = T.StructType(_fields(df, cols) + [T.StructField("fm_flag", T.LongType())])
+    p = LastDateProcessor("flag", cols + ["fm_flag"], tiebreak, ttl_ms)
+    return _run(src, key, p, schema).withColumnRenamed("fm_flag", flag)
 
 
 def home_detail_stream(df: DataFrame, key: Column | str, page: Column | str,
@@ -163,7 +163,7 @@ def home_detail_stream(df: DataFrame, key: Column | str, page: Column | str,
     """T6 on a stream: first rows of a day only, + homeUv / detailUv."""
     src = df.select(_col(key).alias("mid"), _col(page).alias("page_id"), ts, "rt",
                     *([tiebreak] if tiebreak else []))
-    src = src.withColumn("_day", to_date_str(ts, tz)).withColumn("_page", F.col("page_id"))
+    src = src.withColumn("fm_day", to_date_str(ts, tz)).withColumn("fm_page", F.col("page_id"))
     k = F.concat_ws("\u0001", "mid", "page_id") if per_page else F.col("mid")
     cols = ["mid", "page_id", ts, "rt"] + ([tiebreak] if tiebreak else [])
     schema = T.StructType(_fields(src, cols) + [T.StructField("homeUv", T.LongType()),
@@ -178,21 +178,21 @@ def login_stream(df: DataFrame, key: Column | str, ts: str = "ts", tz: str = DEF
     """T8 on a stream: first rows of a day only, + uu / back.  No TTL: the
     returning test needs the key's last day however old it is."""
     src = df.select(_col(key).alias("uid"), ts, "rt", *([tiebreak] if tiebreak else []))
-    src = src.withColumn("_day", to_date_str(ts, tz))
-    cols = ["uid", "_day", ts, "rt"] + ([tiebreak] if tiebreak else [])
+    src = src.withColumn("fm_day", to_date_str(ts, tz))
+    cols = ["uid", "fm_day", ts, "rt"] + ([tiebreak] if tiebreak else [])
     schema = T.StructType(_fields(src, cols) + [T.StructField("uu", T.LongType()),
                                                 T.StructField("back", T.LongType())])
     p = LastDateProcessor("login", cols + ["uu", "back"], tiebreak, None, back_days, offset)
-    return _run(src, "uid", p, schema).withColumnRenamed("_day", "day")
+    return _run(src, "uid", p, schema).withColumnRenamed("fm_day", "day")
 
 
 def fix_is_new_stream(df: DataFrame, key: Column | str, flag: Column | str,
                       ts: str = "ts", tz: str = DEFAULT_TZ,
                       tiebreak: str | None = None) -> DataFrame:
-    """T5 on a flat stream: ``_raw`` is the raw flag; adds ``_fixed``."""
+    """T5 on a flat stream: ``fm_raw`` is the raw flag; adds ``fm_fixed``."""
     _require_flat(df)
-    src = df.withColumn("_day", to_date_str(ts, tz)).withColumn("_raw", _col(flag))
+    src = df.withColumn("fm_day", to_date_str(ts, tz)).withColumn("fm_raw", _col(flag))
     cols = df.columns
-    schema = T.StructType(_fields(df, cols) + [T.StructField("_fixed", T.StringType())])
-    p = LastDateProcessor("fix", cols + ["_fixed"], tiebreak)
+    schema = T.StructType(_fields(df, cols) + [T.StructField("fm_fixed", T.StringType())])
+    p = LastDateProcessor("fix", cols + ["fm_fixed"], tiebreak)
     return _run(src, key, p, schema)
