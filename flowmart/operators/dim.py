@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowmart.operators import config as cfg
-from flowmart.operators.lookup import sized_broadcast
+from flowmart.operators.lookup import bounded_values, sized_broadcast
 
 ROUTED_TYPES = ("insert", "update", "bootstrap-insert")
 CONFIG_MAX_ROWS = 100_000
@@ -34,6 +34,9 @@ def route(
     c = sized_broadcast(config.select("source_table", "sink_table", "sink_columns", "sink_pk"),
                         max_config_rows)
     rows = feed.where(F.col("type").isin(*types))
+    tables = bounded_values(config, "source_table", max_config_rows)
+    if tables is not None:
+        rows = rows.where(F.col("table").isin(*tables))
     return rows.join(c, rows["table"] == c["source_table"], "inner").select(
         "sink_table", cfg.pk_or_default("sink_pk").alias("sink_pk"),
         "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))

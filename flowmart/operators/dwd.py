@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.operators import config as cfg
-from flowmart.operators.lookup import sized_broadcast
+from flowmart.operators.lookup import bounded_values, sized_broadcast
 
 CONFIG_MAX_ROWS = 100_000
 
@@ -25,6 +25,10 @@ def route(feed: DataFrame, config: DataFrame, max_config_rows: int = CONFIG_MAX_
     """
     c = sized_broadcast(config.select("config_key", "sink_table", "sink_columns"),
                         max_config_rows)
+    # the source tables of the configured routes (config-sized, bounded)
+    tables = bounded_values(config, "source_table", max_config_rows)
+    if tables is not None:
+        feed = feed.where(F.col("table").isin(*tables))
     keyed = feed.withColumn("_route", F.concat(F.col("table"), F.lit("_"), F.col("type")))
     return keyed.join(c, keyed["_route"] == c["config_key"], "inner").select(
         "sink_table", "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))

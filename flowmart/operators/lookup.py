@@ -23,6 +23,15 @@ def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFram
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def bounded_values(df: DataFrame, col: str, max_rows: int = DEFAULT_MAX_ROWS) -> list | None:
+    """Distinct values of ``col`` when there are at most ``max_rows`` of them
+    (a proven bound), else None.  Used to pre-filter a large input by a small
+    configuration so the filter reaches its scan (pruning partitions or
+    union branches), as dynamic partition pruning does for a join."""
+    vals = df.select(col).distinct().limit(max_rows + 1).collect()
+    return [r[0] for r in vals] if len(vals) <= max_rows else None
+
+
 def lookup_join(
     df: DataFrame,
     dim: DataFrame,

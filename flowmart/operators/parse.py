@@ -38,7 +38,7 @@ def json_or_dirty(df: DataFrame, schema: T.StructType, value: str = "value",
     ``foreachBatch`` so the source is read once.
     """
     keep = list(keep if keep is not None else [c for c in df.columns if c != value])
-    p = parse_json(df.where(F.col(value).isNotNull()), schema, value)
+    p = parsed_once(parse_json(df.where(F.col(value).isNotNull()), schema, value))
     dirty = p.where(F.col(CORRUPT).isNotNull()).select(*[c for c in keep if c != value],
                                                        F.col(value))
     clean = (p.where(F.col(CORRUPT).isNull() & F.col("_rec").isNotNull())
@@ -46,6 +46,19 @@ def json_or_dirty(df: DataFrame, schema: T.StructType, value: str = "value",
     return clean, dirty
 
 
+def parsed_once(p: DataFrame, rec: str = "_rec") -> DataFrame:
+    """Keep the parse in one place.
+
+    Catalyst pushes a filter on parsed fields below the projection that
+    parses, copying ``from_json`` into the filter (and once per conjunct).
+    Re-emitting the parsed struct through a one-row generator stops that:
+    a filter on generator output stays above it, so each line is parsed once.
+    """
+    others = [c for c in p.columns if c not in (rec, CORRUPT)]
+    return p.select(*others, F.inline(F.array(F.struct(
+        F.col(rec).alias(rec), F.col(CORRUPT).alias(CORRUPT)))))
+
+
 def require(df: DataFrame, conditions: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
     """Q15: split rows into (valid, invalid) by required-field conditions.
 
