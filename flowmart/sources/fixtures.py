@@ -375,13 +375,29 @@ def configured_tables(layer: str) -> list[str]:
     return sorted({r[0] for r in CONFIG_ROWS if r[3] == layer})
 
 
+def _sql_literal(v) -> str:
+    if v is None:
+        return "NULL"
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def values_table(spark, rows, schema) -> DataFrame:
+    """A small fixed table as a SQL ``VALUES`` relation: planned and run in
+    the JVM (a local relation), with no Python worker behind it."""
+    names = [f.name for f in schema.fields]
+    body = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
+    cols = ", ".join(f"CAST({n} AS {f.dataType.simpleString()}) AS {n}"
+                     for n, f in zip(names, schema.fields))
+    return spark.sql(f"SELECT {cols} FROM VALUES {body} AS t({', '.join(names)})")
+
+
 def base_dic(spark) -> DataFrame:
-    return spark.createDataFrame(BASE_DIC_ROWS, schemas.BASE_DIC)
+    return values_table(spark, BASE_DIC_ROWS, schemas.BASE_DIC)
 
 
 def config_snapshot(spark) -> DataFrame:
     """The configuration table as rows (an initial snapshot)."""
-    return spark.createDataFrame(CONFIG_ROWS, schemas.CONFIG)
+    return values_table(spark, CONFIG_ROWS, schemas.CONFIG)
 
 
 def config_changes_from_events(t: Tables) -> DataFrame:
