@@ -84,7 +84,8 @@ def split_batch(batch: DataFrame, value: str = "value") -> dict[str, DataFrame]:
 
 
 def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
-                  tiebreak: str | None = None, **start_kw) -> list[StreamingQuery]:
+                  tiebreak: str | None = None, checkpoint: str | None = None,
+                  **start_kw) -> list[StreamingQuery]:
     """R1 as a job: one parse per micro-batch, five outputs written from one
     ``foreachBatch`` (the batch is persisted once), dirty lines by a second,
     stateless query."""
@@ -98,9 +99,10 @@ def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
         finally:
             batch.unpersist()
 
-    q1 = start(records, name, sink=write, **start_kw)
+    base = checkpoint or checkpoint_dir(raw.sparkSession, os.path.join("streams", name))
+    q1 = start(records, name, sink=write, checkpoint=os.path.join(base, "records"), **start_kw)
     q2 = start(dirty, f"{name}_dirty", fmt="parquet", path=os.path.join(out_dir, "dirty"),
-               **start_kw)
+               checkpoint=os.path.join(base, "dirty"), **start_kw)
     return [q1, q2]
 
 

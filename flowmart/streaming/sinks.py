@@ -66,7 +66,9 @@ def upsert_versioned(batch: DataFrame, base: str, key: Sequence[str], batch_id:
     replayed batch id rewrites the same version, so the upsert is idempotent.
     """
     new = latest_per_key(batch, key, order) if order else batch.dropDuplicates(list(key))
-    current = current_version(base)
+    # merge into the newest version *before* this batch: a replayed batch id
+    # then rebuilds exactly the same version
+    current = current_version(base, before=batch_id)
     spark = batch.sparkSession
     if current is not None:
         old = spark.read.parquet(current)
@@ -79,13 +81,14 @@ def upsert_versioned(batch: DataFrame, base: str, key: Sequence[str], batch_id:
     return out
 
 
-def current_version(base: str) -> str | None:
+def current_version(base: str, before: int | None = None) -> str | None:
     """The newest committed version folder of a versioned table (local or
-    mounted shared file system)."""
+    mounted shared file system), optionally the newest before a batch id."""
     if not os.path.isdir(base):
         return None
     versions = sorted(d for d in os.listdir(base)
-                      if d.startswith("v=") and os.path.exists(os.path.join(base, d, "_SUCCESS")))
+                      if d.startswith("v=") and os.path.exists(os.path.join(base, d, "_SUCCESS"))
+                      and (before is None or int(d[2:]) < before))
     return os.path.join(base, versions[-1]) if versions else None
 
 
