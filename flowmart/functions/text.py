@@ -55,3 +55,24 @@ def dictionary_terms(
     return (cand.join(terms, cand["_sub"] == terms["_term"], "inner")
             .withColumnRenamed("_term", "term")
             .drop("_src", "_len", "_sub"))
+
+
+def register_sql_functions(spark, tz: str | None = None) -> None:
+    """SQL surface (U1, F2, F3): ``LATERAL split_function(item)`` and
+    ``to_date_str(ms)`` / ``to_ymd_hms(ms)`` as SQL functions.
+
+    They are SQL-bodied, so Catalyst inlines them: the table function
+    becomes a ``Generate`` of built-in expressions, no Python worker.
+    """
+    from flowmart.session import DEFAULT_TZ
+    zone = (tz or DEFAULT_TZ).replace("'", "")
+    spark.sql(
+        "CREATE OR REPLACE TEMPORARY FUNCTION split_function(str STRING) "
+        "RETURNS TABLE (word STRING) "
+        f"RETURN SELECT explode(regexp_extract_all(lower(str), '{WORD_PATTERN}', 0)) AS word")
+    local = (f"convert_timezone('UTC', '{zone}', "
+             "timestampadd(MILLISECOND, ms, TIMESTAMP_NTZ'1970-01-01 00:00:00'))")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION to_date_str(ms BIGINT) RETURNS STRING "
+              f"RETURN date_format({local}, 'yyyy-MM-dd')")
+    spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION to_ymd_hms(ms BIGINT) RETURNS STRING "
+              f"RETURN date_format({local}, 'yyyy-MM-dd HH:mm:ss')")

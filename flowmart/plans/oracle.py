@@ -541,6 +541,7 @@ def oracle_sql() -> dict[str, str]:
         "login_window_hourly": login_window(3_600_000, "datetime"),
         "keyword_window": keyword_window(10_000),
         "keyword_window_hourly": keyword_window(3_600_000),
+        "keyword_window_sql": keyword_window(10_000),
         "daily_uv": DAILY_UV,
         "home_detail_daily": home_detail_daily(False),
         "home_detail_daily_per_page": home_detail_daily(True),

@@ -65,6 +65,24 @@ def keyword_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dws.keyword_window(log, "1 hour", load_ts=False)
 
 
+def keyword_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dws01 written in SQL, as the reference does: a view of the page log
+    (P16), the registered table function (U1) and a 10 s window (T3)."""
+    text.register_sql_functions(spark)
+    fx.page_log(Tables(spark, sf_dir), with_item=True).createOrReplaceTempView("fm_page_log")
+    return spark.sql("""
+        WITH flit AS (
+          SELECT page.item AS item, timestamp_millis(ts) AS rt
+          FROM fm_page_log
+          WHERE page.last_page_id = 'search' AND page.item_type = 'keyword'
+            AND page.item IS NOT NULL)
+        SELECT to_ymd_hms(unix_millis(window.start)) AS stt,
+               to_ymd_hms(unix_millis(window.end)) AS edt,
+               word AS keyword, count(*) AS keyword_count
+        FROM flit, LATERAL split_function(item)
+        GROUP BY window(rt, '10 seconds'), word""")
+
+
 def daily_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = fx.page_log(Tables(spark, sf_dir))
     out = daily.daily_first_flag(log, "common.mid", "uv", "ts", TIEBREAK)
@@ -274,6 +292,7 @@ def queries() -> dict[str, Query]:
         "login_window_hourly": login_window_hourly,
         "keyword_window": keyword_window,
         "keyword_window_hourly": keyword_window_hourly,
+        "keyword_window_sql": keyword_window_sql,
         "daily_uv": daily_uv,
         "home_detail_daily": home_detail_daily,
         "home_detail_daily_per_page": home_detail_daily_per_page,
