@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowmart import schemas
 from flowmart.operators import dws, logsplit, parse
 from flowmart.session import CHECKPOINT_INTERVAL, DEFAULT_TZ, checkpoint_dir
+from flowmart.streaming import sinks
 from flowmart.streaming.processors import fix_is_new_stream
 
 
@@ -109,3 +110,38 @@ def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
 def traffic_stream(log: DataFrame, size: str = "10 seconds", **kw) -> DataFrame:
     """DwsVc on a stream (input from :func:`read_page_log`)."""
     return dws.traffic_window(log, size, **kw)
+
+
+def run_config_state(changes: DataFrame, base: str, layer: str = "dim", name: str = "config",
+                     evict_moved: bool = False, **start_kw) -> StreamingQuery:
+    """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes
+    into the previous configuration (kept as versioned parquet under ``base``)
+    and write the next version.  The previous version plays the preload: a key
+    without a change keeps its row, a delete removes it."""
+    from flowmart.operators import config as cfg
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        prev_path = sinks.current_version(base, before=batch_id)
+        prev = spark.read.parquet(prev_path).drop("config_key") if prev_path else None
+        state = cfg.fold_changes(batch, layer, evict_moved=evict_moved, preload=prev)
+        state.write.mode("overwrite").parquet(os.path.join(base, f"v={batch_id:012d}"))
+
+    return start(changes, name, sink=fold, **start_kw)
+
+
+def run_dim_app(feed: DataFrame, config_base: str, dims_base: str, name: str = "dim_app",
+                **start_kw) -> StreamingQuery:
+    """DimApp as a job (J4): each micro-batch of the change feed is routed with
+    the newest configuration version -- read fresh per batch, as broadcast
+    state is current when a record arrives -- and upserted into the dimension
+    store (K6)."""
+
+    def route_and_upsert(batch: DataFrame, batch_id: int) -> None:
+        path = sinks.current_version(config_base)
+        if path is None:
+            return
+        config = batch.sparkSession.read.parquet(path)
+        sinks.dim_upsert_batch(batch, batch_id, config, dims_base)
+
+    return start(feed, name, sink=route_and_upsert, **start_kw)

@@ -83,3 +83,43 @@ def test_routed_files(spark, tmp):
     df = spark.createDataFrame([("a", "1"), ("b", "2")], "topic string, value string")
     sinks.write_routed_files(df, os.path.join(tmp, "r"))
     assert sorted(os.listdir(os.path.join(tmp, "r")))[-2:] == ["topic=a", "topic=b"]
+
+
+def test_dim_app_with_config_stream(spark, tmp):
+    t = Tables(spark, SF)
+    snap = fixtures.config_snapshot(spark)
+    # configuration changes: the snapshot as 'r' rows, then sku_info deleted
+    rows = [(None, tuple(r), "r", 1) for r in snap.collect()]
+    sku = [r for r in snap.collect() if r.source_table == "sku_info"][0]
+    changes = spark.createDataFrame(rows + [(tuple(sku), None, "d", 2)], schemas.CONFIG_CHANGE)
+    cfolder = os.path.join(tmp, "config")
+    os.makedirs(cfolder)
+    text = changes.select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("v")).toPandas()
+    write_lines(cfolder, "c-0.json", list(text["v"][:-1]), 0)
+    write_lines(cfolder, "c-1.json", list(text["v"][-1:]), 1)
+    cbase = os.path.join(tmp, "cfg")
+    q = jobs.run_config_state(spark.readStream.schema(schemas.CONFIG_CHANGE)
+                              .option("maxFilesPerTrigger", "1").json(cfolder), cbase,
+                              available_now=True, checkpoint=os.path.join(tmp, "c1"))
+    assert q.awaitTermination(TIMEOUT)
+    q.stop()
+    current = spark.read.parquet(sinks.current_version(cbase))
+    assert sorted(r.source_table for r in current.collect()) == [
+        "base_province", "base_trademark", "user_info"]
+
+    feed = fixtures.topic_db(t, fixtures.configured_tables("dim"))
+    ffolder = os.path.join(tmp, "feed")
+    os.makedirs(ffolder)
+    ftext = feed.select(F.to_json(F.struct(*feed.columns)).alias("v")).toPandas()
+    write_lines(ffolder, "f-0.json", list(ftext["v"]), 0)
+    dbase = os.path.join(tmp, "dims")
+    q = jobs.run_dim_app(spark.readStream.schema(schemas.CDC).json(ffolder), cbase, dbase,
+                         available_now=True, checkpoint=os.path.join(tmp, "c2"))
+    assert q.awaitTermination(TIMEOUT)
+    q.stop()
+    got = spark.read.parquet(sinks.current_version(dbase))
+    want = dim.upsert_fold(dim.route(feed, current))
+    cols = ["sink_table", "pk", "column", "value"]
+    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == \
+        sorted(tuple(r[c] for c in cols) for r in want.collect())
+    assert "dim_sku_info" not in {r.sink_table for r in got.select("sink_table").distinct().collect()}
