@@ -27,15 +27,22 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str, min_partitions: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.min_partitions = (min_partitions if min_partitions is not None
-                               else spark.sparkContext.defaultParallelism)
+        if min_partitions is None:
+            try:
+                min_partitions = spark.sparkContext.defaultParallelism
+            except Exception:  # a remote (Connect) session has no SparkContext
+                min_partitions = 1
+        self.min_partitions = min_partitions
 
     def __call__(self, name: str) -> DataFrame:
         path = os.path.join(self.sf_dir, f"{name}.parquet")
         df = self.spark.read.parquet(path)
         if self.min_partitions > 1:
             if path not in _SPLITS:
-                _SPLITS[path] = df.rdd.getNumPartitions()
+                try:
+                    _SPLITS[path] = df.rdd.getNumPartitions()
+                except Exception:  # no RDD access (Connect): leave the scan as is
+                    _SPLITS[path] = self.min_partitions
             if _SPLITS[path] < self.min_partitions:
                 # hash of the key (first) column: deterministic on retry
                 # without the sort a round-robin repartition needs, and it
