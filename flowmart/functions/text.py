@@ -34,16 +34,21 @@ def dictionary_terms(
     dictionary: DataFrame,
     term: str = "term",
     lower: bool = True,
+    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per dictionary hit: input columns + ``pos`` (1-based) + ``term``.
 
     Only substrings whose length is a term length of the dictionary are made
     (``n`` per text and length), then equi-joined with the dictionary; the
-    join is a broadcast join when AQE measures the dictionary small, else a
-    shuffle join on the substring.  Whole texts are scanned.
+    dictionary is broadcast when its size is proven under ``max_rows``, else
+    joined by a shuffle on the substring.  Whole texts are scanned.
     """
+    from flowmart.operators.lookup import sized_broadcast
     terms = dictionary.select(F.col(term).alias("_term")).where(F.col("_term") != "").distinct()
     lengths = terms.agg(F.array_sort(F.collect_set(F.length("_term")))).scalar()
+    # a vocabulary is normally bounded: broadcast it after proving its size,
+    # else a shuffle join on the substring (AQE splits hot substrings)
+    terms = sized_broadcast(terms, max_rows)
     src = F.lower(F.col(text)) if lower else F.col(text)
     cand = (
         df.withColumn("_src", src)
