@@ -145,3 +145,14 @@ def run_dim_app(feed: DataFrame, config_base: str, dims_base: str, name: str = "
         sinks.dim_upsert_batch(batch, batch_id, config, dims_base)
 
     return start(feed, name, sink=route_and_upsert, **start_kw)
+
+
+def dropped_late_rows(query: StreamingQuery) -> int:
+    """Rows the query's stateful operators dropped as late (behind the
+    watermark), summed over the recent progress reports.  The reference
+    drops late rows silently; here they are counted."""
+    total = 0
+    for p in query.recentProgress:
+        for op in p.get("stateOperators", []):
+            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    return total

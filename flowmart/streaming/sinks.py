@@ -99,3 +99,10 @@ def dim_upsert_batch(batch: DataFrame, batch_id: int, config: DataFrame, base: s
     routed = dim.route(batch, config)
     cells = dim.upsert_fold(routed, null_as_empty=True)
     upsert_versioned(cells, base, ["sink_table", "pk", "column"], batch_id)
+
+
+def insert_into(df: DataFrame, columns: Sequence[str], path: str, fmt: str = "parquet",
+                mode: str = "append") -> None:
+    """``insert into T select * from V`` -- rows in the target's column
+    order (a missing column fails, as a mismatched insert would)."""
+    df.select(*columns).write.mode(mode).format(fmt).save(path)

@@ -123,3 +123,9 @@ def test_dim_app_with_config_stream(spark, tmp):
     assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == \
         sorted(tuple(r[c] for c in cols) for r in want.collect())
     assert "dim_sku_info" not in {r.sink_table for r in got.select("sink_table").distinct().collect()}
+
+
+def test_insert_into_column_order(spark, tmp):
+    df = spark.createDataFrame([("b", "a")], "y string, x string")
+    sinks.insert_into(df, ["x", "y"], os.path.join(tmp, "t"))
+    assert spark.read.parquet(os.path.join(tmp, "t")).columns == ["x", "y"]

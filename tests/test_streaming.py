@@ -121,6 +121,7 @@ def test_late_rows_dropped_after_watermark(spark, tmp):
          .trigger(availableNow=True).start())
     assert q.awaitTermination(TIMEOUT)
     q.stop()
+    assert jobs.dropped_late_rows(q) >= 1  # T12: late rows are counted
     got = {r.stt: r.n for r in spark.table(name).groupBy("stt").agg(F.sum("pvCt").alias("n")).collect()}
     # Through the keyed daily state the window sees the state operator's
     # output watermark: both the 3 s row (watermark 11 s) and the 4 s row
