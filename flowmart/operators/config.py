@@ -10,8 +10,6 @@ is present.  This is a ``max_by`` aggregate per key -- partial, skew-proof.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,25 +43,28 @@ def fold_changes(
     Output: ``config_key`` + the seven config columns.
     """
     order = F.struct(F.col("ts_ms"), F.col(seq) if seq else F.lit(0))
-    cfg_fields = [F.col(f"_cfg.{f}").alias(f) for f in CONFIG_FIELDS]
     is_d = F.col("op") == "d"
+
+    def touch(cond: Column, cfg: str, action: str) -> Column:
+        return F.when(cond, F.struct(config_key(cfg, layer).alias("config_key"),
+                                     F.lit(action).alias("_action"), F.col(cfg).alias("_cfg")))
+
     touches = [
-        changes.where(is_d & (F.col("before.sink_type") == layer)).select(
-            config_key("before", layer).alias("config_key"), order.alias("_o"),
-            F.lit(REMOVE).alias("_action"), F.col("before").alias("_cfg")),
-        changes.where(~is_d & (F.col("after.sink_type") == layer)).select(
-            config_key("after", layer).alias("config_key"), order.alias("_o"),
-            F.lit(PUT).alias("_action"), F.col("after").alias("_cfg")),
+        touch(is_d & (F.col("before.sink_type") == layer), "before", REMOVE),
+        touch(~is_d & (F.col("after.sink_type") == layer), "after", PUT),
     ]
     if evict_moved:
         moved = (~is_d & F.col("before").isNotNull() & (F.col("before.sink_type") == layer)
                  & ((F.col("after.sink_type") != layer)
                     | (config_key("before", layer) != config_key("after", layer))))
-        touches.append(changes.where(moved).select(
-            config_key("before", layer).alias("config_key"), order.alias("_o"),
-            F.lit(REMOVE).alias("_action"), F.col("before").alias("_cfg")))
+        touches.append(touch(moved, "before", REMOVE))
+    # one pass over the changes: each change yields the keys it touches
+    exploded = (changes.select(order.alias("_o"), F.explode(F.array(*touches)).alias("_t"))
+                .where(F.col("_t").isNotNull())
+                .select(F.col("_t.config_key").alias("config_key"), "_o",
+                        F.col("_t._action").alias("_action"), F.col("_t._cfg").alias("_cfg")))
     last = (
-        reduce(DataFrame.unionByName, touches)
+        exploded
         .groupBy("config_key")
         .agg(F.max_by(F.struct("_action", "_cfg"), "_o").alias("_last"))
         .select("config_key", F.col("_last._action").alias("_action"),
@@ -76,7 +77,8 @@ def fold_changes(
         last = (last.join(pre, "config_key", "full_outer")
                 .select("config_key", F.coalesce("_action", F.lit(PUT)).alias("_action"),
                         F.coalesce("_cfg", "_pre").alias("_cfg")))
-    return last.where(F.col("_action") == PUT).select("config_key", *cfg_fields)
+    return last.where(F.col("_action") == PUT).select(
+        "config_key", *[F.col(f"_cfg.{f}").alias(f) for f in CONFIG_FIELDS])
 
 
 def config_key_cols(layer: str) -> Column:

@@ -21,10 +21,17 @@ def parse_log(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     """P1 + Q15: (valid log records, dirty lines).  Lines that parse but lack
     a required field join the dirty output with their raw text."""
     keep = [c for c in raw.columns if c != value]
-    clean, dirty = parse.json_or_dirty(raw, schemas.LOG, value, keep + [value])
-    valid, invalid = parse.require(clean, parse.log_required())
-    bad = invalid.select(*keep, value)
-    return valid.drop(value), dirty.unionByName(bad)
+    p = parse.parsed_once(parse.parse_json(raw.where(F.col(value).isNotNull()), schemas.LOG, value))
+    ok = F.col(parse.CORRUPT).isNull() & F.col("_rec").isNotNull()
+    for c in parse.log_required("_rec."):
+        ok = ok & F.coalesce(c, F.lit(False))
+    # one pass: a line is either a valid record or dirty (malformed, or
+    # missing a required field), never both
+    flagged = p.withColumn("_ok", ok)
+    valid = flagged.where("_ok").select(
+        *keep, *[F.col(f"_rec.{f.name}").alias(f.name) for f in schemas.LOG.fields])
+    dirty = flagged.where(~F.col("_ok")).select(*keep, value)
+    return valid, dirty
 
 
 def split_log(log: DataFrame) -> dict[str, DataFrame]:

@@ -70,10 +70,10 @@ def require(df: DataFrame, conditions: Sequence[Column]) -> tuple[DataFrame, Dat
     return df.where(ok), df.where(~ok)
 
 
-def log_required() -> list[Column]:
+def log_required(prefix: str = "") -> list[Column]:
     """A behaviour-log record needs a mid, an is_new flag and a start or page."""
-    return [F.col("common.mid").isNotNull(), F.col("common.is_new").isNotNull(),
-            F.col("start").isNotNull() | F.col("page").isNotNull()]
+    return [F.col(f"{prefix}common.mid").isNotNull(), F.col(f"{prefix}common.is_new").isNotNull(),
+            F.col(f"{prefix}start").isNotNull() | F.col(f"{prefix}page").isNotNull()]
 
 
 def to_json_text(cols: Sequence[Column | str] | None = None, df: DataFrame | None = None,

@@ -24,6 +24,9 @@ class Tables:
     than cores and this adds nothing.
     """
 
+    # a scan is spread only when each spread task gets at least this many rows
+    MIN_ROWS_PER_TASK = 5_000
+
     def __init__(self, spark: SparkSession, sf_dir: str, min_partitions: int | None = None):
         self.spark = spark
         self.sf_dir = sf_dir
@@ -40,7 +43,10 @@ class Tables:
         if self.min_partitions > 1:
             if path not in _SPLITS:
                 try:
-                    _SPLITS[path] = df.rdd.getNumPartitions()
+                    splits = df.rdd.getNumPartitions()
+                    # parquet answers a count from its footers
+                    small = df.count() < self.MIN_ROWS_PER_TASK * self.min_partitions
+                    _SPLITS[path] = self.min_partitions if small else splits
                 except Exception:  # no RDD access (Connect): leave the scan as is
                     _SPLITS[path] = self.min_partitions
             if _SPLITS[path] < self.min_partitions:
