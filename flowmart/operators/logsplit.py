@@ -22,15 +22,17 @@ def parse_log(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     a required field join the dirty output with their raw text."""
     keep = [c for c in raw.columns if c != value]
     p = parse.parsed_once(parse.parse_json(raw.where(F.col(value).isNotNull()), schemas.LOG, value))
-    ok = F.col(parse.CORRUPT).isNull() & F.col("_rec").isNotNull()
+    parsed = F.col(parse.CORRUPT).isNull() & F.col("_rec").isNotNull()
+    complete = F.lit(True)
     for c in parse.log_required("_rec."):
-        ok = ok & F.coalesce(c, F.lit(False))
-    # one pass: a line is either a valid record or dirty (malformed, or
-    # missing a required field), never both
-    flagged = p.withColumn("_ok", ok)
-    valid = flagged.where("_ok").select(
+        complete = complete & F.coalesce(c, F.lit(False))
+    # one pass: a line is a valid record, dirty (malformed, or parsed but
+    # missing a required field), or nothing (blank text parses to no record)
+    flagged = p.withColumn("_state", F.when(parsed & complete, "ok")
+                           .when(F.col(parse.CORRUPT).isNotNull() | parsed, "dirty"))
+    valid = flagged.where(F.col("_state") == "ok").select(
         *keep, *[F.col(f"_rec.{f.name}").alias(f.name) for f in schemas.LOG.fields])
-    dirty = flagged.where(~F.col("_ok")).select(*keep, value)
+    dirty = flagged.where(F.col("_state") == "dirty").select(*keep, value)
     return valid, dirty
 
 
