@@ -112,36 +112,45 @@ def traffic_stream(log: DataFrame, size: str = "10 seconds", **kw) -> DataFrame:
     return dws.traffic_window(log, size, **kw)
 
 
-def run_config_state(changes: DataFrame, base: str, layer: str = "dim", name: str = "config",
+def run_config_state(changes: DataFrame, path: str, layer: str = "dim", name: str = "config",
                      evict_moved: bool = False, **start_kw) -> StreamingQuery:
     """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes
-    into the previous configuration (kept as versioned parquet under ``base``)
-    and write the next version.  The previous version plays the preload: a key
-    without a change keeps its row, a delete removes it."""
+    into the configuration table at ``path``.  The stored table plays the
+    preload: a key without a change keeps its row, a delete removes it.  The
+    folded rows are checkpointed (cutting the read of ``path``) before the
+    table is overwritten; a replayed batch folds to the same rows."""
     from flowmart.operators import config as cfg
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev_path = sinks.current_version(base, before=batch_id)
-        prev = spark.read.parquet(prev_path).drop("config_key") if prev_path else None
-        state = cfg.fold_changes(batch, layer, evict_moved=evict_moved, preload=prev)
-        state.write.mode("overwrite").parquet(os.path.join(base, f"v={batch_id:012d}"))
+        prev = _read_or_none(spark, path)
+        state = cfg.fold_changes(batch, layer, evict_moved=evict_moved,
+                                 preload=prev.drop("config_key") if prev is not None else None)
+        checkpoint_dir(spark)
+        state.checkpoint(eager=True).write.mode("overwrite").parquet(path)
 
     return start(changes, name, sink=fold, **start_kw)
 
 
-def run_dim_app(feed: DataFrame, config_base: str, dims_base: str, name: str = "dim_app",
+def _read_or_none(spark, path: str) -> DataFrame | None:
+    from pyspark.errors import AnalysisException
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def run_dim_app(feed: DataFrame, config_path: str, dims_base: str, name: str = "dim_app",
                 **start_kw) -> StreamingQuery:
     """DimApp as a job (J4): each micro-batch of the change feed is routed with
-    the newest configuration version -- read fresh per batch, as broadcast
+    the configuration table as it is now -- read fresh per batch, as broadcast
     state is current when a record arrives -- and upserted into the dimension
     store (K6)."""
 
     def route_and_upsert(batch: DataFrame, batch_id: int) -> None:
-        path = sinks.current_version(config_base)
-        if path is None:
+        config = _read_or_none(batch.sparkSession, config_path)
+        if config is None:
             return
-        config = batch.sparkSession.read.parquet(path)
         sinks.dim_upsert_batch(batch, batch_id, config, dims_base)
 
     return start(feed, name, sink=route_and_upsert, **start_kw)

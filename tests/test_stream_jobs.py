@@ -114,7 +114,7 @@ def test_dim_app_with_config_stream(spark, tmp):
                               available_now=True, checkpoint=os.path.join(tmp, "c1"))
     assert q.awaitTermination(TIMEOUT)
     q.stop()
-    current = spark.read.parquet(sinks.current_version(cbase))
+    current = spark.read.parquet(cbase)
     assert sorted(r.source_table for r in current.collect()) == [
         "base_province", "base_trademark", "user_info"]
 
