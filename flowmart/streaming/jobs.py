@@ -93,10 +93,14 @@ def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
     records, dirty = log_layer_stream(raw, tiebreak=tiebreak)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        # each micro-batch owns one ``batch_id`` partition per output, written
+        # by dynamic overwrite: a replayed batch replaces its rows (exactly once)
         batch.persist()
         try:
             for kind, df in split_batch(batch).items():
-                df.write.mode("append").parquet(os.path.join(out_dir, kind))
+                (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                 .parquet(os.path.join(out_dir, kind)))
         finally:
             batch.unpersist()
 
