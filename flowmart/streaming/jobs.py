@@ -169,3 +169,32 @@ def dropped_late_rows(query: StreamingQuery) -> int:
         for op in p.get("stateOperators", []):
             total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
     return total
+
+
+DWS_JOBS = {
+    "keyword": dws.keyword_window,
+    "home_detail": dws.home_detail_window,
+    "traffic": dws.traffic_window,
+    "login": dws.login_window,
+}
+
+
+def run_dws_job(log: DataFrame, kind: str, name: str | None = None,
+                jdbc: dict | None = None, path: str | None = None,
+                size: str = "10 seconds", **start_kw) -> StreamingQuery:
+    """The four DWS jobs (Dws01, DwsPV, DwsVc, DwsUser) on a page-log stream
+    (:func:`flowmart.sources.streams.read_page_log`): the windowed metric,
+    appended once its window closes, written per micro-batch to a JDBC table
+    (K7: ``jdbc={"url":..., "table":...}``) or to parquet under ``path``
+    (one partition per micro-batch, replay-safe)."""
+    result = DWS_JOBS[kind](log, size)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if jdbc is not None:
+            sinks.write_jdbc(batch, jdbc["url"], jdbc["table"],
+                             properties=jdbc.get("properties"))
+        else:
+            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    return start(result, name or f"dws_{kind}", sink=write, **start_kw)

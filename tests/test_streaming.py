@@ -182,3 +182,16 @@ def test_late_rows_plain_window(spark, tmp):
     # the 3 s row is checked against the previous batch's watermark (9 s) and
     # counts; the 4 s row meets 12 s and is dropped
     assert got == {"2024-01-01 08:00:00": 3, "2024-01-01 08:00:10": 3}
+
+
+@pytest.mark.parametrize("kind", ["traffic", "login"])
+def test_dws_job_to_parquet(spark, page_files, tmp, kind):
+    folder, _, _ = page_files
+    stream = read_page_log(spark, path=folder, max_files_per_trigger=2)
+    out = os.path.join(tmp, "out")
+    q = jobs.run_dws_job(stream, kind, path=out, size="1 hour", available_now=True,
+                         checkpoint=os.path.join(tmp, "ck"))
+    assert q.awaitTermination(TIMEOUT)
+    q.stop()
+    df = spark.read.parquet(out)
+    assert df.count() > 0 and "ts" in df.columns and "stt" in df.columns
