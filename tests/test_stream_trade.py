@@ -47,3 +47,24 @@ def test_order_detail_stream(spark, tmp):
     # every match falls within the bound, so once the sentinel moves the
     # watermark past it the stream equals the batch join (left rows included)
     assert g == w
+
+
+def test_cart_add_and_dwd_route_stream(spark, tmp):
+    from flowmart.operators import config, dwd
+    t = Tables(spark, SF)
+    feed = fixtures.topic_db(t, ["cart_info", "order_info", "order_detail_coupon"])
+    lines = feed.select(F.to_json(F.struct(*schemas.CDC.fieldNames())).alias("v")).toPandas()
+    folder = os.path.join(tmp, "cdc")
+    os.makedirs(folder)
+    write_lines(folder, "cdc-0.json", list(lines["v"]), 0)
+    stream = read_cdc(spark, path=folder)
+    cart = trade.cart_add(stream, fixtures.base_dic(spark))
+    routed = dwd.route(stream, config.snapshot(fixtures.config_snapshot(spark), "dwd"))
+    for name, df in (("cart_s", cart), ("route_s", routed.select("sink_table", "table", "type"))):
+        q = (df.writeStream.queryName(name).outputMode("append").format("memory")
+             .option("checkpointLocation", os.path.join(tmp, name)).trigger(availableNow=True).start())
+        assert q.awaitTermination(TIMEOUT)
+        q.stop()
+    assert spark.table("cart_s").count() == trade.cart_add(feed, fixtures.base_dic(spark)).count()
+    want = dwd.route(feed, config.snapshot(fixtures.config_snapshot(spark), "dwd"))
+    assert spark.table("route_s").count() == want.count() > 0
