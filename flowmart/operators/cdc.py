@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DATABASE = "gmall"
+# default name of the source database in the change feed (a parameter of cdc_slice)
+DATABASE = "shop"
 
 
 def cdc_slice(

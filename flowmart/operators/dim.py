@@ -85,7 +85,7 @@ def table_schema(sink_columns: str, sink_pk: str | None) -> tuple[T.StructType,
                          for c in sink_columns.split(",")]), pk
 
 
-def schema_rows(config: DataFrame, schema_name: str = "GMALL_REALTIME") -> DataFrame:
+def schema_rows(config: DataFrame, schema_name: str = "REALTIME_DIM") -> DataFrame:
     """K5 + F17 as data: one row per column of every configured table, with
     its type, key flag and the table's DDL suffix ('' when null)."""
     pk = cfg.pk_or_default("sink_pk")

@@ -504,7 +504,7 @@ s AS (
 ),
 u AS (SELECT sink_table, pk, sink_extend, unnest(cols) AS column_name,
              unnest(range(1, len(cols) + 1)) AS position FROM s)
-SELECT 'GMALL_REALTIME' AS schema_name, sink_table, CAST(position AS BIGINT) AS position,
+SELECT 'REALTIME_DIM' AS schema_name, sink_table, CAST(position AS BIGINT) AS position,
        column_name, 'varchar' AS column_type, column_name = pk AS is_pk, sink_extend
 FROM u
 """

@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 
 from flowmart import schemas
 from flowmart.functions.timefn import ntz_to_ms
+from flowmart.operators.cdc import DATABASE
 from flowmart.sources.catalog import Tables
 
-GMALL = "gmall"
 DATETIME = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -170,7 +170,7 @@ def _amount(c: Column) -> Column:
 
 
 def _change(table: str, ts: Column, data: Column, type_: Column | str = "insert") -> list[Column]:
-    return [F.lit(GMALL).alias("database"), F.lit(table).alias("table"),
+    return [F.lit(DATABASE).alias("database"), F.lit(table).alias("table"),
             (F.lit(type_) if isinstance(type_, str) else type_).alias("type"),
             ts.alias("ts"), data.alias("data"),
             F.lit(None).cast(schemas.STR_MAP).alias("old")]

@@ -51,9 +51,9 @@ def test_pk_default(spark):
 
 def test_upsert_null_and_partial(spark):
     feed = spark.createDataFrame([
-        ("gmall", "t", "insert", 1, {"id": "1", "name": "a", "v": "x"}, None),
-        ("gmall", "t", "update", 2, {"id": "1", "v": None}, None),
-        ("gmall", "t", "delete", 3, {"id": "1", "name": "zzz"}, None),
+        ("shop", "t", "insert", 1, {"id": "1", "name": "a", "v": "x"}, None),
+        ("shop", "t", "update", 2, {"id": "1", "v": None}, None),
+        ("shop", "t", "delete", 3, {"id": "1", "name": "zzz"}, None),
     ], schemas.CDC)
     conf = config.snapshot(spark.createDataFrame([cfg("t", cols="id,name,v", pk=None)],
                                                  schemas.CONFIG), "dim")
@@ -70,7 +70,7 @@ def test_schema_rows_and_ddl(spark):
     assert [(r.column_name, r.is_pk) for r in rows.orderBy("position").collect()] == [
         ("id", True), ("name", False)]
     text = dim.ddl(rows).first().ddl
-    assert text == "create table if not exists GMALL_REALTIME.dim_t (id varchar primary key, name varchar) "
+    assert text == "create table if not exists REALTIME_DIM.dim_t (id varchar primary key, name varchar) "
 
 
 def test_lookup_drops_unmatched(spark):
@@ -81,7 +81,7 @@ def test_lookup_drops_unmatched(spark):
 
 
 def _feed(spark, rows):
-    return spark.createDataFrame([("gmall", t, "insert", 1, d, None) for t, d in rows], schemas.CDC)
+    return spark.createDataFrame([("shop", t, "insert", 1, d, None) for t, d in rows], schemas.CDC)
 
 
 def test_order_detail_joins(spark):
@@ -102,8 +102,8 @@ def test_order_detail_joins(spark):
 
 def test_dwd_route_and_topics(spark):
     feed = spark.createDataFrame([
-        ("gmall", "cart_info", "insert", 1, {"id": "1", "sku_id": "s", "junk": "j"}, None),
-        ("gmall", "cart_info", "update", 1, {"id": "1"}, None),
+        ("shop", "cart_info", "insert", 1, {"id": "1", "sku_id": "s", "junk": "j"}, None),
+        ("shop", "cart_info", "update", 1, {"id": "1"}, None),
     ], schemas.CDC)
     conf = config.snapshot(spark.createDataFrame(
         [cfg("cart_info", "dwd", "id,sku_id", stype="insert", sink="dwd_cart")], schemas.CONFIG), "dwd")

@@ -27,7 +27,7 @@ def test_order_detail_stream(spark, tmp):
         write_lines(folder, f"cdc-{i}.json", list(lines["v"].iloc[i * n // 3:(i + 1) * n // 3]), i)
     # sentinels far in the future, one per input: the global watermark is the
     # minimum over the four inputs, so each must move past every real row
-    sentinel = ('{"database":"gmall","table":"%s","type":"insert","ts":4000000000,'
+    sentinel = ('{"database":"shop","table":"%s","type":"insert","ts":4000000000,'
                 '"data":{"id":"sentinel-%s","order_id":"none","order_detail_id":"none",'
                 '"source_type":"A"}}')
     tables = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
