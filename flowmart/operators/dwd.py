@@ -1,4 +1,4 @@
-"""DWD fact routing by (table, change type) configuration (BaseDB; R8, K2, Q1)."""
+"""DWD fact routing by (table, change type) configuration (fact-routing job; R8, K2, Q1)."""
 
 from __future__ import annotations
 

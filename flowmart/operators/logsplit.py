@@ -1,4 +1,4 @@
-"""DWD log layer: parse, repair and split the behaviour log (BaseLog; R1-R6, T5).
+"""DWD log layer: parse, repair and split the behaviour log (log-split job; R1-R6, T5).
 
 One parsed DataFrame feeds five selections.  In a stream they are written
 from one ``foreachBatch`` (see :func:`flowmart.streaming.jobs.run_log_split`)
@@ -65,7 +65,7 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
 
 def log_layer(raw: DataFrame, value: str = "value", tiebreak: str | None = None,
               tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
-    """BaseLog end to end: parse -> new-visitor repair by mid (T5) -> split.
+    """The log-split job end to end: parse -> new-visitor repair by mid (T5) -> split.
 
     Returns the five outputs plus ``dirty``.
     """

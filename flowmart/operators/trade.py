@@ -1,5 +1,5 @@
 """DWD trade facts: cart additions and the wide order-detail table
-(Dwd02, Dwd03; J1-J3, T15, Q3, Q16)."""
+(cart-add and order-detail jobs; J1-J3, T15, Q3, Q16)."""
 
 from __future__ import annotations
 

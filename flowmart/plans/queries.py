@@ -66,7 +66,7 @@ def keyword_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keyword_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dws01 written in SQL, as the reference does: a view of the page log
+    """The keyword window job written in SQL, as the reference writes it: a view of the page log
     (P16), the registered table function (U1) and a 10 s window (T3)."""
     text.register_sql_functions(spark)
     fx.page_log(Tables(spark, sf_dir), with_item=True).createOrReplaceTempView("fm_page_log")

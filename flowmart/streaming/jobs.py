@@ -52,7 +52,7 @@ def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | Non
 def log_layer_stream(raw: DataFrame, value: str = "value", tiebreak: str | None = None,
                      tz: str = DEFAULT_TZ, delay: str = "2 seconds",
                      ) -> tuple[DataFrame, DataFrame]:
-    """BaseLog on a stream: (repaired records, dirty lines).
+    """The log-split job on a stream: (repaired records, dirty lines).
 
     Records are parsed, then is_new is repaired by mid with keyed state (T5);
     each output row keeps the raw text, which :func:`split_batch` parses into
@@ -112,7 +112,7 @@ def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
 
 
 def traffic_stream(log: DataFrame, size: str = "10 seconds", **kw) -> DataFrame:
-    """DwsVc on a stream (input from :func:`read_page_log`)."""
+    """The traffic window job on a stream (input from :func:`read_page_log`)."""
     return dws.traffic_window(log, size, **kw)
 
 
@@ -146,7 +146,7 @@ def _read_or_none(spark, path: str) -> DataFrame | None:
 
 def run_dim_app(feed: DataFrame, config_path: str, dims_base: str, name: str = "dim_app",
                 **start_kw) -> StreamingQuery:
-    """DimApp as a job (J4): each micro-batch of the change feed is routed with
+    """The dimension job (J4): each micro-batch of the change feed is routed with
     the configuration table as it is now -- read fresh per batch, as broadcast
     state is current when a record arrives -- and upserted into the dimension
     store (K6)."""
@@ -182,7 +182,7 @@ DWS_JOBS = {
 def run_dws_job(log: DataFrame, kind: str, name: str | None = None,
                 jdbc: dict | None = None, path: str | None = None,
                 size: str = "10 seconds", **start_kw) -> StreamingQuery:
-    """The four DWS jobs (Dws01, DwsPV, DwsVc, DwsUser) on a page-log stream
+    """The four DWS jobs (keyword, home/detail, traffic and login windows) on a page-log stream
     (:func:`flowmart.sources.streams.read_page_log`): the windowed metric,
     appended once its window closes, written per micro-batch to a JDBC table
     (K7: ``jdbc={"url":..., "table":...}``) or to parquet under ``path``

@@ -1,4 +1,4 @@
-"""Stream jobs: BaseLog (one parse, five outputs + dirty) and the dimension
+"""Stream jobs: log split (one parse, five outputs + dirty) and the dimension
 upsert through foreachBatch, each compared with the batch operators."""
 
 import json
