@@ -66,13 +66,16 @@ def build_session(
 def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file system).
-    Only when it is unset -- local runs and tests -- a private folder is made
-    and registered, so ``DataFrame.checkpoint()`` and stream checkpoints work.
+    On a cluster this must be set by the deployment (a shared file system);
+    an unset value is an error there.  Only in local mode (tests) is a private
+    folder made and registered when it is unset.
     """
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
+                             "(a machine-local folder would not survive executor loss)")
         base = tempfile.mkdtemp(prefix="flowmart-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(base)
