@@ -109,7 +109,8 @@ def home_detail_firsts(
     The reference shares one date state per mid between both pages (Q6), so a
     mid counts once a day for whichever page comes first.  ``per_page=True``
     keys the state by (mid, page).  Input must already be filtered to the two
-    pages (P5).  Output: ``ts``, ``homeUv``, ``detailUv`` (bigint 0/1).
+    pages (P5).  Output: ``mid``, ``page_id``, ``ts`` (and the tiebreak),
+    ``homeUv``, ``detailUv`` (bigint 0/1).
     """
     if df.isStreaming:
         from flowmart.streaming.processors import home_detail_stream
@@ -134,7 +135,8 @@ def login_firsts(
     back_days: int = 7,
     offset: str = TO_TS_OFFSET,
 ) -> DataFrame:
-    """One row per (uid, day) with ``uu`` = 1 and ``back`` 0/1.
+    """One row per (uid, day): ``uid``, ``day``, ``ts`` (and the
+    tiebreak), ``uu`` = 1 and ``back`` 0/1.
 
     back = 1 when the uid's previous login day exists and
     ``(ts - midnight(previous day)) div 1 day > back_days`` (8 days or more).

@@ -189,88 +189,109 @@ def _kv(**cols: Column) -> Column:
 
 def detail_id() -> Column:
     """Unique order-detail id: (orderkey, linenumber) alone repeats."""
-    return F.concat_ws("-", _s("l_orderkey"), _s("l_linenumber"), _s("l_partkey"),
-                       _s("l_suppkey"), F.date_format("l_shipdate", "yyyyMMdd"))
+    return F.expr(DETAIL_ID)
 
 
 def _secs(ntz: str) -> Column:
     return F.floor(ntz_to_ms(ntz) / 1000).cast("bigint")
 
 
+# The order and lineitem changes are written as SQL expressions: one
+# ``selectExpr`` per branch keeps building the plan cheap on the driver.
+DETAIL_ID = ("concat_ws('-', CAST(l_orderkey AS STRING), CAST(l_linenumber AS STRING), "
+             "CAST(l_partkey AS STRING), CAST(l_suppkey AS STRING), "
+             "date_format(l_shipdate, 'yyyyMMdd'))")
+PRICE = "CAST(l_extendedprice AS DECIMAL(18,2))"
+SQL_DATETIME = f"'{DATETIME}'"
+
+
+def _sql_secs(col: str) -> str:
+    return ("CAST(floor(timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+            f"{col}) / 1000) AS BIGINT)")
+
+
+def _sql_amount(x: str) -> str:
+    return f"CAST(CAST({x} AS DECIMAL(18,2)) AS STRING)"
+
+
+def _sql_map(**cols: str) -> str:
+    return "map(" + ", ".join(f"'{k}', CAST({v} AS STRING)" for k, v in cols.items()) + ")"
+
+
+def _sql_change(table: str, ts: str, data: str, type_: str = "insert") -> list[str]:
+    return [f"'{DATABASE}' AS database", f"'{table}' AS `table`", f"'{type_}' AS type",
+            f"{ts} AS ts", f"{data} AS data", "CAST(NULL AS MAP<STRING,STRING>) AS old"]
+
+
 def order_info_changes(t: Tables) -> DataFrame:
     o = t("orders")
-    insert = o.select(*_change("order_info", _secs("o_orderdate"), _kv(
-        id=F.col("o_orderkey"),
-        consignee=F.concat(F.lit("consignee_"), _s("o_custkey")),
-        total_amount=_amount(F.col("o_totalprice")),
-        order_status=F.col("o_orderstatus"),
-        user_id=F.col("o_custkey"),
-        payment_way=F.lit("1101"),
-        order_comment=F.col("o_orderpriority"),
-        out_trade_no=F.concat(F.lit("otn"), _s("o_orderkey")),
-        create_time=F.date_format("o_orderdate", DATETIME),
-        original_total_amount=_amount(F.col("o_totalprice")),
-        activity_reduce_amount=F.lit("0.00"),
-        coupon_reduce_amount=F.lit("0.00"),
-        feight_fee=F.lit("5.00"),
+    insert = o.selectExpr(*_sql_change("order_info", _sql_secs("o_orderdate"), _sql_map(
+        id="o_orderkey",
+        consignee="concat('consignee_', CAST(o_custkey AS STRING))",
+        total_amount=_sql_amount("o_totalprice"),
+        order_status="o_orderstatus",
+        user_id="o_custkey",
+        payment_way="'1101'",
+        order_comment="o_orderpriority",
+        out_trade_no="concat('otn', CAST(o_orderkey AS STRING))",
+        create_time=f"date_format(o_orderdate, {SQL_DATETIME})",
+        original_total_amount=_sql_amount("o_totalprice"),
+        activity_reduce_amount="'0.00'",
+        coupon_reduce_amount="'0.00'",
+        feight_fee="'5.00'",
     )))
     # finished orders also carry a status update (a non-insert change)
-    update = o.where(F.col("o_orderstatus") == "F").select(*_change(
-        "order_info", _secs("o_orderdate") + 86400, _kv(
-            id=F.col("o_orderkey"), order_status=F.lit("1004"),
-            operate_time=F.date_format(F.col("o_orderdate") + F.expr("INTERVAL 1 DAY"), DATETIME)),
+    update = o.where("o_orderstatus = 'F'").selectExpr(*_sql_change(
+        "order_info", _sql_secs("o_orderdate") + " + 86400", _sql_map(
+            id="o_orderkey", order_status="'1004'",
+            operate_time=f"date_format(o_orderdate + INTERVAL 1 DAY, {SQL_DATETIME})"),
         "update"))
     return insert.unionByName(update)
 
 
-def _lineitem_changes(li: DataFrame, table: str, data: Column) -> DataFrame:
-    return li.select(*_change(table, _secs("l_shipdate"), data))
+def _lineitem_changes(li: DataFrame, table: str, data: str) -> DataFrame:
+    return li.selectExpr(*_sql_change(table, _sql_secs("l_shipdate"), data))
 
 
 def order_detail_changes(t: Tables) -> DataFrame:
-    li = t("lineitem")
-    price = _dec("l_extendedprice")
-    return _lineitem_changes(li, "order_detail", _kv(
-        id=detail_id(), order_id=F.col("l_orderkey"), sku_id=F.col("l_partkey"),
-        sku_name=F.concat(F.lit("sku_"), _s("l_partkey")),
-        order_price=_amount(price),
-        sku_num=F.col("l_quantity").cast("bigint"),
-        create_time=F.date_format("l_shipdate", DATETIME),
-        source_type=F.col("l_returnflag"), source_id=F.col("l_suppkey"),
-        split_total_amount=_amount(price * (F.lit(1) - _dec("l_discount"))),
-        split_activity_amount=_amount(price * _dec("l_discount")),
-        split_coupon_amount=_amount(price * _dec("l_tax")),
+    return _lineitem_changes(t("lineitem"), "order_detail", _sql_map(
+        id=DETAIL_ID, order_id="l_orderkey", sku_id="l_partkey",
+        sku_name="concat('sku_', CAST(l_partkey AS STRING))",
+        order_price=_sql_amount(PRICE),
+        sku_num="CAST(l_quantity AS BIGINT)",
+        create_time=f"date_format(l_shipdate, {SQL_DATETIME})",
+        source_type="l_returnflag", source_id="l_suppkey",
+        split_total_amount=_sql_amount(f"{PRICE} * (1 - CAST(l_discount AS DECIMAL(18,2)))"),
+        split_activity_amount=_sql_amount(f"{PRICE} * CAST(l_discount AS DECIMAL(18,2))"),
+        split_coupon_amount=_sql_amount(f"{PRICE} * CAST(l_tax AS DECIMAL(18,2))"),
     ))
 
 
 def order_activity_changes(t: Tables) -> DataFrame:
-    li = t("lineitem").where(F.col("l_discount") >= 0.05)
-    return _lineitem_changes(li, "order_detail_activity", _kv(
-        id=F.concat(F.lit("act-"), detail_id()), order_id=F.col("l_orderkey"),
-        order_detail_id=detail_id(),
-        activity_id=F.col("l_linestatus"), activity_rule_id=F.col("l_linenumber"),
-        sku_id=F.col("l_partkey"), create_time=F.date_format("l_shipdate", DATETIME)))
+    li = t("lineitem").where("l_discount >= 0.05")
+    return _lineitem_changes(li, "order_detail_activity", _sql_map(
+        id=f"concat('act-', {DETAIL_ID})", order_id="l_orderkey", order_detail_id=DETAIL_ID,
+        activity_id="l_linestatus", activity_rule_id="l_linenumber",
+        sku_id="l_partkey", create_time=f"date_format(l_shipdate, {SQL_DATETIME})"))
 
 
 def order_coupon_changes(t: Tables) -> DataFrame:
-    li = t("lineitem").where(F.col("l_tax") == 0)
-    return _lineitem_changes(li, "order_detail_coupon", _kv(
-        id=F.concat(F.lit("cpn-"), detail_id()), order_id=F.col("l_orderkey"),
-        order_detail_id=detail_id(), coupon_id=F.col("l_suppkey"),
-        coupon_use_id=F.concat(F.lit("cu-"), detail_id()),
-        sku_id=F.col("l_partkey"), create_time=F.date_format("l_shipdate", DATETIME)))
+    li = t("lineitem").where("l_tax = 0")
+    return _lineitem_changes(li, "order_detail_coupon", _sql_map(
+        id=f"concat('cpn-', {DETAIL_ID})", order_id="l_orderkey", order_detail_id=DETAIL_ID,
+        coupon_id="l_suppkey", coupon_use_id=f"concat('cu-', {DETAIL_ID})",
+        sku_id="l_partkey", create_time=f"date_format(l_shipdate, {SQL_DATETIME})"))
 
 
 def cart_changes(t: Tables) -> DataFrame:
-    li = t("lineitem").where(F.col("l_quantity") <= 10)
-    return _lineitem_changes(li, "cart_info", _kv(
-        id=F.concat(F.lit("cart-"), detail_id()), user_id=F.col("l_suppkey"),
-        sku_id=F.col("l_partkey"), cart_price=_amount(_dec("l_extendedprice")),
-        sku_num=F.col("l_quantity").cast("bigint"),
-        sku_name=F.concat(F.lit("sku_"), _s("l_partkey")),
-        is_checked=F.lit("1"), create_time=F.date_format("l_shipdate", DATETIME),
-        is_ordered=F.lit("0"), source_type=F.col("l_returnflag"),
-        source_id=F.col("l_linenumber")))
+    li = t("lineitem").where("l_quantity <= 10")
+    return _lineitem_changes(li, "cart_info", _sql_map(
+        id=f"concat('cart-', {DETAIL_ID})", user_id="l_suppkey",
+        sku_id="l_partkey", cart_price=_sql_amount(PRICE),
+        sku_num="CAST(l_quantity AS BIGINT)",
+        sku_name="concat('sku_', CAST(l_partkey AS STRING))",
+        is_checked="'1'", create_time=f"date_format(l_shipdate, {SQL_DATETIME})",
+        is_ordered="'0'", source_type="l_returnflag", source_id="l_linenumber"))
 
 
 def dimension_changes(t: Tables, tables: set[str] | None = None) -> DataFrame:
