@@ -44,29 +44,29 @@ def _k() -> Column:
 
 
 # --------------------------------------------------------------------------- page log
+PAGE_LOG_SQL = [
+    "CAST(user_id AS STRING) AS mid",
+    "CAST(user_id AS STRING) AS uid",
+    "CASE WHEN k % 2 = 0 THEN '1' ELSE '0' END AS is_new",
+    "concat('v', CAST(k % 3 AS STRING)) AS vc",
+    "event_type AS ch",
+    "concat('a', CAST(user_id % 5 AS STRING)) AS ar",
+    "CASE WHEN event_type = 'view' THEN 'home' WHEN event_type = 'click' THEN 'good_detail' "
+    "WHEN event_type = 'signup' THEN 'login' ELSE event_type END AS page_id",
+    "CASE WHEN k % 4 = 1 THEN 'login' WHEN k % 4 = 2 THEN 'search' "
+    "WHEN k % 4 = 3 THEN 'home' END AS last_page_id",
+    "'keyword' AS item_type",
+    "CAST(round(value * 100) AS BIGINT) AS during_time",
+    "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts) AS ts",
+]
+
+
 def page_log_columns(events: DataFrame, keep_k: bool = False) -> DataFrame:
     """Flat page-log columns from ``events`` (one page record per event)."""
-    k = F.col("k")
     return (
-        events.select("event_id", "ts", "user_id", "event_type", "value", _k().alias("k"))
-        .select(
-            "event_id", *(["k"] if keep_k else []),
-            _s("user_id").alias("mid"),
-            _s("user_id").alias("uid"),
-            F.when(k % 2 == 0, "1").otherwise("0").alias("is_new"),
-            F.concat(F.lit("v"), _s(k % 3)).alias("vc"),
-            F.col("event_type").alias("ch"),
-            F.concat(F.lit("a"), _s(F.col("user_id") % 5)).alias("ar"),
-            F.when(F.col("event_type") == "view", "home")
-            .when(F.col("event_type") == "click", "good_detail")
-            .when(F.col("event_type") == "signup", "login")
-            .otherwise(F.col("event_type")).alias("page_id"),
-            F.when(k % 4 == 1, "login").when(k % 4 == 2, "search")
-            .when(k % 4 == 3, "home").alias("last_page_id"),
-            F.lit("keyword").alias("item_type"),
-            F.round(F.col("value") * 100).cast("bigint").alias("during_time"),
-            ntz_to_ms("ts").alias("ts"),
-        )
+        events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
+                          "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+        .selectExpr("event_id", *(["k"] if keep_k else []), *PAGE_LOG_SQL)
     )
 
 
