@@ -66,3 +66,31 @@ def test_batch_state_equals_loop(spark, rows):
     assert fixed == want_fixed
     back = {r.event_id: r.back for r in daily.login_firsts(df, tiebreak="event_id").collect()}
     assert back == want_back
+
+
+pages_st = st.lists(
+    st.tuples(st.sampled_from(["a", "b"]), st.integers(0, 24 * 6), st.sampled_from(["home", "good_detail"])),
+    min_size=1, max_size=30)
+
+
+def _loop_home_detail(events, per_page):
+    """Reference logic: one date state per mid (or per mid and page)."""
+    last, out = {}, {}
+    for i, mid, ts, page in sorted(events, key=lambda e: (e[2], e[0])):
+        key = (mid, page) if per_page else mid
+        d = _day(ts)
+        if last.get(key) != d:
+            last[key] = d
+            out[i] = (1, 0) if page == "home" else (0, 1)
+    return out
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(pages_st)
+def test_home_detail_equals_loop(spark, rows):
+    events = [(i, mid, BASE + h * HOUR + i, page) for i, (mid, h, page) in enumerate(rows)]
+    df = log_df(spark, [log_row(i, m, ts, page_id=p) for i, m, ts, p in events])
+    for per_page in (False, True):
+        got = {r.event_id: (r.homeUv, r.detailUv)
+               for r in daily.home_detail_firsts(df, tiebreak="event_id", per_page=per_page).collect()}
+        assert got == _loop_home_detail(events, per_page)
