@@ -46,6 +46,22 @@ def test_query_matches_oracle(spark, con, name):
     assert _rows(df.columns, got) == _rows(cols, res.fetchall())
 
 
+_SPARK_TYPES = {"string": "str", "bigint": "int", "int": "int32", "double": "float",
+                "boolean": "bool"}
+_DUCK_TYPES = {"VARCHAR": "str", "BIGINT": "int", "INTEGER": "int32", "DOUBLE": "float",
+               "BOOLEAN": "bool"}
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_query_types_match_oracle(spark, con, name):
+    df = E.queries()[name](spark, SF)
+    spark_types = {f.name: _SPARK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    duck_types = {c: _DUCK_TYPES.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert spark_types == duck_types
+
+
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() > 0
