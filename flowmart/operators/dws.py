@@ -89,7 +89,9 @@ def traffic_window(
 ) -> DataFrame:
     """A2 + T7: uv, sv, pv, duration by (vc, ch, ar, is_new) per window.
 
-    Rows without a mid cannot be keyed and are dropped (Q15).
+    Rows without a mid cannot be keyed and are dropped (Q15).  ``tiebreak``
+    names a unique row id; with it the daily-unique flag is computed without
+    sorting any key's rows in one task (see :mod:`flowmart.operators.daily`).
     """
     log = _rt(log.where(F.col("common.mid").isNotNull()), "ts")
     m = traffic_measures(log, session_field, keep=(tiebreak,) if tiebreak else ())
