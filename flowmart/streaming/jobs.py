@@ -111,11 +111,6 @@ def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
     return [q1, q2]
 
 
-def traffic_stream(log: DataFrame, size: str = "10 seconds", **kw) -> DataFrame:
-    """The traffic window job on a stream (input from :func:`read_page_log`)."""
-    return dws.traffic_window(log, size, **kw)
-
-
 def run_config_state(changes: DataFrame, path: str, layer: str = "dim", name: str = "config",
                      evict_moved: bool = False, **start_kw) -> StreamingQuery:
     """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes
