@@ -104,18 +104,49 @@ def page_log(t: Tables, with_item: bool = False) -> DataFrame:
 
 
 # --------------------------------------------------------------------------- ODS log text
-def _list_text(n: Column, element, max_n: int) -> Column:
-    """``[e(0),...,e(n-1)]`` for 0 < n <= max_n, else null (key left out).
+def _sql_list(n: str, element, max_n: int) -> str:
+    """``[e(0),...,e(n-1)]`` for 0 < n <= max_n, else null (the key is left out)."""
+    branches = " ".join(
+        f"WHEN {n} = {size} THEN concat('[', concat_ws(',', "
+        + ", ".join(element(i) for i in range(size)) + "), ']')"
+        for size in range(1, max_n + 1))
+    return f"CASE {branches} END"
+
+
+def _display(i: int) -> str:
+    return ("concat('{\"display_type\":\"query\",\"item\":\"', "
+            f"CAST(event_id * 10 + {i} AS STRING), "
+            "'\",\"item_type\":\"sku_id\",\"order\":\"', "
+            f"CAST({i} + 1 AS STRING), '\",\"pos_id\":\"', CAST((k + {i}) % 5 AS STRING), "
+            "'\"}')")
+
+
+def _action(i: int) -> str:
+    return ("concat('{\"action_id\":\"favor_add\",\"item\":\"', CAST(event_id AS STRING), "
+            f"'\",\"item_type\":\"sku_id\",\"ts\":', CAST(ts + 500 + {i} AS STRING), '}}')")
+
+
+ODS_PARTS_SQL = [
+    "event_id", "k", "ch", "ts",
+    "concat('{\"ar\":\"', ar, '\",\"ch\":\"', ch, '\",\"is_new\":\"', is_new, "
+    "'\",\"mid\":\"', mid, '\",\"uid\":\"', uid, '\",\"vc\":\"', vc, '\"}') AS common_txt",
+    "concat_ws('', '{\"during_time\":', CAST(during_time AS STRING), ',\"item_type\":\"keyword\"', "
+    "CASE WHEN last_page_id IS NOT NULL THEN concat(',\"last_page_id\":\"', last_page_id, '\"') END, "
+    "',\"page_id\":\"', page_id, '\"}') AS page_txt",
+    "concat('{\"entry\":\"icon\",\"loading_time\":', CAST(k * 10 AS STRING), '}') AS start_txt",
+    "concat('{\"error_code\":', CAST(k AS STRING), ',\"msg\":\"e', CAST(k AS STRING), '\"}') AS err_txt",
+    f"{_sql_list('k % 3', _display, 2)} AS disp_txt",
+    f"{_sql_list('k % 2', _action, 1)} AS act_txt",
+]
 
-    Plain CASE branches (n is k % 3 or k % 2) keep the expression inside
-    whole-stage codegen, unlike array lambdas.
-    """
-    out = None
-    for size in range(1, max_n + 1):
-        text = F.concat(F.lit("["), F.concat_ws(",", *[element(F.lit(i)) for i in range(size)]),
-                        F.lit("]"))
-        out = F.when(n == size, text) if out is None else out.when(n == size, text)
-    return out
+ODS_LINE_SQL = (
+    "concat_ws('', '{\"common\":', common_txt, "
+    "CASE WHEN ch <> 'signup' THEN concat(',\"page\":', page_txt) END, "
+    "CASE WHEN ch = 'signup' THEN concat(',\"start\":', start_txt) END, "
+    "CASE WHEN disp_txt IS NOT NULL THEN concat(',\"displays\":', disp_txt) END, "
+    "CASE WHEN ch <> 'signup' AND act_txt IS NOT NULL THEN concat(',\"actions\":', act_txt) END, "
+    "CASE WHEN ch = 'error' THEN concat(',\"err\":', err_txt) END, "
+    "',\"ts\":', CAST(ts AS STRING), '}')")
 
 
 def ods_log_text(t: Tables) -> DataFrame:
@@ -124,45 +155,16 @@ def ods_log_text(t: Tables) -> DataFrame:
     signup events are start records, all others page records; error events
     carry ``err``; every record has k % 3 displays, page records k % 2 actions.
     Every tenth line (by event id) is cut short, which makes it dirty JSON.
+    Written as SQL expressions (plain CASE branches stay in codegen).
     """
-    f = page_log_columns(t("events"), keep_k=True)
-    k, ms, eid = F.col("k"), F.col("ts"), F.col("event_id")
-    is_start = F.col("ch") == "signup"
-    common = F.concat(
-        F.lit('{"ar":"'), F.col("ar"), F.lit('","ch":"'), F.col("ch"),
-        F.lit('","is_new":"'), F.col("is_new"), F.lit('","mid":"'), F.col("mid"),
-        F.lit('","uid":"'), F.col("uid"), F.lit('","vc":"'), F.col("vc"), F.lit('"}'))
-    page = F.concat_ws(
-        "", F.lit('{"during_time":'), _s("during_time"), F.lit(',"item_type":"keyword"'),
-        F.when(F.col("last_page_id").isNotNull(),
-               F.concat(F.lit(',"last_page_id":"'), F.col("last_page_id"), F.lit('"'))),
-        F.lit(',"page_id":"'), F.col("page_id"), F.lit('"}'))
-    start = F.concat(F.lit('{"entry":"icon","loading_time":'), _s(k * 10), F.lit("}"))
-    err = F.concat(F.lit('{"error_code":'), _s(k), F.lit(',"msg":"e'), _s(k), F.lit('"}'))
-    displays = _list_text(k % 3, lambda i: F.concat(
-        F.lit('{"display_type":"query","item":"'), _s(eid * 10 + i),
-        F.lit('","item_type":"sku_id","order":"'), _s(i + 1),
-        F.lit('","pos_id":"'), _s((k + i) % 5), F.lit('"}')), 2)
-    actions = _list_text(k % 2, lambda i: F.concat(
-        F.lit('{"action_id":"favor_add","item":"'), _s(eid),
-        F.lit('","item_type":"sku_id","ts":'), _s(ms + 500 + i), F.lit("}")), 1)
-    line = F.concat_ws(
-        "", F.lit('{"common":'), common,
-        F.when(~is_start, F.concat(F.lit(',"page":'), page)),
-        F.when(is_start, F.concat(F.lit(',"start":'), start)),
-        F.when(displays.isNotNull(), F.concat(F.lit(',"displays":'), displays)),
-        F.when(~is_start & actions.isNotNull(), F.concat(F.lit(',"actions":'), actions)),
-        F.when(F.col("ch") == "error", F.concat(F.lit(',"err":'), err)),
-        F.lit(',"ts":'), _s(ms), F.lit("}"))
-    dirty = eid % 10 == 0
-    value = F.when(dirty, F.expr("substring(_line, 1, length(_line) - 1)")).otherwise(F.col("_line"))
-    return f.select("event_id", line.alias("_line")).select("event_id", value.alias("value"))
+    return (page_log_columns(t("events"), keep_k=True)
+            .selectExpr(*ODS_PARTS_SQL)
+            .selectExpr("event_id", f"{ODS_LINE_SQL} AS line")
+            .selectExpr("event_id", "CASE WHEN event_id % 10 = 0 THEN substring(line, 1, length(line) - 1) "
+                        "ELSE line END AS value"))
 
 
 # --------------------------------------------------------------------------- change feed
-def _dec(c: Column | str) -> Column:
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("decimal(18,2)")
 
 
 def _amount(c: Column) -> Column:
@@ -187,13 +189,8 @@ def _kv(**cols: Column) -> Column:
     return F.create_map(*args)
 
 
-def detail_id() -> Column:
-    """Unique order-detail id: (orderkey, linenumber) alone repeats."""
-    return F.expr(DETAIL_ID)
 
 
-def _secs(ntz: str) -> Column:
-    return F.floor(ntz_to_ms(ntz) / 1000).cast("bigint")
 
 
 # The order and lineitem changes are written as SQL expressions: one
