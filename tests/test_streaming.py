@@ -195,3 +195,36 @@ def test_dws_job_to_parquet(spark, page_files, tmp, kind):
     q.stop()
     df = spark.read.parquet(out)
     assert df.count() > 0 and "ts" in df.columns and "stt" in df.columns
+
+
+def test_state_ttl_clears_idle_keys(spark, tmp):
+    """A key's daily state is dropped by an event-time timer two days
+    after its last row; a later row of that key is still counted (a new day
+    differs from any stored date, so clearing changes no result)."""
+    folder = os.path.join(tmp, "ttl")
+    os.makedirs(folder)
+    base = 1_704_067_200_000  # 2024-01-01 00:00 UTC
+    day = 86_400_000
+    files = [[(0, "a", base), (1, "b", base + 1000)],
+             [(2, "c", base + 5 * day)],
+             [(3, "a", base + 6 * day), (4, "c", base + 6 * day + 1000)]]
+    for i, rows in enumerate(files):
+        df = log_df(spark, [log_row(j, m, ts) for j, m, ts in rows])
+        text = df.select(F.to_json(F.struct("common", "page", "ts")).alias("v")).toPandas()["v"]
+        write_lines(folder, f"t{i}.json", list(text), i)
+    stream = read_page_log(spark, path=folder, max_files_per_trigger=1)
+    flat = dws.traffic_measures(stream)
+    from flowmart.operators import daily
+    flagged = daily.daily_first_flag(flat, "mid", "uv", "ts")
+    name = "ttl_flags"
+    q = (flagged.select("mid", "ts", "uv").writeStream.queryName(name).outputMode("append")
+         .format("memory").option("checkpointLocation", os.path.join(tmp, "c"))
+         .trigger(availableNow=True).start())
+    assert q.awaitTermination(TIMEOUT)
+    q.stop()
+    got = sorted((r.mid, r.uv) for r in spark.table(name).collect())
+    assert got == [("a", 1), ("a", 1), ("b", 1), ("c", 1), ("c", 1)]
+    # state rows after the last batch: keys a and b were idle for > 2 days when
+    # the watermark reached day 5, so their entries were removed by the timer
+    states = [op.get("numRowsTotal") for p in q.recentProgress for op in p.get("stateOperators", [])]
+    assert states and min(states[1:] or states) < max(states)
