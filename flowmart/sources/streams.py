@@ -19,13 +19,18 @@ from flowmart.session import WATERMARK_DELAY
 
 
 def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
-                  starting_offsets: str = "latest") -> dict[str, str]:
+                  starting_offsets: str = "latest",
+                  max_offsets_per_trigger: int | None = None) -> dict[str, str]:
     """Options of a Kafka source (S1).  ``group_id`` names the consumer group
-    as the reference does; Spark itself tracks offsets in the checkpoint."""
+    as the reference does; Spark itself tracks offsets in the checkpoint.
+    ``max_offsets_per_trigger`` bounds a micro-batch, and with it the rows one
+    hot key can bring to its keyed-state task per batch."""
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic,
             "startingOffsets": starting_offsets, "failOnDataLoss": "false"}
     if group_id:
         opts["kafka.group.id"] = group_id
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     return opts
 
 

@@ -86,8 +86,9 @@ def test_kafka_values_and_options(spark):
     df = spark.createDataFrame([("t1", "a", None)], "topic string, x string, y string")
     out = sinks.kafka_value(df).collect()[0]
     assert out.topic == "t1" and json.loads(out.value) == {"x": "a"}
-    opts = kafka_options("h:9092", "topic_log", "g1")
+    opts = kafka_options("h:9092", "topic_log", "g1", max_offsets_per_trigger=100_000)
     assert opts["subscribe"] == "topic_log" and opts["kafka.group.id"] == "g1"
+    assert opts["maxOffsetsPerTrigger"] == "100000"
 
 
 def test_routed_files(spark, tmp):
