@@ -95,11 +95,26 @@ def traffic_window(
     """
     log = _rt(log.where(F.col("common.mid").isNotNull()), "ts")
     m = traffic_measures(log, session_field, keep=(tiebreak,) if tiebreak else ())
-    flagged = daily.daily_first_flag(m, "mid", "uv", "ts", tiebreak, tz)
+    if not log.isStreaming and tiebreak is not None:
+        # uv is only summed per group: count each (mid, day) first row, which
+        # carries its own dimensions, beside the other measures -- no join of
+        # a flag back onto every row; both sides aggregate before any shuffle
+        dims = ("vc", "ch", "ar", "isNew")
+        firsts = daily.first_of_day(m, "mid", "ts", tiebreak, tz, carry=[(d, d) for d in dims])
+        uv = firsts.select(event_time("_ts").alias("rt"), *dims,
+                           F.lit(1).cast("bigint").alias("uv"), F.lit(0).cast("bigint").alias("sv"),
+                           F.lit(0).cast("bigint").alias("pv"), F.lit(None).cast("bigint").alias("dur"))
+        rest = m.select("rt", *dims, F.lit(0).cast("bigint").alias("uv"), "sv",
+                        F.lit(1).cast("bigint").alias("pv"), F.col("dur").cast("bigint").alias("dur"))
+        flagged = uv.unionByName(rest)
+        pv = F.sum("pv")
+    else:
+        flagged = daily.daily_first_flag(m, "mid", "uv", "ts", tiebreak, tz)
+        pv = F.count(F.lit(1))
     out = (
         flagged.groupBy(F.window("rt", size).alias("w"), "vc", "ch", "ar", "isNew")
         .agg(F.sum("uv").alias("uvCt"), F.sum("sv").alias("svCt"),
-             F.count(F.lit(1)).alias("pvCt"), F.sum("dur").alias("durSum"))
+             pv.alias("pvCt"), F.sum("dur").alias("durSum"))
         .select(*window_bounds("w", tz, bounds), "vc", "ch", "ar", "isNew",
                 "uvCt", "svCt", "pvCt", "durSum")
     )
