@@ -61,10 +61,13 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -
 
 def upsert_versioned(batch: DataFrame, base: str, key: Sequence[str], batch_id: int,
                      order: Sequence[str] = ()) -> str:
-    """K4: merge ``batch`` into the table under ``base`` by key (new rows win)
-    and write the result to ``base/v=<batch_id>``; the newest complete
-    version is the table.  Spark cannot overwrite a path it reads, and a
-    replayed batch id rewrites the same version, so the upsert is idempotent.
+    """K4 for small tables: merge ``batch`` into the table under ``base`` by
+    key (new rows win) and write the result to ``base/v=<batch_id>``; the
+    newest complete version is the table.  Spark cannot overwrite a path it
+    reads, and a replayed batch id rewrites the same version, so the upsert
+    is idempotent.  Each version is a full copy: for large tables use
+    :func:`upsert_bucketed`.  Versions are listed on a local or mounted file
+    system.
     """
     new = latest_per_key(batch, key, order) if order else batch.dropDuplicates(list(key))
     # merge into the newest version *before* this batch: a replayed batch id
