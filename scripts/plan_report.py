@@ -44,10 +44,9 @@ def main() -> None:
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
         ops = s["ops"]
-        shuffles = ops.get("ShuffleExchange", 0) + plan.count("Exchange hashpartitioning") \
-            + plan.count("Exchange SinglePartition") + plan.count("Exchange rangepartitioning") \
-            if "ShuffleExchange" in ops else plan.count("Exchange hashpartitioning") \
-            + plan.count("Exchange SinglePartition") + plan.count("Exchange rangepartitioning")
+        shuffles = sum(plan.count(f"Exchange {kind}")
+                       for kind in ("hashpartitioning", "SinglePartition", "rangepartitioning",
+                                    "RoundRobinPartitioning"))
         joins = ", ".join(f"{k} x{v}" for k, v in ops.items() if k.endswith("Join"))
         aggs = ", ".join(f"{k} x{v}" for k, v in ops.items() if k.endswith("Aggregate"))
         other = ", ".join(f"{k} x{v}" for k, v in ops.items()
