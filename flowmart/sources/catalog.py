@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_SPLITS: dict[str, int] = {}
+_SPLITS: dict[str, tuple[int | None, int]] = {}
 
 
 class Tables:
@@ -43,13 +43,13 @@ class Tables:
         if self.min_partitions > 1:
             if path not in _SPLITS:
                 try:
-                    splits = df.rdd.getNumPartitions()
-                    # parquet answers a count from its footers
-                    small = df.count() < self.MIN_ROWS_PER_TASK * self.min_partitions
-                    _SPLITS[path] = self.min_partitions if small else splits
+                    # splits of the scan, and rows (parquet answers from footers)
+                    _SPLITS[path] = (df.rdd.getNumPartitions(), df.count())
                 except Exception:  # no RDD access (Connect): leave the scan as is
-                    _SPLITS[path] = self.min_partitions
-            if _SPLITS[path] < self.min_partitions:
+                    _SPLITS[path] = (None, 0)
+            splits, rows = _SPLITS[path]
+            if (splits is not None and splits < self.min_partitions
+                    and rows >= self.MIN_ROWS_PER_TASK * self.min_partitions):
                 # hash of the key (first) column: deterministic on retry
                 # without the sort a round-robin repartition needs, and it
                 # references one column, so column pruning still reaches the scan
