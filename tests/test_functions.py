@@ -53,3 +53,17 @@ def test_dictionary_terms_overlapping_hits(spark):
 def test_duration_ms():
     assert timefn.duration_ms("10 seconds") == 10_000
     assert timefn.duration_ms("1 hour") == 3_600_000
+
+
+def test_sql_functions(spark):
+    text.register_sql_functions(spark)
+    words = spark.sql("SELECT w.word FROM VALUES ('Red bolt 7') AS t(item), "
+                      "LATERAL split_function(t.item) w").collect()
+    assert [r.word for r in words] == ["red", "bolt", "7"]
+    ms_ = ms(1, 23, 59, 59.5)
+    row = spark.sql(f"SELECT to_date_str({ms_}L) AS d, to_ymd_hms({ms_}L) AS t").first()
+    assert (row.d, row.t) == ("2024-01-01", "2024-01-01 23:59:59")
+    # same as the Column functions
+    df = spark.createDataFrame([(ms_,)], "ts long")
+    col = df.select(timefn.to_date_str("ts"), timefn.to_ymd_hms("ts")).first()
+    assert (col[0], col[1]) == (row.d, row.t)
