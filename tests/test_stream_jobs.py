@@ -141,3 +141,21 @@ def test_insert_into_column_order(spark, tmp):
     df = spark.createDataFrame([("b", "a")], "y string, x string")
     sinks.insert_into(df, ["x", "y"], os.path.join(tmp, "t"))
     assert spark.read.parquet(os.path.join(tmp, "t")).columns == ["x", "y"]
+
+
+def test_config_stream_startup_modes(spark, tmp):
+    """S5 keeps the snapshot rows ('r') then changes; S6 (latest) only changes."""
+    from flowmart.sources.streams import read_config_changes
+    folder = os.path.join(tmp, "cfgc")
+    os.makedirs(folder)
+    lines = ['{"before":null,"after":{"source_table":"a","sink_type":"dim"},"op":"r","ts_ms":1}',
+             '{"before":null,"after":{"source_table":"b","sink_type":"dim"},"op":"c","ts_ms":2}']
+    write_lines(folder, "c.json", lines, 0)
+    for startup, want in (("initial", ["a", "b"]), ("latest", ["b"])):
+        name = f"cfg_{startup}"
+        q = (read_config_changes(spark, startup=startup, path=folder).select("after.source_table")
+             .writeStream.queryName(name).format("memory")
+             .option("checkpointLocation", os.path.join(tmp, name)).trigger(availableNow=True).start())
+        assert q.awaitTermination(TIMEOUT)
+        q.stop()
+        assert sorted(r.source_table for r in spark.table(name).collect()) == want
