@@ -73,7 +73,7 @@ def checkpoint_dir(spark: SparkSession, sub: str = "") -> str:
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not base:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster "
                              "(a machine-local folder would not survive executor loss)")
         base = tempfile.mkdtemp(prefix="flowmart-ckpt-")
