@@ -8,7 +8,51 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
-from flowmart.llm import mixing, pii, quality_rules, sharding
+from flowmart.llm import (decontaminate, mixing, near_dedup, oracle, pii, quality_model, quality_rules,
+                          secret_scan, sharding, substring_dedup, token_output)
+
+#: the tokenizer file of op3, by the name that the public tokenizer package knows it by
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op1_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 1 over all documents, fitted on a bounded sample of ``labels``."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_model.grade(C.documents(spark, sf_dir, "doc_id", "text"), labels)
+
+
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 2 over all documents."""
+    return secret_scan.digest(secret_scan.find(C.documents(spark, sf_dir, "doc_id", "text")))
+
+
+def op3_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 3 over all documents: write, read back, digest."""
+    import public_tokenizers
+
+    return token_output.digests(C.documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path(TOKENIZER))
+
+
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 4 over all documents: four-word shingles."""
+    return near_dedup.near_duplicates(C.documents(spark, sf_dir, "doc_id", "text"), k=4)
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 6 over all documents and benchmark items."""
+    found = decontaminate.contamination(C.documents(spark, sf_dir, "doc_id", "text"),
+                                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.array_sort(F.array_distinct("items"))
+    return found.select("doc_id", "n_words", F.size("hits").cast("bigint").alias("n_hit"),
+                        F.size(items).cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+                        (F.size("hits") > 0).alias("contaminated"))
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 10 over all documents."""
+    return substring_dedup.remove_repeats(C.documents(spark, sf_dir, "doc_id", "text")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,12 +81,19 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_model": op1_quality_model,
+        "op2_secret_scan": op2_secret_scan,
+        "op3_token_output": op3_token_output,
+        "op4_near_dedup": op4_near_dedup,
         "op5_sharding": op5_sharding,
+        "op6_decontaminate": op6_decontaminate,
         "op7_pii": op7_pii,
         "op8_quality_rules": op8_quality_rules,
         "op9_mixing": op9_mixing,
+        "op10_substring_dedup": op10_substring_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL of the queries that SQL can express; the others are tested by brute force."""
+    return oracle.oracle_sql()
