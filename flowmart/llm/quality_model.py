@@ -35,7 +35,7 @@ from flowmart.llm.near_dedup import distinct
 DIMS = 1 << 18
 GRADES = 3
 SAMPLE = 8_000
-EPOCHS = 8
+STEPS = 480
 BATCH = 128
 RATE = 0.1
 L1 = 1e-3
@@ -124,36 +124,38 @@ def fit(place: np.ndarray, value: np.ndarray, bounds: np.ndarray, grade: np.ndar
     value = value * (np.bincount(place[np.repeat(~held, np.diff(bounds))], minlength=DIMS) >= MIN_DOCS)[place]
     a, gap = t[0], np.log(np.maximum(np.diff(t), 1e-3))
     seen_a, seen_gap = 1e-6, np.full(len(gap), 1e-6)
-    for epoch in range(EPOCHS):
-        order = rng.permutation(train)
-        for lo in range(0, len(order), BATCH):
-            rows = order[lo:lo + BATCH]
-            size = np.diff(bounds)[rows]
-            take = np.repeat(bounds[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            p, v = place[take], value[take]
-            own = np.concatenate([[0], np.cumsum(size)])
-            z = _scores(w, p, v, own)
-            t = np.concatenate([[a], a + np.cumsum(np.exp(gap))])
-            edges = np.concatenate([[-np.inf], t, [np.inf]])
-            y = grade[rows]
-            up, down = _sigmoid(edges[y + 1] - z), _sigmoid(edges[y] - z)
-            up[np.isinf(edges[y + 1])], down[np.isinf(edges[y])] = 1.0, 0.0
-            prob = np.maximum(up - down, 1e-9)
-            du, dd = up * (1 - up), down * (1 - down)
-            gz = (du - dd) / prob / len(rows)  # of the loss with respect to the score
-            g = np.bincount(p, weights=v * np.repeat(gz, size), minlength=DIMS)
-            hit = np.flatnonzero(g)
-            seen[hit] += g[hit] ** 2
-            step = RATE / np.sqrt(seen[hit])
-            moved = w[hit] - step * g[hit]
-            w[hit] = np.sign(moved) * np.maximum(np.abs(moved) - step * L1, 0)
-            gt = np.zeros(GRADES - 1)
-            np.add.at(gt, np.minimum(y, GRADES - 2), np.where(y < GRADES - 1, -du / prob, 0) / len(rows))
-            np.add.at(gt, np.maximum(y - 1, 0), np.where(y > 0, dd / prob, 0) / len(rows))
-            ga = gt.sum()
-            gg = np.array([gt[k + 1:].sum() for k in range(len(gap))]) * np.exp(gap)
-            seen_a, seen_gap = seen_a + ga ** 2, seen_gap + gg ** 2
-            a, gap = a - RATE * ga / np.sqrt(seen_a), gap - RATE * gg / np.sqrt(seen_gap)
+    batches: list[np.ndarray] = []
+    for _ in range(STEPS):
+        if not batches:
+            order = rng.permutation(train)
+            batches = [order[lo:lo + BATCH] for lo in range(0, len(order), BATCH)]
+        rows = batches.pop()
+        size = np.diff(bounds)[rows]
+        take = np.repeat(bounds[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        p, v = place[take], value[take]
+        own = np.concatenate([[0], np.cumsum(size)])
+        z = _scores(w, p, v, own)
+        t = np.concatenate([[a], a + np.cumsum(np.exp(gap))])
+        edges = np.concatenate([[-np.inf], t, [np.inf]])
+        y = grade[rows]
+        up, down = _sigmoid(edges[y + 1] - z), _sigmoid(edges[y] - z)
+        up[np.isinf(edges[y + 1])], down[np.isinf(edges[y])] = 1.0, 0.0
+        prob = np.maximum(up - down, 1e-9)
+        du, dd = up * (1 - up), down * (1 - down)
+        gz = (du - dd) / prob / len(rows)  # of the loss with respect to the score
+        g = np.bincount(p, weights=v * np.repeat(gz, size), minlength=DIMS)
+        hit = np.flatnonzero(g)
+        seen[hit] += g[hit] ** 2
+        step = RATE / np.sqrt(seen[hit])
+        moved = w[hit] - step * g[hit]
+        w[hit] = np.sign(moved) * np.maximum(np.abs(moved) - step * L1, 0)
+        gt = np.zeros(GRADES - 1)
+        np.add.at(gt, np.minimum(y, GRADES - 2), np.where(y < GRADES - 1, -du / prob, 0) / len(rows))
+        np.add.at(gt, np.maximum(y - 1, 0), np.where(y > 0, dd / prob, 0) / len(rows))
+        ga = gt.sum()
+        gg = np.array([gt[k + 1:].sum() for k in range(len(gap))]) * np.exp(gap)
+        seen_a, seen_gap = seen_a + ga ** 2, seen_gap + gg ** 2
+        a, gap = a - RATE * ga / np.sqrt(seen_a), gap - RATE * gg / np.sqrt(seen_gap)
     t = np.concatenate([[a], a + np.cumsum(np.exp(gap))])
     model = Model(w, t, 0.0)
     rows = np.flatnonzero(held)
