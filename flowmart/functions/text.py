@@ -1,7 +1,8 @@
 """Keyword segmentation.
 
 U1 stands in for the reference's word-segmenter UDTF with a JVM-side regex
-tokenizer: lower-cased runs of letters and digits, order and repeats kept.
+tokenizer: lower-cased runs of letters and digits of any script, order and
+repeats kept.
 U2 is the dictionary mode: every dictionary term found at every position of a
 text, overlapping hits included, found by joining all substrings of the
 dictionary's term lengths with the dictionary.
@@ -13,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the token pattern of the default segmenter.
-WORD_PATTERN = "[a-z0-9]+"
+# Positions of a text whose substrings are made together.
+PIECE = 256
+WORD_PATTERN = r"[\p{L}\p{N}]+"
 
 
 def split_words(text: Column | str, pattern: str = WORD_PATTERN) -> Column:
@@ -34,32 +37,33 @@ def dictionary_terms(
     dictionary: DataFrame,
     term: str = "term",
     lower: bool = True,
-    max_rows: int = 1_000_000,
 ) -> DataFrame:
     """One row per dictionary hit: input columns + ``pos`` (1-based) + ``term``.
 
-    Only substrings whose length is a term length of the dictionary are made
-    (``n`` per text and length), then equi-joined with the dictionary; the
-    dictionary is broadcast when its size is proven under ``max_rows``, else
-    joined by a shuffle on the substring.  Whole texts are scanned.
+    Substrings of the dictionary's term lengths are made at every position and
+    equi-joined with the dictionary.  A text is first cut into pieces of
+    ``PIECE`` positions (each with the characters its last substrings need), so
+    making them costs the same per position in texts of any length, and no row
+    carries the whole text.  Whole texts are scanned.
     """
-    from flowmart.operators.lookup import sized_broadcast
     terms = dictionary.select(F.col(term).alias("_term")).where(F.col("_term") != "").distinct()
     lengths = terms.agg(F.array_sort(F.collect_set(F.length("_term")))).scalar()
-    # a vocabulary is normally bounded: broadcast it after proving its size,
-    # else a shuffle join on the substring (AQE splits hot substrings)
-    terms = sized_broadcast(terms, max_rows)
     src = F.lower(F.col(text)) if lower else F.col(text)
+    pieces = (
+        df.withColumn("_src", src).withColumn("_lens", F.coalesce(lengths, F.array().cast("array<int>")))
+        .where((F.length("_src") > 0) & (F.size("_lens") > 0))
+        .withColumn("_most", F.array_max("_lens"))
+        .withColumn("_lo", F.explode(F.sequence(F.lit(0), F.length("_src") - 1, F.lit(PIECE))))
+        .withColumn("_piece", F.substring("_src", F.col("_lo") + 1, F.col("_most") + PIECE - 1)))
     cand = (
-        df.withColumn("_src", src)
-        .withColumn("_len", F.explode(lengths))
-        .where(F.length("_src") >= F.col("_len"))
-        .withColumn("pos", F.explode(F.sequence(F.lit(1), F.length("_src") - F.col("_len") + 1)))
-        .withColumn("_sub", F.substring("_src", F.col("pos"), F.col("_len")))
-    )
+        pieces.withColumn("_len", F.explode("_lens"))
+        .withColumn("_n", F.least(F.lit(PIECE), F.length("_piece") - F.col("_len") + 1))
+        .where("_n > 0")
+        .withColumn("_hit", F.explode(F.transform(F.sequence(F.lit(1), "_n"), lambda p: F.struct(
+            (F.col("_lo") + p).alias("pos"), F.substring("_piece", p, F.col("_len")).alias("sub")))))
+        .select(*df.columns, F.col("_hit.pos").alias("pos"), F.col("_hit.sub").alias("_sub")))
     return (cand.join(terms, cand["_sub"] == terms["_term"], "inner")
-            .withColumnRenamed("_term", "term")
-            .drop("_src", "_len", "_sub"))
+            .withColumnRenamed("_term", "term").drop("_sub"))
 
 
 def register_sql_functions(spark, tz: str | None = None) -> None:
@@ -74,7 +78,7 @@ def register_sql_functions(spark, tz: str | None = None) -> None:
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION split_function(str STRING) "
         "RETURNS TABLE (word STRING) "
-        f"RETURN SELECT explode(regexp_extract_all(lower(str), '{WORD_PATTERN}', 0)) AS word")
+        f"RETURN SELECT explode(regexp_extract_all(lower(str), r'{WORD_PATTERN}', 0)) AS word")
     local = (f"convert_timezone('UTC', '{zone}', "
              "timestampadd(MILLISECOND, ms, TIMESTAMP_NTZ'1970-01-01 00:00:00'))")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION to_date_str(ms BIGINT) RETURNS STRING "

@@ -71,18 +71,17 @@ def daily_first_flag(
     """Add ``flag`` = 1 on each key's first row of a day, else 0.
 
     Every input row is kept.  ``tiebreak`` (a unique row id) makes the result
-    exact when two rows of one key share a millisecond; without it the key's
-    rows are ordered by a window (exact, but a hot key sorts in one task).
+    repeatable when two rows of one key share a millisecond; without it any one
+    of them gets the flag.
     """
     if df.isStreaming:
         from flowmart.streaming.processors import daily_first_flag_stream
         return daily_first_flag_stream(df, key, flag=flag, ts=ts, tz=tz, tiebreak=tiebreak)
     if tiebreak is None:
-        day = to_date_str(ts, tz)
-        w = Window.partitionBy(_col(key)).orderBy(F.col(ts))
-        prev = F.lag(day).over(w)
-        return df.withColumn(
-            flag, F.when(prev.isNull() | (prev != day), F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
+        # rows of one key and millisecond are told apart by an id made for this query
+        made = "_row"
+        out = daily_first_flag(df.withColumn(made, F.monotonically_increasing_id()), key, flag, ts, made, tz)
+        return out.drop(made)
     firsts = (first_of_day(df, key, ts, tiebreak, tz)
               .select("_key", "_ts", "_tb", F.lit(1).cast("bigint").alias("_flag")))
     tagged = df.withColumn("_key", _col(key))
@@ -116,7 +115,8 @@ def home_detail_firsts(
         from flowmart.streaming.processors import home_detail_stream
         return home_detail_stream(df, key, page, ts=ts, tz=tz, per_page=per_page,
                                   tiebreak=tiebreak)
-    k = F.concat_ws("\u0001", _col(key), _col(page)) if per_page else _col(key)
+    # a row without a mid is dropped in both forms: a struct key is null with its mid
+    k = F.when(_col(key).isNotNull(), F.struct(_col(key), _col(page))) if per_page else _col(key)
     firsts = first_of_day(df, k, ts, tiebreak, tz, carry=[("_mid", key), ("_page", page)])
     return firsts.select(
         F.col("_mid").alias("mid"), F.col("_page").alias("page_id"),
@@ -157,6 +157,27 @@ def login_firsts(
         F.lit(1).cast("bigint").alias("uu"), back.cast("bigint").alias("back"))
 
 
+def visitor_states(
+    df: DataFrame,
+    key: Column | str = "common.mid",
+    flag: str = "common.is_new",
+    ts: str = "ts",
+    tiebreak: str | None = None,
+    tz: str = DEFAULT_TZ,
+) -> DataFrame:
+    """T5: the state of every mid (``_key``, ``_state``), set by its first row."""
+    fields = [F.col(ts).alias("_ts")]
+    if tiebreak:
+        fields.append(F.col(tiebreak).alias("_tb"))
+    fields.append(_col(flag).alias("_raw"))
+    return (
+        df.select(_col(key).alias("_key"), F.struct(*fields).alias("_f"))
+        .groupBy("_key").agg(F.min("_f").alias("_f"))
+        .select("_key", F.when(F.col("_f._raw") == "1", to_date_str("_f._ts", tz))
+                .otherwise(F.lit(EPOCH_DATE)).alias("_state"))
+    )
+
+
 def fix_is_new(
     df: DataFrame,
     key: Column | str = "common.mid",
@@ -164,6 +185,7 @@ def fix_is_new(
     ts: str = "ts",
     tiebreak: str | None = None,
     tz: str = DEFAULT_TZ,
+    states: DataFrame | None = None,
 ) -> DataFrame:
     """T5: new-visitor repair.
 
@@ -177,16 +199,7 @@ def fix_is_new(
     if df.isStreaming:
         from flowmart.streaming.processors import fix_is_new_stream
         return fix_is_new_stream(df, key, flag, ts=ts, tz=tz, tiebreak=tiebreak)
-    fields = [F.col(ts).alias("_ts")]
-    if tiebreak:
-        fields.append(F.col(tiebreak).alias("_tb"))
-    fields.append(_col(flag).alias("_raw"))
-    per_key = (
-        df.select(_col(key).alias("_key"), F.struct(*fields).alias("_f"))
-        .groupBy("_key").agg(F.min("_f").alias("_f"))
-        .select("_key", F.when(F.col("_f._raw") == "1", to_date_str("_f._ts", tz))
-                .otherwise(F.lit(EPOCH_DATE)).alias("_state"))
-    )
+    per_key = states if states is not None else visitor_states(df, key, flag, ts, tiebreak, tz)
     tagged = df.withColumn("_key", _col(key))
     joined = tagged.join(per_key, "_key", "left")
     raw = _col(flag)

@@ -10,41 +10,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowmart.operators import config as cfg
-from flowmart.operators.lookup import bounded_values, sized_broadcast
 
 ROUTED_TYPES = ("insert", "update", "bootstrap-insert")
-CONFIG_MAX_ROWS = 100_000
+# arrival order of changes: the change's second, its transaction, its place in it
+ARRIVAL = ("ts", "xid", "xoffset")
 
 
 def route(
     feed: DataFrame,
     config: DataFrame,
     types: Sequence[str] = ROUTED_TYPES,
-    max_config_rows: int = CONFIG_MAX_ROWS,
 ) -> DataFrame:
     """R7 + P8 + P9: dimension records with their target table.
 
     ``config`` is the current DIM configuration (``fold_changes`` or
     ``snapshot`` output).  Only insert, update and bootstrap-insert changes
     are routed (deletes are not).  Output: ``sink_table``, ``sink_pk`` (with
-    its default), ``table``, ``type``, ``ts`` and the pruned ``data`` map.
-    The configuration is a checked broadcast: every task holds it, as the
-    reference's broadcast state.
+    its default), ``table``, ``type``, ``ts``, ``xid``, ``xoffset`` and the
+    pruned ``data`` map.
     """
-    c = sized_broadcast(config.select("source_table", "sink_table", "sink_columns", "sink_pk"),
-                        max_config_rows)
+    c = config.select("source_table", "sink_table", "sink_columns", "sink_pk")
     rows = feed.where(F.col("type").isin(*types))
-    tables = bounded_values(config, "source_table", max_config_rows)
-    if tables is not None:
-        rows = rows.where(F.col("table").isin(*tables))
     return rows.join(c, rows["table"] == c["source_table"], "inner").select(
         "sink_table", cfg.pk_or_default("sink_pk").alias("sink_pk"),
-        "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))
+        "table", "type", "ts", "xid", "xoffset", cfg.prune("data", "sink_columns").alias("data"))
 
 
 def upsert_fold(
     routed: DataFrame,
-    order: Sequence[str] = ("ts",),
+    order: Sequence[str] = ARRIVAL,
     null_as_empty: bool = True,
 ) -> DataFrame:
     """K6 / K4 in batch: the dimension rows after all upserts, long format.
@@ -53,19 +47,31 @@ def upsert_fold(
     last written value (absent columns keep the old value).  Output:
     ``sink_table``, ``pk``, ``column``, ``value`` -- one row per cell.  Null
     values become '' by default, as the reference's statement text does
-    (Q13).  The fold is a ``max`` of (order, value) per cell: partial
-    aggregation, so a hot key is combined before the shuffle.
+    (Q13).  The last written value is the last by arrival (``order``).  The fold
+    is a ``max`` of (order, value) per cell: partial aggregation, so a hot key
+    is combined before the shuffle; the value decides only between changes that
+    the feed itself does not order.
     """
-    cells = routed.select(
-        "sink_table", F.col("data")[F.col("sink_pk")].alias("pk"),
-        *[F.col(o) for o in order], F.explode("data").alias("column", "value"))
+    return plain_cells(last_cells(cells_of(routed), order), null_as_empty)
+
+
+def cells_of(routed: DataFrame) -> DataFrame:
+    """One row per written cell: ``sink_table``, ``pk``, ``column``, ``value`` and its arrival."""
+    cells = routed.select("sink_table", F.col("data")[F.col("sink_pk")].alias("pk"), *ARRIVAL,
+                          F.explode("data").alias("column", "value"))
+    return cells.where(F.col("pk").isNotNull())
+
+
+def last_cells(cells: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
+    """The last written value of each cell by arrival, with the arrival columns."""
     o = F.struct(*[F.col(c) for c in order], F.col("value"))
-    folded = (cells.where(F.col("pk").isNotNull())
-              .groupBy("sink_table", "pk", "column").agg(F.max(o).alias("_last"))
-              .select("sink_table", "pk", "column", F.col("_last.value").alias("value")))
-    if null_as_empty:
-        folded = folded.withColumn("value", F.coalesce("value", F.lit("")))
-    return folded
+    return (cells.groupBy("sink_table", "pk", "column").agg(F.max(o).alias("_last"))
+            .select("sink_table", "pk", "column", "_last.*"))
+
+
+def plain_cells(cells: DataFrame, null_as_empty: bool = True) -> DataFrame:
+    value = F.coalesce("value", F.lit("")) if null_as_empty else F.col("value")
+    return cells.select("sink_table", "pk", "column", value.alias("value"))
 
 
 def upsert_wide(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -116,22 +122,24 @@ def ddl(schema_rows_df: DataFrame) -> DataFrame:
 def ensure_table(spark: SparkSession, name: str, sink_columns: str, sink_pk: str | None,
                  path: str) -> None:
     """K5: create an empty dimension table at ``path`` if none exists."""
+    from flowmart.streaming.versions import exists
     schema, _ = table_schema(sink_columns, sink_pk)
-    try:
-        spark.read.parquet(path).limit(0).collect()
-    except Exception:  # no table yet
-        spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    if not exists(spark, f"{path}/_SUCCESS"):
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
 
 
-def merge_into(current: DataFrame, cells: DataFrame, columns: Sequence[str]) -> DataFrame:
+def merge_into(current: DataFrame, cells: DataFrame, columns: Sequence[str],
+               sink_pk: str | None = None) -> DataFrame:
     """K6 against an existing table: new values win per cell, untouched cells
-    keep the current value.  Returns the new table (write it to a new path)."""
-    pk = columns[0] if "id" not in columns else "id"
+    keep the current value.  ``sink_pk`` names the key column (``id`` when null
+    or empty, F17).  Returns the new table (write it to a new path)."""
+    pk = sink_pk or "id"
     cur_cells = current.select(F.col(pk).alias("pk"), F.explode(F.create_map(
         *[x for c in columns for x in (F.lit(c), F.col(c))])).alias("column", "value"))
     merged = (cur_cells.withColumn("_src", F.lit(0))
               .unionByName(cells.select("pk", "column", "value").withColumn("_src", F.lit(1)))
               .groupBy("pk", "column").agg(F.max_by("value", "_src").alias("value")))
     wide = merged.groupBy("pk").pivot("column", list(columns)).agg(F.first("value"))
-    return wide.drop(pk).withColumnRenamed("pk", pk).select(*columns) if pk in columns else wide
+    rest = [c for c in columns if c != pk]
+    return wide.select(F.col("pk").alias(pk), *rest).select(*columns) if pk in columns else wide
 

@@ -6,9 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.operators import config as cfg
-from flowmart.operators.lookup import bounded_values, sized_broadcast
-
-CONFIG_MAX_ROWS = 100_000
 
 
 def usable(df: DataFrame, value: str = "value") -> DataFrame:
@@ -17,18 +14,12 @@ def usable(df: DataFrame, value: str = "value") -> DataFrame:
     return df.where(F.col(value).isNotNull() & (F.col(value) != ""))
 
 
-def route(feed: DataFrame, config: DataFrame, max_config_rows: int = CONFIG_MAX_ROWS,
-          ) -> DataFrame:
+def route(feed: DataFrame, config: DataFrame) -> DataFrame:
     """Each change whose ``table || '_' || type`` is configured goes to its
     sink table, ``data`` pruned to the configured columns.  Output:
     ``sink_table`` (the per-row topic), ``table``, ``type``, ``ts``, ``data``.
     """
-    c = sized_broadcast(config.select("config_key", "sink_table", "sink_columns"),
-                        max_config_rows)
-    # the source tables of the configured routes (config-sized, bounded)
-    tables = bounded_values(config, "source_table", max_config_rows)
-    if tables is not None:
-        feed = feed.where(F.col("table").isin(*tables))
+    c = config.select("config_key", "sink_table", "sink_columns")
     keyed = feed.withColumn("_route", F.concat(F.col("table"), F.lit("_"), F.col("type")))
     return keyed.join(c, keyed["_route"] == c["config_key"], "inner").select(
         "sink_table", "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))

@@ -95,7 +95,7 @@ def traffic_window(
     """
     log = _rt(log.where(F.col("common.mid").isNotNull()), "ts")
     m = traffic_measures(log, session_field, keep=(tiebreak,) if tiebreak else ())
-    if not log.isStreaming and tiebreak is not None:
+    if not log.isStreaming:
         # uv is only summed per group: count each (mid, day) first row, which
         # carries its own dimensions, beside the other measures -- no join of
         # a flag back onto every row; both sides aggregate before any shuffle
@@ -167,15 +167,20 @@ def keyword_window(
     size: str = WINDOW_SIZE,
     tz: str = DEFAULT_TZ,
     pattern: str = text_fn.WORD_PATTERN,
+    dictionary: DataFrame | None = None,
     load_ts: bool = True,
 ) -> DataFrame:
     """A1 + J5 + U1: count of each search keyword per window.
 
-    The load time ``ts`` is in seconds here, as in the reference (Q9).
+    ``dictionary`` (a column ``term``) counts its terms wherever they occur (U2)
+    instead of the text's words.  The load time ``ts`` is in seconds here, as in
+    the reference (Q9).
     """
-    words = text_fn.explode_words(
-        _rt(keyword_filter(log), "ts").select("rt", F.col("page.item").alias("item")),
-        "item", "keyword", pattern)
+    items = _rt(keyword_filter(log), "ts").select("rt", F.col("page.item").alias("item"))
+    if dictionary is None:
+        words = text_fn.explode_words(items, "item", "keyword", pattern)
+    else:
+        words = text_fn.dictionary_terms(items, "item", dictionary).withColumnRenamed("term", "keyword")
     out = (
         words.groupBy(F.window("rt", size).alias("w"), "keyword")
         .agg(F.count(F.lit(1)).alias("keyword_count"))

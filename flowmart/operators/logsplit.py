@@ -3,6 +3,9 @@
 One parsed DataFrame feeds five selections.  In a stream they are written
 from one ``foreachBatch`` (see :func:`flowmart.streaming.jobs.run_log_split`)
 so the source is read and parsed once per micro-batch.
+
+Beside the typed fields every output keeps the whole ``record`` (a map of
+variants): fields that no schema lists pass through, as in the reference.
 """
 
 from __future__ import annotations
@@ -21,19 +24,20 @@ def parse_log(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     """P1 + Q15: (valid log records, dirty lines).  Lines that parse but lack
     a required field join the dirty output with their raw text."""
     keep = [c for c in raw.columns if c != value]
-    p = parse.parsed_once(parse.parse_json(raw.where(F.col(value).isNotNull()), schemas.LOG, value))
-    parsed = F.col(parse.CORRUPT).isNull() & F.col("_rec").isNotNull()
-    complete = F.lit(True)
-    for c in parse.log_required("_rec."):
-        complete = complete & F.coalesce(c, F.lit(False))
-    # one pass: a line is a valid record, dirty (malformed, or parsed but
-    # missing a required field), or nothing (blank text parses to no record)
-    flagged = p.withColumn("_state", F.when(parsed & complete, "ok")
-                           .when(F.col(parse.CORRUPT).isNotNull() | parsed, "dirty"))
-    valid = flagged.where(F.col("_state") == "ok").select(
-        *keep, *[F.col(f"_rec.{f.name}").alias(f.name) for f in schemas.LOG.fields])
-    dirty = flagged.where(F.col("_state") == "dirty").select(*keep, value)
-    return valid, dirty
+    r = F.col(parse.RECORD)
+    good, dirty = parse.split_valid(raw, parse.log_complete(r), value)
+    return good.select(*keep, *parse.log_fields(r), parse.RECORD), dirty.select(*keep, value)
+
+
+def with_flag(log: DataFrame) -> DataFrame:
+    """The repaired ``common.is_new`` put back into the record, whose ``common``
+    loses its nulls."""
+    if parse.RECORD not in log.columns:
+        return log
+    r = F.col(parse.RECORD)
+    common = parse.put(parse.drop_nulls(parse.field(r, "common", "map<string,variant>")),
+                       is_new=F.col("common.is_new"))
+    return log.withColumn(parse.RECORD, parse.put(r, common=parse.as_variant(common)))
 
 
 def split_log(log: DataFrame) -> dict[str, DataFrame]:
@@ -46,11 +50,18 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
     * page (R6): page records without err, displays and actions.
     Display and action rows carry the element map and typed page_id / ts.
     """
+    whole = parse.RECORD in log.columns
+
+    def without(df: DataFrame, *fields: str) -> DataFrame:
+        df = df.drop(*fields)
+        return df.withColumn(parse.RECORD, F.map_filter(
+            parse.RECORD, lambda k, v: ~k.isin(*fields))) if whole else df
+
     error = log.where(F.col("err").isNotNull())
-    rest = log.drop("err")
+    rest = without(log, "err")
     start = rest.where(F.col("start").isNotNull())
     pages = rest.where(F.col("start").isNull())
-    extra = [c for c in log.columns if c not in {f.name for f in schemas.LOG.fields}]
+    extra = [c for c in log.columns if c not in {f.name for f in schemas.LOG.fields} | {parse.RECORD}]
     display = (
         pages.select(*extra, F.explode("displays").alias("display"),
                      F.col("page.page_id").alias("page_id"), F.col("ts"))
@@ -59,25 +70,40 @@ def split_log(log: DataFrame) -> dict[str, DataFrame]:
         pages.select(*extra, F.explode("actions").alias("action"),
                      F.col("page.page_id").alias("page_id"))
         .withColumn("action", F.map_filter("action", lambda k, v: k != "page_id")))
-    page = pages.drop("displays", "actions", "start")
+    page = without(pages, "displays", "actions").drop("start")
     return {"page": page, "start": start, "display": display, "action": action, "error": error}
 
 
+def json_outputs(out: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The five outputs as JSON lines (``value``): whole page, start and error records;
+    display elements with page_id and ts (a number), action elements with page_id."""
+    fields = {"display": lambda: parse.put(F.col("display"), page_id=F.col("page_id"), ts=F.col("ts")),
+              "action": lambda: parse.put(F.col("action"), page_id=F.col("page_id"))}
+    typed = {f.name for f in schemas.LOG.fields} | {parse.RECORD, "display", "action", "page_id"}
+    lines = {}
+    for kind in OUTPUTS:
+        record = fields[kind]() if kind in fields else F.col(parse.RECORD)
+        keep = [c for c in out[kind].columns if c not in typed]
+        lines[kind] = out[kind].select(*keep, parse.json_text(record).alias("value"))
+    return lines
+
+
 def log_layer(raw: DataFrame, value: str = "value", tiebreak: str | None = None,
               tz: str = DEFAULT_TZ) -> dict[str, DataFrame]:
     """The log-split job end to end: parse -> new-visitor repair by mid (T5) -> split.
 
-    Returns the five outputs plus ``dirty``.
+    Returns the five outputs plus ``dirty``.  The repair's own side reads only the
+    three fields it needs of each line.
     """
     valid, dirty = parse_log(raw, value)
-    fixed = daily.fix_is_new(valid, "common.mid", "common.is_new", "ts", tiebreak, tz)
-    out = split_log(fixed)
+    r = F.col(parse.RECORD)
+    keep = [tiebreak] if tiebreak else []
+    good, _ = parse.split_valid(raw.select(*keep, value), parse.log_complete(r), value)
+    flags = good.select(*keep, parse.field(r, "common", path="$.mid").alias("mid"),
+                        parse.field(r, "common", path="$.is_new").alias("is_new"),
+                        parse.field(r, "ts", "bigint").alias("ts"))
+    fixed = daily.fix_is_new(valid, "common.mid", "common.is_new", "ts", tiebreak, tz,
+                             states=daily.visitor_states(flags, "mid", "is_new", "ts", tiebreak, tz))
+    out = split_log(with_flag(fixed))
     out["dirty"] = dirty
     return out
-
-
-def display_json(display: DataFrame) -> DataFrame:
-    """Display rows as the reference's JSON text (element + page_id + ts)."""
-    m = F.map_concat("display", F.create_map(F.lit("page_id"), F.col("page_id"),
-                                             F.lit("ts"), F.col("ts").cast("string")))
-    return display.select(F.to_json(parse.drop_null_values(m)).alias("value"))

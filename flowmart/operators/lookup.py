@@ -1,50 +1,21 @@
-"""Dimension lookups with a checked broadcast.
+"""Dimension lookups.
 
-A dimension is broadcast only after its size is proven: at most ``max_rows``
-rows, counted with ``limit(max_rows + 1)`` so the check reads no more than
-that.  Larger dimensions are joined by a shuffle join.
+No broadcast hints: Spark broadcasts a side whose size in bytes it knows to be
+under its threshold (a fixed dictionary, or a shuffle output that AQE has
+measured) and joins larger dimensions by a shuffle, with hot partitions split.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-DEFAULT_MAX_ROWS = 1_000_000
 
-
-def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when its row count is within ``max_rows``, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
-
-
-def bounded_values(df: DataFrame, col: str, max_rows: int = DEFAULT_MAX_ROWS) -> list | None:
-    """Distinct values of ``col`` when there are at most ``max_rows`` of them
-    (a proven bound), else None.  Used to pre-filter a large input by a small
-    configuration so the filter reaches its scan (pruning partitions or
-    union branches), as dynamic partition pruning does for a join."""
-    vals = df.select(col).distinct().limit(max_rows + 1).collect()
-    return [r[0] for r in vals] if len(vals) <= max_rows else None
-
-
-def lookup_join(
-    df: DataFrame,
-    dim: DataFrame,
-    left_key: str,
-    right_key: str,
-    how: str = "inner",
-    max_rows: int = DEFAULT_MAX_ROWS,
-) -> DataFrame:
+def lookup_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
+                how: str = "inner") -> DataFrame:
     """Join each row with its dimension row; inner drops unmatched rows.
 
     The reference probes the dimension per row at processing time; here the
     dimension is read when the plan (or micro-batch) is built, which is the
     same table state for a static dimension.
     """
-    d = sized_broadcast(dim, max_rows)
-    return df.join(d, df[left_key] == d[right_key], how)
+    return df.join(dim, df[left_key] == dim[right_key], how)

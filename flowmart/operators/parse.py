@@ -1,92 +1,106 @@
-"""Parsing of JSON text records (P1, P2, P17) and required-field checks (Q15)."""
+"""Parsing of JSON text records (P1, P2, P17) and required-field checks (Q15).
 
-from __future__ import annotations
+A line is read to VARIANT, so a record keeps every field with its own type
+whether or not a schema lists it, and numbers may come quoted.  Exactly one
+JSON object makes a record: text after it, a list or a bare value does not.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-CORRUPT = "_corrupt_record"
+from flowmart import schemas
+
+RECORD = "record"
+# closes the list that a line is read in: what follows a complete record cannot pass for it
+_END = "end-of-record"
+
+
+def record_of(value: Column | str) -> Column:
+    """The line's top-level fields as ``map<string,variant>``; null unless the line is
+    exactly one JSON object (duplicate keys count as malformed)."""
+    v = F.col(value) if isinstance(value, str) else value
+    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), v, F.lit(f',"{_END}"]'))),
+                              "$", "array<variant>")
+    whole = (F.size(items) == 2) & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _END)
+    return F.when(whole, F.try_variant_get(F.get(items, F.lit(0)), "$", "map<string,variant>"))
 
 
-def parse_json(df: DataFrame, schema: T.StructType, value: str = "value",
-               strict: bool = False, out: str = "_rec") -> DataFrame:
-    """Parse ``value`` into struct column ``out`` plus ``_corrupt_record``.
+def field(record: Column, name: str, kind: str = "string", path: str = "$") -> Column:
+    """One field of a record as ``kind``; null when absent or not convertible.  An object or
+    list read as string gives its JSON text."""
+    return F.try_variant_get(record[name], path, kind)
 
-    ``strict=True`` (P2) fails the job on the first malformed record, as the
+
+def with_record(df: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
+    """Adds ``record``.  ``strict=True`` (P2) fails the job on the first malformed line, as the
     reference's DWS jobs do.
+
+    The record is re-emitted through a one-row generator: Catalyst would otherwise
+    copy the parse into every filter on its fields.
     """
+    rec = record_of(value)
     if strict:
-        return df.withColumn(out, F.from_json(value, schema, {"mode": "FAILFAST"})) \
-                 .withColumn(CORRUPT, F.lit(None).cast("string"))
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    parsed = F.from_json(value, with_corrupt, {"mode": "PERMISSIVE",
-                                               "columnNameOfCorruptRecord": CORRUPT})
-    return df.withColumn(out, parsed).withColumn(CORRUPT, F.col(f"{out}.{CORRUPT}"))
-
-
-def json_or_dirty(df: DataFrame, schema: T.StructType, value: str = "value",
-                  keep: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(clean records, dirty lines).
-
-    Null and blank lines give neither (the reference parses them to nothing);
-    a line that is not a JSON object goes to the dirty output as raw text.
-    Clean records keep the schema's top-level fields plus ``keep`` columns.
-    Both outputs come from one parse; in a stream write them from one
-    ``foreachBatch`` so the source is read once.
-    """
-    keep = list(keep if keep is not None else [c for c in df.columns if c != value])
-    p = parsed_once(parse_json(df.where(F.col(value).isNotNull()), schema, value))
-    dirty = p.where(F.col(CORRUPT).isNotNull()).select(*[c for c in keep if c != value],
-                                                       F.col(value))
-    clean = (p.where(F.col(CORRUPT).isNull() & F.col("_rec").isNotNull())
-             .select(*keep, *[F.col(f"_rec.{f.name}").alias(f.name) for f in schema.fields]))
-    return clean, dirty
-
-
-def parsed_once(p: DataFrame, rec: str = "_rec") -> DataFrame:
-    """Keep the parse in one place.
-
-    Catalyst pushes a filter on parsed fields below the projection that
-    parses, copying ``from_json`` into the filter (and once per conjunct).
-    Re-emitting the parsed struct through a one-row generator stops that:
-    a filter on generator output stays above it, so each line is parsed once.
-    """
-    others = [c for c in p.columns if c not in (rec, CORRUPT)]
-    return p.select(*others, F.inline(F.array(F.struct(
-        F.col(rec).alias(rec), F.col(CORRUPT).alias(CORRUPT)))))
+        rec = F.coalesce(rec, F.raise_error(F.concat(F.lit("malformed record: "), F.col(value)))
+                         .cast("map<string,variant>"))
+    return df.select("*", F.inline(F.array(F.struct(rec.alias(RECORD)))))
 
 
-def require(df: DataFrame, conditions: Sequence[Column]) -> tuple[DataFrame, DataFrame]:
-    """Q15: split rows into (valid, invalid) by required-field conditions.
+def drop_nulls(m: Column) -> Column:
+    """A ``map<string,variant>`` without JSON nulls (the reference's writer leaves them out)."""
+    return F.map_filter(m, lambda k, v: ~F.call_function("is_variant_null", v))
 
-    The reference fails the whole job on such rows; here they are set aside.
-    """
-    ok = F.lit(True)
-    for c in conditions:
-        ok = ok & F.coalesce(c, F.lit(False))
-    return df.where(ok), df.where(~ok)
+
+def put(m: Column, **values: Column) -> Column:
+    """A map of variants with these fields set (null values are left out)."""
+    keep = F.map_filter(m, lambda k, v: ~k.isin(*values))
+    new = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("variant"))])
+    return F.map_concat(keep, F.map_filter(new, lambda k, v: v.isNotNull()))
+
+
+def as_variant(m: Column) -> Column:
+    return F.call_function("to_variant_object", m)
+
+
+def json_text(m: Column) -> Column:
+    """A record as JSON text, keys in order, without top-level nulls."""
+    return F.to_json(as_variant(drop_nulls(m)))
+
+
+def log_fields(record: Column) -> list[Column]:
+    """The typed fields of a behaviour-log record (``schemas.LOG``)."""
+    lists = "array<map<string,variant>>"
+    return [field(record, "common", schemas.COMMON.simpleString()).alias("common"),
+            field(record, "page", schemas.PAGE.simpleString()).alias("page"),
+            field(record, "start").alias("start"), field(record, "displays", lists).alias("displays"),
+            field(record, "actions", lists).alias("actions"), field(record, "err").alias("err"),
+            field(record, "ts", "bigint").alias("ts")]
 
 
-def log_required(prefix: str = "") -> list[Column]:
-    """A behaviour-log record needs a mid, an is_new flag and a start or page."""
-    return [F.col(f"{prefix}common.mid").isNotNull(), F.col(f"{prefix}common.is_new").isNotNull(),
-            F.col(f"{prefix}start").isNotNull() | F.col(f"{prefix}page").isNotNull()]
+def log_complete(record: Column) -> Column:
+    """Q15: a behaviour-log record needs a mid, an is_new flag, a time and a start or page."""
+    return (field(record, "common", path="$.mid").isNotNull()
+            & field(record, "common", path="$.is_new").isNotNull()
+            & field(record, "ts", "bigint").isNotNull()
+            & (field(record, "start").isNotNull()
+               | field(record, "page", "struct<page_id:string>").isNotNull()))
 
 
-def to_json_text(cols: Sequence[Column | str] | None = None, df: DataFrame | None = None,
-                 ) -> Column:
-    """A record as JSON text; null fields left out (maps filtered too)."""
-    fields = []
-    for c in cols if cols is not None else df.columns:
-        col = F.col(c) if isinstance(c, str) else c
-        fields.append(col)
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "true"})
+def split_valid(df: DataFrame, complete: Column, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """(rows with a complete record, dirty lines) from one parse.  Null and blank lines give
+    neither (the reference parses them to nothing)."""
+    p = with_record(df.where(F.trim(value) != ""), value)
+    ok = F.col(RECORD).isNotNull() & F.coalesce(complete, F.lit(False))
+    return p.where(ok), p.where(~ok).drop(RECORD)
 
 
-def drop_null_values(m: Column | str) -> Column:
-    """``to_json`` keeps null map values; this removes them first (V8)."""
-    c = F.col(m) if isinstance(m, str) else m
-    return F.map_filter(c, lambda k, v: v.isNotNull())
+def parse_cdc(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """S3: (changes with ``schemas.CDC`` fields, dirty lines).  A change needs its database, table
+    and type."""
+    r = F.col(RECORD)
+    keep = [c for c in raw.columns if c != value]
+    need = field(r, "database").isNotNull() & field(r, "table").isNotNull() & field(r, "type").isNotNull()
+    good, dirty = split_valid(raw, need, value)
+    return good.select(*keep, *[field(r, f.name, f.dataType.simpleString()).alias(f.name)
+                                for f in schemas.CDC]), dirty

@@ -1,5 +1,5 @@
 """DWD trade facts: cart additions and the wide order-detail table
-(cart-add and order-detail jobs; J1-J3, T15, Q3, Q16)."""
+(cart-add and order-detail jobs; J1-J3, T15, Q3)."""
 
 from __future__ import annotations
 
@@ -10,9 +10,6 @@ from flowmart import schemas
 from flowmart.operators.cdc import cdc_slice
 from flowmart.operators.lookup import lookup_join
 
-STREAM_BOUND = "15 minutes"
-
-
 def cart_add(feed: DataFrame, dic: DataFrame) -> DataFrame:
     """Cart additions with the source-type name (14 columns).
 
@@ -24,53 +21,40 @@ def cart_add(feed: DataFrame, dic: DataFrame) -> DataFrame:
     return lookup_join(cart, names, "source_type", "dic_code").select(*schemas.CART_ADD_OUT)
 
 
-def order_detail(
-    feed: DataFrame,
-    dic: DataFrame,
-    stream_bound: str = STREAM_BOUND,
-) -> DataFrame:
-    """Wide order detail (37 columns): detail JOIN order, LEFT JOIN activity,
-    LEFT JOIN coupon, JOIN dictionary.
+def slices(feed: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+    """The four slices of the feed that an order detail is made of, each with its order id column."""
+    parts = {"order_detail": (schemas.ORDER_DETAIL_COLS, "order_id"),
+             "order_info": (schemas.ORDER_INFO_COLS, "id"),
+             "order_detail_activity": (schemas.ORDER_ACTIVITY_COLS, "order_id"),
+             "order_detail_coupon": (schemas.ORDER_COUPON_COLS, "order_id")}
+    return {t: (cdc_slice(feed, t, cols), key) for t, (cols, key) in parts.items()}
+
+
+def order_detail(feed: DataFrame, dic: DataFrame) -> DataFrame:
+    """Wide order detail (37 columns) of a feed; its stream form is
+    :func:`flowmart.streaming.jobs.run_order_detail`."""
+    return join_slices({t: rows for t, (rows, _) in slices(feed).items()}, dic)
+
+
+def join_slices(parts: dict[str, DataFrame], dic: DataFrame) -> DataFrame:
+    """Detail JOIN order, LEFT JOIN activity, LEFT JOIN coupon, JOIN dictionary.
 
     The activity and coupon views are joined under their registered names
-    (the reference misnames them, Q3).  Batch: Spark plans shuffle joins on
-    order id then detail id (the coupon join reuses the detail-id
-    partitioning); the dictionary is a checked broadcast.  Streams: the joins
-    need a time bound on the change time (Q16: the reference keeps join state
-    forever); rows are emitted once the bound passes (T15).
+    (the reference misnames them, Q3).  The dictionary comes first: it drops
+    details before any shuffle.  Activity and coupon share the detail-id
+    partitioning while the row is narrow; the order, the widest side, is last.
     """
-    od = cdc_slice(feed, "order_detail", schemas.ORDER_DETAIL_COLS)
-    oi = cdc_slice(feed, "order_info", schemas.ORDER_INFO_COLS)
-    oa = cdc_slice(feed, "order_detail_activity", schemas.ORDER_ACTIVITY_COLS)
-    oc = cdc_slice(feed, "order_detail_coupon", schemas.ORDER_COUPON_COLS)
-    od = od.select(*[F.col(c).alias(f"od_{c}") for c in od.columns])
-    oi = oi.select(*[F.col(c).alias(f"oi_{c}") for c in oi.columns])
-    oa = oa.select(F.col("order_detail_id").alias("oa_odid"), "activity_id", "activity_rule_id",
-                   F.col("ts").alias("oa_ts"))
-    oc = oc.select(F.col("order_detail_id").alias("oc_odid"), "coupon_id", "coupon_use_id",
-                   F.col("ts").alias("oc_ts"))
-    cond_oi = F.col("od_order_id") == F.col("oi_id")
-    cond_oa = F.col("od_id") == F.col("oa_odid")
-    cond_oc = F.col("od_id") == F.col("oc_odid")
-    if feed.isStreaming:
-        bound = F.expr(f"INTERVAL {stream_bound}")
-        od = od.withColumn("od_rt", F.timestamp_seconds("od_ts")).withWatermark("od_rt", stream_bound)
-        oi = oi.withColumn("oi_rt", F.timestamp_seconds("oi_ts")).withWatermark("oi_rt", stream_bound)
-        oa = oa.withColumn("oa_rt", F.timestamp_seconds("oa_ts")).withWatermark("oa_rt", stream_bound)
-        oc = oc.withColumn("oc_rt", F.timestamp_seconds("oc_ts")).withWatermark("oc_rt", stream_bound)
-        cond_oi = cond_oi & F.col("oi_rt").between(F.col("od_rt") - bound, F.col("od_rt") + bound)
-        cond_oa = cond_oa & F.col("oa_rt").between(F.col("od_rt") - bound, F.col("od_rt") + bound)
-        cond_oc = cond_oc & F.col("oc_rt").between(F.col("od_rt") - bound, F.col("od_rt") + bound)
-    j = od.join(oi, cond_oi, "inner")
-    if feed.isStreaming:
-        # only one event-time column may enter the next stateful join (V2)
-        j = j.drop("oi_rt")
-    j = j.join(oa, cond_oa, "left")
-    if feed.isStreaming:
-        j = j.drop("oa_rt")
-    j = j.join(oc, cond_oc, "left")
+    od = parts["order_detail"].select(*[F.col(c).alias(f"od_{c}") for c in schemas.ORDER_DETAIL_COLS])
+    oi = parts["order_info"].select(*[F.col(c).alias(f"oi_{c}") for c in schemas.ORDER_INFO_COLS])
+    oa = parts["order_detail_activity"].select(
+        F.col("order_detail_id").alias("oa_odid"), "activity_id", "activity_rule_id")
+    oc = parts["order_detail_coupon"].select(
+        F.col("order_detail_id").alias("oc_odid"), "coupon_id", "coupon_use_id")
     names = dic.select(F.col("dic_code"), F.col("dic_name"))
-    j = lookup_join(j, names, "od_source_type", "dic_code")
+    j = (lookup_join(od, names, "od_source_type", "dic_code")
+         .join(oa, F.col("od_id") == F.col("oa_odid"), "left")
+         .join(oc, F.col("od_id") == F.col("oc_odid"), "left")
+         .join(oi, F.col("od_order_id") == F.col("oi_id"), "inner"))
     detail = {c: F.col(f"od_{c}") for c in schemas.ORDER_DETAIL_COLS}
     order = {c: F.col(f"oi_{c}") for c in schemas.ORDER_INFO_COLS}
     cols = []

@@ -142,13 +142,22 @@ def keyword_window(size_ms: int) -> str:
     return f"""
 WITH {PAGE_LOG_ITEM},
 kw AS (SELECT ts - (ts % {size_ms}) AS w,
-              unnest(regexp_extract_all(lower(item), '[a-z0-9]+')) AS keyword
+              unnest(regexp_extract_all(lower(item), '[\\p{{L}}\\p{{N}}]+')) AS keyword
        FROM {KEYWORD_ROWS})
 SELECT {stt} AS stt, {edt} AS edt, keyword, CAST(count(*) AS BIGINT) AS keyword_count
 FROM kw GROUP BY w, keyword
 """
 
 
+# One document a second as search text.
+KEYWORD_TEXT = f"""
+WITH kw AS (SELECT (1704067200000 + doc_id * 1000) - (1704067200000 + doc_id * 1000) % 60000 AS w,
+                   unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS keyword
+            FROM documents WHERE text IS NOT NULL)
+SELECT {_dt('w')} AS stt, {_dt('w + 60000')} AS edt, keyword, CAST(count(*) AS BIGINT) AS keyword_count
+FROM kw GROUP BY w, keyword
+"""
+
 DAILY_UV = f"""
 WITH {PAGE_LOG}
 SELECT event_id, mid, ts,
@@ -176,11 +185,19 @@ def _filtered(where: str) -> str:
 ODS = PAGE_LOG + """,
 ods_parts AS (
   SELECT pl.*,
-    concat('{"ar":"', ar, '","ch":"', ch, '","is_new":"', is_new, '","mid":"', mid,
-           '","uid":"', uid, '","vc":"', vc, '"}') AS common_txt,
-    concat('{"during_time":', during_time, ',"item_type":"keyword"',
+    CASE WHEN event_id % 11 = 4 THEN NULL ELSE uid END AS log_uid,
+    concat('{"ar":"', ar, '","ch":"', ch, '","is_new":"') AS common_a,
+    concat('","md":"phone ', k % 2, '","mid":"', mid, '"') AS common_b,
+    concat(',"vc":"', vc, '"}') AS common_z,
+    concat(common_a, is_new, common_b, ',"uid":', CASE WHEN event_id % 11 = 4 THEN 'null' ELSE
+           concat('"', uid, '"') END, common_z) AS common_txt,
+    concat('{"during_time":', CASE WHEN event_id % 7 = 3 THEN concat('"', during_time, '"')
+           ELSE CAST(during_time AS VARCHAR) END, ',"item_type":"keyword"',
            CASE WHEN last_page_id IS NOT NULL THEN concat(',"last_page_id":"', last_page_id, '"') END,
-           ',"page_id":"', page_id, '"}') AS page_txt,
+           ',"page_id":"', page_id, '","source_type":"s', k % 3, '"}') AS page_txt,
+    concat('"app":{"n":', k, ',"v":[1,"2"]}') AS app_txt,
+    CASE WHEN event_id % 50 = 23 THEN '' WHEN event_id % 7 = 5 THEN concat(',"ts":"', ts, '"')
+         ELSE concat(',"ts":', ts) END AS ts_txt,
     concat('{"entry":"icon","loading_time":', k * 10, '}') AS start_txt,
     concat('{"error_code":', k, ',"msg":"e', k, '"}') AS err_txt,
     CASE WHEN k % 3 > 0 THEN concat('[', array_to_string(list_transform(range(k % 3), lambda i:
@@ -193,21 +210,23 @@ ods_parts AS (
   FROM pl
 ),
 ods AS (
-  SELECT *, concat('{"common":', common_txt,
+  SELECT *, concat('{', app_txt, ',"common":', common_txt,
       CASE WHEN ch <> 'signup' THEN concat(',"page":', page_txt) END,
       CASE WHEN ch = 'signup' THEN concat(',"start":', start_txt) END,
       CASE WHEN disp_txt IS NOT NULL THEN concat(',"displays":', disp_txt) END,
       CASE WHEN ch <> 'signup' AND act_txt IS NOT NULL THEN concat(',"actions":', act_txt) END,
       CASE WHEN ch = 'error' THEN concat(',"err":', err_txt) END,
-      ',"ts":', ts, '}') AS line,
-    event_id % 10 = 0 AS dirty
+      ts_txt, '}') AS line,
+    event_id % 10 = 0 OR event_id % 50 IN (21, 22, 23) AS dirty
   FROM ods_parts
 ),
 clean AS (SELECT * FROM ods WHERE NOT dirty),
 fixed AS (
   SELECT *, CASE WHEN is_new = '1' AND d <> (CASE WHEN first_value(is_new) OVER w = '1'
                  THEN first_value(d) OVER w ELSE '1970-01-01' END) THEN '0' ELSE is_new END
-            AS is_new_fixed
+            AS is_new_fixed,
+    concat(common_a, is_new_fixed, common_b, CASE WHEN log_uid IS NOT NULL THEN
+           concat(',"uid":"', uid, '"') END, common_z) AS common_fixed
   FROM clean WINDOW w AS (PARTITION BY mid ORDER BY ts, event_id)
 )"""
 
@@ -227,16 +246,57 @@ FROM clean
 
 PARSE_DIRTY = f"""
 WITH {ODS}
-SELECT event_id, substring(line, 1, length(line) - 1) AS value FROM ods WHERE dirty
+SELECT event_id, CASE WHEN event_id % 10 = 0 THEN substring(line, 1, length(line) - 1)
+         WHEN event_id % 50 = 21 THEN concat(line, ' tail') WHEN event_id % 50 = 22 THEN concat(line, ']')
+         ELSE line END AS value
+FROM ods WHERE dirty
 """
 
 LOG_PAGE = f"""
 WITH {ODS}
-SELECT event_id, mid, uid, is_new_fixed AS is_new, vc, ch, ar, page_id, last_page_id,
+SELECT event_id, mid, log_uid AS uid, is_new_fixed AS is_new, vc, ch, ar, page_id, last_page_id,
        during_time, ts
 FROM fixed WHERE ch <> 'signup'
 """
 
+# Whole records as JSON text, keys in order.
+LOG_PAGE_JSON = f"""
+WITH {ODS}
+SELECT event_id, concat('{{', app_txt, ',"common":', common_fixed, ',"page":', page_txt, ts_txt, '}}') AS value
+FROM fixed WHERE ch <> 'signup'
+"""
+
+LOG_START_JSON = f"""
+WITH {ODS}
+SELECT event_id, concat('{{', app_txt, ',"common":', common_fixed,
+    CASE WHEN disp_txt IS NOT NULL THEN concat(',"displays":', disp_txt) END, ',"start":', start_txt, ts_txt,
+    '}}') AS value
+FROM fixed WHERE ch = 'signup'
+"""
+
+LOG_ERROR_JSON = f"""
+WITH {ODS}
+SELECT event_id, concat('{{', CASE WHEN act_txt IS NOT NULL THEN concat('"actions":', act_txt, ',') END, app_txt,
+    ',"common":', common_fixed, CASE WHEN disp_txt IS NOT NULL THEN concat(',"displays":', disp_txt) END,
+    ',"err":', err_txt, ',"page":', page_txt, ts_txt, '}}') AS value
+FROM fixed WHERE ch = 'error'
+"""
+
+LOG_DISPLAY_JSON = f"""
+WITH {ODS}, p AS (SELECT *, unnest(range(k % 3)) AS i FROM fixed WHERE ch <> 'signup')
+SELECT event_id, concat('{{"display_type":"query","item":"', event_id * 10 + i,
+    '","item_type":"sku_id","order":"', i + 1, '","page_id":"', page_id, '","pos_id":"', (k + i) % 5,
+    '","ts":', ts, '}}') AS value
+FROM p
+"""
+
+LOG_ACTION_JSON = f"""
+WITH {ODS}, p AS (SELECT *, unnest(range(k % 2)) AS i FROM fixed WHERE ch <> 'signup')
+SELECT event_id, concat('{{"action_id":"favor_add","item":"', event_id, '","item_type":"sku_id","page_id":"',
+    page_id, '","ts":', ts + 500 + i, '}}') AS value
+FROM p
+"""
+
 LOG_START = f"""
 WITH {ODS}
 SELECT event_id, mid, is_new_fixed AS is_new, start_txt AS start,
@@ -285,7 +345,7 @@ cart AS (
          '0' AS is_ordered, CAST(NULL AS VARCHAR) AS order_time, l_returnflag AS source_type,
          CAST(l_linenumber AS VARCHAR) AS source_id,
          epoch_us(l_shipdate) // 1000000 AS ts
-  FROM lineitem WHERE l_quantity <= 10
+  FROM lineitem
 )"""
 
 DIC = """
@@ -293,6 +353,10 @@ dic AS (SELECT * FROM (VALUES ('A', 'source A'), ('N', 'source N')) t(dic_code,
 
 CDC_CART = f"WITH {CART} SELECT * FROM cart"
 
+CDC_PARSE = f"""
+WITH {CART} SELECT *, CAST(0 AS BIGINT) AS xid, CAST(0 AS BIGINT) AS xoffset FROM cart
+"""
+
 CART_LOOKUP = f"""
 WITH {CART}, {DIC}
 SELECT id, user_id, sku_id, cart_price, sku_num, sku_name, is_checked, create_time,
@@ -389,6 +453,24 @@ cfg AS (
 )"""
 
 
+# A snapshot read before the first change: one row per user.
+CONFIG_PRELOAD = """
+pre AS (SELECT 'src_' || CAST(c_custkey AS VARCHAR) AS config_key, 'src_' || CAST(c_custkey AS VARCHAR) AS source_table,
+        'insert' AS source_type, 'pre_src_' || CAST(c_custkey AS VARCHAR) AS sink_table, 'dim' AS sink_type,
+        'id' AS sink_columns, 'id' AS sink_pk, CAST(NULL AS VARCHAR) AS sink_extend FROM customer),
+top AS (SELECT * FROM last WHERE rn = 1)
+SELECT config_key, source_table, source_type, sink_table, sink_type, sink_columns, sink_pk, sink_extend
+FROM top WHERE action = 'put'
+UNION ALL
+SELECT * FROM pre WHERE config_key NOT IN (SELECT config_key FROM top)
+"""
+
+
+def config_fold_preload(layer: str) -> str:
+    folded, _, _ = config_fold(layer).rpartition("\nSELECT config_key")
+    return folded + "," + CONFIG_PRELOAD
+
+
 def config_fold(layer: str, evict_moved: bool = False) -> str:
     key = ("source_table || '_' || source_type" if layer == "dwd" else "source_table")
     evict = ""
@@ -434,39 +516,44 @@ DIM_SOURCES = f"""
 dim_cells AS (
   SELECT {_cells("'dim_user_info' AS sink_table, 'id' AS sink_pk, 'user_info' AS \"table\", "
                  "'bootstrap-insert' AS type, CAST(1700000000 AS BIGINT) AS ts, "
-                 "CAST(c_custkey AS VARCHAR) AS id",
+                 "CAST(c_custkey AS VARCHAR) AS id, 0 AS xid",
                  ["id", "name", "nation_id", "balance", "segment", "phone_num"],
                  ["c_custkey", "c_name", "c_nationkey", "CAST(c_acctbal AS DECIMAL(18,2))",
                   "c_mktsegment", "NULL"])}
   FROM customer
   UNION ALL
   SELECT {_cells("'dim_user_info', 'id', 'user_info', 'update', CAST(1700000100 AS BIGINT), "
-                 "CAST(c_custkey AS VARCHAR)",
+                 "CAST(c_custkey AS VARCHAR), 1",
+                 ["id", "balance"], ["c_custkey", "CAST(c_acctbal + 9000 AS DECIMAL(18,2))"])}
+  FROM customer WHERE c_acctbal < 1000
+  UNION ALL
+  SELECT {_cells("'dim_user_info', 'id', 'user_info', 'update', CAST(1700000100 AS BIGINT), "
+                 "CAST(c_custkey AS VARCHAR), 2",
                  ["id", "balance"], ["c_custkey", "CAST(c_acctbal + 1000 AS DECIMAL(18,2))"])}
   FROM customer WHERE c_acctbal < 1000
   UNION ALL
   SELECT {_cells("'dim_sku_info', 'id', 'sku_info', 'insert', CAST(1700000000 AS BIGINT), "
-                 "CAST(p_partkey AS VARCHAR)",
+                 "CAST(p_partkey AS VARCHAR), 0",
                  ["id", "name", "brand", "size"], ["p_partkey", "p_name", "p_brand", "p_size"])}
   FROM part
   UNION ALL
   SELECT {_cells("'dim_base_trademark', 'id', 'base_trademark', 'insert', "
-                 "CAST(1700000000 AS BIGINT), CAST(s_suppkey AS VARCHAR)",
+                 "CAST(1700000000 AS BIGINT), CAST(s_suppkey AS VARCHAR), 0",
                  ["id", "tm_name"], ["s_suppkey", "s_name"])}
   FROM supplier
   UNION ALL
   SELECT {_cells("'dim_base_province', 'id', 'base_province', 'bootstrap-insert', "
-                 "CAST(1700000000 AS BIGINT), CAST(n_nationkey AS VARCHAR)",
+                 "CAST(1700000000 AS BIGINT), CAST(n_nationkey AS VARCHAR), 0",
                  ["id", "name", "region_id"], ["n_nationkey", "n_name", "n_regionkey"])}
   FROM nation
 )"""
 
-DIM_ROUTE = f"WITH {DIM_SOURCES} SELECT * FROM dim_cells"
+DIM_ROUTE = f"WITH {DIM_SOURCES} SELECT * EXCLUDE (xid) FROM dim_cells"
 
 DIM_UPSERT = f"""
 WITH {DIM_SOURCES},
 r AS (SELECT *, row_number() OVER (PARTITION BY sink_table, id, "column"
-                                   ORDER BY ts DESC, value DESC NULLS LAST) AS rn
+                                   ORDER BY ts DESC, xid DESC) AS rn
       FROM dim_cells)
 SELECT sink_table, id AS pk, "column", coalesce(value, '') AS value FROM r WHERE rn = 1
 """
@@ -477,7 +564,7 @@ SELECT {_cells("'dwd_trade_cart_add' AS sink_table, 'cart_info' AS \"table\", 'i
                ["id", "user_id", "sku_id", "sku_num", "source_type"],
                ["'cart-' || " + DETAIL_ID, "l_suppkey", "l_partkey", "CAST(l_quantity AS BIGINT)",
                 "l_returnflag"])}
-FROM lineitem WHERE l_quantity <= 10
+FROM lineitem
 UNION ALL
 SELECT {_cells("'dwd_trade_order_status', 'order_info', 'update', "
                "epoch_us(o_orderdate) // 1000000 + 86400, CAST(o_orderkey AS VARCHAR)",
@@ -493,6 +580,53 @@ SELECT {_cells("'dwd_tool_coupon_use', 'order_detail_coupon', 'insert', "
 FROM lineitem WHERE l_tax = 0
 """
 
+DIM_UPSERT_WIDE = f"""
+SELECT c_name AS name, {_amt('c_acctbal')} AS balance,
+       CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment
+FROM customer
+"""
+
+TOPIC_RECORDS = f"""
+SELECT 'dwd_trade_cart_add' AS topic, concat('{{"id":"cart-', {DETAIL_ID}, '","user_id":"', l_suppkey,
+    '","sku_id":"', l_partkey, '","sku_num":"', CAST(l_quantity AS BIGINT), '","source_type":"', l_returnflag,
+    '"}}') AS value
+FROM lineitem
+UNION ALL
+SELECT 'dwd_trade_order_status', concat('{{"id":"', o_orderkey, '","order_status":"1004","operate_time":"',
+    strftime(o_orderdate + INTERVAL 1 DAY, {DT}), '"}}')
+FROM orders WHERE o_orderstatus = 'F'
+UNION ALL
+SELECT 'dwd_tool_coupon_use', concat('{{"id":"cpn-', {DETAIL_ID}, '","order_id":"', l_orderkey,
+    '","coupon_id":"', l_suppkey, '","create_time":"', strftime(l_shipdate, {DT}), '"}}')
+FROM lineitem WHERE l_tax = 0
+"""
+
+CART_ADD_JSON = f"""
+WITH {CART}, {DIC}
+SELECT concat('{{"id":"', id, '","user_id":"', user_id, '","sku_id":"', sku_id, '","cart_price":"', cart_price,
+    '","sku_num":"', sku_num, '","sku_name":"', sku_name, '","is_checked":"', is_checked, '","create_time":"',
+    create_time, '","is_ordered":"', is_ordered, '","source_type":"', source_type, '","dic_name":"', dic_name,
+    '","source_id":"', source_id, '"}}') AS value
+FROM cart JOIN dic ON cart.source_type = dic.dic_code
+"""
+
+ORDER_DETAIL_UPSERT = f"""
+SELECT concat('{{"id":"', id, '"}}') AS key, id, order_id, dic_name, activity_id, coupon_id, total_amount
+FROM ({ORDER_DETAIL_WIDE})
+"""
+
+TRAFFIC_WINDOW_FROM_LOG = f"""
+WITH {ODS},
+pages AS (
+  SELECT *, CASE WHEN lag(d) OVER (PARTITION BY mid ORDER BY ts, event_id) IS DISTINCT FROM d THEN 1 ELSE 0 END AS uv,
+         ts - (ts % 3600000) AS w
+  FROM fixed WHERE ch <> 'signup')
+SELECT {_dt('w')} AS stt, {_dt('w + 3600000')} AS edt, vc, ch, ar, is_new_fixed AS isNew,
+       CAST(sum(uv) AS BIGINT) AS uvCt, CAST(sum(CASE WHEN last_page_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS svCt,
+       CAST(count(*) AS BIGINT) AS pvCt, CAST(sum(during_time) AS BIGINT) AS durSum
+FROM pages GROUP BY w, vc, ch, ar, is_new_fixed
+"""
+
 ENSURE_SCHEMA = f"""
 WITH folded AS ({config_fold('dim')}),
 s AS (
@@ -521,7 +655,7 @@ FROM f
 
 DICTIONARY_TERMS = f"""
 WITH {PAGE_LOG_ITEM},
-dict AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[a-z0-9]+')) AS term FROM part),
+dict AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}]+')) AS term FROM part),
 lens AS (SELECT DISTINCT length(term) AS len FROM dict),
 kw AS (SELECT event_id, lower(item) AS src FROM {KEYWORD_ROWS}),
 subs AS (SELECT event_id, src, len, unnest(range(1, length(src) - len + 2)) AS pos
@@ -531,6 +665,18 @@ FROM subs JOIN dict ON substring(src, pos, len) = dict.term
 """
 
 
+KEYWORD_TERMS = f"""
+WITH {PAGE_LOG_ITEM},
+dict AS (SELECT DISTINCT unnest(regexp_extract_all(lower(p_name), '[\\p{{L}}\\p{{N}}]+')) AS term FROM part),
+lens AS (SELECT DISTINCT length(term) AS len FROM dict),
+kw AS (SELECT ts - (ts % 3600000) AS w, lower(item) AS src FROM {KEYWORD_ROWS}),
+subs AS (SELECT w, src, len, unnest(range(1, length(src) - len + 2)) AS pos
+         FROM kw JOIN lens ON length(kw.src) >= lens.len)
+SELECT {_dt('w')} AS stt, {_dt('w + 3600000')} AS edt, dict.term AS keyword, CAST(count(*) AS BIGINT) AS keyword_count
+FROM subs JOIN dict ON substring(src, pos, len) = dict.term GROUP BY w, dict.term
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "traffic_window": traffic_window(10_000),
@@ -542,6 +688,8 @@ def oracle_sql() -> dict[str, str]:
         "keyword_window": keyword_window(10_000),
         "keyword_window_hourly": keyword_window(3_600_000),
         "keyword_window_sql": keyword_window(10_000),
+        "keyword_window_text": KEYWORD_TEXT,
+        "keyword_window_terms": KEYWORD_TERMS,
         "daily_uv": DAILY_UV,
         "home_detail_daily": home_detail_daily(False),
         "home_detail_daily_per_page": home_detail_daily(True),
@@ -555,9 +703,15 @@ def oracle_sql() -> dict[str, str]:
         "log_page": LOG_PAGE,
         "log_start": LOG_START,
         "log_error": LOG_ERROR,
+        "log_page_json": LOG_PAGE_JSON,
+        "log_start_json": LOG_START_JSON,
+        "log_error_json": LOG_ERROR_JSON,
+        "log_display_json": LOG_DISPLAY_JSON,
+        "log_action_json": LOG_ACTION_JSON,
         "log_display": LOG_DISPLAY,
         "log_action": LOG_ACTION,
         "cdc_cart": CDC_CART,
+        "cdc_parse": CDC_PARSE,
         "cart_lookup": CART_LOOKUP,
         "order_detail_wide": ORDER_DETAIL_WIDE,
         "config_fold": config_fold("dim"),
@@ -566,6 +720,12 @@ def oracle_sql() -> dict[str, str]:
         "dim_route": DIM_ROUTE,
         "dwd_route": DWD_ROUTE,
         "dim_upsert": DIM_UPSERT,
+        "dim_upsert_wide": DIM_UPSERT_WIDE,
+        "config_fold_preload": config_fold_preload("dim"),
+        "topic_records": TOPIC_RECORDS,
+        "cart_add_json": CART_ADD_JSON,
+        "order_detail_upsert": ORDER_DETAIL_UPSERT,
+        "traffic_window_from_log": TRAFFIC_WINDOW_FROM_LOG,
         "ensure_schema": ENSURE_SCHEMA,
         "time_functions": TIME_FUNCTIONS,
         "dictionary_terms": DICTIONARY_TERMS,

@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from flowmart import schemas
 from flowmart.functions import text, timefn
-from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, trade
+from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, parse, trade
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
+from flowmart.streaming import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +66,18 @@ def keyword_window_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dws.keyword_window(log, "1 hour", load_ts=False)
 
 
+def keyword_window_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keywords of whole documents (four languages) in one-minute windows."""
+    return dws.keyword_window(fx.text_log(Tables(spark, sf_dir)), "1 minute", load_ts=False)
+
+
+def keyword_window_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyword window in dictionary mode (U2): the words of part names as dictionary."""
+    t = Tables(spark, sf_dir)
+    vocab = t("part").select(F.explode(text.split_words("p_name")).alias("term"))
+    return dws.keyword_window(fx.page_log(t, with_item=True), "1 hour", dictionary=vocab, load_ts=False)
+
+
 def keyword_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyword window job written in SQL, as the reference writes it: a view of the page log
     (P16), the registered table function (U1) and a 10 s window (T3)."""
@@ -178,34 +191,44 @@ def log_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _log_layer(spark, sf_dir)["display"]
-    return d.select("event_id", F.col("display")["display_type"].alias("display_type"),
-                    F.col("display")["item"].alias("item"),
-                    F.col("display")["item_type"].alias("item_type"),
-                    F.col("display")["order"].alias("display_order"),
-                    F.col("display")["pos_id"].alias("pos_id"), "page_id", "ts")
+    x = lambda name: parse.field(F.col("display"), name)
+    return d.select("event_id", x("display_type").alias("display_type"), x("item").alias("item"),
+                    x("item_type").alias("item_type"), x("order").alias("display_order"),
+                    x("pos_id").alias("pos_id"), "page_id", "ts")
 
 
 def log_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _log_layer(spark, sf_dir)["action"]
-    return a.select("event_id", F.col("action")["action_id"].alias("action_id"),
-                    F.col("action")["item"].alias("item"),
-                    F.col("action")["item_type"].alias("item_type"),
-                    F.col("action")["ts"].alias("action_ts"), "page_id")
+    x = lambda name: parse.field(F.col("action"), name)
+    return a.select("event_id", x("action_id").alias("action_id"), x("item").alias("item"),
+                    x("item_type").alias("item_type"), x("ts").alias("action_ts"), "page_id")
+
+
+def _json_lines(kind: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return logsplit.json_outputs(_log_layer(spark, sf_dir))[kind]
+    query.__doc__ = f"The {kind} output of the log split as JSON lines."
+    return query
 
 
 def cdc_cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = fx.topic_db(Tables(spark, sf_dir), ["cart_info"])
+    feed = fx.topic_db(Tables(spark, sf_dir))
     return cdc.cdc_slice(feed, "cart_info", schemas.CART_INFO_COLS)
 
 
+def cdc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change feed read from its JSON lines (S3), every slice field from real maps."""
+    feed, _ = parse.parse_cdc(fx.topic_db_text(Tables(spark, sf_dir)))
+    return cdc.cdc_slice(feed, "cart_info", schemas.CART_INFO_COLS, keep=("ts", "xid", "xoffset"))
+
+
 def cart_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = fx.topic_db(Tables(spark, sf_dir), ["cart_info"])
+    feed = fx.topic_db(Tables(spark, sf_dir))
     return trade.cart_add(feed, fx.base_dic(spark))
 
 
 def order_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = fx.topic_db(Tables(spark, sf_dir), ["order_detail", "order_info",
-                                               "order_detail_activity", "order_detail_coupon"])
+    feed = fx.topic_db(Tables(spark, sf_dir))
     return trade.order_detail(feed, fx.base_dic(spark))
 
 
@@ -231,15 +254,8 @@ def _long(df: DataFrame, *cols: str) -> DataFrame:
                      F.explode("data").alias("column", "value"))
 
 
-def _feed_for(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
-    """The change feed restricted to the layer's configured source tables --
-    the same plan the routing join's pre-filter gives, built with fewer
-    branches."""
-    return fx.topic_db(Tables(spark, sf_dir), fx.configured_tables(layer))
-
-
 def _dim_routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _feed_for(spark, sf_dir, "dim")
+    feed = fx.topic_db(Tables(spark, sf_dir))
     return dim.route(feed, config.snapshot(fx.config_snapshot(spark), "dim"))
 
 
@@ -248,7 +264,7 @@ def dim_route(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dwd_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = _feed_for(spark, sf_dir, "dwd")
+    feed = fx.topic_db(Tables(spark, sf_dir))
     routed = dwd.route(feed, config.snapshot(fx.config_snapshot(spark), "dwd"))
     return _long(routed, "sink_table", "table", "type", "ts")
 
@@ -257,6 +273,54 @@ def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.upsert_fold(_dim_routed(spark, sf_dir))
 
 
+def dim_upsert_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 on one wide table whose key is not ``id``: routed cells merged into the table's rows."""
+    t = Tables(spark, sf_dir)
+    rules = fx.values_table(spark, [("user_info", None, "dim_user_by_name", "dim", "name,balance",
+                                     "name", None)], schemas.CONFIG)
+    cells = dim.upsert_fold(dim.route(fx.topic_db(t), config.snapshot(rules, "dim")))
+    current = t("customer").where("c_custkey % 2 = 0").select(
+        F.col("c_name").alias("name"), F.lit("0").alias("balance"), F.col("c_mktsegment").alias("segment"))
+    return dim.merge_into(current, cells, ["name", "balance", "segment"], "name")
+
+
+def config_fold_preload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fold over a snapshot read before the first change (here: one row per user)."""
+    t = Tables(spark, sf_dir)
+    key = F.concat(F.lit("src_"), F.col("c_custkey").cast("string"))
+    pre = t("customer").select(
+        key.alias("source_table"), F.lit("insert").alias("source_type"), F.concat(F.lit("pre_"), key).alias("sink_table"),
+        F.lit("dim").alias("sink_type"), F.lit("id").alias("sink_columns"), F.lit("id").alias("sink_pk"),
+        F.lit(None).cast("string").alias("sink_extend"))
+    return config.fold_changes(_config_changes(spark, sf_dir), "dim", seq=TIEBREAK, preload=pre)
+
+
+def topic_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the routed facts as JSON records of their topics."""
+    feed = fx.topic_db(Tables(spark, sf_dir))
+    return dwd.to_topic_records(dwd.route(feed, config.snapshot(fx.config_snapshot(spark), "dwd")))
+
+
+def cart_add_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3: cart additions as JSON lines."""
+    return sinks.kafka_value(cart_lookup(spark, sf_dir))
+
+
+def order_detail_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4: order details as keyed records of an upsert topic: the key and a few fields read back."""
+    wide = order_detail_wide(spark, sf_dir)
+    out = sinks.kafka_value(wide, key=["id"])
+    x = lambda name: F.get_json_object("value", f"$.{name}").alias(name)
+    return out.select("key", x("id"), x("order_id"), x("dic_name"), x("activity_id"), x("coupon_id"),
+                      x("total_amount"))
+
+
+def traffic_window_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chain of the log split and the traffic window: raw lines, repaired pages, metrics."""
+    page = _log_layer(spark, sf_dir)["page"]
+    return dws.traffic_window(page, "1 hour", session_field="last_page_id", tiebreak=TIEBREAK, load_ts=False)
+
+
 def ensure_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = dim.schema_rows(config_fold(spark, sf_dir))
     return rows.withColumn("position", F.col("position").cast("bigint"))
@@ -293,6 +357,8 @@ def queries() -> dict[str, Query]:
         "keyword_window": keyword_window,
         "keyword_window_hourly": keyword_window_hourly,
         "keyword_window_sql": keyword_window_sql,
+        "keyword_window_text": keyword_window_text,
+        "keyword_window_terms": keyword_window_terms,
         "daily_uv": daily_uv,
         "home_detail_daily": home_detail_daily,
         "home_detail_daily_per_page": home_detail_daily_per_page,
@@ -306,9 +372,11 @@ def queries() -> dict[str, Query]:
         "log_page": log_page,
         "log_start": log_start,
         "log_error": log_error,
+        **{f"log_{k}_json": _json_lines(k) for k in logsplit.OUTPUTS},
         "log_display": log_display,
         "log_action": log_action,
         "cdc_cart": cdc_cart,
+        "cdc_parse": cdc_parse,
         "cart_lookup": cart_lookup,
         "order_detail_wide": order_detail_wide,
         "config_fold": config_fold,
@@ -317,6 +385,12 @@ def queries() -> dict[str, Query]:
         "dim_route": dim_route,
         "dwd_route": dwd_route,
         "dim_upsert": dim_upsert,
+        "dim_upsert_wide": dim_upsert_wide,
+        "config_fold_preload": config_fold_preload,
+        "topic_records": topic_records,
+        "cart_add_json": cart_add_json,
+        "order_detail_upsert": order_detail_upsert,
+        "traffic_window_from_log": traffic_window_from_log,
         "ensure_schema": ensure_schema,
         "time_functions": time_functions,
         "dictionary_terms": dictionary_terms,

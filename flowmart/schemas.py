@@ -38,6 +38,9 @@ CDC = T.StructType([
     T.StructField("table", S),
     T.StructField("type", S),
     T.StructField("ts", L),
+    # transaction id and place in the transaction: the order of changes of one second
+    T.StructField("xid", L),
+    T.StructField("xoffset", L),
     T.StructField("data", STR_MAP),
     T.StructField("old", STR_MAP),
 ])

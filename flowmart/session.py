@@ -32,8 +32,8 @@ def build_session(
 
     * AQE on, with partition coalescing and skew-join splitting, so hot keys
       (a single mid or uid can carry a third of all rows) are split at run time.
-    * Joins broadcast only sides whose size is known: checked hints, or AQE's
-      measured shuffle output (static estimates from file sizes are not used).
+    * Joins broadcast only sides whose size in bytes is known to be small: fixed
+      tables by their statistics, others by AQE's measured shuffle output.
     * RocksDB state store: keyed state of the streaming processors lives off
       heap and is checkpointed incrementally.
     * UI off: no port is opened.
@@ -46,10 +46,9 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # broadcast only on measured sizes: no static broadcast from file-size
-        # estimates; AQE broadcasts a join side after its shuffle output is
-        # measured under the threshold.  Checked F.broadcast hints still apply.
-        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        # broadcasts follow sizes in bytes, never hints: small fixed tables at
+        # planning time, other sides once AQE has measured their shuffle output
+        .config("spark.sql.autoBroadcastJoinThreshold", "1MB")
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)

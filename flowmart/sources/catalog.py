@@ -2,56 +2,18 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-
-_SPLITS: dict[str, tuple[int | None, int]] = {}
 
 
 class Tables:
     """``Tables(spark, "/root/testdata/sf0.01")("events")`` -> DataFrame.
 
     Reads are lazy: Catalyst prunes columns and pushes filters into each scan.
-
-    A parquet file is split by row groups; a table written as one row group
-    is read by one task, which would run all the CPU work before the first
-    shuffle (JSON text, parsing, maps) on one core.  When a scan has fewer
-    splits than the cluster's default parallelism it is spread with a
-    hash repartition.  At warehouse scale scans have far more splits
-    than cores and this adds nothing.
     """
 
-    # a scan is spread only when each spread task gets at least this many rows
-    MIN_ROWS_PER_TASK = 5_000
-
-    def __init__(self, spark: SparkSession, sf_dir: str, min_partitions: int | None = None):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
-        if min_partitions is None:
-            try:
-                min_partitions = spark.sparkContext.defaultParallelism
-            except Exception:  # a remote (Connect) session has no SparkContext
-                min_partitions = 1
-        self.min_partitions = min_partitions
 
     def __call__(self, name: str) -> DataFrame:
-        path = os.path.join(self.sf_dir, f"{name}.parquet")
-        df = self.spark.read.parquet(path)
-        if self.min_partitions > 1:
-            if path not in _SPLITS:
-                try:
-                    # splits of the scan, and rows (parquet answers from footers)
-                    _SPLITS[path] = (df.rdd.getNumPartitions(), df.count())
-                except Exception:  # no RDD access (Connect): leave the scan as is
-                    _SPLITS[path] = (None, 0)
-            splits, rows = _SPLITS[path]
-            if (splits is not None and splits < self.min_partitions
-                    and rows >= self.MIN_ROWS_PER_TASK * self.min_partitions):
-                # hash of the key (first) column: deterministic on retry
-                # without the sort a round-robin repartition needs, and it
-                # references one column, so column pruning still reaches the scan
-                df = df.repartition(self.min_partitions, F.col(df.columns[0]))
-        return df
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

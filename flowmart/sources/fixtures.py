@@ -14,13 +14,12 @@ during_time = round(value * 100); item = name of part p_partkey = event_id mod
 
 Change feed (from ``orders`` / ``lineitem`` / ``customer`` / ``part`` /
 ``supplier``): order_info = orders; order_detail = lineitem; activity = lineitem
-with l_discount >= 0.05; coupon = lineitem with l_tax = 0; cart = lineitem with
-l_quantity <= 10; source_type = l_returnflag.  Amounts are decimal(18,2) text.
+with l_discount >= 0.05; coupon = lineitem with l_tax = 0; cart = lineitem;
+source_type = l_returnflag.  Amounts are decimal(18,2) text.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,6 +102,16 @@ def page_log(t: Tables, with_item: bool = False) -> DataFrame:
     return to_log_record(flat)
 
 
+def text_log(t: Tables) -> DataFrame:
+    """Search records whose keyword text is a whole document: one per second, from
+    ``documents``."""
+    return t("documents").select(
+        F.col("doc_id").alias("event_id"),
+        F.struct(F.lit("search").alias("last_page_id"), F.col("text").alias("item"),
+                 F.lit("keyword").alias("item_type")).alias("page"),
+        (F.lit(1_704_067_200_000) + F.col("doc_id") * 1000).alias("ts"))
+
+
 # --------------------------------------------------------------------------- ODS log text
 def _sql_list(n: str, element, max_n: int) -> str:
     """``[e(0),...,e(n-1)]`` for 0 < n <= max_n, else null (the key is left out)."""
@@ -129,10 +138,14 @@ def _action(i: int) -> str:
 ODS_PARTS_SQL = [
     "event_id", "k", "ch", "ts",
     "concat('{\"ar\":\"', ar, '\",\"ch\":\"', ch, '\",\"is_new\":\"', is_new, "
-    "'\",\"mid\":\"', mid, '\",\"uid\":\"', uid, '\",\"vc\":\"', vc, '\"}') AS common_txt",
-    "concat_ws('', '{\"during_time\":', CAST(during_time AS STRING), ',\"item_type\":\"keyword\"', "
+    "'\",\"md\":\"phone ', CAST(k % 2 AS STRING), '\",\"mid\":\"', mid, '\",\"uid\":', "
+    "CASE WHEN event_id % 11 = 4 THEN 'null' ELSE concat('\"', uid, '\"') END, "
+    "',\"vc\":\"', vc, '\"}') AS common_txt",
+    "concat_ws('', '{\"during_time\":', CASE WHEN event_id % 7 = 3 "
+    "THEN concat('\"', CAST(during_time AS STRING), '\"') ELSE CAST(during_time AS STRING) END, "
+    "',\"item_type\":\"keyword\"', "
     "CASE WHEN last_page_id IS NOT NULL THEN concat(',\"last_page_id\":\"', last_page_id, '\"') END, "
-    "',\"page_id\":\"', page_id, '\"}') AS page_txt",
+    "',\"page_id\":\"', page_id, '\",\"source_type\":\"s', CAST(k % 3 AS STRING), '\"}') AS page_txt",
     "concat('{\"entry\":\"icon\",\"loading_time\":', CAST(k * 10 AS STRING), '}') AS start_txt",
     "concat('{\"error_code\":', CAST(k AS STRING), ',\"msg\":\"e', CAST(k AS STRING), '\"}') AS err_txt",
     f"{_sql_list('k % 3', _display, 2)} AS disp_txt",
@@ -140,13 +153,14 @@ ODS_PARTS_SQL = [
 ]
 
 ODS_LINE_SQL = (
-    "concat_ws('', '{\"common\":', common_txt, "
+    "concat_ws('', '{\"app\":{\"n\":', CAST(k AS STRING), ',\"v\":[1,\"2\"]},\"common\":', common_txt, "
     "CASE WHEN ch <> 'signup' THEN concat(',\"page\":', page_txt) END, "
     "CASE WHEN ch = 'signup' THEN concat(',\"start\":', start_txt) END, "
     "CASE WHEN disp_txt IS NOT NULL THEN concat(',\"displays\":', disp_txt) END, "
     "CASE WHEN ch <> 'signup' AND act_txt IS NOT NULL THEN concat(',\"actions\":', act_txt) END, "
     "CASE WHEN ch = 'error' THEN concat(',\"err\":', err_txt) END, "
-    "',\"ts\":', CAST(ts AS STRING), '}')")
+    "CASE WHEN event_id % 50 = 23 THEN '' WHEN event_id % 7 = 5 "
+    "THEN concat(',\"ts\":\"', CAST(ts AS STRING), '\"') ELSE concat(',\"ts\":', CAST(ts AS STRING)) END, '}')")
 
 
 def ods_log_text(t: Tables) -> DataFrame:
@@ -154,13 +168,17 @@ def ods_log_text(t: Tables) -> DataFrame:
 
     signup events are start records, all others page records; error events
     carry ``err``; every record has k % 3 displays, page records k % 2 actions.
-    Every tenth line (by event id) is cut short, which makes it dirty JSON.
+    Every tenth line (by event id) is cut short, others have text after the
+    record or no time: dirty lines.  Some numbers are quoted, some uids null, and
+    every record has fields that no schema lists.
     Written as SQL expressions (plain CASE branches stay in codegen).
     """
     return (page_log_columns(t("events"), keep_k=True)
             .selectExpr(*ODS_PARTS_SQL)
             .selectExpr("event_id", f"{ODS_LINE_SQL} AS line")
             .selectExpr("event_id", "CASE WHEN event_id % 10 = 0 THEN substring(line, 1, length(line) - 1) "
+                        "WHEN event_id % 50 = 21 THEN concat(line, ' tail') "
+                        "WHEN event_id % 50 = 22 THEN concat(line, ']') "
                         "ELSE line END AS value"))
 
 
@@ -171,10 +189,12 @@ def _amount(c: Column) -> Column:
     return c.cast("decimal(18,2)").cast("string")
 
 
-def _change(table: str, ts: Column, data: Column, type_: Column | str = "insert") -> list[Column]:
+def _change(table: str, ts: Column, data: Column, type_: Column | str = "insert",
+            xid: int = 0) -> list[Column]:
     return [F.lit(DATABASE).alias("database"), F.lit(table).alias("table"),
             (F.lit(type_) if isinstance(type_, str) else type_).alias("type"),
-            ts.alias("ts"), data.alias("data"),
+            ts.alias("ts"), F.lit(xid).cast("bigint").alias("xid"),
+            F.lit(0).cast("bigint").alias("xoffset"), data.alias("data"),
             F.lit(None).cast(schemas.STR_MAP).alias("old")]
 
 
@@ -217,7 +237,7 @@ def _sql_map(**cols: str) -> str:
 
 def _sql_change(table: str, ts: str, data: str, type_: str = "insert") -> list[str]:
     return [f"'{DATABASE}' AS database", f"'{table}' AS `table`", f"'{type_}' AS type",
-            f"{ts} AS ts", f"{data} AS data", "CAST(NULL AS MAP<STRING,STRING>) AS old"]
+            f"{ts} AS ts", "CAST(0 AS BIGINT) AS xid", "CAST(0 AS BIGINT) AS xoffset", f"{data} AS data", "CAST(NULL AS MAP<STRING,STRING>) AS old"]
 
 
 def order_info_changes(t: Tables) -> DataFrame:
@@ -281,8 +301,7 @@ def order_coupon_changes(t: Tables) -> DataFrame:
 
 
 def cart_changes(t: Tables) -> DataFrame:
-    li = t("lineitem").where("l_quantity <= 10")
-    return _lineitem_changes(li, "cart_info", _sql_map(
+    return _lineitem_changes(t("lineitem"), "cart_info", _sql_map(
         id=f"concat('cart-', {DETAIL_ID})", user_id="l_suppkey",
         sku_id="l_partkey", cart_price=_sql_amount(PRICE),
         sku_num="CAST(l_quantity AS BIGINT)",
@@ -291,7 +310,7 @@ def cart_changes(t: Tables) -> DataFrame:
         is_ordered="'0'", source_type="l_returnflag", source_id="l_linenumber"))
 
 
-def dimension_changes(t: Tables, tables: set[str] | None = None) -> DataFrame:
+def dimension_changes(t: Tables) -> DataFrame:
     """Changes of dimension source tables (user_info, sku_info, base_trademark,
     base_province, base_region) with insert, update, bootstrap-insert and
     delete types.  Updates name only the columns they change."""
@@ -303,14 +322,17 @@ def dimension_changes(t: Tables, tables: set[str] | None = None) -> DataFrame:
             id=F.col("c_custkey"), name=F.col("c_name"), nation_id=F.col("c_nationkey"),
             balance=_amount(F.col("c_acctbal")), segment=F.col("c_mktsegment"),
             phone_num=F.lit(None).cast("string")), "bootstrap-insert"))
-        # a later partial update: only balance changes; id is the key
-        upd = c.where(F.col("c_acctbal") < 1000).select(*_change(
+        # two later partial updates in one second: only balance changes; id is the
+        # key; the second transaction is the last, whatever its value
+        low = c.where(F.col("c_acctbal") < 1000)
+        upd = [low.select(*_change(
             "user_info", t0 + 100, _kv(
-                id=F.col("c_custkey"), balance=_amount(F.col("c_acctbal") + 1000)), "update"))
+                id=F.col("c_custkey"), balance=_amount(F.col("c_acctbal") + more)), "update", xid))
+            for xid, more in ((1, 9000), (2, 1000))]
         # deletes are never routed to a dimension
         dele = c.where(F.col("c_mktsegment") == "BUILDING").select(*_change(
             "user_info", t0 + 200, _kv(id=F.col("c_custkey")), "delete"))
-        return [boot, upd, dele]
+        return [boot, *upd, dele]
 
     def skus() -> list[DataFrame]:
         p = t("part")
@@ -336,34 +358,25 @@ def dimension_changes(t: Tables, tables: set[str] | None = None) -> DataFrame:
         return [r.select(*_change("base_region", t0, _kv(
             id=F.col("r_regionkey"), region_name=F.col("r_name")), "insert"))]
 
-    builders = {"user_info": users, "sku_info": skus, "base_trademark": marks,
-                "base_province": provinces, "base_region": regions}
-    want = tables if tables is not None else set(builders)
-    return reduce(DataFrame.unionByName, [df for k, fn in builders.items() if k in want
-                                          for df in fn()])
+    return reduce(DataFrame.unionByName,
+                  [df for fn in (users, skus, marks, provinces, regions) for df in fn()])
 
 
-FEED_TABLES = ("order_info", "order_detail", "order_detail_activity", "order_detail_coupon",
-               "cart_info", "user_info", "sku_info", "base_trademark", "base_province",
-               "base_region")
-DIMENSION_TABLES = ("user_info", "sku_info", "base_trademark", "base_province", "base_region")
+def topic_db(t: Tables) -> DataFrame:
+    """The change feed: changes of all tables.
 
+    A slice's filter on ``table`` prunes the other branches at planning time
+    (each branch's table is a literal).
+    """
+    return reduce(DataFrame.unionByName, [
+        order_info_changes(t), order_detail_changes(t), order_activity_changes(t),
+        order_coupon_changes(t), cart_changes(t), dimension_changes(t)])
 
-def topic_db(t: Tables, tables: Sequence[str] | None = None) -> DataFrame:
-    """The change feed (all tables, or only ``tables``).
 
-    A slice filter on ``table`` prunes the other branches at planning time
-    (each branch's table is a literal), so naming the tables a query reads
-    gives the same plan while building fewer branches on the driver.
-    """
-    want = set(tables if tables is not None else FEED_TABLES)
-    builders = [("order_info", order_info_changes), ("order_detail", order_detail_changes),
-                ("order_detail_activity", order_activity_changes),
-                ("order_detail_coupon", order_coupon_changes), ("cart_info", cart_changes)]
-    parts = [fn(t) for name, fn in builders if name in want]
-    if want & set(DIMENSION_TABLES):
-        parts.append(dimension_changes(t, want))
-    return reduce(DataFrame.unionByName, parts)
+def topic_db_text(t: Tables) -> DataFrame:
+    """The change feed as its JSON lines: ``value``."""
+    record = F.struct("database", "table", "type", "ts", "xid", "xoffset", "data")
+    return topic_db(t).select(F.to_json(record).alias("value"))
 
 
 # --------------------------------------------------------------------------- lookups / config
@@ -388,11 +401,6 @@ CONFIG_ROWS = [
 ]
 
 
-def configured_tables(layer: str) -> list[str]:
-    """Source tables the fixed configuration routes for ``layer``."""
-    return sorted({r[0] for r in CONFIG_ROWS if r[3] == layer})
-
-
 def _sql_literal(v) -> str:
     if v is None:
         return "NULL"

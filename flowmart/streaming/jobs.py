@@ -10,24 +10,27 @@ checkpoints every 5 s; here that is the default trigger interval.
 from __future__ import annotations
 
 import os
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowmart import schemas
-from flowmart.operators import dws, logsplit, parse
+from flowmart.operators import config, dim, dwd, dws, logsplit, parse, trade
 from flowmart.session import CHECKPOINT_INTERVAL, DEFAULT_TZ, checkpoint_dir
-from flowmart.streaming import sinks
+from flowmart.streaming import sinks, versions
 from flowmart.streaming.processors import fix_is_new_stream
 
+# The topics of the log split.
+LOG_TOPICS = {k: f"dwd_traffic_{k}_log" for k in logsplit.OUTPUTS}
+
 
 def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | None = None,
           fmt: str | None = None, path: str | None = None, output_mode: str = "append",
           trigger: str | None = CHECKPOINT_INTERVAL, available_now: bool = False,
           checkpoint: str | None = None, options: dict[str, str] | None = None,
-          ) -> StreamingQuery:
+          partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Start a query with a checkpoint under the shared checkpoint dir.
 
     ``sink`` is a ``foreachBatch`` function; else ``fmt``/``path`` name a
@@ -38,6 +41,8 @@ def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | Non
     w = df.writeStream.queryName(name).outputMode(output_mode).option("checkpointLocation", ckpt)
     for k, v in (options or {}).items():
         w = w.option(k, v)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
     if available_now:
         w = w.trigger(availableNow=True)
     elif trigger:
@@ -49,123 +54,249 @@ def start(df: DataFrame, name: str, sink: Callable[[DataFrame, int], None] | Non
     return w.start(path) if path else w.start()
 
 
+def _to(df: DataFrame, name: str, path: str | None, bootstrap: str | None,
+        partition_by: tuple[str, ...] = (), **start_kw) -> StreamingQuery:
+    """Stream rows to Kafka or to files: Spark's file sink commits each batch once, in its own
+    log, so a replay adds nothing."""
+    if bootstrap:
+        return start(df, name, fmt="kafka", options={"kafka.bootstrap.servers": bootstrap}, **start_kw)
+    return start(df, name, fmt="parquet", path=path, partition_by=partition_by, **start_kw)
+
+
+# ---- log split
+
 def log_layer_stream(raw: DataFrame, value: str = "value", tiebreak: str | None = None,
                      tz: str = DEFAULT_TZ, delay: str = "2 seconds",
                      ) -> tuple[DataFrame, DataFrame]:
     """The log-split job on a stream: (repaired records, dirty lines).
 
-    Records are parsed, then is_new is repaired by mid with keyed state (T5);
-    each output row keeps the raw text, which :func:`split_batch` parses into
-    the five outputs per micro-batch.  Dirty lines (malformed, or missing a
-    required field) bypass the state.
+    is_new is repaired by mid with keyed state (T5); a row keeps its raw text
+    beside the few fields the state needs, and :func:`log_lines` makes the outputs
+    of it.  Dirty lines (malformed, or missing a required field) bypass the state.
     """
     keep = [c for c in raw.columns if c != value]
-    p = parse.parse_json(raw.where(F.col(value).isNotNull() & (F.trim(F.col(value)) != "")),
-                         schemas.LOG, value)
-    ok = F.col("_corrupt_record").isNull() & F.col("_rec").isNotNull()
-    for c in (F.col("_rec.common.mid").isNotNull(), F.col("_rec.common.is_new").isNotNull(),
-              F.col("_rec.start").isNotNull() | F.col("_rec.page").isNotNull()):
-        ok = ok & F.coalesce(c, F.lit(False))
-    dirty = p.where(~ok).select(*keep, value)
-    good = p.where(ok).select(
-        *keep, F.col(value), F.col("_rec.common.mid").alias("mid_key"),
-        F.col("_rec.common.is_new").alias("is_new_raw"), F.col("_rec.ts").alias("ts"))
-    good = good.withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay)
-    return fix_is_new_stream(good, "mid_key", "is_new_raw", "ts", tz, tiebreak), dirty
-
-
-def split_batch(batch: DataFrame, value: str = "value") -> dict[str, DataFrame]:
-    """The five outputs of one micro-batch of repaired records."""
-    keep = [c for c in batch.columns if c not in (value, "mid_key", "is_new_raw", "ts", "rt", "fm_fixed")]
-    p = parse.parse_json(batch, schemas.LOG, value)
-    rec = p.select(*keep, "fm_fixed",
-                   *[F.col(f"_rec.{f.name}").alias(f.name) for f in schemas.LOG.fields])
-    rec = rec.withColumn("common", F.col("common").withField("is_new", F.col("fm_fixed")))
-    return logsplit.split_log(rec.drop("fm_fixed"))
-
-
-def run_log_split(raw: DataFrame, out_dir: str, name: str = "base_log",
-                  tiebreak: str | None = None, checkpoint: str | None = None,
-                  **start_kw) -> list[StreamingQuery]:
-    """R1 as a job: one parse per micro-batch, five outputs written from one
-    ``foreachBatch`` (the batch is persisted once), dirty lines by a second,
-    stateless query."""
+    r = F.col(parse.RECORD)
+    good, dirty = parse.split_valid(raw, parse.log_complete(r), value)
+    rows = good.select(
+        *keep, F.col(value), parse.field(r, "common", path="$.mid").alias("mid_key"),
+        parse.field(r, "common", path="$.is_new").alias("is_new_raw"),
+        parse.field(r, "ts", "bigint").alias("ts"))
+    rows = rows.withColumn("rt", F.timestamp_millis("ts")).withWatermark("rt", delay)
+    return fix_is_new_stream(rows, "mid_key", "is_new_raw", "ts", tz, tiebreak), dirty.select(*keep, value)
+
+
+def log_lines(records: DataFrame, value: str = "value") -> DataFrame:
+    """The five outputs of repaired records in one pass: ``topic``, ``kind``, ``value`` (JSON).  One
+    parse per record; each record gives its lines as one array."""
+    p = parse.with_record(records, value)
+    r = F.col(parse.RECORD)
+    p = p.select("fm_fixed", parse.RECORD, *parse.log_fields(r))
+    p = logsplit.with_flag(p.withColumn("common", F.col("common").withField("is_new", F.col("fm_fixed"))))
+
+    def line(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(LOG_TOPICS[kind]).alias("topic"), F.lit(kind).alias("kind"), text.alias("value"))
+
+    def without(*names: str) -> Column:
+        return parse.json_text(F.map_filter(r, lambda k, v: ~k.isin(*names)))
+
+    page_id, none = F.col("page.page_id"), F.array().cast("array<struct<topic:string,kind:string,value:string>>")
+    display = F.transform("displays", lambda x: line("display", parse.json_text(
+        parse.put(x, page_id=page_id, ts=F.col("ts")))))
+    action = F.transform("actions", lambda x: line("action", parse.json_text(parse.put(x, page_id=page_id))))
+    error = F.when(F.col("err").isNotNull(), F.array(line("error", parse.json_text(r)))).otherwise(none)
+    start_ = F.array(line("start", without("err")))
+    page = F.concat(F.array(line("page", without("err", "displays", "actions"))),
+                    F.coalesce(display, none), F.coalesce(action, none))
+    lines = F.concat(error, F.when(F.col("start").isNotNull(), start_).otherwise(page))
+    return p.select(F.inline(lines))
+
+
+def run_log_split(raw: DataFrame, out_dir: str | None = None, name: str = "base_log",
+                  bootstrap: str | None = None, tiebreak: str | None = None,
+                  checkpoint: str | None = None, **start_kw) -> list[StreamingQuery]:
+    """R1 as a job: the five outputs as JSON lines, to Kafka topics (``bootstrap``) or to files
+    under ``out_dir`` (one ``kind=`` folder each), from one query that parses each record once
+    for its state and once for its lines; dirty lines by a second, stateless query."""
     records, dirty = log_layer_stream(raw, tiebreak=tiebreak)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # each micro-batch owns one ``batch_id`` partition per output, written
-        # by dynamic overwrite: a replayed batch replaces its rows (exactly once)
-        batch.persist()
-        try:
-            for kind, df in split_batch(batch).items():
-                (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-                 .parquet(os.path.join(out_dir, kind)))
-        finally:
-            batch.unpersist()
-
     base = checkpoint or checkpoint_dir(raw.sparkSession, os.path.join("streams", name))
-    q1 = start(records, name, sink=write, checkpoint=os.path.join(base, "records"), **start_kw)
-    q2 = start(dirty, f"{name}_dirty", fmt="parquet", path=os.path.join(out_dir, "dirty"),
+    lines = log_lines(records)
+    q1 = _to(lines.drop("kind") if bootstrap else lines, name,
+             f"{out_dir}/lines", bootstrap, ("kind",), checkpoint=os.path.join(base, "records"), **start_kw)
+    q2 = start(dirty, f"{name}_dirty", fmt="parquet", path=f"{out_dir or base}/dirty",
                checkpoint=os.path.join(base, "dirty"), **start_kw)
     return [q1, q2]
 
 
+# ---- configuration
+
 def run_config_state(changes: DataFrame, path: str, layer: str = "dim", name: str = "config",
-                     evict_moved: bool = False, **start_kw) -> StreamingQuery:
-    """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes
-    into the configuration table at ``path``.  The stored table plays the
-    preload: a key without a change keeps its row, a delete removes it.  The
-    folded rows are checkpointed (cutting the read of ``path``) before the
-    table is overwritten; a replayed batch folds to the same rows."""
-    from flowmart.operators import config as cfg
+                     evict_moved: bool = False, snapshot: DataFrame | None = None,
+                     tables_base: str | None = None, **start_kw) -> StreamingQuery:
+    """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes into the next
+    version of the configuration table under ``path``.
+
+    ``snapshot`` (R10) is the table as it is before the first change; it is written as the first
+    version before the query starts.  Batch n writes version n + 1 from the version before it, so
+    a crash leaves the old version in place and a replay rewrites the same one.  Changes of one
+    millisecond apply in the order of the batch.  With ``tables_base`` (K5) the dimension table of
+    every row is created there when the row arrives.
+    """
+    spark = changes.sparkSession
+    if snapshot is not None and versions.newest(spark, path) is None:
+        versions.write(config.snapshot(snapshot, layer), path, 0)
+        _create_tables(spark, path, tables_base)
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        prev = _read_or_none(spark, path)
-        state = cfg.fold_changes(batch, layer, evict_moved=evict_moved,
-                                 preload=prev.drop("config_key") if prev is not None else None)
-        checkpoint_dir(spark)
-        state.checkpoint(eager=True).write.mode("overwrite").parquet(path)
+        prev = versions.read(batch.sparkSession, path, before=batch_id + 1)
+        state = config.fold_changes(
+            batch.withColumn("_seq", F.monotonically_increasing_id()), layer, evict_moved=evict_moved,
+            seq="_seq", preload=prev.drop("config_key") if prev is not None else None)
+        versions.write(state, path, batch_id + 1)
+        _create_tables(batch.sparkSession, path, tables_base)
 
     return start(changes, name, sink=fold, **start_kw)
 
 
-def _read_or_none(spark, path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _create_tables(spark: SparkSession, path: str, tables_base: str | None) -> None:
+    if tables_base:
+        # one row per configured table
+        for r in versions.read(spark, path).toLocalIterator():
+            dim.ensure_table(spark, r.sink_table, r.sink_columns, r.sink_pk, f"{tables_base}/{r.sink_table}")
+
+
+def current_config(spark: SparkSession, path: str, wait_s: float = 600) -> DataFrame:
+    """The newest configuration.  Waits for a first version; if none comes, the batch fails and
+    is read again later: its changes are never passed over."""
+    until = time.time() + wait_s
+    while (table := versions.read(spark, path)) is None:
+        if time.time() >= until:
+            raise RuntimeError(f"no configuration under {path} yet")
+        time.sleep(1)
+    return table
+
 
+# ---- change feed jobs
 
 def run_dim_app(feed: DataFrame, config_path: str, dims_base: str, name: str = "dim_app",
-                **start_kw) -> StreamingQuery:
+                wait_s: float = 600, **start_kw) -> StreamingQuery:
     """The dimension job (J4): each micro-batch of the change feed is routed with
     the configuration table as it is now -- read fresh per batch, as broadcast
-    state is current when a record arrives -- and upserted into the dimension
-    store (K6)."""
+    state is current when a record arrives -- and its cells are appended to the
+    dimension store (K6)."""
 
-    def route_and_upsert(batch: DataFrame, batch_id: int) -> None:
-        config = _read_or_none(batch.sparkSession, config_path)
-        if config is None:
-            return
-        sinks.dim_upsert_batch(batch, batch_id, config, dims_base)
+    def route_and_append(batch: DataFrame, batch_id: int) -> None:
+        rules = current_config(batch.sparkSession, config_path, wait_s)
+        sinks.append_cells(dim.route(batch, rules), batch_id, dims_base)
+
+    return start(feed, name, sink=route_and_append, **start_kw)
+
+
+def run_fact_routing(feed: DataFrame, config_path: str, path: str | None = None,
+                     bootstrap: str | None = None, name: str = "fact_routing",
+                     wait_s: float = 600, **start_kw) -> StreamingQuery:
+    """The fact-routing job (R8, K2): every configured change as a JSON record of its own topic, to
+    Kafka or to files (one folder per topic and batch)."""
+
+    def route(batch: DataFrame, batch_id: int) -> None:
+        rules = current_config(batch.sparkSession, config_path, wait_s)
+        records = dwd.to_topic_records(dwd.route(batch, rules))
+        if bootstrap:
+            sinks.write_kafka(records, bootstrap)
+        else:
+            sinks.write_routed_files(records, path, batch_id)
+
+    return start(feed, name, sink=route, **start_kw)
+
+
+def run_cart_add(feed: DataFrame, dic: DataFrame, path: str | None = None, bootstrap: str | None = None,
+                 name: str = "cart_add", topic: str = "dwd_trade_cart_add", **start_kw) -> StreamingQuery:
+    """The cart-add job: cart additions with their source name, as JSON lines."""
+    rows = sinks.kafka_value(trade.cart_add(feed, dic)).withColumn("topic", F.lit(topic))
+    return _to(rows, name, path, bootstrap, **start_kw)
 
-    return start(feed, name, sink=route_and_upsert, **start_kw)
+
+ORDER_BUCKETS = 64
+
+
+def run_order_detail(feed: DataFrame, dic: DataFrame, base: str, name: str = "order_detail",
+                     bootstrap: str | None = None, topic: str = "dwd_trade_order_detail",
+                     **start_kw) -> StreamingQuery:
+    """The order-detail job (J1, J2, T15): an upsert by detail id, with no bound on how late a part
+    may come.
+
+    Each micro-batch appends its slices to a store, partitioned by a bucket of the order id and by
+    batch; then the wide rows of every order that the batch touches are made anew from the store (only
+    the touched buckets are read) and written as this batch's upserts.  A late activity, coupon or
+    order corrects the rows already written; the last row of an id is the valid one
+    (:func:`order_details`).  A replayed batch rewrites its own partitions.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        ids = None
+        for kind, (rows, order_id) in trade.slices(batch).items():
+            rows = rows.withColumn("bucket", F.pmod(F.xxhash64(order_id), F.lit(ORDER_BUCKETS)))
+            sinks.write_batch_files(rows, batch_id, f"{base}/slices/{kind}", ["bucket"])
+            own = rows.select(F.col(order_id).alias("_order"), "bucket").distinct()
+            ids = own if ids is None else ids.unionByName(own)
+        ids = ids.distinct()
+        touched = [r[0] for r in ids.select("bucket").distinct().collect()]  # at most ORDER_BUCKETS
+        if not touched:
+            return
+        parts = {}
+        for kind, (rows, order_id) in trade.slices(batch).items():
+            path = f"{base}/slices/{kind}"
+            stored = rows.limit(0)
+            if versions.folders(spark, path, "bucket="):
+                stored = (spark.read.parquet(path).where(F.col("bucket").isin(touched))
+                          .where(F.col(sinks.BATCH) <= batch_id).select(*rows.columns))
+            parts[kind] = stored.join(ids.select(F.col("_order").alias(order_id)), order_id, "left_semi")
+        wide = trade.join_slices(parts, dic)
+        if bootstrap:
+            sinks.write_kafka(sinks.kafka_value(wide, key=["id"]), bootstrap, topic)
+        else:
+            sinks.write_batch_files(wide, batch_id, f"{base}/rows")
+
+    return start(feed, name, sink=upsert, **start_kw)
+
+
+def order_details(spark: SparkSession, base: str) -> DataFrame:
+    """The order-detail table: the last upsert of every id."""
+    rows = spark.read.parquet(f"{base}/rows")
+    return sinks.latest_per_key(rows, ["id"], [sinks.BATCH]).drop(sinks.BATCH)
+
+
+# ---- late rows
+
+def late_rows(query: StreamingQuery, every_s: float = 5) -> Iterator[int]:
+    """Rows the query's stateful operators have dropped as late (behind the watermark), counted
+    from its first batch seen to the end: one running total per progress report.  Spark keeps
+    only the newest reports, so this is read while the query runs (the reference drops late rows
+    silently)."""
+    seen, total = -1, 0
+    while True:
+        active = query.isActive
+        for p in query.recentProgress:
+            if p["batchId"] > seen:
+                seen = p["batchId"]
+                total += sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
+                             for op in p.get("stateOperators", []))
+                yield total
+        if not active:
+            return
+        time.sleep(every_s)
 
 
 def dropped_late_rows(query: StreamingQuery) -> int:
-    """Rows the query's stateful operators dropped as late (behind the
-    watermark), summed over the recent progress reports.  The reference
-    drops late rows silently; here they are counted."""
+    """The last total of :func:`late_rows` of a query that has ended."""
     total = 0
-    for p in query.recentProgress:
-        for op in p.get("stateOperators", []):
-            total += int(op.get("numRowsDroppedByWatermark", 0) or 0)
+    for total in late_rows(query, 0):
+        pass
     return total
 
 
+# ---- window jobs
+
 DWS_JOBS = {
     "keyword": dws.keyword_window,
     "home_detail": dws.home_detail_window,
@@ -180,16 +311,13 @@ def run_dws_job(log: DataFrame, kind: str, name: str | None = None,
     """The four DWS jobs (keyword, home/detail, traffic and login windows) on a page-log stream
     (:func:`flowmart.sources.streams.read_page_log`): the windowed metric,
     appended once its window closes, written per micro-batch to a JDBC table
-    (K7: ``jdbc={"url":..., "table":...}``) or to parquet under ``path``
-    (one partition per micro-batch, replay-safe)."""
+    (K7: ``jdbc={"url":..., "table":...}``) or by Spark's file sink under ``path``."""
     result = DWS_JOBS[kind](log, size)
+    if jdbc is None:
+        return start(result, name or f"dws_{kind}", fmt="parquet", path=path, **start_kw)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        if jdbc is not None:
-            sinks.write_jdbc(batch, jdbc["url"], jdbc["table"],
-                             properties=jdbc.get("properties"))
-        else:
-            (batch.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+        sinks.write_jdbc(batch, jdbc["url"], jdbc["table"], properties=jdbc.get("properties"),
+                         batch_id=batch_id if jdbc.get("with_batch_id") else None)
 
     return start(result, name or f"dws_{kind}", sink=write, **start_kw)

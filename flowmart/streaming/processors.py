@@ -7,9 +7,10 @@ One processor covers the four uses of the reference's ValueState:
 * ``login``       (T8) only first rows, + uu / back (>= 8 days since last);
 * ``fix``         (T5) every row, is_new rewritten against the key's first day.
 
-Rows of one key in one micro-batch are ordered by (ts, tiebreak) before the
-state is applied: event order within a batch, arrival order across batches,
-as the reference (Q14 behaves the same).  State lives in the RocksDB store;
+Rows of one key come in chunks of bounded size, each ordered by (ts, tiebreak)
+before the state is applied: event order within a chunk, arrival order across
+chunks and batches, as in the reference (Q14 behaves the same: an earlier date in a
+later chunk counts again).  Memory does not grow with a key's rows.  State lives in the RocksDB store;
 ``ttl_ms`` clears a key's state by an event-time timer (T9), never by wall
 clock, so replays give the same result.  Inputs must carry a watermark on
 ``rt``; the output keeps ``rt`` as its event-time column so windows can follow.
@@ -63,7 +64,11 @@ class LastDateProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame],
                         timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
+        for pdf in rows:
+            if len(pdf):
+                yield from self._apply(pdf)
+
+    def _apply(self, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         order = ["ts"] + ([self.tiebreak] if self.tiebreak else [])
         pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
         days = pdf["fm_day"].astype(object)
@@ -83,9 +88,11 @@ class LastDateProcessor(StatefulProcessor):
         first = prev.isna() | (prev != days)
         self.last.update((days.iloc[-1],))
         if self.ttl_ms:
+            end = int(pdf["ts"].max()) + self.ttl_ms
             for t in list(self.handle.listTimers()):
+                end = max(end, t)
                 self.handle.deleteTimer(t)
-            self.handle.registerTimer(int(pdf["ts"].max()) + self.ttl_ms)
+            self.handle.registerTimer(end)
 
         if self.mode == "flag":
             pdf["fm_flag"] = first.astype("int64")

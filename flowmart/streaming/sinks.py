@@ -1,52 +1,66 @@
-"""Sinks (K1-K10): Kafka topics, per-row topics, JDBC batches, keyed upserts.
+"""Sinks (K1-K10): Kafka records, per-topic files, JDBC batches, keyed upserts.
 
-Writes that must survive executor loss and restarts go through the query
-checkpoint; keyed upserts are idempotent per micro-batch (a replayed batch
-rewrites the same rows), which turns Spark's at-least-once delivery into an
-exactly-once table state.
+File sinks own one partition per micro-batch and overwrite it, or write whole
+versions: a replayed batch puts the same rows in the same place.  Kafka and JDBC
+appends are at-least-once; their rows carry a key (or the batch id) to dedupe by.
 """
 
 from __future__ import annotations
 
-import os
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.operators import dim
+from flowmart.streaming import versions
 
+BATCH = "batch_id"
 
-def kafka_value(df: DataFrame, drop: Sequence[str] = ()) -> DataFrame:
-    """Each row as JSON text in ``value`` (null fields left out)."""
+
+def kafka_value(df: DataFrame, drop: Sequence[str] = (), key: Sequence[str] = ()) -> DataFrame:
+    """Each row as JSON text in ``value`` (null fields left out).  ``key``
+    (K4) adds the message key, the JSON text of these fields: an upsert topic keeps
+    the last message of each."""
     cols = [c for c in df.columns if c not in set(drop) | {"topic"}]
     out = [F.to_json(F.struct(*cols), {"ignoreNullFields": "true"}).alias("value")]
+    if key:
+        out.insert(0, F.to_json(F.struct(*key)).alias("key"))
     if "topic" in df.columns:
         out.insert(0, F.col("topic"))
     return df.select(*out)
 
 
-def kafka_writer(df: DataFrame, bootstrap: str, topic: str | None = None):
-    """K1 (fixed topic) / K2 (``topic`` column per row): a configured
-    ``DataStreamWriter``; call ``.option("checkpointLocation", ...).start()``.
-    Spark's Kafka sink is at-least-once; consumers dedupe on the key."""
-    w = df.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-    return w.option("topic", topic) if topic else w
+def write_kafka(batch: DataFrame, bootstrap: str, topic: str | None = None) -> None:
+    """K1 (fixed topic) / K2 (``topic`` column per row): ``[topic,] [key,] value`` rows of a
+    micro-batch.  At-least-once: consumers dedupe on the key."""
+    w = batch.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+    (w.option("topic", topic) if topic else w).save()
+
+
+def write_batch_files(batch: DataFrame, batch_id: int, path: str, by: Sequence[str] = ()) -> None:
+    """Rows of one micro-batch as Parquet, in partitions ``by`` and the batch id; a replayed batch
+    replaces its own rows."""
+    (batch.withColumn(BATCH, F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*by, BATCH).parquet(path))
 
 
-def write_routed_files(batch: DataFrame, path: str, topic_col: str = "topic") -> None:
+def write_routed_files(batch: DataFrame, path: str, batch_id: int, topic_col: str = "topic") -> None:
     """K2, file form: one folder per topic (``topic=<name>``)."""
-    batch.write.mode("append").partitionBy(topic_col).parquet(path)
+    write_batch_files(batch, batch_id, path, [topic_col])
 
 
 def write_jdbc(batch: DataFrame, url: str, table: str, columns: Sequence[str] | None = None,
-               transient: Sequence[str] = (), batch_size: int = 5,
+               transient: Sequence[str] = (), batch_size: int = 1000, batch_id: int | None = None,
                properties: dict[str, str] | None = None) -> None:
-    """K7 + K8 + K10: append rows to a JDBC table, fields bound by position
-    (``columns`` order), transient fields left out."""
+    """K7 + K8 + K10: append rows to a JDBC table, fields bound by position (``columns`` order),
+    transient fields left out.  With ``batch_id`` the rows carry it in a last column, so that a
+    replayed batch can be told apart (an append itself is at-least-once)."""
     cols = [c for c in (columns or batch.columns) if c not in set(transient)]
-    w = (batch.select(*cols).write.format("jdbc").option("url", url).option("dbtable", table)
+    rows = batch.select(*cols)
+    if batch_id is not None:
+        rows = rows.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    w = (rows.write.format("jdbc").option("url", url).option("dbtable", table)
          .option("batchsize", str(batch_size)))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
@@ -54,108 +68,67 @@ def write_jdbc(batch: DataFrame, url: str, table: str, columns: Sequence[str] |
 
 
 def latest_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The last row per key within a batch (ties: first by the order columns)."""
-    w = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in order])
-    return batch.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The last row per key by the order columns: a partial aggregate, so a hot key is combined
+    before the shuffle."""
+    row = F.struct(*batch.columns)
+    return (batch.groupBy(*key).agg(F.max_by(row, F.struct(*order)).alias("_r"))
+            .select("_r.*").select(*batch.columns))
 
 
 def upsert_versioned(batch: DataFrame, base: str, key: Sequence[str], batch_id: int,
-                     order: Sequence[str] = ()) -> str:
-    """K4 for small tables: merge ``batch`` into the table under ``base`` by
-    key (new rows win) and write the result to ``base/v=<batch_id>``; the
-    newest complete version is the table.  Spark cannot overwrite a path it
-    reads, and a replayed batch id rewrites the same version, so the upsert
-    is idempotent.  Each version is a full copy: for large tables use
-    :func:`upsert_bucketed`.  Versions are listed on a local or mounted file
-    system.
-    """
+                     order: Sequence[str] = ()) -> None:
+    """K4 for small tables: merge ``batch`` into the newest version before this batch by key (new
+    rows win) and write the result as this batch's version.  A replayed batch rewrites the same
+    version.  Each version is a full copy."""
     new = latest_per_key(batch, key, order) if order else batch.dropDuplicates(list(key))
-    # merge into the newest version *before* this batch: a replayed batch id
-    # then rebuilds exactly the same version
-    current = current_version(base, before=batch_id)
-    spark = batch.sparkSession
-    if current is not None:
-        old = spark.read.parquet(current)
-        merged = old.join(new.select(*key), list(key), "left_anti").unionByName(
-            new.select(*old.columns))
-    else:
-        merged = new
-    out = os.path.join(base, f"v={batch_id:012d}")
-    merged.write.mode("overwrite").parquet(out)
-    return out
-
-
-def current_version(base: str, before: int | None = None) -> str | None:
-    """The newest committed version folder of a versioned table (local or
-    mounted shared file system), optionally the newest before a batch id."""
-    if not os.path.isdir(base):
-        return None
-    versions = sorted(d for d in os.listdir(base)
-                      if d.startswith("v=") and os.path.exists(os.path.join(base, d, "_SUCCESS"))
-                      and (before is None or int(d[2:]) < before))
-    return os.path.join(base, versions[-1]) if versions else None
-
-
-def dim_upsert_batch(batch: DataFrame, batch_id: int, config: DataFrame, base: str,
-                     buckets: int = 64) -> None:
-    """K6 in a stream: route a micro-batch of changes, fold its upserts, and
-    merge them cell by cell into the long-format dimension store (sink_table,
-    pk, column, value) under ``base``, rewriting only the touched key
-    buckets (:func:`upsert_bucketed`)."""
-    routed = dim.route(batch, config)
-    cells = dim.upsert_fold(routed, null_as_empty=True)
-    upsert_bucketed(cells, base, ["sink_table", "pk", "column"], buckets)
+    old = versions.read(batch.sparkSession, base, before=batch_id)
+    merged = new if old is None else old.join(new.select(*key), list(key), "left_anti").unionByName(
+        new.select(*old.columns))
+    versions.write(merged, base, batch_id)
 
 
-def insert_into(df: DataFrame, columns: Sequence[str], path: str, fmt: str = "parquet",
-                mode: str = "append") -> None:
-    """``insert into T select * from V`` -- rows in the target's column
-    order (a missing column fails, as a mismatched insert would)."""
-    df.select(*columns).write.mode(mode).format(fmt).save(path)
+# ---- the dimension store: cells appended per batch, read by their last value
 
+CELL_ORDER = (*dim.ARRIVAL, BATCH)
 
-BUCKET = "key_bucket"
 
+def append_cells(routed: DataFrame, batch_id: int, base: str) -> None:
+    """K6 in a stream: the last value of every cell that a micro-batch of routed changes writes,
+    as the batch's own partition of the log under ``base``."""
+    write_batch_files(dim.last_cells(dim.cells_of(routed)), batch_id, f"{base}/log")
 
-def _existing(spark, path: str) -> DataFrame | None:
-    """The table at ``path`` when one exists (any file system Spark reads)."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
-        return None
-    return df if BUCKET in df.columns else None
 
+def read_cells(spark: SparkSession, base: str, null_as_empty: bool = True) -> DataFrame:
+    """The dimension store as it is: ``sink_table``, ``pk``, ``column``, ``value``, each cell with
+    its last value by arrival, from the newest snapshot and the batches after it."""
+    return dim.plain_cells(_folded(spark, base), null_as_empty)
 
-def upsert_bucketed(batch: DataFrame, base: str, key: Sequence[str], buckets: int = 64,
-                    order: Sequence[str] = ()) -> None:
-    """K4 / K6 for large keyed tables: rewrite only the key buckets a batch
-    touches.
 
-    The table under ``base`` is partitioned by ``key_bucket`` =
-    ``pmod(xxhash64(key), buckets)``.  Per batch: the latest row per key of
-    the batch, the stored rows of the touched buckets (partition pruning
-    reads nothing else), new rows winning by key; the merged rows are
-    checkpointed (cutting the read of ``base`` from the lineage) and written
-    back with dynamic partition overwrite.  A replayed batch rebuilds the
-    same rows, so the write is idempotent.
-    """
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(buckets))
-    new = latest_per_key(batch, key, order) if order else batch.dropDuplicates(list(key))
-    new = new.withColumn(BUCKET, bucket)
-    # the touched bucket ids: at most ``buckets`` values, a proven bound
-    touched = [r[0] for r in new.select(BUCKET).distinct().collect()]
-    if not touched:
+def _folded(spark: SparkSession, base: str) -> DataFrame:
+    done = versions.newest(spark, f"{base}/snapshot")
+    # batch ids are read from the folder names as int
+    log = spark.read.parquet(f"{base}/log").withColumn(BATCH, F.col(BATCH).cast("bigint"))
+    if done is not None:
+        log = log.where(F.col(BATCH) > done).unionByName(
+            spark.read.parquet(versions.path_of(f"{base}/snapshot", done)))
+    return dim.last_cells(log, CELL_ORDER)
+
+
+def compact_cells(spark: SparkSession, base: str) -> None:
+    """Fold the log into a new snapshot; batches that the snapshot before already held are removed
+    (readers that began on that one have had a whole generation to finish)."""
+    before = versions.newest(spark, f"{base}/snapshot")
+    ids = versions.folders(spark, f"{base}/log", f"{BATCH}=")
+    if not ids or before == ids[-1]:
         return
-    stored = _existing(spark, base)
-    if stored is not None:
-        old = stored.where(F.col(BUCKET).isin(touched))
-        merged = (old.join(new.select(*key), list(key), "left_anti")
-                  .unionByName(new.select(*old.columns)))
-    else:
-        merged = new
-    from flowmart.session import checkpoint_dir
-    checkpoint_dir(spark)  # make sure a checkpoint folder is set (tests); on a cluster: shared
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(base))
+    versions.write(_folded(spark, base).where(F.col(BATCH) <= ids[-1]), f"{base}/snapshot", ids[-1])
+    for b in ids:
+        if before is not None and b <= before:
+            versions.remove(spark, f"{base}/log/{BATCH}={b}")
+
+
+def insert_into(df: DataFrame, columns: Sequence[str], path: str, fmt: str = "parquet",
+                mode: str = "append") -> None:
+    """``insert into T select * from V`` -- rows in the target's column
+    order (a missing column fails, as a mismatched insert would)."""
+    df.select(*columns).write.mode(mode).format(fmt).save(path)

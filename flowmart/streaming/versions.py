@@ -1,0 +1,60 @@
+"""Tables kept as whole versions, one folder per version, on any file system that
+Spark reaches: a version counts once its write has committed, and the one before it
+stays, so a crash never leaves a reader without a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+KEEP = 10
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def folders(spark: SparkSession, base: str, prefix: str) -> list[int]:
+    """Numbers n of the folders ``<prefix><n>`` under ``base``."""
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(int(n[len(prefix):]) for n in names if n.startswith(prefix))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def path_of(base: str, version: int) -> str:
+    return f"{base}/v={version:012d}"
+
+
+def committed(spark: SparkSession, base: str) -> list[int]:
+    return [v for v in folders(spark, base, "v=") if exists(spark, f"{path_of(base, v)}/_SUCCESS")]
+
+
+def newest(spark: SparkSession, base: str, before: int | None = None) -> int | None:
+    """The newest committed version (older than ``before``)."""
+    found = [v for v in committed(spark, base) if before is None or v < before]
+    return found[-1] if found else None
+
+
+def read(spark: SparkSession, base: str, before: int | None = None) -> DataFrame | None:
+    v = newest(spark, base, before)
+    return None if v is None else spark.read.parquet(path_of(base, v))
+
+
+def write(df: DataFrame, base: str, version: int) -> None:
+    """Write a version (again, if a batch is replayed) and drop versions long out of use."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(path_of(base, version))
+    for old in [v for v in committed(spark, base) if v < version][:-KEEP]:
+        remove(spark, path_of(base, old))

@@ -2,7 +2,7 @@ import os
 
 from flowmart.operators import dim
 from flowmart.sources.jdbc import snake_to_camel
-from flowmart.streaming import sinks
+from flowmart.streaming import sinks, versions
 
 
 def test_snake_to_camel():
@@ -31,13 +31,30 @@ def test_upsert_wide_and_merge(spark):
     got = sorted(tuple(r) for r in merged.collect())
     # new values win per cell; untouched cells keep the current value
     assert got == [("1", "new", "keep"), ("3", "c", "z"), ("4", "d", None)]
+    # the key is the configured one, whether or not there is an id
+    by_code = spark.createDataFrame([("x", "7")], "code string, id string")
+    cells = spark.createDataFrame([("x", "id", "8"), ("y", "id", "9")], "pk string, column string, value string")
+    merged = dim.merge_into(by_code, cells, ["code", "id"], "code")
+    assert sorted(tuple(r) for r in merged.collect()) == [("x", "8"), ("y", "9")]
 
 
 def test_upsert_versioned_latest_per_key(spark, tmp):
     base = os.path.join(tmp, "t")
     b1 = spark.createDataFrame([("k", 1, "a"), ("k", 2, "b"), ("j", 1, "c")], "id string, ts long, v string")
+    base = "file://" + base  # a URI, as on a shared store
     sinks.upsert_versioned(b1, base, ["id"], 0, order=["ts"])
     b2 = spark.createDataFrame([("j", 3, "d")], "id string, ts long, v string")
     sinks.upsert_versioned(b2, base, ["id"], 1, order=["ts"])
-    got = sorted((r.id, r.v) for r in spark.read.parquet(sinks.current_version(base)).collect())
+    sinks.upsert_versioned(b2, base, ["id"], 1, order=["ts"])  # replayed
+    got = sorted((r.id, r.v) for r in versions.read(spark, base).collect())
     assert got == [("j", "d"), ("k", "b")]
+
+
+def test_a_version_counts_once_committed(spark, tmp):
+    base = os.path.join(tmp, "v")
+    one = spark.createDataFrame([(1,)], "x int")
+    versions.write(one, base, 1)
+    versions.write(one, base, 2)
+    os.remove(os.path.join(base, "v=000000000002", "_SUCCESS"))  # a crash in the middle of version 2
+    assert versions.newest(spark, base) == 1
+    assert versions.read(spark, base).count() == 1

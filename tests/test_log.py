@@ -17,6 +17,44 @@ def test_dirty_json(spark):
         (1, "{bad"), (5, '{"common":{"is_new":"1"},"page":{"page_id":"home"},"ts":1}')]
 
 
+GOOD = '"common":{"mid":"m","is_new":"1","uid":null,"os":"x"},"page":{"page_id":"home","during_time":"12","k":1}'
+
+
+def test_exactly_one_object_with_a_time(spark):
+    lines = ["{%s,\"ts\":\"1000\"}" % GOOD, "{%s,\"ts\":1000,\"z\":[1]}" % GOOD,
+             "{%s,\"ts\":1} tail" % GOOD, "{%s,\"ts\":1}]" % GOOD, "{%s,\"ts\":1}}" % GOOD,
+             "{%s,\"ts\":1}{%s,\"ts\":1}" % (GOOD, GOOD), "{%s}" % GOOD, "{%s,\"ts\":\"x\"}" % GOOD,
+             "[1]", "5", "null", "   "]
+    raw = spark.createDataFrame(list(enumerate(lines)), "event_id long, value string")
+    valid, dirty = logsplit.parse_log(raw)
+    got = {r.event_id: (r.ts, r.page.during_time, r.common.uid) for r in valid.drop("record").collect()}
+    assert got == {0: (1000, 12, None), 1: (1000, 12, None)}
+    assert sorted(r.event_id for r in dirty.collect()) == list(range(2, 11))
+
+
+def test_whole_records_as_json(spark):
+    lines = ['{"extra":{"b":1,"a":"t"},%s,"ts":1000}' % GOOD,
+             '{%s,"ts":1704200000000,"actions":[{"n":1}],"displays":[{"n":"2","q":null}],"err":{"c":7}}' % GOOD]
+    out = logsplit.json_outputs(logsplit.log_layer(
+        spark.createDataFrame(list(enumerate(lines)), "event_id long, value string"), tiebreak="event_id"))
+    got = {k: [(r.event_id, r.value) for r in df.orderBy("event_id").collect()] for k, df in out.items()}
+    page = '"page":{"during_time":"12","k":1,"page_id":"home"}'
+    new, old = ('"common":{"is_new":"%s","mid":"m","os":"x"}' % f for f in "10")
+    assert got["page"] == [(0, '{%s,"extra":{"a":"t","b":1},%s,"ts":1000}' % (new, page)),
+                           (1, '{%s,%s,"ts":1704200000000}' % (old, page))]
+    assert got["display"] == [(1, '{"n":"2","page_id":"home","ts":1704200000000}')]
+    assert got["action"] == [(1, '{"n":1,"page_id":"home"}')]
+    assert got["error"] == [(1, '{"actions":[{"n":1}],%s,"displays":[{"n":"2","q":null}],"err":{"c":7},%s,'
+                                '"ts":1704200000000}' % (old, page))]
+    assert got["start"] == []
+
+
+def test_a_line_without_time_does_not_turn_the_repair_off(spark):
+    lines = ["{%s}" % GOOD] + ["{%s,\"ts\":%d}" % (GOOD, t) for t in (ms(1, 1), ms(2, 1))]
+    page = logsplit.log_layer(spark.createDataFrame(list(enumerate(lines)), "event_id long, value string"))["page"]
+    assert {r.event_id: r.common.is_new for r in page.drop("record").collect()} == {1: "1", 2: "0"}
+
+
 def test_fix_is_new(spark):
     rows = [
         log_row(1, "a", ms(1, 1), "1"), log_row(2, "a", ms(1, 2), "1"), log_row(3, "a", ms(2, 1), "1"),

@@ -3,16 +3,16 @@ plan and check the properties the README claims."""
 
 import pytest
 
-import __spark_entry__ as E
+from flowmart.plans import queries as Q
 
 SF = "/root/testdata/sf0.001"
 
 
 def _plan(spark, name):
-    return E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    return Q.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(Q.queries()))
 def test_no_cross_join(spark, name):
     plan = _plan(spark, name)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -34,5 +34,14 @@ def test_daily_state_never_windows_over_raw_rows(spark):
 
 
 def test_filters_reach_the_scan(spark):
+    assert "PushedFilters: [IsNotNull(l_tax), EqualTo(l_tax,0.0)" in _plan(spark, "order_detail_wide")
+    # the dictionary lookup drops details before any shuffle
     plan = _plan(spark, "cart_lookup")
-    assert "PushedFilters: [IsNotNull(l_quantity), LessThanOrEqual(l_quantity,10.0)" in plan
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+def test_dictionary_comes_before_the_shuffles_of_order_detail(spark):
+    plan = _plan(spark, "order_detail_wide").split("\n")
+    lookup = [i for i, line in enumerate(plan) if "BroadcastHashJoin" in line]
+    exchanges = [i for i, line in enumerate(plan) if "hashpartitioning(od_id" in line]
+    assert lookup and exchanges and min(exchanges) < lookup[0]

@@ -4,14 +4,15 @@ upsert through foreachBatch, each compared with the batch operators."""
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowmart import schemas
-from flowmart.operators import config, dim, logsplit
+from flowmart.operators import config, dim, dwd, logsplit, trade
 from flowmart.sources import fixtures
 from flowmart.sources.catalog import Tables
-from flowmart.sources.streams import read_text_stream
-from flowmart.streaming import jobs, sinks
+from flowmart.sources.streams import dirty_lines, read_cdc, read_config_changes, read_text_stream
+from flowmart.streaming import jobs, sinks, versions
 from tests.test_streaming import TIMEOUT, write_lines
 
 SF = "/root/testdata/sf0.001"
@@ -20,7 +21,7 @@ SF = "/root/testdata/sf0.001"
 def test_log_split_stream_equals_batch(spark, tmp):
     raw = fixtures.ods_log_text(Tables(spark, SF)).toPandas()
     # arrival in event order: sort by the ts inside the text (dirty lines too)
-    raw["ts"] = raw["value"].str.extract(r'"ts":(\d+)$|"ts":(\d+)\}$').bfill(axis=1)[0].astype(float)
+    raw["ts"] = raw["value"].str.extract(r'"ts":"?(\d+)"?[^\[]*$')[0].astype(float)
     raw = raw.sort_values(["ts", "event_id"])
     folder = os.path.join(tmp, "ods")
     os.makedirs(folder)
@@ -33,52 +34,38 @@ def test_log_split_stream_equals_batch(spark, tmp):
         assert q.awaitTermination(TIMEOUT)
         q.stop()
     batch = logsplit.log_layer(spark.read.text(folder))
-    for kind in ("page", "start", "display", "action", "error", "dirty"):
-        got = spark.read.parquet(os.path.join(out, kind))
-        want = batch[kind]
-        assert got.count() == want.count(), kind
-    page = spark.read.parquet(os.path.join(out, "page"))
-    want = batch["page"]
-    g = sorted((r.common.mid, r.ts, r.common.is_new) for r in page.collect())
-    w = sorted((r.common.mid, r.ts, r.common.is_new) for r in want.collect())
-    assert g == w
-
-
-def test_bucketed_upsert_rewrites_touched_buckets(spark, tmp):
-    base = os.path.join(tmp, "b")
-    b1 = spark.createDataFrame([(str(i), "a") for i in range(50)], "id string, v string")
-    sinks.upsert_bucketed(b1, base, ["id"], buckets=8)
-    b2 = spark.createDataFrame([("3", "b"), ("99", "c")], "id string, v string")
-    sinks.upsert_bucketed(b2, base, ["id"], buckets=8)
-    sinks.upsert_bucketed(b2, base, ["id"], buckets=8)  # replay: same result
-    got = {r.id: r.v for r in spark.read.parquet(base).collect()}
-    assert len(got) == 51 and got["3"] == "b" and got["99"] == "c" and got["4"] == "a"
-
-
-def test_dim_upsert_stream_is_idempotent(spark, tmp):
-    conf = config.snapshot(fixtures.config_snapshot(spark), "dim")
-    feed = fixtures.topic_db(Tables(spark, SF), fixtures.configured_tables("dim"))
-    text = feed.select(F.to_json(F.struct(*[c for c in feed.columns])).alias("v")).toPandas()
-    folder = os.path.join(tmp, "cdc")
-    os.makedirs(folder)
-    write_lines(folder, "cdc-0.json", list(text["v"]), 0)
-    base = os.path.join(tmp, "dims")
-    stream = (spark.readStream.schema(schemas.CDC).json(folder))
+    lines = spark.read.parquet(os.path.join(out, "lines"))
+    for kind, df in logsplit.json_outputs(batch).items():
+        got = sorted(r.value for r in lines.where(F.col("kind") == kind).collect())
+        assert got == sorted(r.value for r in df.collect()), kind
+    assert spark.read.parquet(os.path.join(out, "dirty")).count() == batch["dirty"].count()
 
-    def upsert(batch, batch_id):
-        sinks.dim_upsert_batch(batch, batch_id, conf, base)
-        # a replayed batch id writes the same version again
-        sinks.dim_upsert_batch(batch, batch_id, conf, base)
 
-    q = jobs.start(stream, "dim_upsert", sink=upsert, available_now=True,
-                   checkpoint=os.path.join(tmp, "ckpt"))
-    assert q.awaitTermination(TIMEOUT)
-    q.stop()
-    got = spark.read.parquet(base).drop(sinks.BUCKET)
-    want = dim.upsert_fold(dim.route(feed, conf))
-    cols = ["sink_table", "pk", "column", "value"]
-    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == \
-        sorted(tuple(r[c] for c in cols) for r in want.collect())
+CELLS = ["sink_table", "pk", "column", "value"]
+
+
+def cells(df):
+    return sorted(tuple(r[c] for c in CELLS) for r in df.collect())
+
+
+def test_dimension_store_replay_and_compaction(spark, tmp):
+    conf = config.snapshot(fixtures.config_snapshot(spark), "dim")
+    routed = dim.route(fixtures.topic_db(Tables(spark, SF)), conf).cache()
+    base = os.path.join(tmp, "dims")
+    half = F.pmod(F.xxhash64(F.to_json("data")), F.lit(2)) == 0
+    for batch_id, part in enumerate((routed.where(half), routed.where(~half))):
+        sinks.append_cells(part, batch_id, base)
+        sinks.append_cells(part, batch_id, base)  # a replayed batch writes its rows again
+    want = cells(dim.upsert_fold(routed))
+    assert cells(sinks.read_cells(spark, base)) == want
+    sinks.compact_cells(spark, base)
+    assert cells(sinks.read_cells(spark, base)) == want
+    late = spark.createDataFrame([("dim_x", "k", "v", 1, 0, 0, "new")],
+                                 "sink_table string, pk string, column string, ts long, xid long, xoffset long, value string")
+    sinks.write_batch_files(late, 2, f"{base}/log")
+    sinks.compact_cells(spark, base)
+    assert cells(sinks.read_cells(spark, base)) == sorted([*want, ("dim_x", "k", "v", "new")])
+    assert not os.path.exists(f"{base}/log/batch_id=0") and os.path.exists(f"{base}/log/batch_id=2")
 
 
 def test_kafka_values_and_options(spark):
@@ -89,52 +76,101 @@ def test_kafka_values_and_options(spark):
     opts = kafka_options("h:9092", "topic_log", "g1", max_offsets_per_trigger=100_000)
     assert opts["subscribe"] == "topic_log" and opts["kafka.group.id"] == "g1"
     assert opts["maxOffsetsPerTrigger"] == "100000"
+    assert opts["startingOffsets"] == "earliest" and "failOnDataLoss" not in opts
 
 
 def test_routed_files(spark, tmp):
     df = spark.createDataFrame([("a", "1"), ("b", "2")], "topic string, value string")
-    sinks.write_routed_files(df, os.path.join(tmp, "r"))
+    for _ in range(2):  # a replayed batch adds nothing
+        sinks.write_routed_files(df, os.path.join(tmp, "r"), 4)
     assert sorted(os.listdir(os.path.join(tmp, "r")))[-2:] == ["topic=a", "topic=b"]
+    assert spark.read.parquet(os.path.join(tmp, "r")).count() == 2
+    keyed = sinks.kafka_value(spark.createDataFrame([("1", "x")], "id string, v string"), key=["id"]).first()
+    assert keyed.key == '{"id":"1"}' and json.loads(keyed.value) == {"id": "1", "v": "x"}
 
 
 def test_dim_app_with_config_stream(spark, tmp):
+    """Config from a snapshot and changes; feed data that comes first waits for it."""
     t = Tables(spark, SF)
     snap = fixtures.config_snapshot(spark)
-    # configuration changes: the snapshot as 'r' rows, then sku_info deleted
-    rows = [(None, tuple(r), "r", 1) for r in snap.collect()]
-    sku = [r for r in snap.collect() if r.source_table == "sku_info"][0]
-    changes = spark.createDataFrame(rows + [(tuple(sku), None, "d", 2)], schemas.CONFIG_CHANGE)
-    cfolder = os.path.join(tmp, "config")
+    feed = fixtures.topic_db(t)
+    ffolder, cfolder = os.path.join(tmp, "feed"), os.path.join(tmp, "config")
+    os.makedirs(ffolder)
     os.makedirs(cfolder)
-    text = changes.select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("v")).toPandas()
-    write_lines(cfolder, "c-0.json", list(text["v"][:-1]), 0)
-    write_lines(cfolder, "c-1.json", list(text["v"][-1:]), 1)
-    cbase = os.path.join(tmp, "cfg")
-    q = jobs.run_config_state(spark.readStream.schema(schemas.CONFIG_CHANGE)
-                              .option("maxFilesPerTrigger", "1").json(cfolder), cbase,
+    write_lines(ffolder, "f-0.json", [r.value for r in fixtures.topic_db_text(t).collect()], 0)
+    cbase, dbase = "file://" + os.path.join(tmp, "cfg"), "file://" + os.path.join(tmp, "dims")
+
+    def dim_app():
+        return jobs.run_dim_app(read_cdc(spark, path=ffolder), cbase, dbase, wait_s=0, available_now=True,
+                                checkpoint=os.path.join(tmp, "c2"))
+
+    q = dim_app()
+    with pytest.raises(Exception, match="no configuration"):
+        q.awaitTermination(TIMEOUT)
+
+    # after the snapshot: one table deleted, and two changes of a key in one millisecond
+    sku = [r for r in snap.collect() if r.source_table == "sku_info"][0]
+    user = [r for r in snap.collect() if r.source_table == "user_info"][0].asDict()
+    rows = [(tuple(sku), None, "d", 2), (None, tuple({**user, "sink_columns": "id"}.values()), "u", 3),
+            (None, tuple({**user, "sink_columns": "id,name"}.values()), "u", 3)]
+    changes = spark.createDataFrame(rows, schemas.CONFIG_CHANGE)
+    text = [r.v for r in changes.select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("v")).collect()]
+    write_lines(cfolder, "c-0.json", text[:1], 0)
+    write_lines(cfolder, "c-1.json", text[1:], 1)
+    q = jobs.run_config_state(read_config_changes(spark, path=cfolder, max_files_per_trigger=1), cbase,
+                              snapshot=snap, tables_base=os.path.join(tmp, "tables"),
                               available_now=True, checkpoint=os.path.join(tmp, "c1"))
     assert q.awaitTermination(TIMEOUT)
-    q.stop()
-    current = spark.read.parquet(cbase)
-    assert sorted(r.source_table for r in current.collect()) == [
-        "base_province", "base_trademark", "user_info"]
+    current = versions.read(spark, cbase)
+    got = {r.source_table: r.sink_columns for r in current.collect()}
+    assert sorted(got) == ["base_province", "base_trademark", "user_info"] and got["user_info"] == "id,name"
+    assert versions.committed(spark, cbase) == [0, 1, 2]
+    assert spark.read.parquet(os.path.join(tmp, "tables", "dim_base_province")).columns == ["id", "name", "region_id"]
 
-    feed = fixtures.topic_db(t, fixtures.configured_tables("dim"))
-    ffolder = os.path.join(tmp, "feed")
-    os.makedirs(ffolder)
-    ftext = feed.select(F.to_json(F.struct(*feed.columns)).alias("v")).toPandas()
-    write_lines(ffolder, "f-0.json", list(ftext["v"]), 0)
-    dbase = os.path.join(tmp, "dims")
-    q = jobs.run_dim_app(spark.readStream.schema(schemas.CDC).json(ffolder), cbase, dbase,
-                         available_now=True, checkpoint=os.path.join(tmp, "c2"))
-    assert q.awaitTermination(TIMEOUT)
-    q.stop()
-    got = spark.read.parquet(dbase).drop(sinks.BUCKET)
+    assert dim_app().awaitTermination(TIMEOUT)  # the same query again: its changes are still there
     want = dim.upsert_fold(dim.route(feed, current))
-    cols = ["sink_table", "pk", "column", "value"]
-    assert sorted(tuple(r[c] for c in cols) for r in got.collect()) == \
-        sorted(tuple(r[c] for c in cols) for r in want.collect())
-    assert "dim_sku_info" not in {r.sink_table for r in got.select("sink_table").distinct().collect()}
+    assert cells(sinks.read_cells(spark, dbase)) == cells(want)
+
+
+def test_fact_routing_and_cart_jobs(spark, tmp):
+    t = Tables(spark, SF)
+    folder, cbase = os.path.join(tmp, "feed"), os.path.join(tmp, "cfg")
+    os.makedirs(folder)
+    write_lines(folder, "f-0.json", [r.value for r in fixtures.topic_db_text(t).collect()], 0)
+    versions.write(config.snapshot(fixtures.config_snapshot(spark), "dwd"), cbase, 0)
+    q = jobs.run_fact_routing(read_cdc(spark, path=folder), cbase, os.path.join(tmp, "facts"),
+                              available_now=True, checkpoint=os.path.join(tmp, "k1"))
+    assert q.awaitTermination(TIMEOUT)
+    feed = fixtures.topic_db(t)
+    want = dwd.to_topic_records(dwd.route(feed, config.snapshot(fixtures.config_snapshot(spark), "dwd")))
+    got = spark.read.parquet(os.path.join(tmp, "facts"))
+
+    def records(df):  # keys come in the order of the text read
+        return sorted((r.topic, sorted(json.loads(r.value).items())) for r in df.collect())
+
+    assert records(got) == records(want)
+    q = jobs.run_cart_add(read_cdc(spark, path=folder), fixtures.base_dic(spark), os.path.join(tmp, "cart"),
+                          available_now=True, checkpoint=os.path.join(tmp, "k2"))
+    assert q.awaitTermination(TIMEOUT)
+    want = sinks.kafka_value(trade.cart_add(feed, fixtures.base_dic(spark)))
+    got = spark.read.parquet(os.path.join(tmp, "cart"))
+    assert sorted(r.value for r in got.collect()) == sorted(r.value for r in want.collect())
+
+
+def test_malformed_lines_are_not_lost(spark, tmp):
+    folder = os.path.join(tmp, "in")
+    os.makedirs(folder)
+    write_lines(folder, "a.json", ['{"database":"d","table":"t","type":"insert","ts":1,"data":{"id":"1"}}', "{bad"], 0)
+    q = read_cdc(spark, path=folder).writeStream.queryName("strict_cdc").format("memory").trigger(
+        availableNow=True).option("checkpointLocation", os.path.join(tmp, "s")).start()
+    with pytest.raises(Exception, match="malformed record"):
+        q.awaitTermination(TIMEOUT)
+    for name, df, n in (("good_cdc", read_cdc(spark, strict=False, path=folder), 1),
+                        ("dirty_cdc", dirty_lines(read_text_stream(spark, path=folder)), 1)):
+        q = df.writeStream.queryName(name).format("memory").trigger(availableNow=True).option(
+            "checkpointLocation", os.path.join(tmp, name)).start()
+        assert q.awaitTermination(TIMEOUT)
+        assert spark.table(name).count() == n
 
 
 def test_insert_into_column_order(spark, tmp):
@@ -145,7 +181,6 @@ def test_insert_into_column_order(spark, tmp):
 
 def test_config_stream_startup_modes(spark, tmp):
     """S5 keeps the snapshot rows ('r') then changes; S6 (latest) only changes."""
-    from flowmart.sources.streams import read_config_changes
     folder = os.path.join(tmp, "cfgc")
     os.makedirs(folder)
     lines = ['{"before":null,"after":{"source_table":"a","sink_type":"dim"},"op":"r","ts_ms":1}',

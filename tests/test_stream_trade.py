@@ -1,4 +1,4 @@
-"""Order detail over a change-feed stream (J1, J2 with a time bound; Q16)."""
+"""Order detail over a change-feed stream (J1, J2, T15): late parts correct the rows."""
 
 import os
 
@@ -9,62 +9,43 @@ from flowmart.operators import trade
 from flowmart.sources import fixtures
 from flowmart.sources.catalog import Tables
 from flowmart.sources.streams import read_cdc
+from flowmart.streaming import jobs
 from tests.test_streaming import TIMEOUT, write_lines
 
 SF = "/root/testdata/sf0.001"
 
 
-def test_order_detail_stream(spark, tmp):
-    t = Tables(spark, SF)
-    feed = fixtures.topic_db(t, ["order_detail", "order_info", "order_detail_activity",
-                                 "order_detail_coupon"])
-    lines = feed.select("ts", F.to_json(F.struct(*schemas.CDC.fieldNames())).alias("v")).toPandas()
-    lines = lines.sort_values("ts")
+def test_order_detail_job_equals_batch(spark, tmp):
+    """The feed in four batches by table, the orders last: far apart, every part still joins."""
+    feed = fixtures.topic_db(Tables(spark, SF))
     folder = os.path.join(tmp, "cdc")
     os.makedirs(folder)
-    n = len(lines)
-    for i in range(3):
-        write_lines(folder, f"cdc-{i}.json", list(lines["v"].iloc[i * n // 3:(i + 1) * n // 3]), i)
-    # sentinels far in the future, one per input: the global watermark is the
-    # minimum over the four inputs, so each must move past every real row
-    sentinel = ('{"database":"shop","table":"%s","type":"insert","ts":4000000000,'
-                '"data":{"id":"sentinel-%s","order_id":"none","order_detail_id":"none",'
-                '"source_type":"A"}}')
-    tables = ["order_detail", "order_info", "order_detail_activity", "order_detail_coupon"]
-    write_lines(folder, "cdc-9.json", [sentinel % (x, x) for x in tables], 9)
-    stream = read_cdc(spark, path=folder, max_files_per_trigger=1)
-    # order and ship dates of the tables are years apart: the bound covers them
-    out = trade.order_detail(stream, fixtures.base_dic(spark), stream_bound="4000 days")
-    q = (out.writeStream.queryName("od_stream").outputMode("append").format("memory")
-         .option("checkpointLocation", os.path.join(tmp, "ckpt")).trigger(availableNow=True).start())
+    order = ["order_detail_coupon", "order_detail", "order_detail_activity", "order_info"]
+    for i, table in enumerate(order):
+        lines = feed.where(F.col("table") == table).select(
+            F.to_json(F.struct(*schemas.CDC.fieldNames())).alias("v")).collect()
+        write_lines(folder, f"cdc-{i}.json", [r.v for r in lines], i)
+    base = os.path.join(tmp, "od")
+    q = jobs.run_order_detail(read_cdc(spark, path=folder, max_files_per_trigger=1), fixtures.base_dic(spark), base,
+                              available_now=True, checkpoint=os.path.join(tmp, "ckpt"))
     assert q.awaitTermination(TIMEOUT)
-    q.stop()
-    got = spark.table("od_stream")
     want = trade.order_detail(feed, fixtures.base_dic(spark))
-    cols = ["id", "order_id", "activity_id", "coupon_id", "dic_name", "total_amount"]
-    g = sorted(tuple(r[c] for c in cols) for r in got.collect())
-    w = sorted(tuple(r[c] for c in cols) for r in want.collect())
-    # every match falls within the bound, so once the sentinel moves the
-    # watermark past it the stream equals the batch join (left rows included)
-    assert g == w
+    got = jobs.order_details(spark, base)
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
 
 
-def test_cart_add_and_dwd_route_stream(spark, tmp):
-    from flowmart.operators import config, dwd
-    t = Tables(spark, SF)
-    feed = fixtures.topic_db(t, ["cart_info", "order_info", "order_detail_coupon"])
-    lines = feed.select(F.to_json(F.struct(*schemas.CDC.fieldNames())).alias("v")).toPandas()
+def test_a_late_coupon_corrects_the_row(spark, tmp):
     folder = os.path.join(tmp, "cdc")
     os.makedirs(folder)
-    write_lines(folder, "cdc-0.json", list(lines["v"]), 0)
-    stream = read_cdc(spark, path=folder)
-    cart = trade.cart_add(stream, fixtures.base_dic(spark))
-    routed = dwd.route(stream, config.snapshot(fixtures.config_snapshot(spark), "dwd"))
-    for name, df in (("cart_s", cart), ("route_s", routed.select("sink_table", "table", "type"))):
-        q = (df.writeStream.queryName(name).outputMode("append").format("memory")
-             .option("checkpointLocation", os.path.join(tmp, name)).trigger(availableNow=True).start())
-        assert q.awaitTermination(TIMEOUT)
-        q.stop()
-    assert spark.table("cart_s").count() == trade.cart_add(feed, fixtures.base_dic(spark)).count()
-    want = dwd.route(feed, config.snapshot(fixtures.config_snapshot(spark), "dwd"))
-    assert spark.table("route_s").count() == want.count() > 0
+    row = '{"database":"shop","table":"%s","type":"insert","ts":%d,"data":{%s}}'
+    write_lines(folder, "a.json", [row % ("order_detail", 1, '"id":"d","order_id":"o","source_type":"A"'),
+                                   row % ("order_info", 1, '"id":"o","user_id":"u"')], 0)
+    write_lines(folder, "b.json", [row % ("order_detail_coupon", 9_000_000,
+                                          '"id":"c","order_id":"o","order_detail_id":"d","coupon_id":"x"')], 1)
+    base = os.path.join(tmp, "od")
+    q = jobs.run_order_detail(read_cdc(spark, path=folder, max_files_per_trigger=1), fixtures.base_dic(spark), base,
+                              available_now=True, checkpoint=os.path.join(tmp, "ckpt"))
+    assert q.awaitTermination(TIMEOUT)
+    got = jobs.order_details(spark, base).collect()
+    assert [(r.id, r.user_id, r.coupon_id, r.activity_id) for r in got] == [("d", "u", "x", None)]
