@@ -7,14 +7,17 @@ linked if their sets have a Jaccard similarity of ``percent`` % or more.
 Tensored banding: two small collections of ``KEYS`` keys each, a key being ``ROWS`` minhashes;
 a table key combines one key of each collection, so KEYS^2 tables of 2 * ROWS minhashes come from
 2 * KEYS * ROWS minhashes instead of KEYS^2 * 2 * ROWS.  A pair of similarity s shares a table
-with probability (1 - (1 - s^ROWS)^KEYS)^2: 0.9994 at 0.8, 0.99993 at 0.85.
+with probability (1 - (1 - s^ROWS)^KEYS)^2: 0.9996 at 0.8, 0.99997 at 0.85.
 
 Candidates are confirmed on the full sets.  Documents with equal sets are one node from the start,
-so a group of copies costs one row.  In a table bucket not all pairs are made: each member is first
-compared with the bucket's least node, then (if it is still in another component) with its
-greatest; what remains are members of different components, whose pairs are compared one by one
-in later rounds.  Pairs already in one component need no comparison, as a link inside it changes
-nothing; so no component is lost to this.
+so a group of copies costs one row.  Not all pairs of a table bucket are made.  First come
+``ROUNDS`` rounds in which each member is compared with one centre of its bucket (the least node
+under an order that changes by round), if the two are not in one component yet: pairs inside a
+component need no comparison, as a link there changes nothing.  Members of buckets that still hold
+several components go to an exact join by prefix filter: with shingles ordered from rare to common,
+two sets of the wanted similarity share one of their first (1 - percent) * size + 1 shingles, and
+its places bound their overlap.  Shingles of a passage that many texts share come last, so they
+make no pairs.
 
 Nodes are sums of 64-bit hashes of the set with its size.  A document without words has an empty
 set and is linked with nothing; null counts as empty text; rows alike are one node; the component
@@ -28,15 +31,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
 
 SHINGLE = 5
 PERCENT = 80
-ROWS = 2
-KEYS = 8
+ROWS = 4
+KEYS = 16
+ROUNDS = 5
 
 _SIGNED = "doc_id bigint, n_shingles bigint, node bigint, a array<bigint>, b array<bigint>"
 
@@ -177,17 +181,20 @@ def links(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
     live = first.join(shared, "x", "left_semi").select("node").distinct()
     tables = nodes.join(live, "node", "left_semi").select(
         "node", F.col("n_shingles").alias("n"), F.explode(F.array_distinct(_table_keys())).alias("x"))
-    buckets = tables.groupBy("x").agg(F.count("*").alias("c"), F.min("node").alias("lo"),
-                                      F.max("node").alias("hi")).where("c > 1").drop("c")
-    members = C.written(tables.join(buckets, "x"), "op4-members")  # x, node, n, lo, hi
+    orders = [0, *C.seeds(ROUNDS - 1, 47).view(np.int64).tolist()]
+    centres = [F.min(F.col("node").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)).alias(f"c{i}")
+               for i, o in enumerate(orders)]
+    buckets = C.written(tables.groupBy("x").agg(F.count("*").alias("c"), *centres).where("c > 1"),
+                        "op4-buckets")
+    members = C.written(tables.join(buckets.select("x"), "x", "left_semi"), "op4-members")
 
     wanted = members.select("node").distinct()
-    source = nodes.join(wanted, "node", "left_semi").select("node", "doc_id")
-    texts = docs.join(source.select(F.col("doc_id").alias("__d")).distinct(),
-                      F.col("doc_id") == F.col("__d"), "left_semi")
+    source = nodes.join(wanted, "node", "left_semi").select(F.col("doc_id").alias("__d")).distinct()
+    texts = docs.join(source, F.col("doc_id") == F.col("__d"), "left_semi")
     sets = texts.select("text").mapInArrow(_sets(k), "node bigint, hashes binary")
     sets = C.written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "op4-sets")
-    sizes = nodes.select("node", F.col("n_shingles").alias("n"))
+    sizes = C.written(nodes.join(wanted, "node", "left_semi").select("node", F.col("n_shingles").alias("m")),
+                      "op4-sizes")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """pairs: u, v, n, m (the sizes)."""
@@ -197,30 +204,64 @@ def links(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
                 .join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("y")), "v")
                 .mapInArrow(_confirm(percent), "u bigint, v bigint"))
 
-    def with_size(df: DataFrame, by: str) -> DataFrame:
-        return df.join(sizes.select(F.col("node").alias(by), F.col("n").alias("m")), by)
-
-    pairs = (members.where("node <> lo").select(F.col("lo").alias("u"), F.col("node").alias("v"), "n").distinct())
-    found = C.written(confirmed(with_size(pairs, "u")), "op4-links")
-    for centre in ("hi", None):
+    found, comp = None, None
+    for i in range(ROUNDS):
+        pairs = (members.join(buckets.select("x", F.col(f"c{i}").alias("u")), "x")
+                 .where("node <> u").select("u", F.col("node").alias("v"), "n").distinct())
+        if comp is not None:
+            pairs = _apart(pairs, comp)
+        new = C.written(confirmed(pairs.join(sizes.withColumnRenamed("node", "u"), "u")), "op4-links")
+        if found is not None and not new.head(1):
+            continue
+        found = new if found is None else found.unionByName(new)
         comp = components(found)
-        at = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        open_ = at.groupBy("x").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
-        at = at.join(open_.select("x"), "x", "left_semi")
-        if centre:
-            end = comp.select(F.col("node").alias(centre), F.col("comp").alias("other"))
-            pairs = (at.where(f"node <> {centre}").join(end, centre, "left")
-                     .where(F.col("comp") != F.coalesce("other", centre))
-                     .select(F.col(centre).alias("u"), F.col("node").alias("v"), "n").distinct())
-            pairs = with_size(pairs, "u")
-        else:
-            at = C.written(at.select("x", "node", "n", "comp"), "op4-open")
-            mate = at.select("x", F.col("node").alias("u"), F.col("n").alias("m"), F.col("comp").alias("other"))
-            pairs = (at.withColumnRenamed("node", "v").join(mate, "x")
-                     .where(F.expr(f"u < v and comp <> other and least(n, m) * 100 >= greatest(n, m) * {percent}"))
-                     .select("u", "v", "n", "m").distinct())
-        found = C.written(found.unionByName(confirmed(pairs)), "op4-links")
-    return found
+
+    # members of buckets that hold several components
+    at = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    open_ = at.groupBy("x").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
+    rest = at.join(open_.select("x"), "x", "left_semi").select("node", "n", "comp").distinct()
+    pairs = prefix_pairs(C.written(rest, "op4-rest"), sets, percent)
+    return found.unionByName(C.written(confirmed(pairs), "op4-links"))
+
+
+def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
+    """The pairs (u, v, ...) whose ends are in different components."""
+    own = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
+    return (pairs.join(own("u"), "u", "left").join(own("v"), "v", "left")
+            .where(F.coalesce("u_comp", "u") != F.coalesce("v_comp", "v")).drop("u_comp", "v_comp"))
+
+
+def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(b.num_rows):
+            h = np.frombuffer(b.column("hashes")[i].as_buffer(), dtype=np.int64)
+            same = [pa.array(np.full(len(h), b.column(c)[i].as_py())) for c in ("node", "n", "comp")]
+            yield pa.RecordBatch.from_arrays([*same, pa.array(h)], names=["node", "n", "comp", "h"])
+
+
+def prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All pairs (u, v, n, m) of nodes of ``rest`` (node, n, comp) in different components that can
+    reach the similarity, by prefix filter with length and place bounds: exact, none is missed."""
+    rows = (rest.join(sets, "node").select("node", "n", "comp", "hashes")
+            .mapInArrow(_shingle_rows, "node bigint, n bigint, comp bigint, h bigint"))
+    rows = C.written(rows, "op4-shingles")
+    shared = rows.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
+    rows = rows.join(shared, "h")
+    # a set's unshared shingles come first; they use up places of its prefix
+    own = Window.partitionBy("node").orderBy("f", "h")
+    all_of = Window.partitionBy("node")
+    place = F.row_number().over(own) + F.col("n") - F.count("*").over(all_of)
+    first = (rows.withColumn("p", place)
+             .where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0) - 1e-9) + 1))
+    first = C.written(first.select("h", "node", "n", "comp", "p"), "op4-prefixes")
+    other = first.select("h", F.col("node").alias("v"), F.col("n").alias("m"),
+                         F.col("comp").alias("v_comp"), F.col("p").alias("q"))
+    # of n + m shingles, 100 * both >= percent * (n + m - both) must be in both sets
+    need = f"({percent} * (n + m)) / {100.0 + percent} - 1e-9"
+    return (first.withColumnRenamed("node", "u").join(other, "h")
+            .where(F.expr(f"u < v and comp <> v_comp and least(n, m) * 100 >= greatest(n, m) * {percent} "
+                          f"and least(n - p, m - q) + 1 >= {need}"))
+            .select("u", "v", "n", "m").distinct())
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
