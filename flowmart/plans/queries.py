@@ -82,18 +82,18 @@ def keyword_window_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keyword window job written in SQL, as the reference writes it: a view of the page log
     (P16), the registered table function (U1) and a 10 s window (T3)."""
     text.register_sql_functions(spark)
-    fx.page_log(Tables(spark, sf_dir), with_item=True).createOrReplaceTempView("fm_page_log")
+    log = fx.page_log(Tables(spark, sf_dir), with_item=True)
     return spark.sql("""
         WITH flit AS (
           SELECT page.item AS item, timestamp_millis(ts) AS rt
-          FROM fm_page_log
+          FROM {log}
           WHERE page.last_page_id = 'search' AND page.item_type = 'keyword'
             AND page.item IS NOT NULL)
         SELECT to_ymd_hms(unix_millis(window.start)) AS stt,
                to_ymd_hms(unix_millis(window.end)) AS edt,
                word AS keyword, count(*) AS keyword_count
         FROM flit, LATERAL split_function(item)
-        GROUP BY window(rt, '10 seconds'), word""")
+        GROUP BY window(rt, '10 seconds'), word""", log=log)
 
 
 def daily_uv(spark: SparkSession, sf_dir: str) -> DataFrame:

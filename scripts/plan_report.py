@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from flowmart.plans import queries as Q  # noqa: E402
 from flowmart.session import build_session  # noqa: E402
 
 
@@ -35,11 +35,10 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=16)
     print("# Physical plans of the registered queries\n")
     print(f"Generated by `scripts/plan_report.py` at `{sf_dir}` (initial AQE plans; AQE may turn a")
-    print("sort-merge join into a broadcast join at run time).  Exchanges include the spread of")
-    print("single-split scans (`REPARTITION_BY_NUM`).\n")
+    print("sort-merge join into a broadcast join at run time).\n")
     print("| query | shuffles | joins | aggregates | other | parquet scans (columns read; pushed filters) |")
     print("| --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    for name, fn in Q.queries().items():
         df = fn(spark, sf_dir)
         plan = df._jdf.queryExecution().executedPlan().toString()
         s = summarise(plan)
