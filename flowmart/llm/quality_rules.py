@@ -47,7 +47,7 @@ SUPPORT = 0.75
 STEPS = 4
 MIN_ROWS = 100
 #: squared distance, in units of its median over the chi-square median, beyond which to reject
-CUT = 250.0
+CUT = 160.0
 CHI2_MEDIAN = FEATURES * (1 - 2 / (9 * FEATURES)) ** 3  # Wilson-Hilferty
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
