@@ -8,7 +8,8 @@ candidate, and labelers vote on it (+1 personal, -1 not, 0 no opinion):
 * gazetteer labelers: contact words before the span; words of versions, licences and references;
 * context labelers: whether the span stands alone, its number of digits, grouping marks.
 
-Votes are counted per pattern (at most 3^7 of them, whatever the corpus size).  Expectation-
+Votes of all candidates, those inside base spans too, are counted per pattern (at most 3^7 of them,
+whatever the corpus size).  Expectation-
 maximisation estimates each labeler's reliability and the posterior of every pattern; a
 logistic span classifier is fitted to these posteriors.  Both work on the pattern counts only.
 A candidate that overlaps no base span is added as kind ``other`` if the classifier gives it at
@@ -120,16 +121,18 @@ def _votes(x: Column) -> list[Column]:
         # regex: base patterns
         vote(m.rlike(r"^\+[0-9]") & n.between(10, 15) | m.rlike(f"^{EMAIL}$") | m.rlike(_IP_PARTS)
              | n.between(14, 19) & _luhn(m), (n < 7) | (n > 13)),
-        # regex: shapes of national phone and social numbers
+        # regex: shapes of national phone and social numbers; of dates, short numbers and
+        # numbers as long as a card's whose check digit is wrong
         vote(m.rlike(r"^\(?[0-9]{3}\)?[\x20.-][0-9]{3}[\x20.-][0-9]{4}$|^[0-9]{3}-[0-9]{2}-[0-9]{4}$|[\[(](?i:at)[\])]"),
-             m.rlike(r"^(?:1[0-9]|20)[0-9]{2}(?:[-/:.][0-9]{1,2}){0,2}$|^[0-9]{1,3}(?:[.,:/][0-9]{1,3}){0,2}$")),
+             m.rlike(r"^(?:1[0-9]|20)[0-9]{2}(?:[-/:.][0-9]{1,2}){0,2}$|^[0-9]{1,3}(?:[.,:/][0-9]{1,3}){0,2}$")
+             | n.between(14, 19) & ~_luhn(m)),
         # gazetteers
         vote(before.rlike(contact)),
         vote(F.lit(False), before.rlike(reference)),
         # context: attached to letters or marks of code
         vote(F.lit(False), before.rlike(r"[\p{L}_=/#.\"'&-]$") | after.rlike(r"^[\p{L}_=/#\"'&-]")),
         # context: number of digits
-        vote(n.between(9, 19), (n < 7) | (n > 24)),
+        vote(n.between(9, 13), (n < 7) | (n > 19)),
         # context: grouping marks
         vote(m.rlike(r"[0-9][\x20().-]+[0-9]+[\x20().-]+[0-9]") & (n >= 9), ~m.rlike(r"[^0-9]")),
     ]
@@ -201,8 +204,8 @@ def _score(w: list[float], code: int) -> float:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, the spans of each base kind (start, end), and ``other``: further candidates with
-    their vote pattern, those that overlap no base span."""
+    """doc_id, the spans of each base kind (start, end), and ``other``: all candidates with their
+    vote pattern; ``free`` are those that overlap no base span."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     digits = text.rlike("[0-9]")
     none = F.array().cast(_SPAN)
@@ -214,12 +217,16 @@ def candidates(docs: DataFrame) -> DataFrame:
     df = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                      *(v.alias(k) for k, v in found.items()), other.alias("other"))
     base = F.concat(*(F.transform(k, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in BASE))
-    free = F.filter("other", lambda x: ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])))
-    df = df.withColumn("base", base).withColumn("other", F.when(F.size("other") > 0, free).otherwise(none))
+    df = df.withColumn("base", base)
+
+    def free(x: Column) -> Column:
+        return ~F.exists(F.col("base"), lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
+
     pair = lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))
     return df.select("doc_id", *(F.transform(k, pair).alias(k) for k in BASE),
                      F.transform("other", lambda x: F.struct(
-                         x["s"].alias("s"), x["e"].alias("e"), _code(x).alias("code"))).alias("other"))
+                         x["s"].alias("s"), x["e"].alias("e"), _code(x).alias("code"),
+                         free(x).alias("free"))).alias("other"))
 
 
 def _tagged(kind: str, i: int, text: Column | None = None) -> Column:
@@ -244,7 +251,7 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     _, _, post = reliabilities(counts)
     w = classifier(counts, post)
     personal = F.array(*(F.lit(c) for c in sorted(counts) if _score(w, c) >= threshold)).cast("array<int>")
-    return cand.withColumn("other", F.filter("other", lambda x: F.array_contains(personal, x["code"])))
+    return cand.withColumn("other", F.filter("other", lambda x: x["free"] & F.array_contains(personal, x["code"])))
 
 
 def masked(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
