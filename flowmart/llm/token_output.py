@@ -31,6 +31,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -46,7 +47,8 @@ END_ID = 2
 MAX_BITS = 16
 BLOCK = 512
 SEGMENT_IDS = 1 << 20
-CACHE = 400_000
+CACHE = 600_000
+CHUNK = 2 << 20
 
 
 # ---- text -> ids
@@ -84,19 +86,29 @@ class Encoder:
                        and pre["pre_tokenizer"].get("use_regex", True))
         self.special = [t["content"].encode() for t in pre["added_tokens"]]
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """The packed ids of new pieces."""
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
+        kind, tokenize, space = np.dtype(self.kind).char, self.model.tokenize, self.chars[32]
+        out: list[bytes | None] = [None] * len(new)
         rest = []
-        for p in new:
+        for i, p in enumerate(new):
             s = p.decode()
-            if s[s[0] == " ":].isalpha():  # one pre-token: the model alone decides
-                ids = [t.id for t in self.model.tokenize(p.decode("latin-1").translate(self.chars))]
-                self.known[p] = np.array(ids, dtype=self.kind).tobytes()
+            body = s[1:] if s[0] == " " else s
+            if not body.isalpha():
+                rest.append((i, s))
+                continue
+            # one pre-token: the model alone decides
+            if p.isascii():
+                s = space + body if body is not s else s
             else:
-                rest.append((p, s))
-        for (p, _), e in zip(rest, self.tok.encode_batch([s for _, s in rest], add_special_tokens=False)):
-            self.known[p] = np.array(e.ids, dtype=self.kind).tobytes()
+                s = p.decode("latin-1").translate(self.chars)
+            out[i] = array(kind, [t.id for t in tokenize(s)]).tobytes()
+        for (i, _), e in zip(rest, self.tok.encode_batch_fast([s for _, s in rest], add_special_tokens=False)):
+            out[i] = array(kind, e.ids).tobytes()
+        self.known.update(zip(new, out))
+        return out
 
     def encode(self, c: C.Chunk) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows (without end ids), and the bounds of each row."""
@@ -116,13 +128,10 @@ class Encoder:
         which = np.empty(len(h), dtype=np.int64)
         which[order] = np.cumsum(new) - 1
         keys = [text[a:b] for a, b in zip(s[lead].tolist(), e[lead].tolist())]
-        missing = [k for k in keys if k not in self.known]
-        if missing:
-            self._learn(missing)
-            gone = [k for k in keys if k not in self.known]  # the memory was just cleared
-            if gone:
-                self._learn(gone)
-        got = [self.known[k] for k in keys]
+        got = list(map(self.known.get, keys))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        for i, ids in zip(missing, self._learn([keys[i] for i in missing])):
+            got[i] = ids
         size = np.fromiter(map(len, got), dtype=np.int64, count=len(got)) // np.dtype(self.kind).itemsize
         flat = np.frombuffer(b"".join(got), dtype=self.kind)
         at = np.concatenate([[0], np.cumsum(size)])
@@ -163,7 +172,7 @@ def _tokenize(path: str, end_id: int):
         enc = _encoder(path)
         width = np.dtype(enc.kind).itemsize
         for b in batches:
-            for c in C.chunks(b.column("text")):
+            for c in C.chunks(b.column("text"), CHUNK):
                 ids, bounds = enc.encode(c)
                 ids = np.insert(ids, bounds[1:], end_id)
                 bounds = (bounds + np.arange(c.rows + 1)) * width
