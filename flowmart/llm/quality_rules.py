@@ -12,9 +12,10 @@ it.  Both are partial aggregates, so a source with a third of all rows is combin
 its shuffle, and only per-group moments reach the numpy step that inverts a small matrix.
 
 Defined cases: a null text counts as empty (all statistics 0, base_failed, as n_words < 10);
-null lang or source form groups of their own; groups of fewer than ``min_rows`` rows are
-pooled by language, then all together, and if even that pool is smaller its rows keep the
-base verdict; repeated rows are judged one by one; an empty table gives an empty result.
+null lang or source form groups of their own; groups with fewer than ``min_rows`` rows that
+pass the base rules (only those are fitted) are pooled by language, then all together, and if
+even that pool is smaller its rows keep the base verdict; repeated rows are judged one by one;
+an empty table gives an empty result.
 Only ``doc_id``, ``text``, ``lang`` and ``source`` are read, so extra columns cannot clash.
 """
 
@@ -25,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
@@ -151,13 +152,17 @@ def base_failed() -> F.Column:
 
 
 def _pools(stats: DataFrame, min_rows: int) -> DataFrame:
-    """lang, source -> pool: its own, its language's or the common one (null: too few rows)."""
+    """lang, source -> pool: its own, its language's or the common one (null: too few rows).
+    Only rows that pass the base rules count, as only they are fitted."""
+    def key(level: str, *cols: str) -> Column:
+        return F.to_json(F.struct(F.lit(level).alias("level"), *cols), {"ignoreNullFields": "false"})
+
     by = Window.partitionBy("lang")
-    groups = (stats.groupBy("lang", "source").agg(F.count("*").alias("n"))
+    groups = (stats.groupBy("lang", "source").agg(F.count_if(~base_failed()).alias("n"))
               .withColumn("own", F.col("n") >= min_rows)
               .withColumn("m", F.sum(F.when(~F.col("own"), F.col("n"))).over(by))
-              .withColumn("pool", F.when(F.col("own"), F.to_json(F.struct("lang", "source")))
-                          .when(F.col("m") >= min_rows, F.to_json(F.struct("lang"))).otherwise("*")))
+              .withColumn("pool", F.when(F.col("own"), key("source", "lang", "source"))
+                          .when(F.col("m") >= min_rows, key("lang", "lang")).otherwise(key("all"))))
     common = groups.groupBy("pool").agg(F.sum("n").alias("rows"))
     return (groups.join(common, "pool").where(F.col("rows") >= min_rows)
             .select(F.col("lang").alias("g_lang"), F.col("source").alias("g_source"), "pool"))
@@ -188,7 +193,8 @@ def _moments(rows: DataFrame) -> DataFrame:
 
 
 def _distance(rows: DataFrame, shape: DataFrame) -> DataFrame:
-    """Adds d2, the squared Mahalanobis distance under the row's pool."""
+    """Adds d2, the squared Mahalanobis distance under the row's pool (null: no shape).  Keeps
+    every row."""
     p = FEATURES
     d = [F.col("x")[i] - F.col("mean")[i] for i in range(p)]
     terms = [d[i] * d[i] * F.col("inv")[i * p + i] for i in range(p)]
@@ -196,7 +202,7 @@ def _distance(rows: DataFrame, shape: DataFrame) -> DataFrame:
     total = terms[0]
     for t in terms[1:]:
         total = total + t
-    return rows.join(shape, "pool").withColumn("d2", total).drop("mean", "inv")
+    return rows.join(shape, "pool", "left").withColumn("d2", total).drop("mean", "inv")
 
 
 def outliers(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS,

@@ -121,6 +121,29 @@ def test_quality_rules_reject_outliers_and_keep_the_rest(spark):
     assert left.columns == df.columns and left.count() == 400
 
 
+def test_quality_rules_keep_rows_of_groups_that_all_fail(spark):
+    """A group whose rows all fail the base rules has no estimate of its own, yet loses no row."""
+    rng = random.Random(10)
+    rows = [(i, K.words(None, rng.randrange(40, 200), rng, 5000), "en", "good") for i in range(150)]
+    rows += [(1000 + i, [None, "too short", "again " * 40][i % 3], "en", "junk") for i in range(150)]
+    rows += [(2000 + i, None, "de", None) for i in range(120)]
+    rows += [(3000 + i, K.words(None, 60, rng, 5000) if i < 3 else "", "fr", "few") for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules.outliers(df).collect()}
+    assert sorted(got) == sorted(r[0] for r in rows)
+    assert all(got[i].base_failed and not got[i].kept for i in got if 1000 <= i < 3000 or i >= 3003)
+    assert got[0].d2 is not None and got[3000].kept and got[3000].d2 is None  # 3 rows make no pool
+    assert {r.doc_id for r in quality_rules.stage(df).collect()} == {d for d, r in got.items() if r.kept}
+
+
+def test_quality_rule_pools_tell_null_sources_from_languages(spark):
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(20)), "en", s) for i in range(8)
+            for s in (None, "a" if i < 4 else "b")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    pool = {r.g_source: r.pool for r in quality_rules._pools(quality_rules.statistics(df), 6).collect()}
+    assert pool["a"] == pool["b"] != pool[None]
+
+
 ITEMS = [(1, "two words"), (2, None), (3, ""), (None, "été NAÏVE 中文 text"), (4, "w1"), (4, "w1")]
 
 
