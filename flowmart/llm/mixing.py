@@ -4,7 +4,10 @@ Each source's documents are put in a shuffled order (by a hash of id and text) a
 end as one stream of words, cut into blocks of ``BLOCK_WORDS`` words.  The mix is a list of slots
 of one block each.  Slot i takes the point frac((i + 0.5) * golden ratio) through the cumulative
 target weights to a source; slots are ranked per source, and the slot of rank r takes block
-r mod blocks of its source (so every block is used once before any is used again).
+r mod blocks of its source (so every block is used once before any is used again).  A source has
+as many slots as its target needs in real block words (the last block of its stream may be short):
+slots drawn beyond that are passed over, missing ones follow at the end of the mix, and the last
+one takes a part block.  So every source gets its target, rounded to a whole word, at any size.
 
 Sources in code point order, null last, weigh 5, 2, 1, repeating, and share 150 % of all words.
 A target stops at twice its source's words; the excess goes to the others by weight until none is
@@ -90,8 +93,9 @@ def laid_out(docs: DataFrame, src: DataFrame) -> DataFrame:
 
 
 def schedule(src: DataFrame, block: int) -> DataFrame:
-    """src, block, uses: how often the mix takes each block of each source.  One number per
-    source (its edge in the cumulative weights) reaches the driver."""
+    """src, block, uses: the words that the mix takes of each block of each source, from its first
+    word on, at each of its uses.  One number per source (its edge in the cumulative weights)
+    reaches the driver."""
     spark = src.sparkSession
     n = int((src.agg(F.sum("target")).first()[0] or 0) // block)
     upto = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0)
@@ -110,10 +114,21 @@ def schedule(src: DataFrame, block: int) -> DataFrame:
     rank = Window.partitionBy("src", "__b").orderBy("id")
     ranked = (slots.join(_before(slots, "src", "__b", F.lit(1)), ["src", "__b"])
               .withColumn("rank", F.col("__before") + F.row_number().over(rank) - 1)
-              .join(src.select("src", "source_size"), "src"))
-    blocks = F.ceil(F.col("source_size") / block)
-    return (ranked.where(F.floor(F.col("rank") / blocks) < MOST)
-            .groupBy("src", F.pmod("rank", blocks).alias("block")).agg(F.count("*").alias("uses")))
+              .select("src", "rank"))
+    needs = (src.where("source_size > 0")
+             .select("src", "source_size", F.floor(F.col("target") + 0.5).alias("want"),
+                     F.ceil(F.col("source_size") / block).alias("blocks"))
+             .withColumn("need", F.expr("want div source_size") * F.col("blocks")
+                         + F.ceil(F.pmod("want", "source_size") / block)))
+    drawn = slots.groupBy("src").agg(F.count("*").alias("drawn"))
+    missing = (needs.join(drawn, "src", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
+               .where("drawn < need").select("src", F.explode(F.sequence("drawn", F.col("need") - 1)).alias("rank")))
+    taken = (ranked.unionByName(missing).join(needs, "src").where("rank < need")
+             .withColumns({"use": F.expr("rank div blocks"), "block": F.pmod("rank", "blocks")}))
+    words = F.least(F.lit(block), F.col("source_size") - F.col("block") * block,
+                    F.col("want") - F.col("use") * F.col("source_size") - F.col("block") * block)
+    return taken.groupBy("src", "block").agg(F.array(*(
+        F.coalesce(F.max(F.when(F.col("use") == e, words)), F.lit(0)) for e in range(int(MOST)))).alias("uses"))
 
 
 def takings(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
@@ -132,9 +147,13 @@ def takings(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
                         F.floor((F.col("start") + F.col("__size") - 1) / block))
     pieces = (flat.where("__size > 0").withColumn("block", F.explode(blocks))
               .join(uses, ["src", "block"]))
-    words = (F.least((F.col("block") + 1) * block, F.col("start") + F.col("__size"))
-             - F.greatest(F.col("block") * block, F.col("start")))
-    copies = F.array(*(F.sum(F.when(F.col("uses") > e, words).otherwise(0)) for e in range(int(MOST))))
+    first = F.col("block") * block
+
+    def words(e: int) -> Column:
+        last = F.least(first + F.col("uses")[e], F.col("start") + F.col("__size"))
+        return F.greatest(last - F.greatest(first, F.col("start")), F.lit(0))
+
+    copies = F.array(*(F.sum(words(e)) for e in range(int(MOST))))
     got = pieces.groupBy("src", "start").agg(copies.alias("copies"))
     full = flat.where("__size > 0").join(got, ["src", "start"], "left")
     empty = flat.where("__size = 0").withColumn("copies", F.lit(None).cast("array<bigint>"))

@@ -282,6 +282,29 @@ def test_mix(spark):
     assert again == {r.doc_id: r.taken for r in got}
 
 
+@pytest.mark.parametrize("sizes", [
+    {"big": 6000, **{f"s{i:02}": n for i, n in enumerate([1, 7, 40, 64, 100, 127, 128, 129, 130, 257])}},
+    {"a": 30, "b": 11, None: 5}, {"one": 3}])
+def test_mix_reaches_every_target(spark, sizes):
+    """Sources, and whole tables, of less than a block or of a little more than some blocks."""
+    rows = []
+    for s, n in sizes.items():
+        while n:
+            k = min(n, 37)
+            rows.append((len(rows), " ".join(f"w{j}" for j in range(k)), s))
+            n -= k
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    want, took = _targets(sizes), dict.fromkeys(sizes, 0)
+    for r in mixing.takings(df).collect():
+        took[rows[r.doc_id][2]] += r.taken
+        assert r.taken <= 2 * r["size"]
+    assert all(abs(took[s] - want[s]) <= 0.5 + 1e-6 for s in sizes), (took, want)
+    back = dict.fromkeys(sizes, 0)
+    for r in mixing.mixed(df.withColumn("n_chars", F.length("text"))).collect():
+        back[r.source] += len(r.text.split())
+    assert back == took
+
+
 def test_mixed_rows(spark, docs):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns
