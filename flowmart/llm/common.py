@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowmart.session import checkpoint_dir
 
@@ -189,6 +190,11 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key(columns: list[Column]) -> Column:
+    """A 64-bit hash of a row by these columns; nulls count as values."""
+    return F.xxhash64(*columns, *(c.isNull() for c in columns))
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The whole ``documents`` table, or some of its columns."""
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")

@@ -292,8 +292,9 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW,
 
 
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Pipeline stage: the rows without any hit, unchanged.  A row is known by its doc_id; rows
-    that share one (or are null) go if any of them is hit."""
-    bad = (contamination(docs, benchmark).where(F.size("hits") > 0)
+    """Pipeline stage: the rows without any hit, unchanged.  A row is known by a hash of its
+    doc_id and text, as ids may be null or shared."""
+    key = C.row_key([F.col("doc_id").cast("bigint"), F.col("text").cast("string")])
+    bad = (contamination(docs.select(key.alias("doc_id"), "text"), benchmark).where(F.size("hits") > 0)
            .select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__bad")), "left_anti")
+    return docs.join(bad, key == F.col("__bad"), "left_anti")

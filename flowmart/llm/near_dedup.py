@@ -21,8 +21,9 @@ make no pairs.
 
 Nodes are sums of 64-bit hashes of the set with its size.  A document without words has an empty
 set and is linked with nothing; null counts as empty text; rows alike are one node; the component
-of a row is the smallest doc_id reachable; an empty table gives an empty result.  Only doc_id and
-text are read.
+of a row is the smallest doc_id reachable (null if all are null); an empty table gives an empty
+result.  Only doc_id and text are read.  The stage keeps one row of each group, also of groups whose
+ids are all null or repeated.
 """
 
 from __future__ import annotations
@@ -42,7 +43,7 @@ ROWS = 4
 KEYS = 16
 ROUNDS = 3
 
-_SIGNED = "doc_id bigint, n_shingles bigint, node bigint, a array<bigint>, b array<bigint>"
+_SIGNED = "doc_id bigint, key bigint, n_shingles bigint, node bigint, a array<bigint>, b array<bigint>"
 
 
 def shingles(c: C.Chunk, k: int):
@@ -107,11 +108,12 @@ def _sign(k: int, keys: int, per_key: int):
                 lists = np.zeros(c.rows + 1, dtype=np.int64)
                 lists[full + 1] = keys
                 lists = np.cumsum(lists)
+                own = [name for name in batch.schema.names if name != "text"]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(c.lo, c.rows), pa.array(n, pa.int64()),
+                    [*(batch.column(name).slice(c.lo, c.rows) for name in own), pa.array(n, pa.int64()),
                      pa.array(node), C.lists(sig[:, :keys].ravel().view(np.int64), lists, pa.int64()),
                      C.lists(sig[:, keys:].ravel().view(np.int64), lists, pa.int64())],
-                    names=["doc_id", "n_shingles", "node", "a", "b"])
+                    names=[*own, "n_shingles", "node", "a", "b"])
     return run
 
 
@@ -179,7 +181,7 @@ def _table_keys() -> Column:
 def links(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """Confirmed links (u, v) between nodes, enough of them to connect every component."""
     nodes = (signed.where("n_shingles > 0").groupBy("node", "n_shingles")
-             .agg(F.min("doc_id").alias("doc_id"), F.first("a").alias("a"), F.first("b").alias("b")))
+             .agg(F.min(_order()).alias("one"), F.first("a").alias("a"), F.first("b").alias("b")))
     nodes = C.written(nodes, "op4-nodes")
     # nodes whose keys of the first collection are all their own share no table with any other
     first = nodes.select("node", F.explode("a").alias("x"))
@@ -195,8 +197,11 @@ def links(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame
     members = C.written(tables.join(buckets.select("x"), "x", "left_semi"), "op4-members")
 
     wanted = members.select("node").distinct()
-    source = nodes.join(wanted, "node", "left_semi").select(F.col("doc_id").alias("__d")).distinct()
-    texts = docs.join(source, F.col("doc_id") == F.col("__d"), "left_semi")
+    # one row of each node, known by id and key as ids may be null or shared
+    source = (nodes.join(wanted, "node", "left_semi")
+              .select(F.col("one.doc_id").alias("__d"), F.col("one.key").alias("__k")).distinct())
+    texts = docs.join(source, F.col("doc_id").eqNullSafe(F.col("__d"))
+                      & (F.col("key") == F.col("__k")), "left_semi")
     sets = texts.select("text").mapInArrow(_sets(k), "node bigint, hashes binary")
     sets = C.written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "op4-sets")
     sizes = C.written(nodes.join(wanted, "node", "left_semi").select("node", F.col("n_shingles").alias("m")),
@@ -270,16 +275,31 @@ def prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .select("u", "v", "n", "m").distinct())
 
 
-def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def _keyed(docs: DataFrame, key: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.col("text").cast("string").alias("text"), key.alias("key"))
+
+
+def _order() -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("z"), "doc_id", "key")
+
+
+def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, text, key) signed, and for every node with words the ``first`` row of its
+    component: the least by doc_id (null last), then key."""
     signed = C.written(rows.mapInArrow(_sign(k, KEYS, ROWS), _SIGNED), "op4-signed")
     comp = components(links(signed, rows, k, percent))
-    least = (signed.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("least"))
+    least = (signed.where("n_shingles > 0").groupBy("node").agg(F.min(_order()).alias("least"))
              .join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    smallest = least.groupBy("comp").agg(F.min("least").alias("component_id"))
-    of_node = least.join(smallest, "comp").select("node", "component_id")
-    full = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "node").join(of_node, "node")
+    smallest = least.groupBy("comp").agg(F.min("least").alias("first"))
+    return signed, least.join(smallest, "comp").select("node", "first")
+
+
+def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    signed, of_node = _grouped(_keyed(docs, F.xxhash64(F.col("text").cast("string"))), k, percent)
+    full = signed.where("n_shingles > 0").select("doc_id", "n_shingles", "node").join(
+        of_node.select("node", F.col("first.doc_id").alias("component_id")), "node")
     empty = signed.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
     out = ["doc_id", "n_shingles", "component_id"]
     return (full.select(*out).unionByName(empty.select(*out))
@@ -287,7 +307,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -
 
 
 def stage(docs: DataFrame) -> DataFrame:
-    """Pipeline stage: one document of each group, the one with the smallest doc_id; its rows are
-    unchanged."""
-    gone = near_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__gone")), "left_anti")
+    """Pipeline stage: one row of each group, unchanged: the one with the smallest doc_id (null
+    last), then the smallest hash of the row; of rows alike in all columns any one.  Rows without
+    words all stay."""
+    key = C.row_key([F.col("doc_id").cast("bigint"), *(
+        F.col(f.name) for f in docs.schema if f.name != "doc_id"
+        and not any(t in f.dataType.simpleString() for t in ("map<", "variant")))])  # these have no hash
+    signed, of_node = _grouped(_keyed(docs, key), SHINGLE, PERCENT)
+    rows = (signed.where("n_shingles > 0").select("key", "node").join(of_node, "node")
+            .groupBy("key", (F.col("key") == F.col("first.key")).alias("kept")).agg(F.count("*").alias("n")))
+    rows = C.written(rows, "op4-rows")
+    gone = rows.where(~F.col("kept")).select(F.col("key").alias("__gone"))
+    left = docs.join(gone, key == F.col("__gone"), "left_anti")
+    again = rows.where("kept and n > 1").select(F.col("key").alias("__again"))
+    if not again.head(1):
+        return left
+    same = key == F.col("__again")
+    once = (left.join(again, same, "left_semi").withColumn("__again", key)
+            .dropDuplicates(["__again"]).drop("__again"))
+    return left.join(again, same, "left_anti").unionByName(once)

@@ -248,6 +248,10 @@ def outliers(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS,
 
 def stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the rows that neither the base rules nor the method rejects, unchanged.
-    A row is known by its doc_id; rows that share one (or are null) go if any of them goes."""
-    bad = outliers(docs).where(~F.col("kept")).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__bad")), "left_anti")
+    A row is known by a hash of all that it is judged by and its doc_id, as ids may be null or
+    shared."""
+    key = C.row_key([F.col("doc_id").cast("bigint"),
+                     *(F.col(c).cast("string") for c in ("text", "lang", "source"))])
+    judged = outliers(docs.select(key.alias("doc_id"), "text", "lang", "source"))
+    bad = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__bad")).distinct()
+    return docs.join(bad, key == F.col("__bad"), "left_anti")

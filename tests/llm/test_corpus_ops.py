@@ -166,6 +166,25 @@ def test_near_duplicates_in_chains_and_boilerplate(spark):
     assert sorted(r.doc_id for r in left.collect()) == sorted(d for d, (_, c) in want.items() if d == c)
 
 
+def test_near_dedup_of_null_and_shared_ids(spark):
+    rng = random.Random(13)
+    a, b, c, d = ([f"{x}{rng.randrange(10**6)}" for _ in range(120)] for x in "abcd")
+    near = c.copy()
+    near[60] = "changed"
+    a, b, c, d, near = (" ".join(x) for x in (a, b, c, d, near))
+    rows = [(1, a, "x"), (None, a, "x"), (None, b, "x"),  # a null-id copy of row 1, and a clean null-id row
+            (None, c, "x"), (None, near, "x"),            # near copies under null ids only
+            (2, d, "x"), (2, d, "x"), (2, d, "y"),        # repeated rows of the smallest id
+            (7, a, "x"), (7, "one more text that has nothing in common with the others", "x")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    left = near_dedup.stage(df)
+    assert left.columns == df.columns
+    got = [(r.doc_id, r.text) for r in left.collect()]
+    assert got.count((None, c)) + got.count((None, near)) == 1
+    assert sorted((x for x in got if x[1] not in (c, near)), key=repr) == sorted(
+        [(1, a), (None, b), (2, d), (7, rows[-1][1])], key=repr)
+
+
 def test_components_of_random_graphs(spark):
     rng = random.Random(6)
     edges = [(rng.randrange(-80, 80), rng.randrange(-80, 80)) for _ in range(90)] + [(500, 501), (501, 502), (502, 503)]

@@ -176,6 +176,21 @@ def test_decontamination_stage(spark, docs):
     assert docs.count() - left.count() == 3
 
 
+def test_stages_tell_rows_with_null_or_shared_ids_apart(spark):
+    rng = random.Random(14)
+    good, other, hit = (K.words(None, 60, rng, 9000) for _ in range(3))
+    rows = [(None, good, "en", "a"), (None, "short", "en", "a"), (5, other, "en", "a"), (5, None, "en", "a"),
+            (None, hit, "en", "a"), (5, hit, "en", "a")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    left = quality_rules.stage(df)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        ((r[0], r[1]) for r in rows if r[1] in (good, other, hit)), key=repr)
+    bench = spark.createDataFrame([(1, hit)], "item_id bigint, text string")
+    left = decontaminate.stage(df, bench)
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        ((r[0], r[1]) for r in rows if r[1] != hit), key=repr)
+
+
 def test_suffix_search_at_random():
     rng = random.Random(3)
     for _ in range(60):
