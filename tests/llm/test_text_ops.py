@@ -3,6 +3,7 @@
 import random
 
 import cases as K
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -53,6 +54,18 @@ def test_secret_network_on_held_out_findings():
     assert recall > 0.9 and false < 0.02
 
 
+@pytest.mark.parametrize("trained", [True, False])
+def test_secret_threshold_keeps_the_stated_recall(trained):
+    """Also for a network that separates the classes badly, whose scores are all low."""
+    held = secret_scan.generated(600, seed=78)
+    net = secret_scan.fit(secret_scan.generated(2000)) if trained else secret_scan.Network()
+    net.calibrate(secret_scan._codes([t for t, _ in held]), np.array([y for _, y in held], dtype=np.float32))
+    p = net.scores([t for t, _ in held])
+    y = np.array([y for _, y in held]) > 0
+    assert (p[y] >= net.threshold).mean() >= secret_scan.RECALL
+    assert net.precision == pytest.approx(y[p >= net.threshold].mean())
+
+
 def test_pii(docs, pairs):
     got = pii.digest(pii.find(docs)).collect()
     want = sorted(((d, K.sha(K.joined(K.personal(t)))) for d, t in pairs), key=repr)
