@@ -190,6 +190,15 @@ def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table that :func:`written` made, once nothing reads it any more."""
+    spark = df.sparkSession
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        if folder.rpartition("/")[2].startswith("flowmart-"):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def row_key(columns: list[Column]) -> Column:
     """A 64-bit hash of a row by these columns; nulls count as values."""
     return F.xxhash64(*columns, *(c.isNull() for c in columns))

@@ -67,6 +67,93 @@ FROM w LEFT JOIN kept k USING (doc_id)
 """
 
 
+def _centroids() -> str:
+    """Operator 11: assignments and updates written out round by round, one row per component."""
+    def assign(i: int) -> str:
+        return f"""
+d{i} AS MATERIALIZED (
+  SELECT r, c, sum((v.x - m.x) * (v.x - m.x)) AS d FROM v JOIN c{i} m USING (j) GROUP BY r, c),
+a{i} AS MATERIALIZED (
+  SELECT r, c, d FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY d, c) AS o FROM d{i}) WHERE o = 1)"""
+
+    def update(i: int) -> str:
+        return f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT m.c, m.j, coalesce(n.x, m.x) AS x FROM c{i} m LEFT JOIN (
+    SELECT a.c, v.j, CAST(floor(CAST(sum(v.x) AS DOUBLE) / count(*)) AS BIGINT) AS x
+    FROM a{i} a JOIN v USING (r) GROUP BY a.c, v.j) n USING (c, j))"""
+
+    steps = ",".join(assign(i) + "," + update(i) for i in range(5)) + "," + assign(5)
+    return f"""
+WITH k AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+v AS MATERIALIZED (
+  SELECT r, j, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM (SELECT r, unnest(embedding) AS x, unnest(range(64)) AS j FROM k)),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, r) - 1 AS c FROM k),
+c0 AS MATERIALIZED (SELECT c, j, x FROM first JOIN v USING (r) WHERE c < 40),{steps},
+mark AS (SELECT c, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY j)) AS s FROM c5 GROUP BY c)
+SELECT k.vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(a.d AS BIGINT) AS distance,
+  CAST(sum(a.d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(a.d) OVER () AS BIGINT) AS inertia, mark.s AS centroid_sha256
+FROM a5 a JOIN k USING (r) JOIN mark USING (c)
+"""
+
+
+# Operator 12: the digests straight from the rows; the template's marks count 23 code points a turn.
+CHAT_FORMAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g'))
+  + length(regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\\\2\3', 'g')) + 23 AS n FROM rows)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(n) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+# Operator 13: all phrases counted, cuts joined with the counts of their parts, exact integers.
+COLLOCATIONS = rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(
+    unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws
+  FROM documents),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a FROM (
+    SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, k, ws, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) t(k)
+          WHERE len(ws) >= k))
+  GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(len(ws)) AS n FROM p GROUP BY lang),
+cand AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cut AS (
+  SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r,
+    CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[j + 1:], ' ')),
+low AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM cut)
+        WHERE o = 1),
+inner_ AS (
+  SELECT lang, part, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part
+    FROM cand WHERE k = 3) GROUP BY ALL),
+ranked AS (
+  SELECT low.*, row_number() OVER (PARTITION BY low.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM low LEFT JOIN inner_ i ON i.lang = low.lang AND i.part = phrase
+  WHERE i.part IS NULL OR 100 * i.most < 50 * a)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op4_near_dedup": NEAR_DEDUP, "op6_decontaminate": DECONTAMINATE,
-            "op10_substring_dedup": SUBSTRING_DEDUP}
+            "op10_substring_dedup": SUBSTRING_DEDUP, "op11_centroids": _centroids(),
+            "op12_chat_format": CHAT_FORMAT, "op13_collocations": COLLOCATIONS}

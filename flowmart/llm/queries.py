@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
-from flowmart.llm import (decontaminate, mixing, near_dedup, oracle, pii, quality_model, quality_rules,
-                          secret_scan, sharding, substring_dedup, token_output)
+from flowmart.llm import (centroids, collocations, decontaminate, mixing, near_dedup, oracle, pii, quality_model,
+                          quality_rules, reply_trees, secret_scan, sharding, substring_dedup, token_output)
 
 #: the tokenizer file of op3, by the name that the public tokenizer package knows it by
 TOKENIZER = "byte_bpe_50k.json"
@@ -79,6 +79,26 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 11 over all embeddings."""
+    return centroids.digest(*centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 12 over all conversations and one that holds the template's own control strings."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).select(
+        F.lit(-1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return reply_trees.digest(reply_trees.conversations(reply_trees.of_turns(rows.unionByName(probe))))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 13 over all documents: phrases of two and three words."""
+    return collocations.collocations(C.documents(spark, sf_dir, "lang", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_model": op1_quality_model,
@@ -91,6 +111,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": op8_quality_rules,
         "op9_mixing": op9_mixing,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_centroids": op11_centroids,
+        "op12_chat_format": op12_chat_format,
+        "op13_collocations": op13_collocations,
     }
 
 
