@@ -17,16 +17,26 @@ RECORD = "record"
 _END = "end-of-record"
 
 
-def record_of(value: Column | str) -> Column:
-    """The line's top-level fields as ``map<string,variant>``; null unless the line is
-    exactly one JSON object (duplicate keys count as malformed)."""
-    v = F.col(value) if isinstance(value, str) else value
-    items = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), v, F.lit(f',"{_END}"]'))),
-                              "$", "array<variant>")
+def _items(value: Column) -> Column:
+    """The line read as the first item of a list, with what follows it."""
+    return F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{_END}"]'))),
+                             "$", "array<variant>")
+
+
+def _only_record(items: Column) -> Column:
+    """``map<string,variant>`` of the first item; null unless it is an object and all there is
+    (duplicate keys count as malformed)."""
     whole = (F.size(items) == 2) & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _END)
     return F.when(whole, F.try_variant_get(F.get(items, F.lit(0)), "$", "map<string,variant>"))
 
 
+def bind(df: DataFrame, **columns: Column) -> DataFrame:
+    """Sets columns through a one-row generator.  Catalyst copies a projected expression into every
+    place that reads it; what a generator makes is worked out once per row."""
+    keep = [c for c in df.columns if c not in columns]
+    return df.select(*keep, F.inline(F.array(F.struct(*(v.alias(k) for k, v in columns.items())))))
+
+
 def field(record: Column, name: str, kind: str = "string", path: str = "$") -> Column:
     """One field of a record as ``kind``; null when absent or not convertible.  An object or
     list read as string gives its JSON text."""
@@ -34,17 +44,19 @@ def field(record: Column, name: str, kind: str = "string", path: str = "$") -> C
 
 
 def with_record(df: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Adds ``record``.  ``strict=True`` (P2) fails the job on the first malformed line, as the
-    reference's DWS jobs do.
+    """Adds ``record``: the line's top-level fields as ``map<string,variant>``, null unless the line
+    is exactly one JSON object.  ``strict=True`` (P2) fails the job on the first malformed line, as
+    the reference's DWS jobs do.
 
-    The record is re-emitted through a one-row generator: Catalyst would otherwise
-    copy the parse into every filter on its fields.
+    The line, the list it is read in and the record are bound one after the other, so a line that
+    is itself an expression is made once and parsed once.
     """
-    rec = record_of(value)
+    bound = bind(bind(df, **{value: F.col(value)}), __items=_items(F.col(value)))
+    rec = _only_record(F.col("__items"))
     if strict:
         rec = F.coalesce(rec, F.raise_error(F.concat(F.lit("malformed record: "), F.col(value)))
                          .cast("map<string,variant>"))
-    return df.select("*", F.inline(F.array(F.struct(rec.alias(RECORD)))))
+    return bind(bound, **{RECORD: rec}).drop("__items")
 
 
 def drop_nulls(m: Column) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from flowmart import schemas
 from flowmart.functions.timefn import ntz_to_ms
 from flowmart.operators.cdc import DATABASE
+from flowmart.operators.parse import bind
 from flowmart.sources.catalog import Tables
 
 DATETIME = "yyyy-MM-dd HH:mm:ss"
@@ -62,11 +63,11 @@ PAGE_LOG_SQL = [
 
 def page_log_columns(events: DataFrame, keep_k: bool = False) -> DataFrame:
     """Flat page-log columns from ``events`` (one page record per event)."""
-    return (
-        events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
-                          "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
-        .selectExpr("event_id", *(["k"] if keep_k else []), *PAGE_LOG_SQL)
-    )
+    raw = events.selectExpr("event_id", "ts", "user_id", "event_type", "value",
+                            "CAST(get_json_object(props, '$.k') AS BIGINT) AS k")
+    if keep_k:
+        raw = bind(raw, k=F.col("k"))
+    return raw.selectExpr("event_id", *(["k"] if keep_k else []), *PAGE_LOG_SQL)
 
 
 def _with_item(t: Tables, flat: DataFrame) -> DataFrame:
@@ -171,9 +172,11 @@ def ods_log_text(t: Tables) -> DataFrame:
     Every tenth line (by event id) is cut short, others have text after the
     record or no time: dirty lines.  Some numbers are quoted, some uids null, and
     every record has fields that no schema lists.
-    Written as SQL expressions (plain CASE branches stay in codegen).
+    Written as SQL expressions (plain CASE branches stay in codegen); the fields that many of them
+    read are bound once.
     """
-    return (page_log_columns(t("events"), keep_k=True)
+    flat = page_log_columns(t("events"), keep_k=True)
+    return (bind(flat, **{c: F.col(c) for c in flat.columns})
             .selectExpr(*ODS_PARTS_SQL)
             .selectExpr("event_id", f"{ODS_LINE_SQL} AS line")
             .selectExpr("event_id", "CASE WHEN event_id % 10 = 0 THEN substring(line, 1, length(line) - 1) "
