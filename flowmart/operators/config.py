@@ -13,9 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowmart.functions.timefn import DAY_MS
+from flowmart.operators.asof import asof_join
 from flowmart.schemas import CONFIG_FIELDS
 
 PUT, REMOVE = "put", "remove"
+#: the time from which a preloaded rule holds, before any change
+START = -(1 << 62)
 
 
 def config_key(cfg: str, layer: str) -> Column:
@@ -25,6 +29,60 @@ def config_key(cfg: str, layer: str) -> Column:
     return F.col(f"{cfg}.source_table")
 
 
+def touches(changes: DataFrame, layer: str, evict_moved: bool = False, seq: str | None = None) -> DataFrame:
+    """The keys that each change touches: ``config_key``, ``_o`` (change time and sequence),
+    ``_action`` (put or remove) and ``_cfg`` (the row put or removed)."""
+    order = F.struct(F.col("ts_ms"), (F.col(seq) if seq else F.lit(0)).alias("seq"))
+    is_d = F.col("op") == "d"
+
+    def touch(cond: Column, cfg: str, action: str) -> Column:
+        return F.when(cond, F.struct(config_key(cfg, layer).alias("config_key"),
+                                     F.lit(action).alias("_action"), F.col(cfg).alias("_cfg")))
+
+    found = [
+        touch(is_d & (F.col("before.sink_type") == layer), "before", REMOVE),
+        touch(~is_d & (F.col("after.sink_type") == layer), "after", PUT),
+    ]
+    if evict_moved:
+        moved = (~is_d & F.col("before").isNotNull() & (F.col("before.sink_type") == layer)
+                 & ((F.col("after.sink_type") != layer)
+                    | (config_key("before", layer) != config_key("after", layer))))
+        # an eviction comes before the put of its own change
+        found.insert(1, touch(moved, "before", REMOVE))
+    # one pass over the changes: each change yields the keys it touches
+    return (changes.select(order.alias("_o"), F.explode(F.array(*found)).alias("_t"))
+            .where(F.col("_t").isNotNull())
+            .select(F.col("_t.config_key").alias("config_key"), "_o",
+                    F.col("_t._action").alias("_action"), F.col("_t._cfg").alias("_cfg")))
+
+
+def rule_versions(changes: DataFrame, layer: str, evict_moved: bool = False, seq: str | None = None,
+                  preload: DataFrame | None = None) -> DataFrame:
+    """The history of the configuration, for joins as of time: ``key``, ``at`` (ms) and ``value``
+    (``put``, ``cfg``), one row per key and millisecond (the last change of it).
+
+    A version holds until the next one of its key; one with ``put`` false ends the rule.
+    ``preload`` (R10) is the snapshot read before the first change: it holds from the start.
+    """
+    t = touches(changes, layer, evict_moved, seq).where("config_key is not null")
+    value = F.struct((F.col("_action") == PUT).alias("put"), F.col("_cfg").alias("cfg"))
+    v = (t.select(F.col("config_key").alias("key"), F.col("_o.ts_ms").alias("at"), "_o", value.alias("v"))
+         .groupBy("key", "at").agg(F.max_by("v", "_o").alias("value")))
+    if preload is not None:
+        pre = preload.where(F.col("sink_type") == layer).select(
+            config_key_cols(layer).alias("key"), F.lit(START).cast("bigint").alias("at"),
+            F.struct(F.lit(True).alias("put"), F.struct(*CONFIG_FIELDS).alias("cfg")).alias("value"))
+        v = v.unionByName(pre)
+    return v
+
+
+def in_force(rows: DataFrame, rules: DataFrame, bucket: int = DAY_MS) -> DataFrame:
+    """``rows`` (with ``_key`` and ``_at``) and the config columns of the rule in force for each;
+    rows without one are dropped."""
+    found = asof_join(rows, "_key", "_at", rules, bucket, "_rule").where("_rule.put")
+    return found.select(*rows.columns, *[F.col(f"_rule.cfg.{f}").alias(f) for f in CONFIG_FIELDS]).drop("_key", "_at")
+
+
 def fold_changes(
     changes: DataFrame,
     layer: str = "dim",
@@ -42,27 +100,7 @@ def fold_changes(
     no change keeps its preloaded row; a delete drops both.
     Output: ``config_key`` + the seven config columns.
     """
-    order = F.struct(F.col("ts_ms"), F.col(seq) if seq else F.lit(0))
-    is_d = F.col("op") == "d"
-
-    def touch(cond: Column, cfg: str, action: str) -> Column:
-        return F.when(cond, F.struct(config_key(cfg, layer).alias("config_key"),
-                                     F.lit(action).alias("_action"), F.col(cfg).alias("_cfg")))
-
-    touches = [
-        touch(is_d & (F.col("before.sink_type") == layer), "before", REMOVE),
-        touch(~is_d & (F.col("after.sink_type") == layer), "after", PUT),
-    ]
-    if evict_moved:
-        moved = (~is_d & F.col("before").isNotNull() & (F.col("before.sink_type") == layer)
-                 & ((F.col("after.sink_type") != layer)
-                    | (config_key("before", layer) != config_key("after", layer))))
-        touches.append(touch(moved, "before", REMOVE))
-    # one pass over the changes: each change yields the keys it touches
-    exploded = (changes.select(order.alias("_o"), F.explode(F.array(*touches)).alias("_t"))
-                .where(F.col("_t").isNotNull())
-                .select(F.col("_t.config_key").alias("config_key"), "_o",
-                        F.col("_t._action").alias("_action"), F.col("_t._cfg").alias("_cfg")))
+    exploded = touches(changes, layer, evict_moved, seq)
     last = (
         exploded
         .groupBy("config_key")

@@ -31,7 +31,28 @@ def route(
     """
     c = config.select("source_table", "sink_table", "sink_columns", "sink_pk")
     rows = feed.where(F.col("type").isin(*types))
-    return rows.join(c, rows["table"] == c["source_table"], "inner").select(
+    return _routed(rows.join(c, rows["table"] == c["source_table"], "inner"))
+
+
+def route_asof(
+    feed: DataFrame,
+    rules: DataFrame,
+    types: Sequence[str] = ROUTED_TYPES,
+    bucket: int = cfg.DAY_MS,
+) -> DataFrame:
+    """R7 + J4 as of time: each change is routed by the rule that was in force when it came.
+
+    ``rules`` is ``config.rule_versions``: a rule changed or deleted in mid-feed routes what comes
+    after it only.  A change's second is its time: of a rule's changes those up to its beginning
+    count.  Output as :func:`route`.
+    """
+    rows = (feed.where(F.col("type").isin(*types))
+            .withColumns({"_key": F.col("table"), "_at": F.col("ts") * 1000}))
+    return _routed(cfg.in_force(rows, rules, bucket))
+
+
+def _routed(joined: DataFrame) -> DataFrame:
+    return joined.select(
         "sink_table", cfg.pk_or_default("sink_pk").alias("sink_pk"),
         "table", "type", "ts", "xid", "xoffset", cfg.prune("data", "sink_columns").alias("data"))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart.operators import config as cfg
@@ -20,9 +20,23 @@ def route(feed: DataFrame, config: DataFrame) -> DataFrame:
     ``sink_table`` (the per-row topic), ``table``, ``type``, ``ts``, ``data``.
     """
     c = config.select("config_key", "sink_table", "sink_columns")
-    keyed = feed.withColumn("_route", F.concat(F.col("table"), F.lit("_"), F.col("type")))
-    return keyed.join(c, keyed["_route"] == c["config_key"], "inner").select(
-        "sink_table", "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))
+    keyed = feed.withColumn("_key", _route_key())
+    return _routed(keyed.join(c, keyed["_key"] == c["config_key"], "inner"))
+
+
+def route_asof(feed: DataFrame, rules: DataFrame, bucket: int = cfg.DAY_MS) -> DataFrame:
+    """R8 + J4 as of time: each change goes where the rule in force when it came sends it.  ``rules``
+    is ``config.rule_versions`` of the fact layer; output as :func:`route`."""
+    rows = feed.withColumns({"_key": _route_key(), "_at": F.col("ts") * 1000})
+    return _routed(cfg.in_force(rows, rules, bucket))
+
+
+def _route_key() -> Column:
+    return F.concat(F.col("table"), F.lit("_"), F.col("type"))
+
+
+def _routed(joined: DataFrame) -> DataFrame:
+    return joined.select("sink_table", "table", "type", "ts", cfg.prune("data", "sink_columns").alias("data"))
 
 
 def to_topic_records(routed: DataFrame) -> DataFrame:

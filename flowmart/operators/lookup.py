@@ -7,7 +7,13 @@ measured) and joins larger dimensions by a shuffle, with hot partitions split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from flowmart.functions.timefn import DAY_MS
+from flowmart.operators.asof import asof_join
 
 
 def lookup_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
@@ -19,3 +25,20 @@ def lookup_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
     same table state for a static dimension.
     """
     return df.join(dim, df[left_key] == dim[right_key], how)
+
+
+def dim_versions(changes: DataFrame, key: str, at: str, columns: Sequence[str], deleted: Column,
+                 seq: str | None = None) -> DataFrame:
+    """The history of a dimension for :func:`lookup_asof`: one row per key and time (the last change
+    of it by ``seq``), with the ``columns`` and whether the row was there."""
+    value = F.struct((~deleted).alias("there"), F.struct(*columns).alias("row"))
+    order = F.col(seq) if seq else F.lit(0)
+    return (changes.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+            .groupBy(F.col(key).alias("key"), F.col(at).alias("at")).agg(F.max_by(value, order).alias("value")))
+
+
+def lookup_asof(df: DataFrame, versions: DataFrame, key: str, at: Column, bucket: int = DAY_MS) -> DataFrame:
+    """J3 as of time: each row with its dimension row as it was at ``at`` (ms), as the reference
+    probes the dimension when the row arrives; rows without one are dropped."""
+    found = asof_join(df.withColumn("_at", at), key, "_at", versions, bucket, "_dim").where("_dim.there")
+    return found.select(*df.columns, "_dim.row.*")

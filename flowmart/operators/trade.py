@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowmart import schemas
 from flowmart.operators.cdc import cdc_slice
-from flowmart.operators.lookup import lookup_join
+from flowmart.operators.lookup import lookup_asof, lookup_join
 
 def cart_add(feed: DataFrame, dic: DataFrame) -> DataFrame:
     """Cart additions with the source-type name (14 columns).
@@ -21,6 +21,13 @@ def cart_add(feed: DataFrame, dic: DataFrame) -> DataFrame:
     return lookup_join(cart, names, "source_type", "dic_code").select(*schemas.CART_ADD_OUT)
 
 
+def cart_add_asof(feed: DataFrame, dic: DataFrame) -> DataFrame:
+    """Cart additions with the source-type name as it was when they came (``dic``:
+    ``lookup.dim_versions`` with dic_name)."""
+    cart = cdc_slice(feed, "cart_info", schemas.CART_INFO_COLS)
+    return lookup_asof(cart, dic, "source_type", F.col("ts") * 1000).select(*schemas.CART_ADD_OUT)
+
+
 def slices(feed: DataFrame) -> dict[str, tuple[DataFrame, str]]:
     """The four slices of the feed that an order detail is made of, each with its order id column."""
     parts = {"order_detail": (schemas.ORDER_DETAIL_COLS, "order_id"),

@@ -580,6 +580,88 @@ SELECT {_cells("'dwd_tool_coupon_use', 'order_detail_coupon', 'insert', "
 FROM lineitem WHERE l_tax = 0
 """
 
+# The rules of the feed's own tables, spread over the feed's time (fixtures.routing_changes).
+_TABLES = "['cart_info','order_info','order_detail','order_detail_activity','order_detail_coupon','user_info','sku_info']"
+ROUTING_CHANGES = (
+    CONFIG_CHANGES.replace("'src_' || CAST(user_id AS VARCHAR)", f"{_TABLES}[user_id % 7 + 1]")
+    .replace("'src_' || CAST(user_id + 1 AS VARCHAR)", f"{_TABLES}[(user_id + 1) % 7 + 1]")
+    .replace("ts AS ts_ms", "788918400000 + (ts - 1704067200000) * 80 AS ts_ms")
+    .replace("'id,name,v'", "'id,order_id,sku_id'").replace("'id,name, v'", "'id, order_id,user_id'")
+    .replace("'id,name'", "'id,order_status,activity_id,coupon_id'"))
+
+# The cells of all changes whose columns a rule may keep.
+_MS = "epoch_us({}) // 1000000"
+_FEED = [
+    ("cart_info", "insert", _MS.format("l_shipdate"), f"'cart-' || {DETAIL_ID}",
+     {"sku_id": "l_partkey", "user_id": "l_suppkey"}, "lineitem"),
+    ("order_info", "insert", _MS.format("o_orderdate"), "o_orderkey",
+     {"order_status": "o_orderstatus", "user_id": "o_custkey"}, "orders"),
+    ("order_info", "update", _MS.format("o_orderdate") + " + 86400", "o_orderkey",
+     {"order_status": "'1004'"}, "orders WHERE o_orderstatus = 'F'"),
+    ("order_detail", "insert", _MS.format("l_shipdate"), DETAIL_ID,
+     {"order_id": "l_orderkey", "sku_id": "l_partkey"}, "lineitem"),
+    ("order_detail_activity", "insert", _MS.format("l_shipdate"), f"'act-' || {DETAIL_ID}",
+     {"order_id": "l_orderkey", "sku_id": "l_partkey", "activity_id": "l_linestatus"},
+     "lineitem WHERE l_discount >= 0.05"),
+    ("order_detail_coupon", "insert", _MS.format("l_shipdate"), f"'cpn-' || {DETAIL_ID}",
+     {"order_id": "l_orderkey", "sku_id": "l_partkey", "coupon_id": "l_suppkey"}, "lineitem WHERE l_tax = 0"),
+    ("user_info", "bootstrap-insert", "1700000000", "c_custkey", {}, "customer"),
+    ("user_info", "update", "1700000100", "c_custkey", {}, "customer WHERE c_acctbal < 1000"),
+    ("user_info", "update", "1700000100", "c_custkey", {}, "customer WHERE c_acctbal < 1000"),
+    ("user_info", "delete", "1700000200", "c_custkey", {}, "customer WHERE c_mktsegment = 'BUILDING'"),
+    ("sku_info", "insert", "1700000000", "p_partkey", {}, "part"),
+]
+
+
+def _feed_rows() -> str:
+    rows = []
+    for table, kind, ts, key, data, source in _FEED:
+        names = ["id", *data]
+        values = [f"CAST({v} AS VARCHAR)" for v in (key, *data.values())]
+        rows.append(f"""SELECT '{table}' AS "table", '{kind}' AS type, CAST({ts} AS BIGINT) AS ts,
+  CAST({key} AS VARCHAR) AS id, {names} AS names, [{', '.join(values)}] AS vals FROM {source}""")
+    return "\nUNION ALL\n".join(rows)
+
+
+def route_asof(layer: str) -> str:
+    touched, _, _ = config_fold(layer).replace(CONFIG_CHANGES, ROUTING_CHANGES).rpartition(",\nlast AS (")
+    key, kinds, pk = {
+        "dim": ('"table"', "type IN ('insert', 'update', 'bootstrap-insert')",
+                "CASE WHEN v.sink_pk IS NULL OR v.sink_pk = '' THEN 'id' ELSE v.sink_pk END AS sink_pk, "),
+        "dwd": ("\"table\" || '_' || type", "true", "")}[layer]
+    return f"""{touched},
+versions AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY config_key, ts_ms ORDER BY seq DESC) AS rn FROM touches) WHERE rn = 1),
+feed AS ({_feed_rows()}),
+routed AS (
+  SELECT v.sink_table, {pk}f."table", f.type, f.ts, f.id, v.action, string_split(v.sink_columns, ',') AS keep,
+    f.names, f.vals
+  FROM (SELECT *, {key} AS k, ts * 1000 AS at FROM feed WHERE {kinds}) f
+  ASOF JOIN versions v ON f.k = v.config_key AND f.at >= v.ts_ms),
+cells AS (
+  SELECT * EXCLUDE (names, vals), unnest(names) AS "column", unnest(vals) AS value FROM routed WHERE action = 'put')
+SELECT * EXCLUDE (action, keep, id), CASE WHEN list_contains(keep, 'id') THEN id END AS id FROM cells
+WHERE list_contains(keep, "column")
+"""
+
+
+CART_LOOKUP_ASOF = f"""
+WITH {CART},
+e AS (
+  SELECT event_id, event_type, substr('ANR', CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 + 1 AS INT), 1)
+    AS dic_code, 788918400000 + (epoch_us(ts) // 1000 - 1704067200000) * 80 AS ts_ms FROM events),
+v AS (
+  SELECT dic_code, ts_ms, event_type = 'error' AS deleted, 'source ' || dic_code || ' ' || event_id AS dic_name,
+    row_number() OVER (PARTITION BY dic_code, ts_ms ORDER BY event_id DESC) AS rn FROM e)
+SELECT id, user_id, sku_id, cart_price, sku_num, sku_name, is_checked, create_time,
+       operate_time, is_ordered, order_time, source_type, dic_name, source_id
+FROM (SELECT *, ts * 1000 AS at FROM cart) c
+ASOF JOIN (SELECT * FROM v WHERE rn = 1) v ON c.source_type = v.dic_code AND c.at >= v.ts_ms
+WHERE NOT v.deleted
+"""
+
+
 DIM_UPSERT_WIDE = f"""
 SELECT c_name AS name, {_amt('c_acctbal')} AS balance,
        CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment
@@ -719,6 +801,9 @@ def oracle_sql() -> dict[str, str]:
         "config_fold_evict": config_fold("dim", evict_moved=True),
         "dim_route": DIM_ROUTE,
         "dwd_route": DWD_ROUTE,
+        "dim_route_asof": route_asof("dim"),
+        "dwd_route_asof": route_asof("dwd"),
+        "cart_lookup_asof": CART_LOOKUP_ASOF,
         "dim_upsert": DIM_UPSERT,
         "dim_upsert_wide": DIM_UPSERT_WIDE,
         "config_fold_preload": config_fold_preload("dim"),

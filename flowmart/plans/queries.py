@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowmart import schemas
 from flowmart.functions import text, timefn
-from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, parse, trade
+from flowmart.operators import cdc, config, daily, dim, dwd, dws, logsplit, lookup, parse, trade
 from flowmart.sources import fixtures as fx
 from flowmart.sources.catalog import Tables
 from flowmart.streaming import sinks
@@ -269,6 +269,27 @@ def dwd_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _long(routed, "sink_table", "table", "type", "ts")
 
 
+def dim_route_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R7 / J4 as of time: each dimension change by the rule in force when it came."""
+    t = Tables(spark, sf_dir)
+    rules = config.rule_versions(fx.routing_changes(t), "dim", seq=TIEBREAK)
+    return _long(dim.route_asof(fx.topic_db(t), rules), "sink_table", "sink_pk", "table", "type", "ts")
+
+
+def dwd_route_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """R8 / J4 as of time: each fact change by the rule in force when it came."""
+    t = Tables(spark, sf_dir)
+    rules = config.rule_versions(fx.routing_changes(t), "dwd", seq=TIEBREAK)
+    return _long(dwd.route_asof(fx.topic_db(t), rules), "sink_table", "table", "type", "ts")
+
+
+def cart_lookup_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 as of time: cart additions with the dictionary as it was when they came."""
+    t = Tables(spark, sf_dir)
+    dic = lookup.dim_versions(fx.dic_changes(t), "dic_code", "ts_ms", ["dic_name"], F.col("deleted"), TIEBREAK)
+    return trade.cart_add_asof(fx.topic_db(t), dic)
+
+
 def dim_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim.upsert_fold(_dim_routed(spark, sf_dir))
 
@@ -384,6 +405,9 @@ def queries() -> dict[str, Query]:
         "config_fold_evict": config_fold_evict,
         "dim_route": dim_route,
         "dwd_route": dwd_route,
+        "dim_route_asof": dim_route_asof,
+        "dwd_route_asof": dwd_route_asof,
+        "cart_lookup_asof": cart_lookup_asof,
         "dim_upsert": dim_upsert,
         "dim_upsert_wide": dim_upsert_wide,
         "config_fold_preload": config_fold_preload,

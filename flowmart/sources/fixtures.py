@@ -20,6 +20,7 @@ source_type = l_returnflag.  Amounts are decimal(18,2) text.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -429,17 +430,49 @@ def config_snapshot(spark) -> DataFrame:
     return values_table(spark, CONFIG_ROWS, schemas.CONFIG)
 
 
-def config_changes_from_events(t: Tables) -> DataFrame:
+# Tables whose routing rules change in mid-feed, and the columns that rules keep.
+ROUTED_TABLES = ["cart_info", "order_info", "order_detail", "order_detail_activity", "order_detail_coupon",
+                 "user_info", "sku_info"]
+ROUTED_COLUMNS = ["id,order_id,sku_id", "id,order_status,activity_id,coupon_id", "id, order_id,user_id"]
+
+
+def feed_time(events_ts: Column | str) -> Column:
+    """The month of the events stretched over the years of the change feed (ms)."""
+    return F.lit(788_918_400_000) + (ntz_to_ms(events_ts) - 1_704_067_200_000) * 80
+
+
+def routing_changes(t: Tables) -> DataFrame:
+    """A change history of the routing rules of the feed's own tables, spread over the feed's time:
+    the changes of :func:`config_changes_from_events`, with user ids mapped to tables."""
+    name = lambda uid: F.element_at(F.array(*map(F.lit, ROUTED_TABLES)),
+                                    (F.pmod(uid, len(ROUTED_TABLES)) + 1).cast("int"))
+    return config_changes_from_events(t, name, ROUTED_COLUMNS).withColumn(
+        "ts_ms", F.lit(788_918_400_000) + (F.col("ts_ms") - 1_704_067_200_000) * 80)
+
+
+def dic_changes(t: Tables) -> DataFrame:
+    """A change history of the dictionary's source types over the feed's time: code by k, a new name
+    with each event, the row deleted by error events."""
+    e = t("events").select("event_id", "ts", "event_type", _k().alias("k"))
+    code = F.element_at(F.array(*map(F.lit, "ANR")), (F.col("k") % 3 + 1).cast("int"))
+    return e.select("event_id", code.alias("dic_code"), (F.col("event_type") == "error").alias("deleted"),
+                    F.concat(F.lit("source "), code, F.lit(" "), _s(F.col("event_id"))).alias("dic_name"),
+                    feed_time("ts").alias("ts_ms"))
+
+
+def config_changes_from_events(t: Tables, name: Callable[[Column], Column] | None = None,
+                               columns: Sequence[str] = ("id,name,v", "id,name", "id,name, v")) -> DataFrame:
     """A configuration change feed derived from ``events`` (one change per
     event), used to exercise the fold at table scale.
 
-    key = 'src_' || user_id; op: error -> d, signup -> c, else u; sink_type by
+    key = 'src_' || user_id (or ``name`` of it); op: error -> d, signup -> c, else u; sink_type by
     k: even -> dim, odd -> dwd; source_type by event_type; when k % 7 = 0 an
     update moves the key (before names 'src_' || (user_id + 1)).
     """
     e = t("events").select("event_id", "ts", "user_id", "event_type", _k().alias("k"))
     k, uid = F.col("k"), F.col("user_id")
-    key = F.concat(F.lit("src_"), _s(uid))
+    name = name or (lambda x: F.concat(F.lit("src_"), _s(x)))
+    key = name(uid)
     sink_type = F.when(k % 2 == 0, "dim").otherwise("dwd")
     op = (F.when(F.col("event_type") == "error", "d")
           .when(F.col("event_type") == "signup", "c").otherwise("u"))
@@ -450,14 +483,14 @@ def config_changes_from_events(t: Tables) -> DataFrame:
             src.alias("source_table"), source_type.alias("source_type"),
             F.concat(F.lit("dim_"), src, F.lit("_v"), _s(k % 5)).alias("sink_table"),
             st.alias("sink_type"),
-            F.when(k % 3 == 0, "id,name,v").when(k % 3 == 1, "id,name")
-            .otherwise("id,name, v").alias("sink_columns"),
+            F.when(k % 3 == 0, columns[0]).when(k % 3 == 1, columns[1])
+            .otherwise(columns[2]).alias("sink_columns"),
             F.when(k % 4 == 0, None).when(k % 4 == 1, "").otherwise("id").alias("sink_pk"),
             F.lit(None).cast("string").alias("sink_extend"),
         )
 
     moved = (k % 7 == 0) & (F.col("op") == "u")
-    before_key = F.when(moved, F.concat(F.lit("src_"), _s(uid + 1))).otherwise(key)
+    before_key = F.when(moved, name(uid + 1)).otherwise(key)
     return (
         e.withColumn("op", op)
         .select(
