@@ -41,7 +41,7 @@ LONGEST = 3
 #: a candidate goes if a longer one around it has this share of its occurrences, in percent
 SHARE = 50
 TOP = 2000
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 #: phrases that one bucket should hold, and parts that a language is ranked in first
 BUCKET_PHRASES = 4_000_000
 RANK_PARTS = 64
@@ -142,7 +142,7 @@ class Occurrences:
         bucket = ((other[lead] >> np.uint64(32)) * np.uint64(self.buckets)) >> np.uint64(32)
         sent = np.argsort(bucket, kind="stable")
         self.bounds = np.searchsorted(bucket[sent], np.arange(self.buckets + 1))
-        self.hashes, self.counts = h[lead][sent], count[sent].astype(np.int64)
+        self.hashes, self.counts = h[lead][sent], count[sent].astype(np.int32)
         self.lead = self.start[lead][sent]
         place = np.empty(len(lead), dtype=np.int64)
         place[sent] = np.arange(len(lead))
@@ -227,8 +227,8 @@ def _count(least: int):
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("block")
         hashes = [np.frombuffer(x.as_buffer(), np.uint64) for x in table.column("hashes")]
-        counts = [np.frombuffer(x.as_buffer(), np.int64) for x in table.column("counts")]
-        h, n = np.concatenate(hashes), np.concatenate(counts)
+        counts = [np.frombuffer(x.as_buffer(), np.int32) for x in table.column("counts")]
+        h, n = np.concatenate(hashes), np.concatenate(counts).astype(np.int64)
         order = np.argsort(h, kind="stable")
         new = np.ones(len(h), dtype=bool)
         new[1:] = h[order[1:]] != h[order[:-1]]
