@@ -7,7 +7,8 @@ measured) and joins larger dimensions by a shuffle, with hot partitions split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,30 @@ def lookup_join(df: DataFrame, dim: DataFrame, left_key: str, right_key: str,
     return df.join(dim, df[left_key] == dim[right_key], how)
 
 
+class Dimension:
+    """J3, S8 in a stream: a dimension that is read again while the job runs.
+
+    ``read`` makes the dimension's DataFrame anew (a file source lists its files again, a JDBC source
+    queries again).  :meth:`now` is called inside each micro-batch; a copy is used for ``every_s``
+    seconds (the reference's cache holds rows for an hour; 0 reads for every batch).
+    """
+
+    def __init__(self, read: Callable[[], DataFrame], every_s: float = 0):
+        self.read, self.every_s = read, every_s
+        self.copy: DataFrame | None = None
+        self.until = 0.0
+
+    @classmethod
+    def of(cls, dim: DataFrame | Dimension) -> Dimension:
+        """A plain DataFrame is a dimension that never changes."""
+        return dim if isinstance(dim, Dimension) else cls(lambda: dim)
+
+    def now(self) -> DataFrame:
+        if self.copy is None or time.monotonic() >= self.until:
+            self.copy, self.until = self.read(), time.monotonic() + self.every_s
+        return self.copy
+
+
 def dim_versions(changes: DataFrame, key: str, at: str, columns: Sequence[str], deleted: Column,
                  seq: str | None = None) -> DataFrame:
     """The history of a dimension for :func:`lookup_asof`: one row per key and time (the last change

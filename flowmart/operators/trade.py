@@ -3,7 +3,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowmart import schemas
@@ -28,13 +30,13 @@ def cart_add_asof(feed: DataFrame, dic: DataFrame) -> DataFrame:
     return lookup_asof(cart, dic, "source_type", F.col("ts") * 1000).select(*schemas.CART_ADD_OUT)
 
 
-def slices(feed: DataFrame) -> dict[str, tuple[DataFrame, str]]:
+def slices(feed: DataFrame, keep: Sequence[str] = ("ts",)) -> dict[str, tuple[DataFrame, str]]:
     """The four slices of the feed that an order detail is made of, each with its order id column."""
     parts = {"order_detail": (schemas.ORDER_DETAIL_COLS, "order_id"),
              "order_info": (schemas.ORDER_INFO_COLS, "id"),
              "order_detail_activity": (schemas.ORDER_ACTIVITY_COLS, "order_id"),
              "order_detail_coupon": (schemas.ORDER_COUPON_COLS, "order_id")}
-    return {t: (cdc_slice(feed, t, cols), key) for t, (cols, key) in parts.items()}
+    return {t: (cdc_slice(feed, t, cols, keep=keep), key) for t, (cols, key) in parts.items()}
 
 
 def order_detail(feed: DataFrame, dic: DataFrame) -> DataFrame:
@@ -43,6 +45,25 @@ def order_detail(feed: DataFrame, dic: DataFrame) -> DataFrame:
     return join_slices({t: rows for t, (rows, _) in slices(feed).items()}, dic)
 
 
+def _sided(parts: dict[str, DataFrame], keep: Sequence[str] = ()) -> tuple[DataFrame, ...]:
+    """The four slices with column names of their own; ``keep`` columns get the side as prefix."""
+    kept = lambda p: [F.col(c).alias(f"{p}_{c}") for c in keep]
+    od = parts["order_detail"].select(*[F.col(c).alias(f"od_{c}") for c in schemas.ORDER_DETAIL_COLS], *kept("od"))
+    oi = parts["order_info"].select(*[F.col(c).alias(f"oi_{c}") for c in schemas.ORDER_INFO_COLS], *kept("oi"))
+    oa = parts["order_detail_activity"].select(
+        F.col("order_detail_id").alias("oa_odid"), "activity_id", "activity_rule_id", *kept("oa"))
+    oc = parts["order_detail_coupon"].select(
+        F.col("order_detail_id").alias("oc_odid"), "coupon_id", "coupon_use_id", *kept("oc"))
+    return od, oi, oa, oc
+
+
+def _wide() -> list[Column]:
+    """The 37 output columns of the joined sides."""
+    own = {"activity_id", "activity_rule_id", "coupon_id", "coupon_use_id", "dic_name"}
+    side = lambda c: c if c in own else f"od_{c}" if c in schemas.ORDER_DETAIL_COLS else f"oi_{c}"
+    return [F.col(side(c)).alias(c) for c in schemas.ORDER_DETAIL_OUT]
+
+
 def join_slices(parts: dict[str, DataFrame], dic: DataFrame) -> DataFrame:
     """Detail JOIN order, LEFT JOIN activity, LEFT JOIN coupon, JOIN dictionary.
 
@@ -51,25 +72,76 @@ def join_slices(parts: dict[str, DataFrame], dic: DataFrame) -> DataFrame:
     details before any shuffle.  Activity and coupon share the detail-id
     partitioning while the row is narrow; the order, the widest side, is last.
     """
-    od = parts["order_detail"].select(*[F.col(c).alias(f"od_{c}") for c in schemas.ORDER_DETAIL_COLS])
-    oi = parts["order_info"].select(*[F.col(c).alias(f"oi_{c}") for c in schemas.ORDER_INFO_COLS])
-    oa = parts["order_detail_activity"].select(
-        F.col("order_detail_id").alias("oa_odid"), "activity_id", "activity_rule_id")
-    oc = parts["order_detail_coupon"].select(
-        F.col("order_detail_id").alias("oc_odid"), "coupon_id", "coupon_use_id")
+    od, oi, oa, oc = _sided(parts)
+    names = dic.select(F.col("dic_code"), F.col("dic_name"))
+    return (lookup_join(od, names, "od_source_type", "dic_code")
+            .join(oa, F.col("od_id") == F.col("oa_odid"), "left")
+            .join(oc, F.col("od_id") == F.col("oc_odid"), "left")
+            .join(oi, F.col("od_order_id") == F.col("oi_id"), "inner")).select(*_wide())
+
+
+# ---- the changelog of the joins
+
+# arrival order of the changes of one transaction place: the source of a detail before what hangs on it
+RANK = {"order_info": 0, "order_detail": 1, "order_detail_activity": 2, "order_detail_coupon": 3}
+INSERT, BEFORE, AFTER = "+I", "-U", "+U"
+
+
+def order_detail_changelog(feed: DataFrame, dic: DataFrame) -> DataFrame:
+    """Every version of every order detail in the order in which the updating joins emit them.
+
+    A row of the inner join appears when the later of its two sides arrives.  A left join shows it
+    with a null side until the first match arrives, takes that version back and puts the matched
+    one in its place; further matches add rows.  So each version lives from one arrival to another,
+    and both ends follow from the arrivals by joins and minima, without going through the feed row by
+    row: a detail with its order starts at the later arrival, its null side ends at its first match.
+
+    Output: ``op`` (+I a new row, -U the version taken back, +U the one in its place), ``ts``, ``xid``,
+    ``xoffset``, ``step`` (the arrival that caused it; ``step`` is the slice's place among changes
+    that the feed does not order, a take-back comes before its replacement) and the 37 columns.
+    Folded (:func:`fold_changelog`), it is :func:`order_detail`.
+    """
+    parts = {t: rows.withColumn("at", F.struct("ts", "xid", "xoffset", F.lit(RANK[t]).alias("step")))
+             for t, (rows, _) in slices(feed, ("ts", "xid", "xoffset")).items()}
+    od, oi, oa, oc = _sided(parts, ["at"])
     names = dic.select(F.col("dic_code"), F.col("dic_name"))
-    j = (lookup_join(od, names, "od_source_type", "dic_code")
-         .join(oa, F.col("od_id") == F.col("oa_odid"), "left")
-         .join(oc, F.col("od_id") == F.col("oc_odid"), "left")
-         .join(oi, F.col("od_order_id") == F.col("oi_id"), "inner"))
-    detail = {c: F.col(f"od_{c}") for c in schemas.ORDER_DETAIL_COLS}
-    order = {c: F.col(f"oi_{c}") for c in schemas.ORDER_INFO_COLS}
-    cols = []
-    for c in schemas.ORDER_DETAIL_OUT:
-        if c in ("activity_id", "activity_rule_id", "coupon_id", "coupon_use_id", "dic_name"):
-            cols.append(F.col(c))
-        elif c in detail:
-            cols.append(detail[c].alias(c))
-        else:
-            cols.append(order[c].alias(c))
-    return j.select(*cols)
+    base = (lookup_join(od, names, "od_source_type", "dic_code")
+            .join(oi, F.col("od_order_id") == F.col("oi_id"))
+            .withColumns({"from_": F.greatest("od_at", "oi_at"), "to_": F.lit(None).cast(_AT)}))
+    one = _left_versions(base, oa, "od_id", "oa_odid", "oa_at")
+    two = _left_versions(one, oc, "od_id", "oc_odid", "oc_at")
+    # a row is added at its start; its end takes it back
+    ends = F.array(F.struct(F.col("from_").alias("at"), F.lit(True).alias("add")),
+                   F.struct(F.col("to_").alias("at"), F.lit(False).alias("add")))
+    events = (two.withColumn("e", F.explode(ends)).where("e.at is not null")
+              .select("e.add", "e.at.*", *_wide()))
+    same = ["id", "ts", "xid", "xoffset", "step"]
+    taken = events.where("not add").select(*same, F.lit(True).alias("taken")).distinct()
+    op = (F.when(~F.col("add"), BEFORE).when(F.col("taken"), AFTER).otherwise(INSERT))
+    return (events.join(taken, same, "left").withColumn("op", op)
+            .select("op", "ts", "xid", "xoffset", "step", *schemas.ORDER_DETAIL_OUT))
+
+
+_AT = "struct<ts:bigint,xid:bigint,xoffset:bigint,step:int>"
+
+
+def _left_versions(rows: DataFrame, side: DataFrame, key: str, side_key: str, side_at: str) -> DataFrame:
+    """LEFT JOIN as an updating join: ``rows`` (alive from ``from_`` until ``to_``, null: for ever)
+    with every match, from the later arrival on, and with a null side while no match has come."""
+    first = side.groupBy(side_key).agg(F.min(side_at).alias("first"))
+    alive = lambda df: df.where("to_ is null or from_ < to_")
+    matched = alive(rows.join(side, F.col(key) == F.col(side_key))
+                    .withColumn("from_", F.greatest("from_", side_at)))
+    # a null in greatest and least is passed over: no match, no other end
+    lone = alive(rows.join(first, F.col(key) == F.col(side_key), "left").withColumn("to_", F.least("to_", "first")))
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema if f.name != side_key]
+    out = [*rows.columns, *(c for c in side.columns if c != side_key)]
+    return matched.select(*out).unionByName(lone.select(*rows.columns, *none))
+
+
+def fold_changelog(log: DataFrame) -> DataFrame:
+    """The rows that a changelog leaves: as often as they were put in and not taken back."""
+    row = [F.col(c) for c in schemas.ORDER_DETAIL_OUT]
+    n = F.sum(F.when(F.col("op") == BEFORE, -1).otherwise(1))
+    left = log.groupBy(*row).agg(n.alias("_n")).where("_n > 0")
+    return left.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n"))).select(*row)

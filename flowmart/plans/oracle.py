@@ -420,6 +420,48 @@ JOIN dic ON od.source_type = dic.dic_code
 """
 
 
+def _order_detail_changelog() -> str:
+    """Versions with the arrivals that begin and end them (``s``, ``e``; an arrival is
+    ts * 10 + the slice's place), then one row per beginning and end."""
+    ctes, first, rest = ORDER_DETAIL_WIDE.partition("SELECT od.id")
+    columns = first.removeprefix("SELECT ") + rest.partition(",\n       oa.activity_id")[0]
+    shipped = _MS.format("l_shipdate")
+    for old, at in [
+            ("AS split_coupon_amount", f"{shipped} * 10 + 1"),
+            ("AS feight_fee", f"({_MS.format('o_orderdate')} + length(CAST(o_orderkey AS VARCHAR)) % 3 * 40 * 86400) * 10"),
+            ("AS activity_rule_id", f"({shipped} + ((length({DETAIL_ID}) + 4) % 3 - 1) * 86400) * 10 + 2"),
+            ("AS coupon_use_id", f"({shipped} + ((length({DETAIL_ID}) + 5) % 3 - 1) * 86400) * 10 + 3")]:
+        ctes = ctes.replace(f"{old}\n", f"{old}, {at} AS arr\n")
+    return f"""{ctes.rstrip()},
+base AS (
+  SELECT {columns}, greatest(od.arr, oi.arr) AS s
+  FROM od JOIN oi ON od.order_id = oi.id JOIN dic ON od.source_type = dic.dic_code),
+fa AS (SELECT order_detail_id, min(arr) AS m FROM oa GROUP BY 1),
+fc AS (SELECT order_detail_id, min(arr) AS m FROM oc GROUP BY 1),
+one AS (
+  SELECT b.* EXCLUDE (s), greatest(s, arr) AS s, NULL AS e, activity_id, activity_rule_id
+  FROM base b JOIN oa ON b.id = order_detail_id
+  UNION ALL
+  SELECT b.* EXCLUDE (s), s, m AS e, NULL, NULL FROM base b LEFT JOIN fa ON b.id = order_detail_id
+  WHERE m IS NULL OR s < m),
+two AS (
+  SELECT o.* EXCLUDE (s), greatest(s, arr) AS s, coupon_id, coupon_use_id FROM one o JOIN oc ON o.id = order_detail_id
+  WHERE e IS NULL OR greatest(s, arr) < e
+  UNION ALL
+  SELECT * FROM (
+    SELECT o.* EXCLUDE (s) REPLACE (least(e, m) AS e), s, NULL, NULL
+    FROM one o LEFT JOIN fc ON o.id = order_detail_id) WHERE e IS NULL OR s < e),
+events AS (
+  SELECT * EXCLUDE (s, e), s AS arr, true AS add FROM two
+  UNION ALL SELECT * EXCLUDE (s, e), e AS arr, false AS add FROM two WHERE e IS NOT NULL),
+taken AS (SELECT DISTINCT id, arr FROM events WHERE NOT add)
+SELECT v.* EXCLUDE (arr, add), CAST(v.arr // 10 AS BIGINT) AS ts, CAST(v.arr % 10 AS INTEGER) AS step,
+  CAST(0 AS BIGINT) AS xid, CAST(0 AS BIGINT) AS xoffset,
+  CASE WHEN NOT add THEN '-U' WHEN t.id IS NOT NULL THEN '+U' ELSE '+I' END AS op
+FROM events v LEFT JOIN taken t ON v.id = t.id AND v.arr = t.arr
+"""
+
+
 # Configuration change feed derived from events (fixtures.config_changes_from_events).
 CONFIG_CHANGES = PAGE_LOG + """,
 chg0 AS (
@@ -796,6 +838,7 @@ def oracle_sql() -> dict[str, str]:
         "cdc_parse": CDC_PARSE,
         "cart_lookup": CART_LOOKUP,
         "order_detail_wide": ORDER_DETAIL_WIDE,
+        "order_detail_changelog": _order_detail_changelog(),
         "config_fold": config_fold("dim"),
         "config_fold_dwd": config_fold("dwd"),
         "config_fold_evict": config_fold("dim", evict_moved=True),

@@ -232,6 +232,12 @@ def order_detail_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trade.order_detail(feed, fx.base_dic(spark))
 
 
+def order_detail_changelog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the order details while their parts arrive out of step."""
+    feed = fx.scattered(fx.topic_db(Tables(spark, sf_dir)))
+    return trade.order_detail_changelog(feed, fx.base_dic(spark))
+
+
 def _config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.config_changes_from_events(Tables(spark, sf_dir))
 
@@ -400,6 +406,7 @@ def queries() -> dict[str, Query]:
         "cdc_parse": cdc_parse,
         "cart_lookup": cart_lookup,
         "order_detail_wide": order_detail_wide,
+        "order_detail_changelog": order_detail_changelog,
         "config_fold": config_fold,
         "config_fold_dwd": config_fold_dwd,
         "config_fold_evict": config_fold_evict,

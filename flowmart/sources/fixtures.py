@@ -377,6 +377,16 @@ def topic_db(t: Tables) -> DataFrame:
         order_coupon_changes(t), cart_changes(t), dimension_changes(t)])
 
 
+def scattered(feed: DataFrame) -> DataFrame:
+    """The feed with its order parts out of step: orders up to ten days late, activities and coupons
+    from a day before to a day after their detail, by the change's own id."""
+    n = F.length(F.col("data")["id"])
+    late = (F.when(F.col("table") == "order_info", n % 3 * 40)
+            .when(F.col("table") == "order_detail_activity", n % 3 - 1)
+            .when(F.col("table") == "order_detail_coupon", (n + 1) % 3 - 1).otherwise(0))
+    return feed.withColumn("ts", F.col("ts") + F.coalesce(late, F.lit(0)) * 86_400)
+
+
 def topic_db_text(t: Tables) -> DataFrame:
     """The change feed as its JSON lines: ``value``."""
     record = F.struct("database", "table", "type", "ts", "xid", "xoffset", "data")

@@ -7,6 +7,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowmart.operators.lookup import Dimension
+
 
 def snake_to_camel(name: str) -> str:
     """``sink_table`` -> ``sinkTable``."""
@@ -37,9 +39,14 @@ def read_jdbc(spark: SparkSession, url: str, query: str, properties: dict[str, s
 
 def read_dim(spark: SparkSession, url: str, table: str,
              properties: dict[str, str] | None = None) -> DataFrame:
-    """A lookup dimension (e.g. ``base_dic``) read whole.  Re-read per
-    micro-batch inside ``foreachBatch`` for a fresh copy (the reference
-    caches 10 rows for an hour)."""
+    """A lookup dimension (e.g. ``base_dic``) read whole."""
     if not re.fullmatch(r"[A-Za-z0-9_.]+", table):
         raise ValueError(f"bad table name: {table!r}")
     return read_jdbc(spark, url, f"select * from {table}", properties)
+
+
+def jdbc_dimension(spark: SparkSession, url: str, table: str, properties: dict[str, str] | None = None,
+                   every_s: float = 3600) -> Dimension:
+    """A database table as the dictionary of a running job, queried again every ``every_s``
+    seconds (the reference's lookup cache: one hour)."""
+    return Dimension(lambda: read_dim(spark, url, table, properties), every_s)

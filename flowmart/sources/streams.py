@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from flowmart import schemas
 from flowmart.functions.timefn import event_time
 from flowmart.operators import parse
+from flowmart.operators.cdc import with_proc_time
 from flowmart.session import WATERMARK_DELAY
 
 
@@ -66,9 +67,8 @@ def dirty_lines(raw: DataFrame) -> DataFrame:
 def read_cdc(spark: SparkSession, strict: bool = True, **kw) -> DataFrame:
     """S3: the change feed (database, table, type, ts, xid, xoffset, data, old) + ``pt``."""
     r = F.col(parse.RECORD)
-    return _records(read_text_stream(spark, **kw), strict).select(
-        *[parse.field(r, f.name, f.dataType.simpleString()).alias(f.name) for f in schemas.CDC],
-        F.current_timestamp().alias("pt"))
+    return with_proc_time(_records(read_text_stream(spark, **kw), strict).select(
+        *[parse.field(r, f.name, f.dataType.simpleString()).alias(f.name) for f in schemas.CDC]))
 
 
 def read_page_log(spark: SparkSession, delay: str = WATERMARK_DELAY, strict: bool = True, **kw) -> DataFrame:

@@ -17,9 +17,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowmart import schemas
 from flowmart.operators import config, dim, dwd, dws, logsplit, parse, trade
+from flowmart.operators.lookup import Dimension, lookup_join
 from flowmart.session import CHECKPOINT_INTERVAL, DEFAULT_TZ, checkpoint_dir
-from flowmart.streaming import sinks, versions
+from flowmart.streaming import order_state, sinks, versions
 from flowmart.streaming.processors import fix_is_new_stream
 
 # The topics of the log split.
@@ -208,62 +210,52 @@ def run_fact_routing(feed: DataFrame, config_path: str, path: str | None = None,
     return start(feed, name, sink=route, **start_kw)
 
 
-def run_cart_add(feed: DataFrame, dic: DataFrame, path: str | None = None, bootstrap: str | None = None,
-                 name: str = "cart_add", topic: str = "dwd_trade_cart_add", **start_kw) -> StreamingQuery:
-    """The cart-add job: cart additions with their source name, as JSON lines."""
-    rows = sinks.kafka_value(trade.cart_add(feed, dic)).withColumn("topic", F.lit(topic))
-    return _to(rows, name, path, bootstrap, **start_kw)
+def run_cart_add(feed: DataFrame, dic: DataFrame | Dimension, path: str | None = None,
+                 bootstrap: str | None = None, name: str = "cart_add", topic: str = "dwd_trade_cart_add",
+                 **start_kw) -> StreamingQuery:
+    """The cart-add job: cart additions with their source name, as JSON lines.  The dictionary is
+    looked up inside each micro-batch, as it is then."""
+    names = Dimension.of(dic)
 
+    def look_up(batch: DataFrame, batch_id: int) -> None:
+        rows = sinks.kafka_value(trade.cart_add(batch, names.now())).withColumn("topic", F.lit(topic))
+        if bootstrap:
+            sinks.write_kafka(rows, bootstrap)
+        else:
+            sinks.write_batch_files(rows, batch_id, path)
 
-ORDER_BUCKETS = 64
+    return start(feed, name, sink=look_up, **start_kw)
 
 
-def run_order_detail(feed: DataFrame, dic: DataFrame, base: str, name: str = "order_detail",
-                     bootstrap: str | None = None, topic: str = "dwd_trade_order_detail",
+def run_order_detail(feed: DataFrame, dic: DataFrame | Dimension, path: str | None = None,
+                     name: str = "order_detail", bootstrap: str | None = None,
+                     topic: str = "dwd_trade_order_detail", ttl_ms: int | None = None,
                      **start_kw) -> StreamingQuery:
-    """The order-detail job (J1, J2, T15): an upsert by detail id, with no bound on how late a part
-    may come.
-
-    Each micro-batch appends its slices to a store, partitioned by a bucket of the order id and by
-    batch; then the wide rows of every order that the batch touches are made anew from the store (only
-    the touched buckets are read) and written as this batch's upserts.  A late activity, coupon or
-    order corrects the rows already written; the last row of an id is the valid one
-    (:func:`order_details`).  A replayed batch rewrites its own partitions.
+    """The order-detail job (J1-J3, T15): the joins run in keyed state
+    (:mod:`flowmart.streaming.order_state`), and each change of a wide row is looked up in the
+    dictionary as it is when the change is emitted, like the reference's last join.
+
+    To an upsert topic (``bootstrap``) go the rows put in, keyed by detail id; files get the whole
+    changelog, one partition per micro-batch (a replayed batch writes its own again), read by
+    :func:`order_details`.
     """
+    names = Dimension.of(dic)
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        ids = None
-        for kind, (rows, order_id) in trade.slices(batch).items():
-            rows = rows.withColumn("bucket", F.pmod(F.xxhash64(order_id), F.lit(ORDER_BUCKETS)))
-            sinks.write_batch_files(rows, batch_id, f"{base}/slices/{kind}", ["bucket"])
-            own = rows.select(F.col(order_id).alias("_order"), "bucket").distinct()
-            ids = own if ids is None else ids.unionByName(own)
-        ids = ids.distinct()
-        touched = [r[0] for r in ids.select("bucket").distinct().collect()]  # at most ORDER_BUCKETS
-        if not touched:
-            return
-        parts = {}
-        for kind, (rows, order_id) in trade.slices(batch).items():
-            path = f"{base}/slices/{kind}"
-            stored = rows.limit(0)
-            if versions.folders(spark, path, "bucket="):
-                stored = (spark.read.parquet(path).where(F.col("bucket").isin(touched))
-                          .where(F.col(sinks.BATCH) <= batch_id).select(*rows.columns))
-            parts[kind] = stored.join(ids.select(F.col("_order").alias(order_id)), order_id, "left_semi")
-        wide = trade.join_slices(parts, dic)
+    def look_up(batch: DataFrame, batch_id: int) -> None:
+        log = lookup_join(batch, names.now().select("dic_code", "dic_name"), "source_type", "dic_code")
         if bootstrap:
+            wide = log.where(F.col("op") != trade.BEFORE).select(*schemas.ORDER_DETAIL_OUT)
             sinks.write_kafka(sinks.kafka_value(wide, key=["id"]), bootstrap, topic)
         else:
-            sinks.write_batch_files(wide, batch_id, f"{base}/rows")
+            sinks.write_batch_files(log.select("op", "seq", *order_state.ARRIVAL, *schemas.ORDER_DETAIL_OUT),
+                                    batch_id, path)
 
-    return start(feed, name, sink=upsert, **start_kw)
+    return start(order_state.order_detail_changes(feed, ttl_ms), name, sink=look_up, **start_kw)
 
 
-def order_details(spark: SparkSession, base: str) -> DataFrame:
-    """The order-detail table: the last upsert of every id."""
-    rows = spark.read.parquet(f"{base}/rows")
-    return sinks.latest_per_key(rows, ["id"], [sinks.BATCH]).drop(sinks.BATCH)
+def order_details(spark: SparkSession, path: str) -> DataFrame:
+    """The order-detail table that the job's changelog leaves."""
+    return trade.fold_changelog(spark.read.parquet(path))
 
 
 # ---- late rows
