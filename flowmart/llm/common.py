@@ -199,6 +199,14 @@ def drop(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def prefix(*tables: DataFrame) -> str:
+    """Underscores that no column of the tables begins with: names made of it clash with none."""
+    p = "__"
+    while any(c.startswith(p) for t in tables for c in t.columns):
+        p += "_"
+    return p
+
+
 def row_key(columns: list[Column]) -> Column:
     """A 64-bit hash of a row by these columns; nulls count as values."""
     return F.xxhash64(*columns, *(c.isNull() for c in columns))
