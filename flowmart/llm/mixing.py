@@ -1,13 +1,16 @@
 r"""Mixing sources to target weights by a low-discrepancy schedule (operator 9).
 
 Each source's documents are put in a shuffled order (by a hash of id and text) and laid end to
-end as one stream of words, cut into blocks of ``BLOCK_WORDS`` words.  The mix is a list of slots
-of one block each.  Slot i takes the point frac((i + 0.5) * golden ratio) through the cumulative
-target weights to a source; slots are ranked per source, and the slot of rank r takes block
-r mod blocks of its source (so every block is used once before any is used again).  A source has
-as many slots as its target needs in real block words (the last block of its stream may be short):
-slots drawn beyond that are passed over, missing ones follow at the end of the mix, and the last
-one takes a part block.  So every source gets its target, rounded to a whole word, at any size.
+end as one stream of words, cut into blocks of ``BLOCK_WORDS`` words.  A source needs as many slots
+as its target has real block words (the last block of its stream may be short).  The needs of all
+sources, laid end to end, are the cumulative weights: point i of a low-discrepancy sequence, frac((i +
+0.5) * golden ratio) or van der Corput's, falls on one source, which gets slot i.  A source's slots are
+ranked; the slot of rank r takes block r mod blocks (so every block is used once before any is used
+again), and the last one a part block.  The sequence runs until the needs of all sources are met;
+points of a source that has all it needs are passed over.  So the mix in slot order is near its
+weights in every stretch, and every source gets its target, rounded to a whole word, at any size.
+
+A document's copy stands in the mix at the slot of its first block.
 
 Sources in code point order, null last, weigh 5, 2, 1, repeating, and share 150 % of all words.
 A target stops at twice its source's words; the excess goes to the others by weight until none is
@@ -17,13 +20,12 @@ Ranks and running sums are computed in two steps (per bucket of rows, then over
 source with a third of all rows is spread over many tasks.  Reruns agree: every order is total.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source of its own; rows
-alike in id and text count separately; an empty table gives an empty result.  A column named like
-an output is replaced.
+alike in id and text count separately; an empty table gives an empty result.  Other columns may have
+any names.
 """
 
 from __future__ import annotations
 
-import json
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,6 +42,8 @@ _SPLIT = 20
 _GOLDEN_HIGH = float(Decimal("0.61803398874989484820458683436563811772") * (1 << _SPLIT) % 1)
 #: rows or slots of one window task
 BUCKET = 16_384
+#: slots of one cell, in which points and sources are matched
+CELL = 16
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -92,56 +96,70 @@ def laid_out(docs: DataFrame, src: DataFrame) -> DataFrame:
             .drop("__before", "__b"))
 
 
-def schedule(src: DataFrame, block: int) -> DataFrame:
-    """src, block, uses: the words that the mix takes of each block of each source, from its first
-    word on, at each of its uses.  One number per source (its edge in the cumulative weights)
-    reaches the driver."""
-    spark = src.sparkSession
-    n = int((src.agg(F.sum("target")).first()[0] or 0) // block)
-    upto = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0)
-    edges = (src.where("target > 0")
-             .select("src", (F.sum("target").over(upto) / F.sum("target").over(Window.partitionBy())).alias("hi"))
-             .orderBy("src").collect())
-    his = F.from_json(F.lit(json.dumps([r["hi"] for r in edges[:-1]])), "array<double>")
-    ids = F.from_json(F.lit(json.dumps([r["src"] for r in edges] or [-1])), "array<int>")
+def points(kind: str = "golden") -> Column:
+    """Point ``id`` of the sequence, from 0 up to 1."""
+    if kind == "corput":  # the binary digits of id + 1 behind the point, in reverse order
+        return (F.conv(F.rpad(F.reverse(F.bin(F.col("id") + 1)), 52, "0"), 2, 10).cast("double")
+                / float(1 << 52))
     # frac((id + 0.5) * golden), in two parts to keep all digits for large ids
     high, low = F.shiftright("id", _SPLIT), F.pmod(F.col("id"), F.lit(1 << _SPLIT))
-    point = F.pmod(F.pmod(high * _GOLDEN_HIGH, F.lit(1.0)) + (low + 0.5) * GOLDEN, F.lit(1.0))
-    steps = F.array(*(F.lit(1 << b) for b in reversed(range(max(1, len(edges).bit_length())))))
-    at = F.aggregate(steps, F.lit(0), lambda i, s: F.when(F.get(his, i + s - 1) <= point, i + s).otherwise(i))
-    slots = (spark.range(n).withColumn("src", F.get(ids, at))
-             .withColumn("__b", F.floor(F.col("id") / BUCKET)))
+    return F.pmod(F.pmod(high * _GOLDEN_HIGH, F.lit(1.0)) + (low + 0.5) * GOLDEN, F.lit(1.0))
+
+
+def needs(src: DataFrame, block: int) -> DataFrame:
+    """The slots that each source needs, and the part ``lo`` to ``hi`` of all needs that is its own."""
+    one = (src.where("source_size > 0")
+           .select("src", "source_size", F.floor(F.col("target") + 0.5).alias("want"),
+                   F.ceil(F.col("source_size") / block).alias("blocks"))
+           .withColumn("need", F.expr("want div source_size") * F.col("blocks")
+                       + F.ceil(F.pmod("want", "source_size") / block)).where("need > 0"))
+    upto = Window.orderBy("src").rowsBetween(Window.unboundedPreceding, 0)
+    return one.withColumn("hi", F.sum("need").over(upto)).withColumn("lo", F.col("hi") - F.col("need"))
+
+
+def schedule(src: DataFrame, block: int, kind: str = "golden") -> DataFrame:
+    """slot, src, use, block, words: what each slot of the mix takes, from the block's first word on.
+
+    Points and sources meet in cells of ``CELL`` slots; every source is at least one slot wide, so a
+    cell has few of either, however many sources there are.
+    """
+    spark = src.sparkSession
+    need = C.written(needs(src, block), "op9-needs")
+    n, count = need.agg(F.coalesce(F.sum("need"), F.lit(0)), F.count("*")).first()
+    cells = need.withColumn("cell", F.explode(F.sequence(
+        F.expr(f"lo div {CELL}"), F.expr(f"(hi - 1) div {CELL}"))))
+    length = n + n // 64 + 16
+    while True:
+        x = F.least(F.floor(points(kind) * F.lit(float(n))), F.lit(max(n - 1, 0))).cast("bigint")
+        at = spark.range(length if n else 0).withColumn("x", x).withColumn("cell", F.expr(f"x div {CELL}"))
+        slots = (at.join(cells, "cell").where("x >= lo and x < hi")
+                 .withColumn("__b", F.floor(F.col("id") / BUCKET)))
+        met = slots.groupBy("src", "need").agg(F.count("*").alias("c")).where("c >= need").count()
+        if met == count:
+            break
+        length *= 2
     rank = Window.partitionBy("src", "__b").orderBy("id")
     ranked = (slots.join(_before(slots, "src", "__b", F.lit(1)), ["src", "__b"])
-              .withColumn("rank", F.col("__before") + F.row_number().over(rank) - 1)
-              .select("src", "rank"))
-    needs = (src.where("source_size > 0")
-             .select("src", "source_size", F.floor(F.col("target") + 0.5).alias("want"),
-                     F.ceil(F.col("source_size") / block).alias("blocks"))
-             .withColumn("need", F.expr("want div source_size") * F.col("blocks")
-                         + F.ceil(F.pmod("want", "source_size") / block)))
-    drawn = slots.groupBy("src").agg(F.count("*").alias("drawn"))
-    missing = (needs.join(drawn, "src", "left").withColumn("drawn", F.coalesce("drawn", F.lit(0)))
-               .where("drawn < need").select("src", F.explode(F.sequence("drawn", F.col("need") - 1)).alias("rank")))
-    taken = (ranked.unionByName(missing).join(needs, "src").where("rank < need")
-             .withColumns({"use": F.expr("rank div blocks"), "block": F.pmod("rank", "blocks")}))
+              .withColumn("rank", F.col("__before") + F.row_number().over(rank) - 1).where("rank < need")
+              .withColumns({"use": F.expr("rank div blocks"), "block": F.pmod("rank", "blocks")}))
     words = F.least(F.lit(block), F.col("source_size") - F.col("block") * block,
                     F.col("want") - F.col("use") * F.col("source_size") - F.col("block") * block)
-    return taken.groupBy("src", "block").agg(F.array(*(
-        F.coalesce(F.max(F.when(F.col("use") == e, words)), F.lit(0)) for e in range(int(MOST)))).alias("uses"))
+    return ranked.select(F.col("id").alias("slot"), "src", "use", "block", words.alias("words"))
 
 
-def takings(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+def takings(docs: DataFrame, block: int = BLOCK_WORDS, kind: str = "golden") -> DataFrame:
     """One row per row of ``docs``: doc_id, key (hash of id and text), size, source_size, target,
-    taken, and ``copies``: the words that each copy of the document in the mix has, from its
-    first word on (blocks are taken in stream order, so a cut copy is a beginning)."""
+    taken, and for each copy of the document in the mix ``copies``, its words from the first on
+    (blocks are taken in stream order, so a cut copy is a beginning), and ``slots``, its place."""
     text = F.col("text").cast("string")
     narrow = C.written(docs.select(
         size_of(text).alias("__size"), F.col("source").cast("string").alias("__source"),
         F.col("doc_id").cast("bigint").alias("__id"), key_of().alias("__key")), "op9-sizes")
     sizes = narrow.groupBy(F.col("__source").alias("source")).agg(F.sum("__size").alias("source_size"))
     src = C.written(targets(sizes), "op9-targets")
-    uses = schedule(src, block)
+    of_use = lambda c: F.array(*(F.max(F.when(F.col("use") == e, F.col(c))) for e in range(int(MOST))))
+    uses = schedule(src, block, kind).groupBy("src", "block").agg(
+        of_use("words").alias("uses"), of_use("slot").alias("at"))
     flat = laid_out(narrow, src)
     blocks = F.sequence(F.floor(F.col("start") / block),
                         F.floor((F.col("start") + F.col("__size") - 1) / block))
@@ -150,37 +168,47 @@ def takings(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
     first = F.col("block") * block
 
     def words(e: int) -> Column:
-        last = F.least(first + F.col("uses")[e], F.col("start") + F.col("__size"))
+        last = F.least(first + F.coalesce(F.col("uses")[e], F.lit(0)), F.col("start") + F.col("__size"))
         return F.greatest(last - F.greatest(first, F.col("start")), F.lit(0))
 
     copies = F.array(*(F.sum(words(e)) for e in range(int(MOST))))
-    got = pieces.groupBy("src", "start").agg(copies.alias("copies"))
+    got = pieces.groupBy("src", "start").agg(copies.alias("copies"), F.min(F.struct("block", "at")).alias("first"))
     full = flat.where("__size > 0").join(got, ["src", "start"], "left")
-    empty = flat.where("__size = 0").withColumn("copies", F.lit(None).cast("array<bigint>"))
+    empty = flat.where("__size = 0").withColumns({
+        "copies": F.lit(None).cast("array<bigint>"),
+        "first": F.lit(None).cast("struct<block:bigint,at:array<bigint>>")})
     taken = F.aggregate(F.coalesce("copies", F.array().cast("array<bigint>")), F.lit(0).cast("bigint"),
                         lambda a, x: a + x)
     return full.unionByName(empty).select(
         F.col("__id").alias("doc_id"), F.col("__key").alias("key"), F.col("__size").alias("size"),
-        "source_size", "target", taken.alias("taken"), "copies", "start")
+        "source_size", "target", taken.alias("taken"), "copies", F.col("first.at").alias("slots"), "start")
 
 
 def key_of() -> Column:
     return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.lit(9))
 
 
-def mixed(docs: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """The mix itself: the columns of ``docs``, one row per copy.  A whole copy keeps its text; a
-    cut one has its first words joined by one space, and its n_chars.  Rows alike in id and text
-    all get the copies of the first of them."""
-    took = (takings(docs, block).where("taken > 0").groupBy("doc_id", "key")
-            .agg(F.min_by(F.struct("size", "copies"), "start").alias("__t"))
-            .select(F.col("doc_id").alias("__id"), F.col("key").alias("__key"), "__t"))
-    rows = docs.join(took, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id"))
-                     & (key_of() == F.col("__key")))
-    rows = (rows.withColumn("__n", F.explode("__t.copies")).where("__n > 0"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)),
-                               F.lit(1), F.col("__n").cast("int")), " ")
-    text = F.when(F.col("__n") == F.col("__t.size"), F.col("text")).otherwise(cut)
-    out = {"text": text, "n_chars": F.when(F.col("__n") == F.col("__t.size"), F.col("n_chars"))
-           .otherwise(F.char_length(cut).cast("bigint"))}
-    return rows.withColumns({k: v for k, v in out.items() if k in docs.columns}).select(*docs.columns)
+def mixed(docs: DataFrame, block: int = BLOCK_WORDS, kind: str = "golden", slot: str | None = None) -> DataFrame:
+    """The mix itself: the columns of ``docs``, one row per copy, in the order of the slots (of one
+    slot: in stream order), which ``slot`` names a column for.  A whole copy keeps its text; a cut one
+    has its first words joined by one space, and its n_chars.  Rows alike in id and text all get the
+    copies of the first of them."""
+    p = C.prefix(docs)
+    own = {c: f"{p}{c}" for c in ("id", "key", "t", "c")}
+    took = (takings(docs, block, kind).where("taken > 0").groupBy("doc_id", "key")
+            .agg(F.min_by(F.struct("size", "start", F.arrays_zip("copies", "slots").alias("copies")), "start")
+                 .alias(own["t"]))
+            .select(F.col("doc_id").alias(own["id"]), F.col("key").alias(own["key"]), own["t"]))
+    rows = docs.join(took, F.col("doc_id").cast("bigint").eqNullSafe(F.col(own["id"]))
+                     & (key_of() == F.col(own["key"])))
+    rows = rows.withColumn(own["c"], F.explode(f"{own['t']}.copies"))
+    n, whole = F.col(f"{own['c']}.copies"), F.col(f"{own['c']}.copies") == F.col(f"{own['t']}.size")
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), n.cast("int")), " ")
+    new = {"text": F.when(whole, F.col("text")).otherwise(cut),
+           "n_chars": F.when(whole, F.col("n_chars")).otherwise(F.char_length(cut).cast("bigint"))
+           if "n_chars" in docs.columns else None}
+    place, start = F.col(f"{own['c']}.slots"), F.col(f"{own['t']}.start")
+    # range partitions of the slots, sorted: read one after the other, the files are the mix
+    parts = rows.where(n > 0).repartitionByRange(place, start, own["id"]).sortWithinPartitions(place, start, own["id"])
+    return parts.select(*[(new[c] if c in new else F.col(c)).alias(c) for c in docs.columns],
+                        *([place.alias(slot)] if slot else []))

@@ -1,5 +1,6 @@
 """Operators 1, 3, 4, 5 and 9 and the pipeline against brute force and round trips."""
 
+import math
 import random
 import re
 import zlib
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from flowmart.llm import common as C
 from flowmart.llm import (mixing, near_dedup, quality_model, quality_rules, sharding, token_output)
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -251,6 +253,28 @@ def test_shards_of_awkward_rows(spark, docs):
     assert sharding.shard(K.empty(spark)).count() == 0
 
 
+def test_rows_alike_are_cut_like_any_others(spark, monkeypatch):
+    """One (id, text) in a third of all rows: no range holds them all, and slots stay gapless."""
+    monkeypatch.setattr(sharding, "MIN_RANGES", 64)
+    rows = [(7, "one row again and again") if i % 3 == 0 else (i, f"text {i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").selectExpr(
+        "*", "crc32(cast(text as binary)) AS text_crc32", "1 AS __size", "2 AS __k", "3 AS k", "4 AS __", "5 AS slot")
+    out = sharding.shard(df, 3)
+    assert set(df.columns) <= set(out.columns)
+    got = out.collect()
+    assert len(got) == 6000 and all(r.text_crc32 == zlib.crc32(r.text.encode()) for r in got)
+    assert all((r["__size"], r["__k"], r["k"], r["__"]) == (1, 2, 3, 4) for r in got)
+    per = [sum(r["size"] for r in got if r.shard == s) for s in range(3)]
+    assert max(per) - min(per) <= 60
+    for s in range(3):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    keyed = C.written(sharding._keyed(df.select("doc_id", "text")), "test-keyed")
+    total, n = keyed.agg(F.sum("__size"), F.count("*")).first()
+    cuts = sharding.splitters(keyed.select("__size", "__k", "__i"), total, n)
+    most = keyed.groupBy(sharding._range_of(cuts).alias("r")).count().agg(F.max("count")).first()[0]
+    assert most <= 4 * 6000 / 64
+
+
 def test_overfull_ranges_are_subdivided(spark, monkeypatch):
     monkeypatch.setattr(sharding, "SAMPLES", 1)
     monkeypatch.setattr(sharding, "MIN_RANGES", 16)
@@ -324,6 +348,76 @@ def test_mix_reaches_every_target(spark, sizes):
     assert back == took
 
 
+def _brute_mix(rows, targets, block, kind):
+    """(key, id) -> (words and slot of each copy), by walking the sequence slot by slot.  rows: key,
+    id, size, source."""
+    order = sorted((s for s in targets if s is not None)) + [s for s in targets if s is None]
+    stream = {s: sorted((k, i, n) for k, i, n, x in rows if x == s and n) for s in order}
+    size = {s: sum(n for *_, n in stream[s]) for s in order}
+    want = {s: math.floor(targets[s] + 0.5) for s in order}
+    blocks = {s: -(-size[s] // block) for s in order if size[s]}
+    need = {s: want[s] // size[s] * blocks[s] + -(-(want[s] % size[s]) // block) for s in blocks}
+    edges, n = [], 0
+    for s in order:
+        if need.get(s):
+            n += need[s]
+            edges.append((n, s))
+    got = {s: [] for s in order}
+    i = 0
+    while any(len(got[s]) < need[s] for s in need):
+        if kind == "corput":
+            x = int(bin(i + 1)[:1:-1].ljust(52, "0"), 2) / 2 ** 52
+        else:
+            x = math.fmod(math.fmod((i >> 20) * mixing._GOLDEN_HIGH, 1.0) + (i % (1 << 20) + 0.5) * mixing.GOLDEN, 1.0)
+        s = next(s for e, s in edges if min(int(x * n), n - 1) < e)
+        if len(got[s]) < need[s]:
+            got[s].append(i)
+        i += 1
+    out = {}
+    for s in blocks:
+        at = 0
+        for k, doc, m in stream[s]:
+            copies = []
+            for use in range(2):
+                words = 0
+                for b in range(at // block, (at + m - 1) // block + 1):
+                    if use * blocks[s] + b < need[s]:
+                        full = min(block, size[s] - b * block, want[s] - use * size[s] - b * block)
+                        words += max(0, min(b * block + full, at + m) - max(b * block, at))
+                first = use * blocks[s] + at // block
+                copies.append((words, got[s][first] if first < need[s] else None))
+            out[k, doc] = copies
+            at += m
+    return out
+
+
+@pytest.mark.parametrize("block", [128, 5])
+def test_mix_equals_a_walk_through_the_slots(spark, block):
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(9)}" for _ in range(rng.randrange(0, 90))),
+             [None, "b", "a", "Z", "é", "a", "a", f"tiny{i}"][rng.randrange(8)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    slots = {}
+    for kind in ("golden", "corput"):
+        got = mixing.takings(df, block, kind).collect()
+        sizes = {}
+        for r in got:
+            sizes[rows[r.doc_id][2]] = r.source_size
+        want = _brute_mix([(r.key, r.doc_id, r["size"], rows[r.doc_id][2]) for r in got], _targets(sizes), block, kind)
+        mine = {(r.key, r.doc_id): list(zip(r.copies, r.slots)) if r.copies else [(0, None)] * 2
+                for r in got if r["size"]}
+        assert mine == want
+        slots[kind] = {k: [s for _, s in v] for k, v in mine.items()}
+    assert slots["golden"] != slots["corput"]  # the points decide the order
+    mix = mixing.mixed(df, block, slot="at")
+    places = [r["at"] for r in mix.toLocalIterator()]
+    assert places == sorted(places) and len(places) > 400
+    # the mix is near its weights in every stretch: no source is far from its share at any point
+    of = [r.source for r in mix.collect()]
+    half = of[:len(of) // 2].count("a") / of.count("a")
+    assert 0.4 < half < 0.6
+
+
 def test_mixed_rows(spark, docs):
     out = mixing.mixed(docs)
     assert out.columns == docs.columns
