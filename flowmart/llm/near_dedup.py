@@ -10,14 +10,14 @@ a table key combines one key of each collection, so KEYS^2 tables of 2 * ROWS mi
 with probability (1 - (1 - s^ROWS)^KEYS)^2: 0.9996 at 0.8, 0.99997 at 0.85.
 
 Candidates are confirmed on the full sets.  Documents with equal sets are one node from the start,
-so a group of copies costs one row.  Not all pairs of a table bucket are made.  First come
-``ROUNDS`` rounds in which each member is compared with one centre of its bucket (the least node
-under an order that changes by round), if the two are not in one component yet: pairs inside a
-component need no comparison, as a link there changes nothing.  Members of buckets that still hold
-several components go to an exact join by prefix filter: with shingles ordered from rare to common,
-two sets of the wanted similarity share one of their first (1 - percent) * size + 1 shingles, and
-its places bound their overlap.  Shingles of a passage that many texts share come last, so they
-make no pairs.
+so a group of copies costs one row.  A node enters only the tables whose two keys it shares, each
+for itself, with some other node; most nodes share none.  Not all pairs of a table bucket are made.
+First each member is compared with its bucket's centre (the least node), and the components of
+these links are found.  Members of buckets that still hold several components go to an exact join
+by prefix filter: with shingles ordered from rare to common, two sets of the wanted similarity share
+one of their first (1 - percent) * size + 1 shingles, and its places bound their overlap.  Shingles of
+a passage that many texts share come last, so they make no pairs; pairs inside a component are passed
+over, as a link there changes nothing.  The links that this adds join components, few by then.
 
 Nodes are sums of 64-bit hashes of the set with its size.  A document without words has an empty
 set and is linked with nothing; null counts as empty text; rows alike are one node; the component
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
@@ -41,7 +41,6 @@ SHINGLE = 5
 PERCENT = 80
 ROWS = 4
 KEYS = 16
-ROUNDS = 3
 
 _SIGNED = "doc_id bigint, key bigint, n_shingles bigint, node bigint, a array<bigint>, b array<bigint>"
 
@@ -129,6 +128,7 @@ def _sets(k: int):
 
 
 def _confirm(percent: int):
+    """Rows with the sets ``x`` and ``y`` -> those that are similar enough, without the sets."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             keep = []
@@ -139,38 +139,42 @@ def _confirm(percent: int):
                 at = np.minimum(np.searchsorted(q, p), len(q) - 1)
                 both = int((q[at] == p).sum())
                 keep.append(100 * both >= percent * (len(p) + len(q) - both))
-            yield b.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            yield b.select([c for c in b.schema.names if c not in "xy"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
+def _star(e: DataFrame) -> DataFrame:
+    """One large-star and one small-star step."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    large = (both.join(low, "u").where("v > u and v <> m")
+             .select(F.col("v").alias("u"), F.col("m").alias("v")))
+    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    return (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+
+
+def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges as a written table, with their number and a sum of their hashes."""
+    seen, h = Observation(), F.xxhash64("u", "v")
+    table = C.written(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.shiftright(h, 20)).alias("high"),
+                                    F.sum(F.pmod(h, F.lit(1 << 40))).alias("low")), "op4-edges")
+    return table, tuple(seen.get.get(c) for c in ("n", "high", "low"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (the least node reachable) of every node of an edge table (u, v), by alternating
-    large-star and small-star steps until nothing changes."""
-    e = C.written(edges.where("u <> v").select(
-        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "op4-edges")
-    mark = _fingerprint(e)
-    while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u and v <> m")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
-        nxt = C.written(small, "op4-edges")
-        before, mark = mark, _fingerprint(nxt)
-        if mark == before:  # the same edges: stars around least nodes
+    large-star and small-star steps, two of each at a time, until nothing changes."""
+    e, mark = _marked(edges.where("u <> v").select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    while mark[0]:
+        nxt, new = _marked(_star(_star(e)))
+        C.drop(e)
+        e, same, mark = nxt, new == mark, new
+        if same:  # the same edges: stars around least nodes
             break
-        e = nxt
-    return nxt.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
-        nxt.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
-
-
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Number of edges and a sum of their hashes."""
-    h = F.xxhash64("u", "v")
-    r = edges.agg(F.count("*"), F.sum(F.shiftright(h, 20)), F.sum(F.pmod(h, F.lit(1 << 40)))).first()
-    return tuple(r)
+    return e.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(
+        e.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
 
 
 def _table_keys() -> Column:
@@ -178,68 +182,58 @@ def _table_keys() -> Column:
     return F.flatten(F.transform("a", lambda x: F.transform("b", lambda y: F.xxhash64(x, y))))
 
 
-def links(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Confirmed links (u, v) between nodes, enough of them to connect every component."""
+def _shared_keys(nodes: DataFrame) -> DataFrame:
+    """node, n and its keys ``a`` and ``b`` that some other node has as well, if there are some of both."""
+    side = lambda c, i: F.transform(c, lambda x: F.struct(F.lit(i).alias("side"), x.alias("x")))
+    keys = nodes.select("node", F.col("n_shingles").alias("n"),
+                        F.explode(F.concat(side("a", 0), side("b", 1))).alias("k")).select("node", "n", "k.*")
+    shared = keys.groupBy("side", "x").agg(F.count("*").alias("c")).where("c > 1").select("side", "x")
+    own = lambda i: F.collect_list(F.when(F.col("side") == i, F.col("x")))
+    return (keys.join(shared, ["side", "x"]).groupBy("node", "n").agg(own(0).alias("a"), own(1).alias("b"))
+            .where("size(a) > 0 and size(b) > 0"))
+
+
+def classes(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The components of the nodes by their confirmed links, in two tables (node, comp): nodes to
+    components of the first links, and those to whole components.  Nodes that are in neither are alone."""
     nodes = (signed.where("n_shingles > 0").groupBy("node", "n_shingles")
              .agg(F.min(_order()).alias("one"), F.first("a").alias("a"), F.first("b").alias("b")))
     nodes = C.written(nodes, "op4-nodes")
-    # nodes whose keys of the first collection are all their own share no table with any other
-    first = nodes.select("node", F.explode("a").alias("x"))
-    shared = first.groupBy("x").agg(F.count("*").alias("c")).where("c > 1").select("x")
-    live = first.join(shared, "x", "left_semi").select("node").distinct()
-    tables = nodes.join(live, "node", "left_semi").select(
-        "node", F.col("n_shingles").alias("n"), F.explode(F.array_distinct(_table_keys())).alias("x"))
-    orders = [0, *C.seeds(ROUNDS - 1, 47).view(np.int64).tolist()]
-    centres = [F.min(F.col("node").bitwiseXOR(F.lit(o))).bitwiseXOR(F.lit(o)).alias(f"c{i}")
-               for i, o in enumerate(orders)]
-    buckets = C.written(tables.groupBy("x").agg(F.count("*").alias("c"), *centres).where("c > 1"),
-                        "op4-buckets")
-    members = C.written(tables.join(buckets.select("x"), "x", "left_semi"), "op4-members")
+    keys = C.written(_shared_keys(nodes), "op4-keys")
+    tables = keys.select("node", "n", F.explode(F.array_distinct(_table_keys())).alias("x"))
+    buckets = (tables.groupBy("x").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("centre"))
+               .where("c > 1").select("x", F.col("centre.node").alias("u"), F.col("centre.n").alias("m")))
+    members = C.written(tables.join(buckets, "x"), "op4-members")
 
     wanted = members.select("node").distinct()
     # one row of each node, known by id and key as ids may be null or shared
-    source = (nodes.join(wanted, "node", "left_semi")
+    source = (nodes.join(wanted, "node")
               .select(F.col("one.doc_id").alias("__d"), F.col("one.key").alias("__k")).distinct())
     texts = docs.join(source, F.col("doc_id").eqNullSafe(F.col("__d"))
                       & (F.col("key") == F.col("__k")), "left_semi")
     sets = texts.select("text").mapInArrow(_sets(k), "node bigint, hashes binary")
-    sets = C.written(sets.join(wanted, "node", "left_semi").dropDuplicates(["node"]), "op4-sets")
-    sizes = C.written(nodes.join(wanted, "node", "left_semi").select("node", F.col("n_shingles").alias("m")),
-                      "op4-sizes")
+    sets = C.written(sets.dropDuplicates(["node"]), "op4-sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        """pairs: u, v, n, m (the sizes)."""
-        near = pairs.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
-        return (near.select("u", "v").distinct()
-                .join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("x")), "u")
-                .join(sets.select(F.col("node").alias("v"), F.col("hashes").alias("y")), "v")
-                .mapInArrow(_confirm(percent), "u bigint, v bigint"))
-
-    found, comp = None, None
-    for i in range(ROUNDS):
-        pairs = (members.join(buckets.select("x", F.col(f"c{i}").alias("u")), "x")
-                 .where("node <> u").select("u", F.col("node").alias("v"), "n").distinct())
-        if comp is not None:
-            pairs = _apart(pairs, comp)
-        new = C.written(confirmed(pairs.join(sizes.withColumnRenamed("node", "u"), "u")), "op4-links")
-        if found is not None and not new.head(1):
-            continue
-        found = new if found is None else found.unionByName(new)
-        comp = components(found)
+        """The rows of ``pairs`` (u, v, n, m and others) that are links, without the sizes."""
+        near = pairs.where(F.least("n", "m") * 100 >= F.greatest("n", "m") * percent).drop("n", "m")
+        out = near.join(sets.select(F.col("node").alias("u"), F.col("hashes").alias("x")), "u").join(
+            sets.select(F.col("node").alias("v"), F.col("hashes").alias("y")), "v")
+        return out.mapInArrow(_confirm(percent), ", ".join(f"{c} bigint" for c in out.columns if c not in "xy"))
+
+    first = components(confirmed(members.where("node <> u").select("u", F.col("node").alias("v"), "n", "m").distinct()))
 
     # members of buckets that hold several components
-    at = members.join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    at = (members.select("x", "node", "n").join(first, "node", "left")
+          .withColumn("comp", F.coalesce("comp", "node")))
     open_ = at.groupBy("x").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
-    rest = at.join(open_.select("x"), "x", "left_semi").select("node", "n", "comp").distinct()
-    pairs = prefix_pairs(C.written(rest, "op4-rest"), sets, percent)
-    return found.unionByName(C.written(confirmed(pairs), "op4-links"))
-
-
-def _apart(pairs: DataFrame, comp: DataFrame) -> DataFrame:
-    """The pairs (u, v, ...) whose ends are in different components."""
-    own = lambda c: comp.select(F.col("node").alias(c), F.col("comp").alias(f"{c}_comp"))
-    return (pairs.join(own("u"), "u", "left").join(own("v"), "v", "left")
-            .where(F.coalesce("u_comp", "u") != F.coalesce("v_comp", "v")).drop("u_comp", "v_comp"))
+    rest = C.written(at.join(open_.select("x"), "x", "left_semi").select("node", "n", "comp").distinct(), "op4-rest")
+    more, used = prefix_pairs(rest, sets, percent)
+    joined = confirmed(more).select(F.col("u_comp").alias("u"), F.col("v_comp").alias("v"))
+    second = components(joined)
+    for t in (nodes, keys, members, sets, rest, *used):
+        C.drop(t)
+    return first, second
 
 
 def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,29 +244,30 @@ def _shingle_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([*same, pa.array(h)], names=["node", "n", "comp", "h"])
 
 
-def prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (u, v, n, m) of nodes of ``rest`` (node, n, comp) in different components that can
-    reach the similarity, by prefix filter with length and place bounds: exact, none is missed."""
+def prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """All pairs (u, v, n, m, u_comp, v_comp) of nodes of ``rest`` (node, n, comp) in different
+    components that can reach the similarity, by prefix filter with length and place bounds: exact,
+    none is missed.  Also the tables that were written for it."""
     rows = (rest.join(sets, "node").select("node", "n", "comp", "hashes")
             .mapInArrow(_shingle_rows, "node bigint, n bigint, comp bigint, h bigint"))
     rows = C.written(rows, "op4-shingles")
     shared = rows.groupBy("h").agg(F.count("*").alias("f")).where("f > 1")
-    rows = rows.join(shared, "h")
     # a set's unshared shingles come first; they use up places of its prefix
     own = Window.partitionBy("node").orderBy("f", "h")
     all_of = Window.partitionBy("node")
     place = F.row_number().over(own) + F.col("n") - F.count("*").over(all_of)
-    first = (rows.withColumn("p", place)
+    first = (rows.join(shared, "h").withColumn("p", place)
              .where(F.col("p") <= F.col("n") - F.ceil(F.col("n") * percent / F.lit(100.0) - 1e-9) + 1))
     first = C.written(first.select("h", "node", "n", "comp", "p"), "op4-prefixes")
     other = first.select("h", F.col("node").alias("v"), F.col("n").alias("m"),
                          F.col("comp").alias("v_comp"), F.col("p").alias("q"))
     # of n + m shingles, 100 * both >= percent * (n + m - both) must be in both sets
     need = f"({percent} * (n + m)) / {100.0 + percent} - 1e-9"
-    return (first.withColumnRenamed("node", "u").join(other, "h")
-            .where(F.expr(f"u < v and comp <> v_comp and least(n, m) * 100 >= greatest(n, m) * {percent} "
-                          f"and least(n - p, m - q) + 1 >= {need}"))
-            .select("u", "v", "n", "m").distinct())
+    pairs = (first.withColumnRenamed("node", "u").withColumnRenamed("comp", "u_comp").join(other, "h")
+             .where(F.expr(f"u < v and u_comp <> v_comp and least(n, m) * 100 >= greatest(n, m) * {percent} "
+                           f"and least(n - p, m - q) + 1 >= {need}"))
+             .select("u", "v", "n", "m", "u_comp", "v_comp").distinct())
+    return pairs, [rows, first]
 
 
 def _keyed(docs: DataFrame, key: Column) -> DataFrame:
@@ -288,11 +283,13 @@ def _grouped(rows: DataFrame, k: int, percent: int) -> tuple[DataFrame, DataFram
     """The rows (doc_id, text, key) signed, and for every node with words the ``first`` row of its
     component: the least by doc_id (null last), then key."""
     signed = C.written(rows.mapInArrow(_sign(k, KEYS, ROWS), _SIGNED), "op4-signed")
-    comp = components(links(signed, rows, k, percent))
+    first, second = classes(signed, rows, k, percent)
     least = (signed.where("n_shingles > 0").groupBy("node").agg(F.min(_order()).alias("least"))
-             .join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
-    smallest = least.groupBy("comp").agg(F.min("least").alias("first"))
-    return signed, least.join(smallest, "comp").select("node", "first")
+             .join(first, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
+    whole = second.select(F.col("node").alias("comp"), F.col("comp").alias("whole"))
+    least = least.join(whole, "comp", "left").withColumn("whole", F.coalesce("whole", "comp"))
+    smallest = least.groupBy("whole").agg(F.min("least").alias("first"))
+    return signed, least.join(smallest, "whole").select("node", "first")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -310,19 +307,18 @@ def stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: one row of each group, unchanged: the one with the smallest doc_id (null
     last), then the smallest hash of the row; of rows alike in all columns any one.  Rows without
     words all stay."""
+    gone, again = (f"{C.prefix(docs)}{c}" for c in ("gone", "again"))
     key = C.row_key([F.col("doc_id").cast("bigint"), *(
         F.col(f.name) for f in docs.schema if f.name != "doc_id"
         and not any(t in f.dataType.simpleString() for t in ("map<", "variant")))])  # these have no hash
     signed, of_node = _grouped(_keyed(docs, key), SHINGLE, PERCENT)
     rows = (signed.where("n_shingles > 0").select("key", "node").join(of_node, "node")
             .groupBy("key", (F.col("key") == F.col("first.key")).alias("kept")).agg(F.count("*").alias("n")))
-    rows = C.written(rows, "op4-rows")
-    gone = rows.where(~F.col("kept")).select(F.col("key").alias("__gone"))
-    left = docs.join(gone, key == F.col("__gone"), "left_anti")
-    again = rows.where("kept and n > 1").select(F.col("key").alias("__again"))
-    if not again.head(1):
+    rows = C.written(rows.where("not kept or n > 1"), "op4-rows")
+    left = docs.join(rows.where(~F.col("kept")).select(F.col("key").alias(gone)), key == F.col(gone), "left_anti")
+    more = rows.where("kept").select(F.col("key").alias(again))
+    if not more.head(1):
         return left
-    same = key == F.col("__again")
-    once = (left.join(again, same, "left_semi").withColumn("__again", key)
-            .dropDuplicates(["__again"]).drop("__again"))
-    return left.join(again, same, "left_anti").unionByName(once)
+    same = key == F.col(again)
+    once = (left.join(more, same, "left_semi").withColumn(again, key).dropDuplicates([again]).drop(again))
+    return left.join(more, same, "left_anti").unionByName(once)
