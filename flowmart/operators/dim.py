@@ -31,7 +31,7 @@ def route(
     """
     c = config.select("source_table", "sink_table", "sink_columns", "sink_pk")
     rows = feed.where(F.col("type").isin(*types))
-    return _routed(rows.join(c, rows["table"] == c["source_table"], "inner"))
+    return routed(rows.join(c, rows["table"] == c["source_table"], "inner"))
 
 
 def route_asof(
@@ -48,10 +48,11 @@ def route_asof(
     """
     rows = (feed.where(F.col("type").isin(*types))
             .withColumns({"_key": F.col("table"), "_at": F.col("ts") * 1000}))
-    return _routed(cfg.in_force(rows, rules, bucket))
+    return routed(cfg.in_force(rows, rules, bucket))
 
 
-def _routed(joined: DataFrame) -> DataFrame:
+def routed(joined: DataFrame) -> DataFrame:
+    """The output of :func:`route` from changes and the columns of their rule."""
     return joined.select(
         "sink_table", cfg.pk_or_default("sink_pk").alias("sink_pk"),
         "table", "type", "ts", "xid", "xoffset", cfg.prune("data", "sink_columns").alias("data"))
@@ -95,16 +96,6 @@ def plain_cells(cells: DataFrame, null_as_empty: bool = True) -> DataFrame:
     return cells.select("sink_table", "pk", "column", value.alias("value"))
 
 
-def upsert_wide(cells: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Long cells of one table -> one row per key with ``columns``.
-
-    ``columns`` come from the table's configuration, so the pivot has a
-    known, small width.
-    """
-    return (cells.groupBy("pk").pivot("column", list(columns)).agg(F.first("value"))
-            .withColumnRenamed("pk", "_pk"))
-
-
 def table_schema(sink_columns: str, sink_pk: str | None) -> tuple[T.StructType, str]:
     """K5: all-string schema of a dimension table and its key column."""
     pk = sink_pk if sink_pk else "id"
@@ -140,15 +131,6 @@ def ddl(schema_rows_df: DataFrame) -> DataFrame:
                 F.lit(") "), F.col("sink_extend")).alias("ddl")))
 
 
-def ensure_table(spark: SparkSession, name: str, sink_columns: str, sink_pk: str | None,
-                 path: str) -> None:
-    """K5: create an empty dimension table at ``path`` if none exists."""
-    from flowmart.streaming.versions import exists
-    schema, _ = table_schema(sink_columns, sink_pk)
-    if not exists(spark, f"{path}/_SUCCESS"):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
-
-
 def merge_into(current: DataFrame, cells: DataFrame, columns: Sequence[str],
                sink_pk: str | None = None) -> DataFrame:
     """K6 against an existing table: new values win per cell, untouched cells

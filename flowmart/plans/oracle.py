@@ -330,6 +330,7 @@ def _amt(x: str) -> str:
     return f"CAST(CAST({x} AS DECIMAL(18,2)) AS VARCHAR)"
 
 
+_MS = "epoch_us({}) // 1000000"
 DETAIL_ID = ("concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, "
              "strftime(l_shipdate, '%Y%m%d'))")
 DT = "'%Y-%m-%d %H:%M:%S'"
@@ -632,7 +633,6 @@ ROUTING_CHANGES = (
     .replace("'id,name'", "'id,order_status,activity_id,coupon_id'"))
 
 # The cells of all changes whose columns a rule may keep.
-_MS = "epoch_us({}) // 1000000"
 _FEED = [
     ("cart_info", "insert", _MS.format("l_shipdate"), f"'cart-' || {DETAIL_ID}",
      {"sku_id": "l_partkey", "user_id": "l_suppkey"}, "lineitem"),
@@ -706,23 +706,26 @@ WHERE NOT v.deleted
 
 DIM_UPSERT_WIDE = f"""
 SELECT c_name AS name, {_amt('c_acctbal')} AS balance,
-       CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment
+       CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN c_mktsegment END AS segment
 FROM customer
 """
 
 TOPIC_RECORDS = f"""
+SELECT topic, value, sha256(concat_ws('|', topic, "table", type, ts, 0, 0, value)) AS record_id FROM (
 SELECT 'dwd_trade_cart_add' AS topic, concat('{{"id":"cart-', {DETAIL_ID}, '","user_id":"', l_suppkey,
     '","sku_id":"', l_partkey, '","sku_num":"', CAST(l_quantity AS BIGINT), '","source_type":"', l_returnflag,
-    '"}}') AS value
+    '"}}') AS value, 'cart_info' AS "table", 'insert' AS type, {_MS.format("l_shipdate")} AS ts
 FROM lineitem
 UNION ALL
 SELECT 'dwd_trade_order_status', concat('{{"id":"', o_orderkey, '","order_status":"1004","operate_time":"',
-    strftime(o_orderdate + INTERVAL 1 DAY, {DT}), '"}}')
+    strftime(o_orderdate + INTERVAL 1 DAY, {DT}), '"}}'),
+    'order_info', 'update', {_MS.format("o_orderdate")} + 86400
 FROM orders WHERE o_orderstatus = 'F'
 UNION ALL
 SELECT 'dwd_tool_coupon_use', concat('{{"id":"cpn-', {DETAIL_ID}, '","order_id":"', l_orderkey,
-    '","coupon_id":"', l_suppkey, '","create_time":"', strftime(l_shipdate, {DT}), '"}}')
-FROM lineitem WHERE l_tax = 0
+    '","coupon_id":"', l_suppkey, '","create_time":"', strftime(l_shipdate, {DT}), '"}}'),
+    'order_detail_coupon', 'insert', {_MS.format("l_shipdate")}
+FROM lineitem WHERE l_tax = 0)
 """
 
 CART_ADD_JSON = f"""

@@ -12,6 +12,8 @@ the reference's jobs do (P2).  With ``strict=False`` it passes the good lines, a
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,11 +79,38 @@ def read_page_log(spark: SparkSession, delay: str = WATERMARK_DELAY, strict: boo
     return df.withColumn("rt", event_time("ts")).withWatermark("rt", delay)
 
 
-def read_config_changes(spark: SparkSession, startup: str = "initial", strict: bool = True, **kw) -> DataFrame:
-    """Configuration changes.  ``initial`` keeps the snapshot rows
-    (op 'r') then the changes; ``latest`` leaves the snapshot rows out (to skip old
-    changes too, start the Kafka source at the latest offsets)."""
+def read_config_changes(spark: SparkSession, startup: str = "initial", strict: bool = True,
+                        since_ms: int | None = None, **kw) -> DataFrame:
+    """Configuration changes.  ``initial`` keeps the snapshot rows (op 'r') then the
+    changes; ``latest`` keeps what has changed since the job was first started: no snapshot row and
+    no older change still in the feed.  ``since_ms`` is that moment (now by default; a restarted job
+    passes its first one).  A Kafka source then starts at the latest offsets as well."""
+    if startup == "latest":
+        since_ms = round(time.time() * 1000) if since_ms is None else since_ms
+        if kw.get("kafka") is not None:
+            kw["kafka"] = {**kw["kafka"], "startingOffsets": "latest"}
     r = F.col(parse.RECORD)
     df = _records(read_text_stream(spark, **kw), strict).select(
         *[parse.field(r, f.name, f.dataType.simpleString()).alias(f.name) for f in schemas.CONFIG_CHANGE])
-    return df.where(F.col("op") != "r") if startup == "latest" else df
+    return df.where((F.col("op") != "r") & (F.col("ts_ms") >= since_ms)) if startup == "latest" else df
+
+
+def read_records_once(spark: SparkSession, path: str | None = None, kafka: dict[str, str] | None = None,
+                      delay: str = "1 hour", max_files_per_trigger: int | None = None) -> DataFrame:
+    """K2 downstream: routed records (``record_id``, ``value``, event time ``rt``), each once.
+
+    A sink that is restarted may write a batch again.  Records of one id that arrive within ``delay``
+    of each other count once; ids older than that are dropped from the state.  Kafka records carry
+    their id as the key and their time of writing; files have the columns of
+    ``dwd.to_topic_records``, with the change's own time.
+    """
+    if kafka is not None:
+        df = spark.readStream.format("kafka").options(**kafka).load().select(
+            F.col("key").cast("string").alias("record_id"), F.col("value").cast("string").alias("value"),
+            F.col("timestamp").alias("rt"))
+    else:
+        r = spark.readStream.schema("record_id string, ts bigint, value string, topic string")
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        df = r.parquet(path).select("topic", "record_id", "value", F.timestamp_seconds("ts").alias("rt"))
+    return df.withWatermark("rt", delay).dropDuplicatesWithinWatermark(["record_id"])

@@ -10,18 +10,17 @@ checkpoints every 5 s; here that is the default trigger interval.
 from __future__ import annotations
 
 import os
-import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from flowmart import schemas
 from flowmart.operators import config, dim, dwd, dws, logsplit, parse, trade
 from flowmart.operators.lookup import Dimension, lookup_join
 from flowmart.session import CHECKPOINT_INTERVAL, DEFAULT_TZ, checkpoint_dir
-from flowmart.streaming import order_state, sinks, versions
+from flowmart.streaming import order_state, rule_state, sinks
 from flowmart.streaming.processors import fix_is_new_stream
 
 # The topics of the log split.
@@ -129,85 +128,57 @@ def run_log_split(raw: DataFrame, out_dir: str | None = None, name: str = "base_
     return [q1, q2]
 
 
-# ---- configuration
-
-def run_config_state(changes: DataFrame, path: str, layer: str = "dim", name: str = "config",
-                     evict_moved: bool = False, snapshot: DataFrame | None = None,
-                     tables_base: str | None = None, **start_kw) -> StreamingQuery:
-    """R9 / R10 / T11 as a job: fold each micro-batch of configuration changes into the next
-    version of the configuration table under ``path``.
-
-    ``snapshot`` (R10) is the table as it is before the first change; it is written as the first
-    version before the query starts.  Batch n writes version n + 1 from the version before it, so
-    a crash leaves the old version in place and a replay rewrites the same one.  Changes of one
-    millisecond apply in the order of the batch.  With ``tables_base`` (K5) the dimension table of
-    every row is created there when the row arrives.
-    """
-    spark = changes.sparkSession
-    if snapshot is not None and versions.newest(spark, path) is None:
-        versions.write(config.snapshot(snapshot, layer), path, 0)
-        _create_tables(spark, path, tables_base)
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        prev = versions.read(batch.sparkSession, path, before=batch_id + 1)
-        state = config.fold_changes(
-            batch.withColumn("_seq", F.monotonically_increasing_id()), layer, evict_moved=evict_moved,
-            seq="_seq", preload=prev.drop("config_key") if prev is not None else None)
-        versions.write(state, path, batch_id + 1)
-        _create_tables(batch.sparkSession, path, tables_base)
-
-    return start(changes, name, sink=fold, **start_kw)
-
-
-def _create_tables(spark: SparkSession, path: str, tables_base: str | None) -> None:
-    if tables_base:
-        # one row per configured table
-        for r in versions.read(spark, path).toLocalIterator():
-            dim.ensure_table(spark, r.sink_table, r.sink_columns, r.sink_pk, f"{tables_base}/{r.sink_table}")
-
-
-def current_config(spark: SparkSession, path: str, wait_s: float = 600) -> DataFrame:
-    """The newest configuration.  Waits for a first version; if none comes, the batch fails and
-    is read again later: its changes are never passed over."""
-    until = time.time() + wait_s
-    while (table := versions.read(spark, path)) is None:
-        if time.time() >= until:
-            raise RuntimeError(f"no configuration under {path} yet")
-        time.sleep(1)
-    return table
-
-
 # ---- change feed jobs
 
-def run_dim_app(feed: DataFrame, config_path: str, dims_base: str, name: str = "dim_app",
-                wait_s: float = 600, **start_kw) -> StreamingQuery:
-    """The dimension job (J4): each micro-batch of the change feed is routed with
-    the configuration table as it is now -- read fresh per batch, as broadcast
-    state is current when a record arrives -- and its cells are appended to the
-    dimension store (K6)."""
-
-    def route_and_append(batch: DataFrame, batch_id: int) -> None:
-        rules = current_config(batch.sparkSession, config_path, wait_s)
-        sinks.append_cells(dim.route(batch, rules), batch_id, dims_base)
+def run_dim_app(feed: DataFrame, changes: DataFrame, tables: str, snapshot: DataFrame | None = None,
+                name: str = "dim_app", evict_moved: bool = False, buckets: int = sinks.BUCKETS,
+                **start_kw) -> StreamingQuery:
+    """The dimension job (R7, R9, R10, K5, K6): each change is routed by the rule in force
+    (:mod:`flowmart.streaming.rule_state`) and written to its dimension table under ``tables``.
 
-    return start(feed, name, sink=route_and_append, **start_kw)
-
-
-def run_fact_routing(feed: DataFrame, config_path: str, path: str | None = None,
-                     bootstrap: str | None = None, name: str = "fact_routing",
-                     wait_s: float = 600, **start_kw) -> StreamingQuery:
+    A table is created when its rule arrives (those of ``snapshot`` at the start), and every
+    micro-batch upserts the columns that its changes name.  The loop goes over the tables of a
+    batch, which are as many as it has rules, never over rows.
+    """
+    spark = feed.sparkSession
+    if snapshot is not None:
+        for r in config.snapshot(snapshot, "dim").toLocalIterator():  # one row per configured table
+            sinks.create_wide(spark, f"{tables}/{r.sink_table}", r.sink_columns, r.sink_pk)
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()
+        try:
+            target = ["sink_table", "sink_columns", "sink_pk"]
+            for r in batch.where(F.col("kind") == rule_state.RULE).select(*target).distinct().collect():
+                sinks.create_wide(spark, f"{tables}/{r.sink_table}", r.sink_columns, r.sink_pk)
+            rows = batch.where(F.col("kind") == rule_state.ROW)
+            cells = dim.plain_cells(dim.last_cells(dim.cells_of(dim.routed(rows)))).persist()
+            names: dict[tuple, list[str]] = {}
+            for r in rows.select(*target).distinct().collect():
+                names.setdefault((r.sink_table, r.sink_pk), []).append(r.sink_columns)
+            for (table, pk), columns in names.items():
+                own = cells.where(F.col("sink_table") == table).drop("sink_table")
+                sinks.upsert_wide(own, f"{tables}/{table}", ",".join(dict.fromkeys(",".join(columns).split(","))),
+                                  pk, batch_id, buckets)
+            cells.unpersist()
+        finally:
+            batch.unpersist()
+
+    routed = rule_state.with_rules(feed, changes, "dim", snapshot, dim.ROUTED_TYPES, evict_moved)
+    return start(routed, name, sink=upsert, **start_kw)
+
+
+def run_fact_routing(feed: DataFrame, changes: DataFrame, path: str | None = None, bootstrap: str | None = None,
+                     snapshot: DataFrame | None = None, name: str = "fact_routing",
+                     **start_kw) -> StreamingQuery:
     """The fact-routing job (R8, K2): every configured change as a JSON record of its own topic, to
-    Kafka or to files (one folder per topic and batch)."""
-
-    def route(batch: DataFrame, batch_id: int) -> None:
-        rules = current_config(batch.sparkSession, config_path, wait_s)
-        records = dwd.to_topic_records(dwd.route(batch, rules))
-        if bootstrap:
-            sinks.write_kafka(records, bootstrap)
-        else:
-            sinks.write_routed_files(records, path, batch_id)
-
-    return start(feed, name, sink=route, **start_kw)
+    Kafka (keyed by its record id) or to files (one folder per topic, each batch committed once)."""
+    rows = rule_state.with_rules(feed, changes, "dwd", snapshot).where(F.col("kind") == rule_state.ROW)
+    records = dwd.to_topic_records(dwd.routed(rows))
+    if bootstrap:
+        records = records.select("topic", F.col("record_id").alias("key"), "value")
+    return _to(records, name, path, bootstrap, ("topic",), **start_kw)
 
 
 def run_cart_add(feed: DataFrame, dic: DataFrame | Dimension, path: str | None = None,
@@ -260,31 +231,34 @@ def order_details(spark: SparkSession, path: str) -> DataFrame:
 
 # ---- late rows
 
-def late_rows(query: StreamingQuery, every_s: float = 5) -> Iterator[int]:
-    """Rows the query's stateful operators have dropped as late (behind the watermark), counted
-    from its first batch seen to the end: one running total per progress report.  Spark keeps
-    only the newest reports, so this is read while the query runs (the reference drops late rows
-    silently)."""
-    seen, total = -1, 0
-    while True:
-        active = query.isActive
-        for p in query.recentProgress:
-            if p["batchId"] > seen:
-                seen = p["batchId"]
-                total += sum(int(op.get("numRowsDroppedByWatermark", 0) or 0)
-                             for op in p.get("stateOperators", []))
-                yield total
-        if not active:
-            return
-        time.sleep(every_s)
-
-
-def dropped_late_rows(query: StreamingQuery) -> int:
-    """The last total of :func:`late_rows` of a query that has ended."""
-    total = 0
-    for total in late_rows(query, 0):
+class LateRows(StreamingQueryListener):
+    """Counts the rows that stateful operators drop as late (behind the watermark), per query.
+
+    A listener gets the progress of every micro-batch, so nothing is polled and no report is missed;
+    the reference drops late rows silently.  ``total(query)`` is the count so far."""
+
+    def __init__(self, spark: SparkSession):
+        self.counts: dict[str, int] = {}
+        self.batches: dict[str, int] = {}
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        self.counts.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        late = sum(int(op.numRowsDroppedByWatermark or 0) for op in p.stateOperators)
+        self.counts[str(p.id)] = self.counts.get(str(p.id), 0) + late
+        self.batches[str(p.id)] = self.batches.get(str(p.id), 0) + 1
+
+    def onQueryIdle(self, event) -> None:
         pass
-    return total
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def total(self, query: StreamingQuery) -> int:
+        return self.counts.get(str(query.id), 0)
 
 
 # ---- window jobs

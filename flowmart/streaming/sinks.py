@@ -1,8 +1,8 @@
 """Sinks (K1-K10): Kafka records, per-topic files, JDBC batches, keyed upserts.
 
-File sinks own one partition per micro-batch and overwrite it, or write whole
-versions: a replayed batch puts the same rows in the same place.  Kafka and JDBC
-appends are at-least-once; their rows carry a key (or the batch id) to dedupe by.
+File sinks own one partition per micro-batch and overwrite it: a replayed batch puts
+the same rows in the same place.  Kafka and JDBC appends are at-least-once; their rows
+carry a key (or the batch id) to dedupe by.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowmart.operators import dim
-from flowmart.streaming import versions
+from flowmart.sources import files
 
 BATCH = "batch_id"
 
@@ -75,56 +75,56 @@ def latest_per_key(batch: DataFrame, key: Sequence[str], order: Sequence[str]) -
             .select("_r.*").select(*batch.columns))
 
 
-def upsert_versioned(batch: DataFrame, base: str, key: Sequence[str], batch_id: int,
-                     order: Sequence[str] = ()) -> None:
-    """K4 for small tables: merge ``batch`` into the newest version before this batch by key (new
-    rows win) and write the result as this batch's version.  A replayed batch rewrites the same
-    version.  Each version is a full copy."""
-    new = latest_per_key(batch, key, order) if order else batch.dropDuplicates(list(key))
-    old = versions.read(batch.sparkSession, base, before=batch_id)
-    merged = new if old is None else old.join(new.select(*key), list(key), "left_anti").unionByName(
-        new.select(*old.columns))
-    versions.write(merged, base, batch_id)
-
-
-# ---- the dimension store: cells appended per batch, read by their last value
-
-CELL_ORDER = (*dim.ARRIVAL, BATCH)
-
-
-def append_cells(routed: DataFrame, batch_id: int, base: str) -> None:
-    """K6 in a stream: the last value of every cell that a micro-batch of routed changes writes,
-    as the batch's own partition of the log under ``base``."""
-    write_batch_files(dim.last_cells(dim.cells_of(routed)), batch_id, f"{base}/log")
-
-
-def read_cells(spark: SparkSession, base: str, null_as_empty: bool = True) -> DataFrame:
-    """The dimension store as it is: ``sink_table``, ``pk``, ``column``, ``value``, each cell with
-    its last value by arrival, from the newest snapshot and the batches after it."""
-    return dim.plain_cells(_folded(spark, base), null_as_empty)
-
-
-def _folded(spark: SparkSession, base: str) -> DataFrame:
-    done = versions.newest(spark, f"{base}/snapshot")
-    # batch ids are read from the folder names as int
-    log = spark.read.parquet(f"{base}/log").withColumn(BATCH, F.col(BATCH).cast("bigint"))
-    if done is not None:
-        log = log.where(F.col(BATCH) > done).unionByName(
-            spark.read.parquet(versions.path_of(f"{base}/snapshot", done)))
-    return dim.last_cells(log, CELL_ORDER)
-
-
-def compact_cells(spark: SparkSession, base: str) -> None:
-    """Fold the log into a new snapshot; batches that the snapshot before already held are removed
-    (readers that began on that one have had a whole generation to finish)."""
-    before = versions.newest(spark, f"{base}/snapshot")
-    ids = versions.folders(spark, f"{base}/log", f"{BATCH}=")
-    if not ids or before == ids[-1]:
-        return
-    versions.write(_folded(spark, base).where(F.col(BATCH) <= ids[-1]), f"{base}/snapshot", ids[-1])
-    for b in ids:
-        if before is not None and b <= before:
-            versions.remove(spark, f"{base}/log/{BATCH}={b}")
+# ---- dimension tables (K5, K6)
+
+BUCKET = "bucket"
+BUCKETS = 64
+
+
+def create_wide(spark: SparkSession, path: str, sink_columns: str, sink_pk: str | None) -> None:
+    """K5: an empty dimension table at ``path``, all strings, if there is none yet."""
+    if not files.exists(spark, path):
+        schema, _ = dim.table_schema(sink_columns, sink_pk)
+        # the first bucket, without rows: its files give the table its columns
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{BUCKET}=0")
+
+
+def read_wide(spark: SparkSession, path: str) -> DataFrame:
+    """A dimension table: one row per key."""
+    return spark.read.option("mergeSchema", "true").parquet(path).drop(BUCKET)
+
+
+def upsert_wide(cells: DataFrame, path: str, sink_columns: str, sink_pk: str | None, batch_id: int,
+                buckets: int = BUCKETS) -> None:
+    """K6: one micro-batch's cells (``pk``, ``column``, ``value``, one per cell) into the dimension
+    table at ``path``.  Named columns get their new value, all others keep theirs.
+
+    Rows lie in buckets by key.  Only the buckets that the batch touches are read; they are written
+    whole beside the table first and then put in place of the old ones (dynamic partition overwrite).
+    If the job is stopped while they are being put in place, the replayed batch finds them written and
+    puts them there again, so no bucket is lost or merged twice.
+    """
+    spark = cells.sparkSession
+    pk = sink_pk or "id"
+    create_wide(spark, path, sink_columns, pk)
+    next_ = f"{path}.next/{BATCH}={batch_id}"
+    if not files.exists(spark, f"{next_}/_SUCCESS"):
+        bucket = lambda c: F.pmod(F.xxhash64(c), F.lit(buckets)).cast("int")
+        touched = [r[0] for r in cells.select(bucket("pk")).distinct().collect()]  # at most ``buckets``
+        if not touched:
+            return
+        table = spark.read.option("mergeSchema", "true").parquet(path)
+        columns = [c for c in table.columns if c != BUCKET]
+        columns += [c for c in sink_columns.split(",") if c not in columns]
+        now = table.where(F.col(BUCKET).isin(touched))
+        now = now.select(*[F.col(c) if c in now.columns else F.lit(None).cast("string").alias(c) for c in columns])
+        merged = dim.merge_into(now, cells, columns, pk)
+        merged.withColumn(BUCKET, bucket(pk)).write.mode("overwrite").parquet(next_)
+    new = spark.read.parquet(next_)
+    (new.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BUCKET).parquet(path))
+    if batch_id:
+        files.remove(spark, f"{path}.next/{BATCH}={batch_id - 1}")
 
 
 def insert_into(df: DataFrame, columns: Sequence[str], path: str, fmt: str = "parquet",

@@ -3,7 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from flowmart import schemas
-from flowmart.operators import config, dim, dwd, lookup, trade
+from flowmart.operators import config, dim, dwd, lookup, parse, trade
 from flowmart.sources import fixtures
 
 
@@ -121,6 +121,16 @@ def test_dwd_route_and_topics(spark):
     assert [(r.topic, json.loads(r.value)) for r in recs] == [("dwd_cart", {"id": "1", "sku_id": "s"})]
 
 
+def test_record_ids_tell_replays_from_new_records(spark):
+    row = ("shop", "cart_info", "insert", 1, 5, 0, {"id": "1", "sku_id": "s"}, None)
+    feed = spark.createDataFrame([row, row, (*row[:4], 6, *row[5:]), (*row[:6], {"id": "2"}, None)], schemas.CDC)
+    conf = config.snapshot(spark.createDataFrame(
+        [cfg("cart_info", "dwd", "id,sku_id", stype="insert", sink="dwd_cart")], schemas.CONFIG), "dwd")
+    ids = [r.record_id for r in dwd.to_topic_records(dwd.route(feed, conf)).collect()]
+    assert len(ids) == 4 and len(set(ids)) == 3 and all(len(i) == 64 for i in ids)
+
+
 def test_q1_guard(spark):
-    df = spark.createDataFrame([("",), (None,), ("{}",)], "value string")
-    assert [r.value for r in dwd.usable(df).collect()] == ["{}"]
+    df = spark.createDataFrame([("",), (None,), ("  ",), ("{}",)], "value string")
+    good, dirty = parse.parse_cdc(df)
+    assert good.count() == 0 and [r.value for r in dirty.collect()] == ["{}"]

@@ -8,11 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowmart import schemas
-from flowmart.operators import config, dim, dwd, logsplit, trade
+from flowmart.operators import config, dim, dwd, logsplit
 from flowmart.sources import fixtures
 from flowmart.sources.catalog import Tables
-from flowmart.sources.streams import dirty_lines, read_cdc, read_config_changes, read_text_stream
-from flowmart.streaming import jobs, sinks, versions
+from flowmart.sources.streams import (dirty_lines, read_cdc, read_config_changes, read_records_once,
+                                      read_text_stream)
+from flowmart.streaming import jobs, sinks
 from tests.test_streaming import TIMEOUT, write_lines
 
 SF = "/root/testdata/sf0.001"
@@ -41,33 +42,6 @@ def test_log_split_stream_equals_batch(spark, tmp):
     assert spark.read.parquet(os.path.join(out, "dirty")).count() == batch["dirty"].count()
 
 
-CELLS = ["sink_table", "pk", "column", "value"]
-
-
-def cells(df):
-    return sorted(tuple(r[c] for c in CELLS) for r in df.collect())
-
-
-def test_dimension_store_replay_and_compaction(spark, tmp):
-    conf = config.snapshot(fixtures.config_snapshot(spark), "dim")
-    routed = dim.route(fixtures.topic_db(Tables(spark, SF)), conf).cache()
-    base = os.path.join(tmp, "dims")
-    half = F.pmod(F.xxhash64(F.to_json("data")), F.lit(2)) == 0
-    for batch_id, part in enumerate((routed.where(half), routed.where(~half))):
-        sinks.append_cells(part, batch_id, base)
-        sinks.append_cells(part, batch_id, base)  # a replayed batch writes its rows again
-    want = cells(dim.upsert_fold(routed))
-    assert cells(sinks.read_cells(spark, base)) == want
-    sinks.compact_cells(spark, base)
-    assert cells(sinks.read_cells(spark, base)) == want
-    late = spark.createDataFrame([("dim_x", "k", "v", 1, 0, 0, "new")],
-                                 "sink_table string, pk string, column string, ts long, xid long, xoffset long, value string")
-    sinks.write_batch_files(late, 2, f"{base}/log")
-    sinks.compact_cells(spark, base)
-    assert cells(sinks.read_cells(spark, base)) == sorted([*want, ("dim_x", "k", "v", "new")])
-    assert not os.path.exists(f"{base}/log/batch_id=0") and os.path.exists(f"{base}/log/batch_id=2")
-
-
 def test_kafka_values_and_options(spark):
     from flowmart.sources.streams import kafka_options
     df = spark.createDataFrame([("t1", "a", None)], "topic string, x string, y string")
@@ -89,72 +63,138 @@ def test_routed_files(spark, tmp):
     assert keyed.key == '{"id":"1"}' and json.loads(keyed.value) == {"id": "1", "v": "x"}
 
 
-def test_dim_app_with_config_stream(spark, tmp):
-    """Config from a snapshot and changes; feed data that comes first waits for it."""
-    t = Tables(spark, SF)
-    snap = fixtures.config_snapshot(spark)
-    feed = fixtures.topic_db(t)
-    ffolder, cfolder = os.path.join(tmp, "feed"), os.path.join(tmp, "config")
-    os.makedirs(ffolder)
-    os.makedirs(cfolder)
-    write_lines(ffolder, "f-0.json", [r.value for r in fixtures.topic_db_text(t).collect()], 0)
-    cbase, dbase = "file://" + os.path.join(tmp, "cfg"), "file://" + os.path.join(tmp, "dims")
-
-    def dim_app():
-        return jobs.run_dim_app(read_cdc(spark, path=ffolder), cbase, dbase, wait_s=0, available_now=True,
-                                checkpoint=os.path.join(tmp, "c2"))
-
-    q = dim_app()
-    with pytest.raises(Exception, match="no configuration"):
-        q.awaitTermination(TIMEOUT)
-
-    # after the snapshot: one table deleted, and two changes of a key in one millisecond
-    sku = [r for r in snap.collect() if r.source_table == "sku_info"][0]
-    user = [r for r in snap.collect() if r.source_table == "user_info"][0].asDict()
-    rows = [(tuple(sku), None, "d", 2), (None, tuple({**user, "sink_columns": "id"}.values()), "u", 3),
-            (None, tuple({**user, "sink_columns": "id,name"}.values()), "u", 3)]
+def config_lines(spark, rows):
     changes = spark.createDataFrame(rows, schemas.CONFIG_CHANGE)
-    text = [r.v for r in changes.select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("v")).collect()]
-    write_lines(cfolder, "c-0.json", text[:1], 0)
-    write_lines(cfolder, "c-1.json", text[1:], 1)
-    q = jobs.run_config_state(read_config_changes(spark, path=cfolder, max_files_per_trigger=1), cbase,
-                              snapshot=snap, tables_base=os.path.join(tmp, "tables"),
-                              available_now=True, checkpoint=os.path.join(tmp, "c1"))
+    return [r.v for r in changes.select(F.to_json(F.struct("before", "after", "op", "ts_ms")).alias("v")).collect()]
+
+
+def dim_app(spark, tmp, **kw):
+    q = jobs.run_dim_app(read_cdc(spark, path=os.path.join(tmp, "feed"), max_files_per_trigger=1),
+                         read_config_changes(spark, path=os.path.join(tmp, "config"), max_files_per_trigger=1),
+                         os.path.join(tmp, "dims"), buckets=4, available_now=True,
+                         checkpoint=os.path.join(tmp, "ckpt"), **kw)
     assert q.awaitTermination(TIMEOUT)
-    current = versions.read(spark, cbase)
-    got = {r.source_table: r.sink_columns for r in current.collect()}
-    assert sorted(got) == ["base_province", "base_trademark", "user_info"] and got["user_info"] == "id,name"
-    assert versions.committed(spark, cbase) == [0, 1, 2]
-    assert spark.read.parquet(os.path.join(tmp, "tables", "dim_base_province")).columns == ["id", "name", "region_id"]
 
-    assert dim_app().awaitTermination(TIMEOUT)  # the same query again: its changes are still there
-    want = dim.upsert_fold(dim.route(feed, current))
-    assert cells(sinks.read_cells(spark, dbase)) == cells(want)
+
+def folders(tmp):
+    for name in ("feed", "config"):
+        os.makedirs(os.path.join(tmp, name))
+    return os.path.join(tmp, "feed"), os.path.join(tmp, "config")
 
 
-def test_fact_routing_and_cart_jobs(spark, tmp):
+def dim_rows(spark, tmp, table):
+    df = sinks.read_wide(spark, os.path.join(tmp, "dims", table))
+    return sorted(tuple(r) for r in df.collect())
+
+
+def row(table, ts, kind="insert", **data):
+    return json.dumps({"database": "shop", "table": table, "type": kind, "ts": ts, "xid": ts, "xoffset": 0, "data": data})
+
+
+def rule(table, sink, columns, layer="dim", pk="id", kind="insert"):
+    return (table, kind, sink, layer, columns, pk, None)
+
+
+def test_dim_app_fills_the_tables_of_a_snapshot(spark, tmp):
+    """The whole feed over three batches, routed by the preloaded rules: the tables hold the fold."""
+    feed, conf = folders(tmp)
     t = Tables(spark, SF)
-    folder, cbase = os.path.join(tmp, "feed"), os.path.join(tmp, "cfg")
-    os.makedirs(folder)
-    write_lines(folder, "f-0.json", [r.value for r in fixtures.topic_db_text(t).collect()], 0)
-    versions.write(config.snapshot(fixtures.config_snapshot(spark), "dwd"), cbase, 0)
-    q = jobs.run_fact_routing(read_cdc(spark, path=folder), cbase, os.path.join(tmp, "facts"),
-                              available_now=True, checkpoint=os.path.join(tmp, "k1"))
+    lines = [r.value for r in fixtures.topic_db_text(t).collect()]
+    for i in range(3):
+        write_lines(feed, f"f-{i}.json", lines[i::3], i)
+    snap = fixtures.config_snapshot(spark)
+    dim_app(spark, tmp, snapshot=snap)
+    want = dim.upsert_fold(dim.route(fixtures.topic_db(t), config.snapshot(snap, "dim")))
+    for r in config.snapshot(snap, "dim").collect():
+        cells = want.where(F.col("sink_table") == r.sink_table)
+        columns = r.sink_columns.split(",")
+        assert sinks.read_wide(spark, os.path.join(tmp, "dims", r.sink_table)).columns == columns
+        full = cells.groupBy("pk").pivot("column", columns).agg(F.first("value")).select(*columns)
+        # the balance of a user changes in two batches: a later batch wins, as in the reference
+        same = [c for c in columns if c != "balance"]
+        got = sinks.read_wide(spark, os.path.join(tmp, "dims", r.sink_table))
+        assert sorted(map(repr, got.select(*[F.col(f"`{c}`") for c in same]).collect())) == sorted(
+            map(repr, full.select(*[F.col(f"`{c}`") for c in same]).collect()))
+
+
+def test_rules_before_among_and_after_the_data(spark, tmp):
+    """Three starts of one job: rules come first, with the rows, and after them."""
+    feed, conf = folders(tmp)
+    write_lines(conf, "c-0.json", config_lines(spark, [(None, rule("t", "dim_t", "id,a"), "c", 1000)]), 0)
+    dim_app(spark, tmp)  # a rule, no row: its table is there
+    assert dim_rows(spark, tmp, "dim_t") == []
+
+    write_lines(feed, "f-1.json", [row("t", 5, id="1", a="x", b="y"), row("u", 5, id="1", a="x")], 1)
+    dim_app(spark, tmp)  # before the data; u has no rule yet
+    assert dim_rows(spark, tmp, "dim_t") == [("1", "x")]
+
+    # among the data: rows up to second 9 by the old rule, then a wider one; the rule of u is late
+    write_lines(conf, "c-2.json", config_lines(spark, [
+        (rule("t", "dim_t", "id,a"), rule("t", "dim_t", "id,a,b"), "u", 10_000),
+        (None, rule("u", "dim_u", "id"), "c", 20_000)]), 2)
+    write_lines(feed, "f-2.json", [row("t", 9, id="2", a="x", b="no"), row("t", 10, id="3", a="x", b="yes"),
+                                   row("u", 19, id="2", a="x"), row("u", 20, id="3", a="x")], 2)
+    dim_app(spark, tmp)
+    assert dim_rows(spark, tmp, "dim_t") == [("1", "x", None), ("2", "x", None), ("3", "x", "yes")]
+    assert dim_rows(spark, tmp, "dim_u") == [("3",)]
+
+    # after the data: a deleted rule routes nothing more, whatever the row's time
+    write_lines(conf, "c-3.json", config_lines(spark, [(rule("t", "dim_t", "id,a,b"), None, "d", 30_000)]), 3)
+    dim_app(spark, tmp)
+    write_lines(feed, "f-4.json", [row("t", 5, id="4", a="x"), row("u", 5, id="4")], 4)
+    dim_app(spark, tmp)
+    assert [r[0] for r in dim_rows(spark, tmp, "dim_t")] == ["1", "2", "3"]
+    assert [r[0] for r in dim_rows(spark, tmp, "dim_u")] == ["3", "4"]
+
+
+def test_a_preloaded_rule_is_replaced_and_deleted(spark, tmp):
+    feed, conf = folders(tmp)
+    snap = spark.createDataFrame([rule("t", "dim_t", "id,a", pk=""), rule("g", "dim_g", "id"),
+                                  rule("f", "fact", "id", "dwd")], schemas.CONFIG)
+    write_lines(feed, "f-0.json", [row("t", 1, id="1", a="x", b="y"), row("g", 1, id="1"), row("f", 1, id="1"),
+                                   row("t", 1, "delete", id="9", a="x")], 0)
+    dim_app(spark, tmp, snapshot=snap)
+    assert dim_rows(spark, tmp, "dim_t") == [("1", "x")] and dim_rows(spark, tmp, "dim_g") == [("1",)]
+    # two changes of one millisecond apply in the order read
+    write_lines(conf, "c-1.json", config_lines(spark, [
+        (None, rule("t", "dim_t", "id"), "u", 2000), (None, rule("t", "dim_t", "id,b"), "u", 2000),
+        (rule("g", "dim_g", "id"), None, "d", 2000)]), 1)
+    write_lines(feed, "f-1.json", [row("t", 3, id="2", a="x", b="y"), row("g", 3, id="2")], 1)
+    dim_app(spark, tmp, snapshot=snap)
+    got = sinks.read_wide(spark, os.path.join(tmp, "dims", "dim_t")).select("id", "a", "b").collect()
+    assert sorted(map(tuple, got)) == [("1", "x", None), ("2", None, "y")]
+    assert dim_rows(spark, tmp, "dim_g") == [("1",)]
+
+
+def test_fact_routing_job(spark, tmp):
+    t = Tables(spark, SF)
+    feed, conf = folders(tmp)
+    write_lines(feed, "f-0.json", [r.value for r in fixtures.topic_db_text(t).collect()], 0)
+    snap = fixtures.config_snapshot(spark)
+    q = jobs.run_fact_routing(read_cdc(spark, path=feed), read_config_changes(spark, path=conf),
+                              os.path.join(tmp, "facts"), snapshot=snap, available_now=True,
+                              checkpoint=os.path.join(tmp, "k1"))
     assert q.awaitTermination(TIMEOUT)
-    feed = fixtures.topic_db(t)
-    want = dwd.to_topic_records(dwd.route(feed, config.snapshot(fixtures.config_snapshot(spark), "dwd")))
-    got = spark.read.parquet(os.path.join(tmp, "facts"))
+    want = dwd.to_topic_records(dwd.route(fixtures.topic_db(t), config.snapshot(snap, "dwd")))
 
     def records(df):  # keys come in the order of the text read
-        return sorted((r.topic, sorted(json.loads(r.value).items())) for r in df.collect())
+        return sorted((r.topic, r.ts, sorted(json.loads(r.value).items())) for r in df.collect())
 
-    assert records(got) == records(want)
-    q = jobs.run_cart_add(read_cdc(spark, path=folder), fixtures.base_dic(spark), os.path.join(tmp, "cart"),
-                          available_now=True, checkpoint=os.path.join(tmp, "k2"))
+    got = spark.read.parquet(os.path.join(tmp, "facts"))
+    assert records(got) == records(want) and got.select("record_id").distinct().count() == got.count()
+
+
+def test_records_written_again_are_read_once(spark, tmp):
+    """An at-least-once sink writes a batch twice, and part of one a third time."""
+    rows = [(f"{i:064}", 100 + i, "{}", "t") for i in range(20)]
+    folder = os.path.join(tmp, "topic")
+    for i, part in enumerate((rows[:10], rows[:10], rows[5:], rows[12:14])):
+        (spark.createDataFrame(part, "record_id string, ts bigint, value string, topic string").coalesce(1)
+         .write.mode("append").parquet(folder))
+    q = (read_records_once(spark, path=folder, max_files_per_trigger=1).writeStream.queryName("once").format("memory")
+         .option("checkpointLocation", os.path.join(tmp, "c")).trigger(availableNow=True).start())
     assert q.awaitTermination(TIMEOUT)
-    want = sinks.kafka_value(trade.cart_add(feed, fixtures.base_dic(spark)))
-    got = spark.read.parquet(os.path.join(tmp, "cart"))
-    assert sorted(r.value for r in got.collect()) == sorted(r.value for r in want.collect())
+    assert sorted(r.record_id for r in spark.table("once").collect()) == [r[0] for r in rows]
 
 
 def test_malformed_lines_are_not_lost(spark, tmp):
@@ -180,15 +220,15 @@ def test_insert_into_column_order(spark, tmp):
 
 
 def test_config_stream_startup_modes(spark, tmp):
-    """S5 keeps the snapshot rows ('r') then changes; S6 (latest) only changes."""
+    """S5 keeps the snapshot rows ('r') then changes; S6 (latest) only changes since the start."""
     folder = os.path.join(tmp, "cfgc")
     os.makedirs(folder)
-    lines = ['{"before":null,"after":{"source_table":"a","sink_type":"dim"},"op":"r","ts_ms":1}',
-             '{"before":null,"after":{"source_table":"b","sink_type":"dim"},"op":"c","ts_ms":2}']
-    write_lines(folder, "c.json", lines, 0)
-    for startup, want in (("initial", ["a", "b"]), ("latest", ["b"])):
-        name = f"cfg_{startup}"
-        q = (read_config_changes(spark, startup=startup, path=folder).select("after.source_table")
+    line = '{"before":null,"after":{"source_table":"%s","sink_type":"dim"},"op":"%s","ts_ms":%d}'
+    write_lines(folder, "c.json", [line % ("a", "r", 1), line % ("old", "c", 2), line % ("b", "c", 1000)], 0)
+    for startup, kw, want in (("initial", {}, ["a", "b", "old"]), ("latest", {"since_ms": 1000}, ["b"]),
+                              ("latest", {}, [])):
+        name = f"cfg_{startup}{len(kw)}"
+        q = (read_config_changes(spark, startup=startup, path=folder, **kw).select("after.source_table")
              .writeStream.queryName(name).format("memory")
              .option("checkpointLocation", os.path.join(tmp, name)).trigger(availableNow=True).start())
         assert q.awaitTermination(TIMEOUT)
