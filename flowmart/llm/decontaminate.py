@@ -31,7 +31,7 @@ from flowmart.llm import common as C
 WINDOW = 10
 CHUNK = 2 << 20
 BLOCK_BYTES = 4 << 20
-_BITS = 21  # word ids in packed keys: three to a key; a block has fewer distinct words
+_BITS = 21
 
 
 class TestBlock:
@@ -47,6 +47,8 @@ class TestBlock:
             counts.append(np.diff(first))
         words, counts = np.concatenate(parts), np.concatenate(counts)
         self.vocab, word = np.unique(words, return_inverse=True)
+        # word ids in packed keys: three to a key, or two if there are too many for that
+        self.packed, self.bits = (3, _BITS) if len(self.vocab) < (1 << _BITS) - 1 else (2, 31)
         self.longest = int(counts.max(initial=0))
         # one end mark after each item, and some spare ones to read beyond the last
         item = np.repeat(np.arange(len(counts)), counts)
@@ -73,8 +75,11 @@ def lowered_words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     return C.span_hashes(low, s, e), first
 
 
-def _pack(seq: np.ndarray, at: np.ndarray) -> np.ndarray:
-    return (((seq[at] + 1) << (2 * _BITS)) | ((seq[at + 1] + 1) << _BITS)) | (seq[at + 2] + 1)
+def _pack(seq: np.ndarray, at: np.ndarray, block: TestBlock) -> np.ndarray:
+    key = seq[at] + 1
+    for i in range(1, block.packed):
+        key = (key << block.bits) | (seq[at + i] + 1)
+    return key
 
 
 class Shard:
@@ -89,21 +94,21 @@ class Shard:
         self.word[at] = np.arange(len(words))
         self.row = row
         at = at[self.seq[at] >= 0]
-        key = _pack(self.seq, at)
+        key = _pack(self.seq, at, block)
         order = np.argsort(key)
         self.sa, self.key = at[order], key[order]
-        self._refine(block.longest)
+        self._refine(block)
 
-    def _refine(self, depth: int) -> None:
+    def _refine(self, block: TestBlock) -> None:
         """Prefix doubling: sort suffixes that agree so far by the rank of what follows."""
         new = np.ones(len(self.sa), dtype=bool)
         new[1:] = self.key[1:] != self.key[:-1]
         group = np.cumsum(new)
-        rank = np.zeros(len(self.seq) + depth + 8, dtype=np.int64)
+        rank = np.zeros(len(self.seq) + block.longest + 8, dtype=np.int64)
         rank[self.sa] = group
-        done = (self.key & ((1 << _BITS) - 1)) == 0  # ends within the packed words
-        k = 3
-        while k < depth:
+        done = (self.key & ((1 << block.bits) - 1)) == 0  # ends within the packed words
+        k = block.packed
+        while k < block.longest:
             size = np.bincount(group)
             tied = np.flatnonzero((size[group] > 1) & ~done)
             if not len(tied):
@@ -141,14 +146,13 @@ class Shard:
         blo, bhi = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
         act = np.arange(n)
         lo, hi = np.zeros(n, dtype=np.int64), np.full(n, len(self.sa), dtype=np.int64)
-        # packed start: only for suffixes of three words or more
-        deep = block.left >= 3
-        key = _pack(block.seq, block.suffix)
+        # packed start: only for suffixes of as many words as a key holds, or more
+        key = _pack(block.seq, block.suffix, block)
         plo, phi = np.searchsorted(self.key, key), np.searchsorted(self.key, key, side="right")
-        skip = deep & (block.depth >= 3)
+        skip = (block.left >= block.packed) & (block.depth >= block.packed)
         lo[skip], hi[skip] = plo[skip], phi[skip]
-        best[skip & (phi > plo)] = 3
-        d = np.where(skip, 3, 0)
+        best[skip & (phi > plo)] = block.packed
+        d = np.where(skip, block.packed, 0)
         alive = hi > lo
         act, lo, hi, d = act[alive], lo[alive], hi[alive], d[alive]
         blo[act], bhi[act] = lo, hi
@@ -294,7 +298,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW,
 def stage(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pipeline stage: the rows without any hit, unchanged.  A row is known by a hash of its
     doc_id and text, as ids may be null or shared."""
+    bad = f"{C.prefix(docs)}bad"
     key = C.row_key([F.col("doc_id").cast("bigint"), F.col("text").cast("string")])
-    bad = (contamination(docs.select(key.alias("doc_id"), "text"), benchmark).where(F.size("hits") > 0)
-           .select(F.col("doc_id").alias("__bad")).distinct())
-    return docs.join(bad, key == F.col("__bad"), "left_anti")
+    gone = (contamination(docs.select(key.alias("doc_id"), "text"), benchmark).where(F.size("hits") > 0)
+            .select(F.col("doc_id").alias(bad)).distinct())
+    return docs.join(gone, key == F.col(bad), "left_anti")

@@ -7,9 +7,17 @@ scatter is fitted, and a document whose squared Mahalanobis distance is beyond a
 is rejected.
 
 The MCD runs as concentration steps on all rows: distances under the present estimate,
-the ``support`` quantile of the distances of each group, then moments of the rows within
-it.  Both are partial aggregates, so a source with a third of all rows is combined before
-its shuffle, and only per-group moments reach the numpy step that inverts a small matrix.
+the ``SUPPORT`` quantile of the distances of each group, then moments of the rows within
+it.  Quantiles come from counts of fine steps of the values, moments from sums of whole numbers
+(vectors are held in units of 2^-14).  Both are partial aggregates, so a source with a third of
+all rows is combined before its shuffle, and both are exact, so a verdict does not hang on how
+rows are partitioned.  Only per-group moments reach the numpy step that inverts a small matrix.
+What is known of each group is joined to its rows by broadcast while there are at most
+``MANY_POOLS`` groups, and by a shuffle beyond.
+
+The cut follows from each group's own distances: Tukey's fence, 1.5 interquartile ranges above
+the third quartile, on the log of the distance; and never below the distance that one in a
+thousand of normal vectors exceeds.
 
 Defined cases: a null text counts as empty (all statistics 0, base_failed, as n_words < 10);
 null lang or source form groups of their own; groups with fewer than ``min_rows`` rows that
@@ -44,16 +52,29 @@ PRIOR_WORDS = 60.0
 PRIOR = {"chars": 6.0, "symbols": 0.0, "upper": 0.25, "marks": 0.25}
 #: least standard deviation of each feature: rows of a group may all be alike in it
 FLOOR = [0.08, 0.06, 0.08, 0.15, 0.15, 0.12, 0.06]
-SUPPORT = 0.75
+#: units of the vectors and, coarser, of their medians; steps of a distance that is doubled
+UNIT = 1 << 14
+COARSE = 16
+PER_OCTAVE = 64
+#: percent of a group's rows that the estimate rests on, and concentration steps
+SUPPORT = 75
 STEPS = 4
 MIN_ROWS = 100
-#: squared distance, in units of its median over the chi-square median, beyond which to reject
-CUT = 160.0
-CHI2_MEDIAN = FEATURES * (1 - 2 / (9 * FEATURES)) ** 3  # Wilson-Hilferty
+MANY_POOLS = 10_000
+#: Tukey's factor of the interquartile range
+FENCE = 1.5
+
+
+def _chi2(z: float) -> float:
+    """The chi-square quantile of a normal quantile (Wilson-Hilferty)."""
+    return FEATURES * (1 - 2 / (9 * FEATURES) + z * (2 / (9 * FEATURES)) ** 0.5) ** 3
+
+
+CHI2_MEDIAN, CHI2_999 = _chi2(0.0), _chi2(3.0902)
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 _SCHEMA = ("doc_id bigint, lang string, source string, n_words bigint, word_chars bigint, "
-           "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, x array<double>")
+           "n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, x array<int>")
 
 
 def repeated(key: np.ndarray, row: np.ndarray, first: bool) -> np.ndarray:
@@ -136,12 +157,12 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("lang"), part.column("source"),
                  *(pa.array(st[k], type=pa.int64()) for k in BASE),
-                 C.lists(x.ravel(), bounds, pa.float64())],
+                 C.lists(np.rint(x.ravel() * UNIT).astype(np.int32), bounds, pa.int32())],
                 names=["doc_id", "lang", "source", *BASE, "x"])
 
 
 def statistics(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the base statistics and the statistic vector ``x``."""
+    """doc_id, lang, source, the base statistics and the statistic vector ``x`` in units of 2^-14."""
     cols = [F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"),
             F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")]
     return docs.select(*cols).mapInArrow(_stats, _SCHEMA)
@@ -170,33 +191,58 @@ def _pools(stats: DataFrame, min_rows: int) -> DataFrame:
 
 def _shape(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Moments of a pool -> location and inverse scatter (with the least deviations)."""
-    floor = np.diag(np.square(FLOOR))
-    upper = np.triu_indices(FEATURES)
     for pdf in pdfs:
-        rows = []
-        for pool, n, m1, m2 in zip(pdf["pool"], pdf["n"], pdf["m1"], pdf["m2"]):
-            mean = np.asarray(m1, dtype=float) / n
-            cov = np.zeros((FEATURES, FEATURES))
-            cov[upper] = np.asarray(m2, dtype=float) / n
-            cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
-            rows.append((pool, mean, np.linalg.inv(cov + floor).ravel()))
+        rows = [(pool, *shape_of(n, m1, m2)) for pool, n, m1, m2 in zip(pdf["pool"], pdf["n"], pdf["m1"], pdf["m2"])]
         yield pd.DataFrame(rows, columns=["pool", "mean", "inv"])
 
 
+def shape_of(n: int, m1, m2) -> tuple[np.ndarray, np.ndarray]:
+    """Location and inverse scatter from whole-number sums of the vectors and of their products (the
+    upper triangle, row by row)."""
+    mean = np.asarray(m1, dtype=float) / n / UNIT
+    cov = np.zeros((FEATURES, FEATURES))
+    cov[np.triu_indices(FEATURES)] = np.asarray(m2, dtype=float) / n / UNIT ** 2
+    cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
+    return mean, np.linalg.inv(cov + np.diag(np.square(FLOOR))).ravel()
+
+
 def _moments(rows: DataFrame) -> DataFrame:
-    x = [F.col("x")[i] for i in range(FEATURES)]
+    x = [F.col("x")[i].cast("bigint") for i in range(FEATURES)]
     pairs = [(i, j) for i in range(FEATURES) for j in range(i, FEATURES)]
     return rows.groupBy("pool").agg(
-        F.count("*").cast("double").alias("n"),
-        F.array(*(F.sum(v) for v in x)).alias("m1"),
+        F.count("*").alias("n"), F.array(*(F.sum(v) for v in x)).alias("m1"),
         F.array(*(F.sum(x[i] * x[j]) for i, j in pairs)).alias("m2"))
 
 
+def _quantiles(values: DataFrame, *percent: int) -> DataFrame:
+    """pool, i, v (whole numbers) -> pool, i and ``q0``, ``q1`` ...: the least value that so many
+    percent of the group's values do not exceed."""
+    counts = values.groupBy("pool", "i", "v").agg(F.count("*").alias("n"))
+    group = Window.partitionBy("pool", "i")
+    upto = F.sum("n").over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    at = counts.withColumns({"upto": upto, "all": F.sum("n").over(group)})
+    return at.groupBy("pool", "i").agg(*(
+        F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("v"))).alias(f"q{k}")
+        for k, p in enumerate(percent)))
+
+
+def _by_feature(values: DataFrame) -> DataFrame:
+    """The medians of the features of each pool, as one array of values (the middle of their step)."""
+    q = _quantiles(values, 50).withColumn("q", (F.col("q0") * COARSE + COARSE / 2) / F.lit(float(UNIT)))
+    return q.groupBy("pool").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"])
+                                 .alias("at"))
+
+
+def step_of(d2: Column) -> Column:
+    """The step of a distance, ``PER_OCTAVE`` of them from one value to its double."""
+    return F.floor(F.log2(F.greatest(d2, F.lit(1e-9))) * PER_OCTAVE)
+
+
 def _distance(rows: DataFrame, shape: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance under the row's pool (null: no shape).  Keeps
     every row."""
     p = FEATURES
-    d = [F.col("x")[i] - F.col("mean")[i] for i in range(p)]
+    d = [F.col("x")[i] / F.lit(float(UNIT)) - F.col("mean")[i] for i in range(p)]
     terms = [d[i] * d[i] * F.col("inv")[i * p + i] for i in range(p)]
     terms += [2.0 * d[i] * d[j] * F.col("inv")[i * p + j] for i in range(p) for j in range(i + 1, p)]
     total = terms[0]
@@ -205,53 +251,65 @@ def _distance(rows: DataFrame, shape: DataFrame) -> DataFrame:
     return rows.join(shape, "pool", "left").withColumn("d2", total).drop("mean", "inv")
 
 
-def outliers(docs: DataFrame, support: float = SUPPORT, steps: int = STEPS,
-             min_rows: int = MIN_ROWS, cut: float = CUT) -> DataFrame:
-    """All rows with their statistics, base verdict, robust distance and final ``kept``.
+def outliers(docs: DataFrame, steps: int = STEPS, min_rows: int = MIN_ROWS, fence: float = FENCE) -> DataFrame:
+    """All rows with their statistics, base verdict, final ``kept``, and ``d2`` and ``cut``: the
+    robust distance and where its pool's cut lies, both over the pool's own scale.
 
     The first estimate of a pool is its coordinatewise median with scaled median absolute
-    deviations; then ``steps`` concentration steps.  Distances are divided by their median over
-    the chi-square median, so the cut means the same in every pool.
+    deviations; then ``steps`` concentration steps.  The scale of a pool is its median distance over
+    the chi-square median.
     """
     stats = C.written(statistics(docs), "op8-stats")
-    pools = _pools(stats, min_rows)
-    rows = stats.join(pools, F.col("lang").eqNullSafe(F.col("g_lang"))
+    pools = C.written(_pools(stats, min_rows), "op8-pools")
+    few = pools.select("pool").distinct().count() <= MANY_POOLS
+    of_pool = F.broadcast if few else lambda t: t
+    rows = stats.join(F.broadcast(pools) if pools.count() <= MANY_POOLS else pools,
+                      F.col("lang").eqNullSafe(F.col("g_lang"))
                       & F.col("source").eqNullSafe(F.col("g_source")), "left").drop("g_lang", "g_source")
     rows = C.written(rows, "op8-pooled")
+    C.drop(stats)
     fit = rows.where(F.col("pool").isNotNull() & ~base_failed()).select("pool", "x")
 
-    medians = fit.groupBy("pool").agg(
-        F.array(*(F.percentile_approx(F.col("x")[i], 0.5) for i in range(FEATURES))).alias("mean"))
-    spread = fit.join(medians, "pool").groupBy("pool").agg(F.array(*(
-        F.percentile_approx(F.abs(F.col("x")[i] - F.col("mean")[i]), 0.5)
-        for i in range(FEATURES))).alias("mad"))
-    flat = F.array(*(1.0 / (F.pow(F.col("mad")[i] * 1.4826, 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0)
+    coarse = lambda v: F.floor(v / COARSE)
+    features = fit.select("pool", F.posexplode("x").alias("i", "x"))
+    medians = C.written(_by_feature(features.select("pool", "i", coarse(F.col("x")).alias("v")))
+                        .withColumnRenamed("at", "mean"), "op8-shape")
+    away = F.abs(F.col("x") - F.col("mean")[F.col("i")] * UNIT)
+    mad = _by_feature(features.join(of_pool(medians), "pool").select("pool", "i", coarse(away).alias("v")))
+    flat = F.array(*(1.0 / (F.pow(F.col("at")[i] * 1.4826, 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0)
                      for i in range(FEATURES) for j in range(FEATURES)))
-    shape = C.written(medians.join(spread, "pool").select("pool", "mean", flat.alias("inv")), "op8-shape")
+    shape = C.written(medians.join(mad, "pool").select("pool", "mean", flat.alias("inv")), "op8-shape")
+    step = step_of(F.col("d2"))
+    value = lambda q: F.pow(F.lit(2.0), (F.col(q) + 0.5) / PER_OCTAVE)
     for _ in range(steps):
-        near = _distance(fit, shape)
-        limit = near.groupBy("pool").agg(F.percentile_approx("d2", support).alias("limit"))
-        core = near.join(limit, "pool").where(F.col("d2") <= F.col("limit"))
+        near = _distance(fit, of_pool(shape)).withColumn("v", step)
+        limit = _quantiles(near.select("pool", F.lit(0).alias("i"), "v"), SUPPORT).select("pool", "q0")
+        core = near.join(of_pool(limit), "pool").where("v <= q0")
         shape = C.written(_moments(core).mapInPandas(
             _shape, "pool string, mean array<double>, inv array<double>"), "op8-shape")
-    scale = _distance(fit, shape).groupBy("pool").agg(
-        F.greatest(F.percentile_approx("d2", 0.5) / CHI2_MEDIAN, F.lit(0.05)).alias("scale"))
-    p = C.written(shape.join(scale, "pool"), "op8-shape")
-    d2 = _distance(rows.where(F.col("pool").isNotNull()), p).withColumn("d2", F.col("d2") / F.col("scale"))
-    loose = rows.where(F.col("pool").isNull()).withColumns({"scale": F.lit(None).cast("double"),
-                                                           "d2": F.lit(None).cast("double")})
-    both = d2.select("doc_id", *BASE, "d2").unionByName(loose.select("doc_id", *BASE, "d2"))
+    last = _distance(fit, of_pool(shape)).select("pool", F.lit(0).alias("i"), step.alias("v"))
+    scale = F.greatest(value("q1") / CHI2_MEDIAN, F.lit(0.05))
+    cuts = _quantiles(last, 25, 50, 75).select(
+        "pool", scale.alias("scale"),
+        F.greatest(F.lit(CHI2_999), value("q2") * F.pow(value("q2") / value("q0"), F.lit(fence)) / scale).alias("cut"))
+    p = C.written(shape.join(cuts, "pool"), "op8-shape")
+    judged = (_distance(rows.where(F.col("pool").isNotNull()), of_pool(p))
+              .withColumn("d2", F.col("d2") / F.col("scale")))
+    none = F.lit(None).cast("double")
+    loose = rows.where(F.col("pool").isNull()).withColumns({"d2": none, "cut": none})
+    both = judged.select("doc_id", *BASE, "d2", "cut").unionByName(loose.select("doc_id", *BASE, "d2", "cut"))
+    inside = F.coalesce(F.col("d2") <= F.col("cut"), F.lit(True))
     return both.select("doc_id", *BASE, base_failed().alias("base_failed"),
-                       (~base_failed() & (F.coalesce(F.col("d2"), F.lit(0.0)) <= cut)).alias("kept"),
-                       "d2")
+                       (~base_failed() & inside).alias("kept"), "d2", "cut")
 
 
 def stage(docs: DataFrame) -> DataFrame:
     """Pipeline stage: the rows that neither the base rules nor the method rejects, unchanged.
     A row is known by a hash of all that it is judged by and its doc_id, as ids may be null or
     shared."""
+    bad = f"{C.prefix(docs)}bad"
     key = C.row_key([F.col("doc_id").cast("bigint"),
                      *(F.col(c).cast("string") for c in ("text", "lang", "source"))])
     judged = outliers(docs.select(key.alias("doc_id"), "text", "lang", "source"))
-    bad = judged.where(~F.col("kept")).select(F.col("doc_id").alias("__bad")).distinct()
-    return docs.join(bad, key == F.col("__bad"), "left_anti")
+    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias(bad)).distinct()
+    return docs.join(gone, key == F.col(bad), "left_anti")

@@ -70,7 +70,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Operator 8 over all documents."""
-    return quality_rules.outliers(C.documents(spark, sf_dir)).drop("d2")
+    return quality_rules.outliers(C.documents(spark, sf_dir)).drop("d2", "cut")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

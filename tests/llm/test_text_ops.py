@@ -1,5 +1,6 @@
 """Operators 2, 6, 7, 8 and 10 against brute force on awkward documents."""
 
+import math
 import random
 
 import cases as K
@@ -8,7 +9,8 @@ import pyarrow as pa
 import pytest
 
 from flowmart.llm import common as C
-from flowmart.llm import decontaminate, pii, quality_rules, secret_scan, substring_dedup
+from flowmart.llm import (decontaminate, mixing, near_dedup, pii, quality_rules, secret_scan, sharding,
+                          substring_dedup)
 
 
 @pytest.fixture(scope="module")
@@ -157,6 +159,106 @@ def test_quality_rule_pools_tell_null_sources_from_languages(spark):
     assert pool["a"] == pool["b"] != pool[None]
 
 
+def _quantile(values, percent):
+    """The least value that ``percent`` % of the values do not exceed."""
+    v = sorted(values)
+    return v[-(-len(v) * percent // 100) - 1]
+
+
+def _mcd(xs):
+    """Verdict of each vector of one pool (whole units), by the rules as they are written."""
+    q, p, unit = quality_rules, quality_rules.FEATURES, quality_rules.UNIT
+    x = np.array(xs) / unit
+    mid = lambda v: (_quantile([math.floor(i / q.COARSE) for i in v], 50) + 0.5) * q.COARSE / unit
+    mean = np.array([mid([v[i] for v in xs]) for i in range(p)])
+    mad = np.array([mid([abs(v[i] - mean[i] * unit) for v in xs]) for i in range(p)])
+    inv = np.diag(1 / ((1.4826 * mad) ** 2 + np.square(q.FLOOR)))
+
+    def distance():
+        return np.einsum("ij,jk,ik->i", x - mean, inv, x - mean)
+
+    def steps():
+        return np.floor(np.log2(np.maximum(distance(), 1e-9)) * q.PER_OCTAVE).astype(int)
+
+    for _ in range(q.STEPS):
+        b = steps()
+        core = x[b <= _quantile(b.tolist(), q.SUPPORT)]
+        mean = core.mean(axis=0)
+        inv = np.linalg.inv(np.cov(core.T, bias=True) + np.diag(np.square(q.FLOOR)))
+    q1, q2, q3 = (2 ** ((_quantile(steps().tolist(), c) + 0.5) / q.PER_OCTAVE) for c in (25, 50, 75))
+    scale = max(q2 / q.CHI2_MEDIAN, 0.05)
+    return distance() / scale, max(q.CHI2_999, q3 * (q3 / q1) ** q.FENCE / scale)
+
+
+def _prose(rng, n, strange=0.08):
+    rows = []
+    for i in range(n):
+        t = K.words(None, rng.randrange(10, 200), rng, 3000)
+        if rng.random() < strange:
+            t = t.replace("w", rng.choice(["W", "##", "w!", "w w "]))
+        rows.append((i, t + ".", rng.choice(["en", "de"]), rng.choice(["s1", "s2", None])))
+    return rows
+
+
+def test_verdicts_equal_mcd_in_numpy(spark):
+    rows = _prose(random.Random(5), 1500)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    stats = {r.doc_id: r.x for r in quality_rules.statistics(df).collect()}
+    got = {r.doc_id: r for r in quality_rules.outliers(df.repartition(7)).collect()}
+    pools = {}
+    for i, _, lang, source in rows:
+        if not got[i].base_failed:
+            pools.setdefault((lang, source), []).append(i)
+    assert len(pools) == 6 and min(map(len, pools.values())) >= quality_rules.MIN_ROWS
+    rejected = 0
+    for ids in pools.values():
+        d2, cut = _mcd([list(stats[i]) for i in ids])
+        for i, d in zip(ids, d2):
+            assert got[i].d2 == pytest.approx(d, rel=1e-6) and got[i].cut == pytest.approx(cut, rel=1e-6)
+            assert got[i].kept == (d <= cut)
+            rejected += d > cut
+    assert 20 < rejected < 300
+
+
+def test_verdicts_do_not_hang_on_partitions(spark):
+    df = spark.createDataFrame(_prose(random.Random(6), 800), "doc_id bigint, text string, lang string, source string")
+    one, two = (sorted((r.doc_id, r.kept, r.d2, r.cut) for r in quality_rules.outliers(d).collect() if r.d2 is not None)
+                for d in (df.coalesce(1), df.repartition(9)))
+    assert one == two
+
+
+def test_pools_join_without_broadcast_beyond_the_bound(spark, monkeypatch):
+    df = spark.createDataFrame(_prose(random.Random(7), 700), "doc_id bigint, text string, lang string, source string")
+    key = lambda: sorted((r.doc_id, r.kept) for r in quality_rules.outliers(df).collect())
+    want = key()
+    monkeypatch.setattr(quality_rules, "MANY_POOLS", 0)
+    assert key() == want
+
+
+NAMES = ["__bad", "__gone", "__again", "__id", "__t", "__n", "__size", "__k", "__i", "__r", "__run", "__c", "__key", "__"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rng = random.Random(16)
+    rows = [(i, K.words(None, 60, rng, 9000), "en", "a", 300) for i in range(12)]
+    rows += [(12, rows[0][1], "en", "a", 300), (13, rows[1][1] + " tail", "en", "a", 300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df = df.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in NAMES])
+
+    def ids(out):
+        got = out.collect()
+        assert all(r[n] == f"{n}{r.doc_id}" for r in got for n in NAMES)
+        return sorted(r.doc_id for r in got)
+
+    bench = spark.createDataFrame([(1, rows[1][1])], "item_id bigint, text string")
+    assert ids(quality_rules.stage(df)) == list(range(14))
+    assert ids(decontaminate.stage(df, bench)) == [i for i in range(13) if i != 1]
+    assert len(ids(near_dedup.stage(df))) == 12
+    mix = mixing.mixed(df)
+    assert mix.columns == df.columns and ids(mix)
+    assert ids(sharding.shard(df, 3)) == list(range(14))
+
+
 ITEMS = [(1, "two words"), (2, None), (3, ""), (None, "été NAÏVE 中文 text"), (4, "w1"), (4, "w1")]
 
 
@@ -204,7 +306,9 @@ def test_stages_tell_rows_with_null_or_shared_ids_apart(spark):
         ((r[0], r[1]) for r in rows if r[1] != hit), key=repr)
 
 
-def test_suffix_search_at_random():
+@pytest.mark.parametrize("bits", [21, 2])  # with 2 bits most blocks need keys of two words
+def test_suffix_search_at_random(monkeypatch, bits):
+    monkeypatch.setattr(decontaminate, "_BITS", bits)
     rng = random.Random(3)
     for _ in range(60):
         vocab = [chr(97 + i) for i in range(rng.randint(1, 4))]
