@@ -8,6 +8,7 @@ single document.
 
 from __future__ import annotations
 
+import gc
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -199,6 +200,13 @@ def drop(df: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def tidy(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files and broadcasts that no plan reads any more: it
+    learns of them when the driver collects its garbage, which a job of many small steps rarely does."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def prefix(*tables: DataFrame) -> str:
     """Underscores that no column of the tables begins with: names made of it clash with none."""
     p = "__"

@@ -160,6 +160,7 @@ def takings(docs: DataFrame, block: int = BLOCK_WORDS, kind: str = "golden") ->
     of_use = lambda c: F.array(*(F.max(F.when(F.col("use") == e, F.col(c))) for e in range(int(MOST))))
     uses = schedule(src, block, kind).groupBy("src", "block").agg(
         of_use("words").alias("uses"), of_use("slot").alias("at"))
+    C.tidy(docs.sparkSession)
     flat = laid_out(narrow, src)
     blocks = F.sequence(F.floor(F.col("start") / block),
                         F.floor((F.col("start") + F.col("__size") - 1) / block))

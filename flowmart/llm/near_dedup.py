@@ -164,11 +164,11 @@ def _marked(edges: DataFrame) -> tuple[DataFrame, tuple]:
 
 def components(edges: DataFrame) -> DataFrame:
     """node, comp (the least node reachable) of every node of an edge table (u, v), by alternating
-    large-star and small-star steps, two of each at a time, until nothing changes."""
+    large-star and small-star steps, until nothing changes."""
     e, mark = _marked(edges.where("u <> v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     while mark[0]:
-        nxt, new = _marked(_star(_star(e)))
+        nxt, new = _marked(_star(e))
         C.drop(e)
         e, same, mark = nxt, new == mark, new
         if same:  # the same edges: stars around least nodes
@@ -221,18 +221,23 @@ def classes(signed: DataFrame, docs: DataFrame, k: int, percent: int) -> tuple[D
             sets.select(F.col("node").alias("v"), F.col("hashes").alias("y")), "v")
         return out.mapInArrow(_confirm(percent), ", ".join(f"{c} bigint" for c in out.columns if c not in "xy"))
 
+    C.tidy(docs.sparkSession)
     first = components(confirmed(members.where("node <> u").select("u", F.col("node").alias("v"), "n", "m").distinct()))
 
+    C.tidy(docs.sparkSession)
+
     # members of buckets that hold several components
     at = (members.select("x", "node", "n").join(first, "node", "left")
           .withColumn("comp", F.coalesce("comp", "node")))
     open_ = at.groupBy("x").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2")
     rest = C.written(at.join(open_.select("x"), "x", "left_semi").select("node", "n", "comp").distinct(), "op4-rest")
     more, used = prefix_pairs(rest, sets, percent)
+    C.tidy(docs.sparkSession)
     joined = confirmed(more).select(F.col("u_comp").alias("u"), F.col("v_comp").alias("v"))
     second = components(joined)
     for t in (nodes, keys, members, sets, rest, *used):
         C.drop(t)
+    C.tidy(docs.sparkSession)
     return first, second
 
 

@@ -214,23 +214,16 @@ def _moments(rows: DataFrame) -> DataFrame:
         F.array(*(F.sum(x[i] * x[j]) for i, j in pairs)).alias("m2"))
 
 
-def _quantiles(values: DataFrame, *percent: int) -> DataFrame:
-    """pool, i, v (whole numbers) -> pool, i and ``q0``, ``q1`` ...: the least value that so many
-    percent of the group's values do not exceed."""
-    counts = values.groupBy("pool", "i", "v").agg(F.count("*").alias("n"))
-    group = Window.partitionBy("pool", "i")
-    upto = F.sum("n").over(group.orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    at = counts.withColumns({"upto": upto, "all": F.sum("n").over(group)})
-    return at.groupBy("pool", "i").agg(*(
-        F.min(F.when(F.col("upto") * 100 >= F.col("all") * p, F.col("v"))).alias(f"q{k}")
-        for k, p in enumerate(percent)))
+def _quantile(value: str, percent: int) -> Column:
+    """The least of whole-number values that so many percent of the group's do not exceed: exact, from
+    counts of the distinct values, which are combined before the shuffle."""
+    return F.expr(f"percentile_disc({percent / 100}) WITHIN GROUP (ORDER BY {value})")
 
 
-def _by_feature(values: DataFrame) -> DataFrame:
-    """The medians of the features of each pool, as one array of values (the middle of their step)."""
-    q = _quantiles(values, 50).withColumn("q", (F.col("q0") * COARSE + COARSE / 2) / F.lit(float(UNIT)))
-    return q.groupBy("pool").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "q"))), lambda s: s["q"])
-                                 .alias("at"))
+def _medians(values: list[str]) -> Column:
+    """The medians of the features, from their values in units, to the middle of a coarse step."""
+    return F.array(*((_quantile(f"floor({v} / {COARSE})", 50) * COARSE + COARSE / 2) / F.lit(float(UNIT))
+                     for v in values))
 
 
 def step_of(d2: Column) -> Column:
@@ -268,30 +261,30 @@ def outliers(docs: DataFrame, steps: int = STEPS, min_rows: int = MIN_ROWS, fenc
                       & F.col("source").eqNullSafe(F.col("g_source")), "left").drop("g_lang", "g_source")
     rows = C.written(rows, "op8-pooled")
     C.drop(stats)
+    C.tidy(docs.sparkSession)
     fit = rows.where(F.col("pool").isNotNull() & ~base_failed()).select("pool", "x")
 
-    coarse = lambda v: F.floor(v / COARSE)
-    features = fit.select("pool", F.posexplode("x").alias("i", "x"))
-    medians = C.written(_by_feature(features.select("pool", "i", coarse(F.col("x")).alias("v")))
-                        .withColumnRenamed("at", "mean"), "op8-shape")
-    away = F.abs(F.col("x") - F.col("mean")[F.col("i")] * UNIT)
-    mad = _by_feature(features.join(of_pool(medians), "pool").select("pool", "i", coarse(away).alias("v")))
+    every = range(FEATURES)
+    medians = C.written(fit.groupBy("pool").agg(_medians([f"x[{i}]" for i in every]).alias("mean")), "op8-shape")
+    mad = fit.join(of_pool(medians), "pool").groupBy("pool").agg(
+        _medians([f"abs(x[{i}] - mean[{i}] * {UNIT})" for i in every]).alias("at"))
     flat = F.array(*(1.0 / (F.pow(F.col("at")[i] * 1.4826, 2) + FLOOR[i] ** 2) if i == j else F.lit(0.0)
-                     for i in range(FEATURES) for j in range(FEATURES)))
+                     for i in every for j in every))
     shape = C.written(medians.join(mad, "pool").select("pool", "mean", flat.alias("inv")), "op8-shape")
     step = step_of(F.col("d2"))
-    value = lambda q: F.pow(F.lit(2.0), (F.col(q) + 0.5) / PER_OCTAVE)
     for _ in range(steps):
         near = _distance(fit, of_pool(shape)).withColumn("v", step)
-        limit = _quantiles(near.select("pool", F.lit(0).alias("i"), "v"), SUPPORT).select("pool", "q0")
-        core = near.join(of_pool(limit), "pool").where("v <= q0")
+        limit = near.groupBy("pool").agg(_quantile("v", SUPPORT).alias("limit"))
+        core = near.join(of_pool(limit), "pool").where("v <= limit")
         shape = C.written(_moments(core).mapInPandas(
             _shape, "pool string, mean array<double>, inv array<double>"), "op8-shape")
-    last = _distance(fit, of_pool(shape)).select("pool", F.lit(0).alias("i"), step.alias("v"))
-    scale = F.greatest(value("q1") / CHI2_MEDIAN, F.lit(0.05))
-    cuts = _quantiles(last, 25, 50, 75).select(
-        "pool", scale.alias("scale"),
-        F.greatest(F.lit(CHI2_999), value("q2") * F.pow(value("q2") / value("q0"), F.lit(fence)) / scale).alias("cut"))
+    C.tidy(docs.sparkSession)
+    quarter = lambda p: F.pow(F.lit(2.0), (_quantile("v", p) + 0.5) / PER_OCTAVE)
+    cuts = (_distance(fit, of_pool(shape)).withColumn("v", step).groupBy("pool")
+            .agg(*(quarter(p).alias(f"q{p}") for p in (25, 50, 75)))
+            .withColumn("scale", F.greatest(F.col("q50") / CHI2_MEDIAN, F.lit(0.05)))
+            .select("pool", "scale", F.greatest(F.lit(CHI2_999), F.col("q75") * F.pow(
+                F.col("q75") / F.col("q25"), F.lit(fence)) / F.col("scale")).alias("cut")))
     p = C.written(shape.join(cuts, "pool"), "op8-shape")
     judged = (_distance(rows.where(F.col("pool").isNotNull()), of_pool(p))
               .withColumn("d2", F.col("d2") / F.col("scale")))
