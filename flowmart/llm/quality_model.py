@@ -182,7 +182,7 @@ def _featurize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """grade and text of at most ``sample`` rated documents."""
+    """grade, doc_id and text of at most ``sample`` rated documents."""
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).when(
         (F.col("quality") == 1) & (F.col("toxic") == 0), 2)
     some = (labels.select(F.col("doc_id").cast("bigint").alias("__id"), grade.alias("grade"))
@@ -190,13 +190,14 @@ def rated(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
             .orderBy(F.xxhash64("__id"), "__id").limit(sample))
     # at most ``sample`` pairs of numbers are broadcast
     return docs.join(F.broadcast(some), F.col("doc_id").cast("bigint") == F.col("__id")).select(
-        "grade", F.col("text").cast("string").alias("text"))
+        "grade", F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """The model, fitted on a bounded sample (repeated rows of a rated document may add to it, up to
-    ``2 * sample`` rows)."""
-    got = (rated(docs, labels, sample).limit(2 * sample)
+    ``2 * sample`` rows, the first by id and hash of the text).  The rows come in that order, so the
+    model does not hang on how the table is partitioned."""
+    got = (rated(docs, labels, sample).orderBy("doc_id", F.xxhash64("text"), "text").limit(2 * sample)
            .mapInArrow(_featurize, "grade int, place array<int>, value array<float>").toArrow())
     place = got.column("place").combine_chunks()
     bounds = np.concatenate([[0], np.cumsum(np.asarray(place.value_lengths(), dtype=np.int64))])

@@ -3,7 +3,8 @@ r"""Token ids as canonical, length-limited Huffman code (operator 3).
 Writing.  Texts are encoded with the ``tokenizers`` library; each document's ids end with the end
 id.  Global id counts (partial counts per task, summed in Spark, at most one row per vocabulary
 entry) give a code of at most ``MAX_BITS`` bits by package-merge, in canonical order.  Documents
-are range-partitioned and sorted by doc_id and coded one by one, each from a byte boundary.
+are dealt to parts by ranges of doc_id and of a number that each row has of its own, so rows that
+share an id are spread as well, sorted there and coded one by one, each from a byte boundary.
 
 File format, a folder of two Parquet tables:
 
@@ -41,6 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flowmart.llm import common as C
+from flowmart.llm import sharding
 from flowmart.session import checkpoint_dir
 
 END_ID = 2
@@ -167,20 +169,37 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+_IDS = "doc_id bigint, n bigint, size int, width int, ids binary, counts binary"
+
+
 def _tokenize(path: str, end_id: int):
+    """Rows (doc_id, text) -> their ids, each with a number of its own (spread over all values), and as
+    its last row every task's count of each id."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
         enc = _encoder(path)
         width = np.dtype(enc.kind).itemsize
+        at, total = TaskContext.get().partitionId() << 33, np.zeros(0, dtype=np.int64)
         for b in batches:
             for c in C.chunks(b.column("text"), CHUNK):
                 ids, bounds = enc.encode(c)
                 ids = np.insert(ids, bounds[1:], end_id)
-                bounds = (bounds + np.arange(c.rows + 1)) * width
+                bounds = bounds + np.arange(c.rows + 1)
+                used = np.bincount(ids, minlength=len(total))
+                used[:len(total)] += total
+                total = used
                 data = pa.Array.from_buffers(pa.binary(), c.rows, [
-                    None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(ids)])
+                    None, pa.py_buffer((bounds * width).astype(np.int32)), pa.py_buffer(ids)])
+                number = C.mix64(np.arange(at, at + c.rows, dtype=np.uint64)).view(np.int64)
+                at += c.rows
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(c.lo, c.rows), pa.array(np.full(c.rows, width), pa.int32()), data],
-                    names=["doc_id", "width", "ids"])
+                    [b.column("doc_id").slice(c.lo, c.rows), pa.array(number), pa.array(np.diff(bounds), pa.int32()),
+                     pa.array(np.full(c.rows, width), pa.int32()), data, pa.nulls(c.rows, pa.binary())],
+                    names=["doc_id", "n", "size", "width", "ids", "counts"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int32()),
+             pa.nulls(1, pa.binary()), pa.array([total.tobytes()], pa.binary())],
+            names=["doc_id", "n", "size", "width", "ids", "counts"])
     return run
 
 
@@ -193,16 +212,12 @@ def _flat(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, dtype=np.int64)
     for b in batches:
-        if b.num_rows:
-            ids, _ = _flat(b.column("ids"), b.column("width")[0].as_py())
-            n = np.bincount(ids, minlength=len(total))
-            n[:len(total)] += total
-            total = n
-    used = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())],
-                                     names=["id", "n"])
+        for raw in b.column("counts"):
+            total = np.frombuffer(raw.as_buffer(), dtype=np.int64)
+            used = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())],
+                                             names=["id", "n"])
 
 
 # ---- the code
@@ -307,16 +322,19 @@ _SEGMENTS = ("part int, seq int, n_ids bigint, doc_ids array<bigint>, counts arr
 
 def _write(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-        code, part, seq = shared.value, TaskContext.get().partitionId(), 0
+        code, part, seq = shared.value, None, 0
         for b in batches:
             if not b.num_rows:
                 continue
             ids, bounds = _flat(b.column("ids"), b.column("width")[0].as_py())
+            parts = b.column("part").to_numpy(zero_copy_only=False)
+            cut = np.append(np.flatnonzero(np.diff(parts)) + 1, b.num_rows)  # a part's rows lie together
             lo = 0
             while lo < b.num_rows:
+                if parts[lo] != part:
+                    part, seq = parts[lo], 0
                 hi = int(np.searchsorted(bounds, bounds[lo] + SEGMENT_IDS, side="right")) - 1
-                hi = min(max(hi, lo + 1), b.num_rows)
+                hi = min(max(hi, lo + 1), int(cut[np.searchsorted(cut, lo, side="right")]))
                 own = bounds[lo:hi + 1] - bounds[lo]
                 data, at, marks, _ = code.encode(ids[bounds[lo]:bounds[hi]], own)
                 one = lambda v, kind: C.lists(v, np.array([0, len(v)]), kind)
@@ -334,9 +352,8 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID)
     has at this place."""
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ids = C.written(rows.mapInArrow(_tokenize(tokenizer, end_id), "doc_id bigint, width int, ids binary"),
-                    "op3-ids", compression="zstd")
-    counts = ids.select("width", "ids").mapInArrow(_count, "id bigint, n bigint")
+    ids = C.written(rows.mapInArrow(_tokenize(tokenizer, end_id), _IDS), "op3-ids", compression="zstd")
+    counts = ids.where("counts is not null").select("counts").mapInArrow(_count, "id bigint, n bigint")
     # at most one row per vocabulary entry
     counts = sorted((r["id"], r["n"]) for r in counts.groupBy("id").agg(F.sum("n").alias("n")).collect())
     known = np.array([c[0] for c in counts], dtype=np.int64)
@@ -345,9 +362,20 @@ def write_ids(docs: DataFrame, tokenizer: str, path: str, end_id: int = END_ID)
     spark.createDataFrame([(int(i), int(b), int(c)) for i, b, c in zip(known, bits, n)],
                           "id bigint, bits int, n bigint").coalesce(1).write.parquet(f"{path}/code")
     shared = spark.sparkContext.broadcast(Code(known, bits))
-    (ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+
+    # parts of about equal numbers of ids: ranges of (doc_id, number), found from these columns alone
+    docs_of = ids.where("counts is null")
+    first = F.coalesce("doc_id", F.lit(-(1 << 63)))
+    key = {"__size": F.col("size").cast("bigint"), "__k": first,
+           "__i": F.struct(F.col("n").alias("i"), F.lit(0).cast("bigint").alias("n"))}
+    narrow = docs_of.select(*(v.alias(k) for k, v in key.items()))
+    total, n_rows = narrow.agg(F.coalesce(F.sum("__size"), F.lit(0)), F.count("*")).first()
+    cuts = sharding.splitters(narrow, total, n_rows) if n_rows else []
+    (docs_of.withColumns(key).withColumn("part", sharding._range_of(cuts)).drop("size", "counts", *key)
+     .repartition("part").sortWithinPartitions("part", "doc_id", "n")
      .mapInArrow(_write(shared), _SEGMENTS).write.option("compression", "uncompressed")
      .parquet(f"{path}/segments"))
+    C.drop(ids)
 
 
 def _read(shared):

@@ -67,8 +67,35 @@ def test_ordinal_without_ratings(spark, docs):
     assert quality_model.grade(K.empty(spark), labels).count() == 0
 
 
+def test_the_model_does_not_hang_on_partitions(spark):
+    docs, labels = _rated(spark)
+    docs = docs.unionByName(docs.limit(60)).unionByName(docs.where("doc_id % 7 = 0"))  # repeated rows and ties
+    one, two = (quality_model.train(d, labels) for d in (docs.coalesce(1), docs.repartition(11)))
+    assert np.array_equal(one.weights, two.weights) and one.cut == two.cut
+    assert np.array_equal(one.tails(np.array([0.0, 1.0])), two.tails(np.array([0.0, 1.0])))
+
+
 # ---- 3
 
+def test_a_hot_doc_id_is_spread(spark):
+    """One id, and null, in a third of all rows each: no part holds them all, and all is read back in order."""
+    ids = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i) for i in range(3000)]
+    rows = [(d, f"text {i} of some words") for i, d in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    path = token_output.checkpoint_dir(spark) + f"/hot-{random.random()}"
+    token_output.write_ids(df, BPE, path)
+    seg = spark.read.parquet(f"{path}/segments").selectExpr("part", "seq", "doc_ids").collect()
+    most = max(len(r.doc_ids) for r in seg)
+    assert len(seg) > 20 and most <= 4 * 3000 / 64
+    order = [d for r in sorted(seg, key=lambda r: (r.part, r.seq)) for d in r.doc_ids]
+    assert order == sorted(ids, key=lambda d: (d is not None, d))
+    got = sorted(token_output.read_ids(spark, path).collect(), key=lambda r: r.start)
+    tok = tokenizers.Tokenizer.from_file(BPE)
+    assert [r.doc_id for r in got] == order
+    assert sorted(tuple(r.ids) for r in got) == sorted(tuple([*tok.encode(t, add_special_tokens=False).ids, 2])
+                                                       for _, t in rows)
+    assert [r.start for r in got] == np.cumsum([0, *(r.n_tokens for r in got)])[:-1].tolist()
+
 def test_ids_round_trip(spark, docs, pairs):
     tok = tokenizers.Tokenizer.from_file(BPE)
     path = token_output.checkpoint_dir(spark) + f"/ids-{random.random()}"
