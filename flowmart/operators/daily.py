@@ -5,10 +5,10 @@ the key's last counted row.  In event order the state always equals the date
 of the key's previous row, so a row is counted exactly when it is the key's
 first row of its day.  Batch forms here never sort a key's rows in one task:
 
-* the first row of every (key, day) is found with ``groupBy(key, day)`` and
-  ``min(struct(ts, tiebreak))`` -- a hash aggregate with map-side partial
-  aggregation, so a key holding a third of all rows collapses before the
-  shuffle;
+* the first row of every (key, day) is found with ``groupBy(key, day)`` and the
+  ``min`` of one number made of ts and tiebreak (:func:`order_key`) -- of fixed
+  width, so Spark aggregates by hash, not by sorting raw rows, and with map-side
+  partial aggregation a key holding a third of all rows collapses before the shuffle;
 * flags are joined back on ``(key, ts, tiebreak)``, a composite key that
   spreads evenly even when one key is hot.  AQE turns the join into a
   broadcast join when the per-day table is measured small at run time.
@@ -28,36 +28,68 @@ from flowmart.functions.timefn import DAY_MS, TO_TS_OFFSET, to_date_str, to_ts
 from flowmart.session import DEFAULT_TZ
 
 EPOCH_DATE = "1970-01-01"
+# The two pages that the home/detail job counts.
+HOME, DETAIL = "home", "good_detail"
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# the order key: ts * 2^65 + (tiebreak + 2^63) * 2 + flag, in a decimal of 38 digits
+_TB, _TS = 1 << 64, 1 << 65
+
+
+def _dec(v: int) -> Column:
+    return F.lit(str(v)).cast("decimal(38,0)")
+
+
+def order_key(ts: Column | str, tiebreak: Column | str | None, flag: Column | None = None) -> Column:
+    """(ts, tiebreak) as one number in the same order (a null tiebreak counts as the least), with one
+    bit of the row beside it.  ts is in ms, from the year -10^7 on."""
+    wide = lambda c: _col(c).cast("decimal(20,0)")
+    tb = F.coalesce(wide(tiebreak), _dec(-(1 << 63)).cast("decimal(20,0)")) if tiebreak is not None else F.lit(0).cast("decimal(20,0)")
+    bit = F.when(flag, 1).otherwise(0) if flag is not None else F.lit(0)
+    low = ((tb + _dec(1 << 63).cast("decimal(20,0)")) * F.lit(2) + bit).cast("decimal(38,0)")
+    # ts is counted from 2^59 ms before the epoch, so that keys are never negative
+    high = (wide(ts) + F.lit(1 << 59)).cast("decimal(18,0)") * _dec(_TS).cast("decimal(20,0)")
+    return (high.cast("decimal(38,0)") + low).cast("decimal(38,0)")
+
+
+def key_parts(key: Column | str) -> dict[str, Column]:
+    """``ts``, ``tiebreak`` and ``flag`` (0 or 1) of an order key."""
+    k = _col(key)
+    rest = k % _dec(_TS)
+    flag = (rest % F.lit(2)).cast("int")
+    return {"ts": ((k - rest) / _dec(_TS).cast("decimal(20,0)")).cast("bigint") - (1 << 59),
+            "tiebreak": ((rest - flag) / F.lit(2) - _dec(1 << 63)).cast("decimal(20,0)").cast("bigint"), "flag": flag}
+
+
 def first_of_day(
     df: DataFrame,
     key: Column | str,
     ts: str = "ts",
     tiebreak: str | None = None,
     tz: str = DEFAULT_TZ,
+    flag: Column | None = None,
     carry: Sequence[tuple[str, Column | str]] = (),
 ) -> DataFrame:
     """One row per (key, day): the day's first row by (ts, tiebreak).
 
-    Returns ``_key, _day, _ts[, _tb]`` and the ``carry`` columns of that row.
+    Returns ``_key, _day, _ts, _tb``, ``_flag`` (whether ``flag`` held in that row) and the ``carry``
+    columns of that row.  With ``carry`` the raw rows are first combined per value of these columns, by
+    hash as well; what is sorted after that is one row per key, day and value.
     """
-    fields = [F.col(ts).alias("_ts")]
-    if tiebreak:
-        fields.append(F.col(tiebreak).alias("_tb"))
-    fields += [_col(c).alias(name) for name, c in carry]
-    return (
-        df.select(_col(key).alias("_key"), to_date_str(ts, tz).alias("_day"),
-                  F.struct(*fields).alias("_f"))
-        .where(F.col("_key").isNotNull())
-        .groupBy("_key", "_day")
-        .agg(F.min("_f").alias("_f"))
-        .select("_key", "_day", "_f.*")
-    )
+    names = [n for n, _ in carry]
+    rows = df.select(_col(key).alias("_key"), to_date_str(ts, tz).alias("_day"),
+                     order_key(ts, tiebreak, flag).alias("_f"), *(_col(c).alias(n) for n, c in carry))
+    first = rows.where(F.col("_key").isNotNull()).groupBy("_key", "_day", *names).agg(F.min("_f").alias("_f"))
+    if names:
+        first = (first.groupBy("_key", "_day").agg(F.min_by(F.struct(*names), "_f").alias("_c"), F.min("_f").alias("_f"))
+                 .select("_key", "_day", "_f", "_c.*"))
+    parts = key_parts("_f")
+    return first.select("_key", "_day", parts["ts"].alias("_ts"), parts["tiebreak"].alias("_tb"),
+                        (parts["flag"] == 1).alias("_flag"), *names)
 
 
 def daily_first_flag(
@@ -72,7 +104,7 @@ def daily_first_flag(
 
     Every input row is kept.  ``tiebreak`` (a unique row id) makes the result
     repeatable when two rows of one key share a millisecond; without it any one
-    of them gets the flag.
+    of them gets the flag.  It is a whole number.
     """
     if df.isStreaming:
         from flowmart.streaming.processors import daily_first_flag_stream
@@ -116,13 +148,14 @@ def home_detail_firsts(
         return home_detail_stream(df, key, page, ts=ts, tz=tz, per_page=per_page,
                                   tiebreak=tiebreak)
     # a row without a mid is dropped in both forms: a struct key is null with its mid
-    k = F.when(_col(key).isNotNull(), F.struct(_col(key), _col(page))) if per_page else _col(key)
-    firsts = first_of_day(df, k, ts, tiebreak, tz, carry=[("_mid", key), ("_page", page)])
+    is_home = _col(page) == HOME
+    k = F.when(_col(key).isNotNull(), F.struct(_col(key).alias("mid"), is_home)) if per_page else _col(key)
+    firsts = first_of_day(df, k, ts, tiebreak, tz, flag=is_home)
+    home = F.col("_flag")
     return firsts.select(
-        F.col("_mid").alias("mid"), F.col("_page").alias("page_id"),
+        F.col("_key.mid" if per_page else "_key").alias("mid"), F.when(home, HOME).otherwise(DETAIL).alias("page_id"),
         F.col("_ts").alias("ts"), *([F.col("_tb").alias(tiebreak)] if tiebreak else []),
-        (F.col("_page") == "home").cast("bigint").alias("homeUv"),
-        (F.col("_page") != "home").cast("bigint").alias("detailUv"),
+        home.cast("bigint").alias("homeUv"), (~home).cast("bigint").alias("detailUv"),
     )
 
 
@@ -166,14 +199,11 @@ def visitor_states(
     tz: str = DEFAULT_TZ,
 ) -> DataFrame:
     """T5: the state of every mid (``_key``, ``_state``), set by its first row."""
-    fields = [F.col(ts).alias("_ts")]
-    if tiebreak:
-        fields.append(F.col(tiebreak).alias("_tb"))
-    fields.append(_col(flag).alias("_raw"))
+    parts = key_parts("_f")
     return (
-        df.select(_col(key).alias("_key"), F.struct(*fields).alias("_f"))
+        df.select(_col(key).alias("_key"), order_key(ts, tiebreak, _col(flag) == "1").alias("_f"))
         .groupBy("_key").agg(F.min("_f").alias("_f"))
-        .select("_key", F.when(F.col("_f._raw") == "1", to_date_str("_f._ts", tz))
+        .select("_key", F.when(parts["flag"] == 1, to_date_str(parts["ts"], tz))
                 .otherwise(F.lit(EPOCH_DATE)).alias("_state"))
     )
 

@@ -770,6 +770,13 @@ SELECT 'REALTIME_DIM' AS schema_name, sink_table, CAST(position AS BIGINT) AS po
 FROM u
 """
 
+DIM_DDL = f"""
+SELECT sink_table, 'create table if not exists ' || schema_name || '.' || sink_table || ' (' || string_agg(
+    column_name || ' varchar' || CASE WHEN is_pk THEN ' primary key' ELSE '' END, ', ' ORDER BY position)
+  || ') ' || sink_extend AS ddl
+FROM ({ENSURE_SCHEMA}) GROUP BY schema_name, sink_table, sink_extend
+"""
+
 TIME_FUNCTIONS = f"""
 WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms FROM events),
 f AS (SELECT event_id, ms, {_date('ms')} AS date, {_dt('ms')} AS datetime,
@@ -858,6 +865,7 @@ def oracle_sql() -> dict[str, str]:
         "order_detail_upsert": ORDER_DETAIL_UPSERT,
         "traffic_window_from_log": TRAFFIC_WINDOW_FROM_LOG,
         "ensure_schema": ENSURE_SCHEMA,
+        "dim_ddl": DIM_DDL,
         "time_functions": TIME_FUNCTIONS,
         "dictionary_terms": DICTIONARY_TERMS,
     }

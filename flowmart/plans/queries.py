@@ -356,6 +356,11 @@ def ensure_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("position", F.col("position").cast("bigint"))
 
 
+def dim_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: the create-table statement of every dimension table in the folded configuration."""
+    return dim.ddl(dim.schema_rows(config_fold(spark, sf_dir)))
+
+
 def time_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = Tables(spark, sf_dir)("events").select("event_id", timefn.ntz_to_ms("ts").alias("ms"))
     return e.select(
@@ -426,6 +431,7 @@ def queries() -> dict[str, Query]:
         "order_detail_upsert": order_detail_upsert,
         "traffic_window_from_log": traffic_window_from_log,
         "ensure_schema": ensure_schema,
+        "dim_ddl": dim_ddl,
         "time_functions": time_functions,
         "dictionary_terms": dictionary_terms,
     }

@@ -67,3 +67,27 @@ def test_sql_functions(spark):
     df = spark.createDataFrame([(ms_,)], "ts long")
     col = df.select(timefn.to_date_str("ts"), timefn.to_ymd_hms("ts")).first()
     assert (col[0], col[1]) == (row.d, row.t)
+
+
+def test_dictionary_positions_cost_the_same_for_any_lengths(spark):
+    """One row per position, whether the dictionary has two lengths of terms or twenty."""
+    words = ["alpha", "beta", "gammadelta", "ab", "abc", "al", "etag"]
+    df = spark.createDataFrame([(1, "alphabetagamma" * 60), (2, ""), (3, None), (4, "xalx")], "id int, s string")
+    rows = []
+    for n in (2, 20):
+        terms = [w for w in words] + ["q" * k for k in range(2, 2 + n)]
+        vocab = spark.createDataFrame([(w,) for w in [*terms, "", None, terms[0]]], "term string")
+        most = F.lit(max(map(len, terms)))
+        rows.append(text._positions(df, F.col("s"), most, F.lit(False)).count())
+        got = sorted((r.id, r.pos, r.term) for r in text.dictionary_terms(df, "s", vocab).collect())
+        want = sorted((i, p + 1, w) for i, s in ((1, "alphabetagamma" * 60), (4, "xalx")) for w in terms
+                      for p in range(len(s)) if s.startswith(w, p))
+        assert got == want
+    assert rows == [len("alphabetagamma" * 60) + 4] * 2
+
+
+def test_dictionary_terms_of_one_character(spark):
+    df = spark.createDataFrame([(1, "a𝒳ab中")], "id int, s string")
+    vocab = spark.createDataFrame([("a",), ("ab",), ("𝒳",), ("中",), ("b中x",)], "term string")
+    got = sorted((r.pos, r.term) for r in text.dictionary_terms(df, "s", vocab).collect())
+    assert got == [(1, "a"), (2, "𝒳"), (3, "a"), (3, "ab"), (5, "中")]

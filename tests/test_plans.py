@@ -52,3 +52,21 @@ def test_dictionary_comes_before_the_shuffles_of_order_detail(spark):
     # the plan is printed from the root: a deeper line runs earlier
     assert depth("BroadcastHashJoin") and depth("SortMergeJoin")
     assert max(depth("BroadcastHashJoin")) > max(depth("SortMergeJoin"))
+
+
+LOG_QUERIES = {"parse_clean": 1, "parse_dirty": 1, "log_page": 2, "log_start": 2, "log_error": 2, "log_display": 1,
+               "log_action": 1, "log_page_json": 2, "log_start_json": 2, "log_error_json": 2, "log_display_json": 1,
+               "log_action_json": 1}
+
+
+@pytest.mark.parametrize("name", list(LOG_QUERIES))
+def test_a_line_is_made_and_parsed_once_per_scan(spark, name):
+    plan = Q.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    scans = plan.count("Relation [")
+    assert scans == LOG_QUERIES[name]
+    assert plan.count("get_json_object") == scans and plan.lower().count("parse_json") + plan.count("parseJson") == scans
+
+
+def test_changes_are_parsed_once(spark):
+    plan = Q.queries()["cdc_parse"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parse_json") + plan.count("parseJson") == 1
