@@ -497,3 +497,19 @@ def test_pipeline_against_brute_force(spark):
     for s in range(8):
         slots = sorted(r.slot for r in five if r.shard == s)
         assert slots == list(range(len(slots)))
+
+
+def test_empty_tables_pass_every_stage(spark, tmp):
+    none = K.empty(spark)
+    assert near_dedup.near_duplicates(none).count() == 0 and near_dedup.stage(none).columns == none.columns
+    none.write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame([], "item_id bigint, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    out = corpus_pipeline.run(spark, tmp)
+    assert out.count() == 0 and set(none.columns) - {"size"} <= set(out.columns)
+
+
+def test_nothing_but_rows_without_words(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (2, " \n"), (None, None)], "doc_id bigint, text string")
+    got = near_dedup.near_duplicates(df).collect()
+    assert len(got) == 4 and all(r.n_shingles == 0 and r.kept for r in got)
+    assert near_dedup.stage(df).count() == 4
