@@ -22,37 +22,19 @@ def versions_at(times: DataFrame, versions: DataFrame, bucket: int) -> DataFrame
 
     ``at`` is a bigint.  A null key or time has no version.
     """
-    cut = F.expr(f"(at - pmod(at, {int(bucket)}L)) div {int(bucket)}L")
-    asked = times.select("key", "at").where("key is not null and at is not null").distinct().withColumn("b", cut)
-    known = versions.select("key", "at", "value", cut.alias("b"))
-
+    known = versions.select("key", "at", F.lit(0).alias("side"), "value").where("key is not null and at is not null")
+    asked = times.select("key", "at").where("key is not null and at is not null").distinct().select(
+        "key", "at", F.lit(1).alias("side"), F.lit(None).cast(known.schema["value"].dataType).alias("value"))
+    rows = asked.unionByName(known).withColumn("b", F.expr(f"(at - pmod(at, {int(bucket)}L)) div {int(bucket)}L"))
+    # inside a bucket: versions and times in one order, versions first
+    upto = Window.partitionBy("key", "b").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = rows.withColumn("inside", F.last("value", ignorenulls=True).over(upto)).where("side = 1")
     # what holds when a bucket starts: the last version of the nearest earlier bucket that has one
-    ends = known.groupBy("key", "b").agg(F.max_by("value", "at").alias("end"))
-    marks = (asked.select("key", "b").distinct().withColumn("end", F.lit(None).cast(ends.schema["end"].dataType))
-             .unionByName(ends).groupBy("key", "b")
-             .agg(F.max(F.when(F.col("end").isNull(), F.lit(1))).alias("asked"),
-                  F.first("end", ignorenulls=True).alias("end")))
+    ends = rows.groupBy("key", "b").agg(F.max_by("value", F.when(F.col("side") == 0, F.col("at"))).alias("end"))
     before = Window.partitionBy("key").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    marks = (marks.withColumn("carry", F.last("end", ignorenulls=True).over(before)).where("asked = 1")
-             .select("key", "b", "carry", F.col("end").isNotNull().alias("inside")))
-    # most buckets hold no version: the carried one is valid through all of them
-    still = asked.join(marks.where("not inside and carry is not null"), ["key", "b"]).select(
-        "key", "at", F.col("carry").alias("value"))
-
-    # the others: versions and times of a bucket in one order, versions first
-    busy = marks.where("inside")
-    none = F.lit(None).cast(known.schema["value"].dataType)
-    start = busy.where("carry is not null").select(
-        "key", "b", (F.col("b") * bucket - 1).alias("at"), F.lit(0).alias("side"), F.col("carry").alias("value"))
-    rows = (asked.join(busy.select("key", "b"), ["key", "b"])
-            .select("key", "b", "at", F.lit(1).alias("side"), none.alias("value"))
-            .unionByName(known.join(busy.select("key", "b"), ["key", "b"])
-                         .select("key", "b", "at", F.lit(0).alias("side"), "value"))
-            .unionByName(start))
-    upto = Window.partitionBy("key", "b").orderBy("at", "side").rowsBetween(Window.unboundedPreceding, 0)
-    moved = (rows.withColumn("value", F.last("value", ignorenulls=True).over(upto))
-             .where("side = 1 and value is not null").select("key", "at", "value"))
-    return still.unionByName(moved)
+    carry = ends.select("key", "b", F.last("end", ignorenulls=True).over(before).alias("carry"))
+    return (inside.join(carry, ["key", "b"])
+            .select("key", "at", F.coalesce("inside", "carry").alias("value")).where("value is not null"))
 
 
 def asof_join(rows: DataFrame, key: str, at: str, versions: DataFrame, bucket: int, value: str = "value") -> DataFrame:
