@@ -21,7 +21,8 @@ from flowmart import schemas
 from flowmart.functions.timefn import event_time
 from flowmart.operators import parse
 from flowmart.operators.cdc import with_proc_time
-from flowmart.session import WATERMARK_DELAY
+from flowmart.session import WATERMARK_DELAY, checkpoint_dir
+from flowmart.sources import files
 
 
 def kafka_options(bootstrap: str, topic: str, group_id: str | None = None,
@@ -80,13 +81,16 @@ def read_page_log(spark: SparkSession, delay: str = WATERMARK_DELAY, strict: boo
 
 
 def read_config_changes(spark: SparkSession, startup: str = "initial", strict: bool = True,
-                        since_ms: int | None = None, **kw) -> DataFrame:
+                        since_ms: int | None = None, name: str = "config_changes", **kw) -> DataFrame:
     """Configuration changes.  ``initial`` keeps the snapshot rows (op 'r') then the
     changes; ``latest`` keeps what has changed since the job was first started: no snapshot row and
-    no older change still in the feed.  ``since_ms`` is that moment (now by default; a restarted job
-    passes its first one).  A Kafka source then starts at the latest offsets as well."""
+    no older change still in the feed.  That moment is ``since_ms``, or the time of the first call with
+    this ``name``, which is kept in the shared checkpoint folder, so a restarted job misses nothing.
+    A Kafka source also starts at the latest offsets (and later at those of its checkpoint)."""
     if startup == "latest":
-        since_ms = round(time.time() * 1000) if since_ms is None else since_ms
+        if since_ms is None:
+            since_ms = files.first_time(spark, checkpoint_dir(spark, f"streams/{name}.started"),
+                                        round(time.time() * 1000))
         if kw.get("kafka") is not None:
             kw["kafka"] = {**kw["kafka"], "startingOffsets": "latest"}
     r = F.col(parse.RECORD)

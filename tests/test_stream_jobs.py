@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowmart import schemas
 from flowmart.operators import config, dim, dwd, logsplit
-from flowmart.sources import fixtures
+from flowmart.sources import files, fixtures
 from flowmart.sources.catalog import Tables
 from flowmart.sources.streams import (dirty_lines, read_cdc, read_config_changes, read_records_once,
                                       read_text_stream)
@@ -226,11 +226,17 @@ def test_config_stream_startup_modes(spark, tmp):
     line = '{"before":null,"after":{"source_table":"%s","sink_type":"dim"},"op":"%s","ts_ms":%d}'
     write_lines(folder, "c.json", [line % ("a", "r", 1), line % ("old", "c", 2), line % ("b", "c", 1000)], 0)
     for startup, kw, want in (("initial", {}, ["a", "b", "old"]), ("latest", {"since_ms": 1000}, ["b"]),
-                              ("latest", {}, [])):
-        name = f"cfg_{startup}{len(kw)}"
+                              ("latest", {"name": os.path.basename(tmp)}, [])):
+        name = f"cfg_{startup}_{'_'.join(kw)}"
         q = (read_config_changes(spark, startup=startup, path=folder, **kw).select("after.source_table")
              .writeStream.queryName(name).format("memory")
              .option("checkpointLocation", os.path.join(tmp, name)).trigger(availableNow=True).start())
         assert q.awaitTermination(TIMEOUT)
         q.stop()
         assert sorted(r.source_table for r in spark.table(name).collect()) == want
+
+
+def test_the_first_start_is_remembered(spark, tmp):
+    path = os.path.join(tmp, "x", "job.started")
+    assert files.first_time(spark, path, 1000) == 1000
+    assert files.first_time(spark, path, 2000) == 1000
