@@ -41,7 +41,7 @@ LONGEST = 3
 #: a candidate goes if a longer one around it has this share of its occurrences, in percent
 SHARE = 50
 TOP = 2000
-BLOCK = 2 << 20
+BLOCK = 1 << 20
 #: phrases that one bucket should hold, and parts that a language is ranked in first
 BUCKET_PHRASES = 4_000_000
 RANK_PARTS = 64
