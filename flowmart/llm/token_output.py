@@ -49,8 +49,8 @@ END_ID = 2
 MAX_BITS = 16
 BLOCK = 512
 SEGMENT_IDS = 1 << 20
-CACHE = 300_000
-CHUNK = 2 << 20
+CACHE = 450_000
+CHUNK = 1 << 20
 
 
 # ---- text -> ids
@@ -94,26 +94,14 @@ class Encoder:
             self.known.clear()
         kind, tokenize, space = np.dtype(self.kind).char, self.model.tokenize, self.chars[32]
         out: list[bytes | None] = [None] * len(new)
-        # a space and ASCII letters, most of them: one pre-token, which the model alone decides
-        plain = [i for i, p in enumerate(new) if p[0] == 32 and p[1:].isalpha()]
-        texts = b"\n".join([new[i] for i in plain]).decode().replace(" ", space).split("\n") if plain else []
-        tokens = [tokenize(s) for s in texts]
-        size = np.dtype(self.kind).itemsize
-        raw = np.array([t.id for own in tokens for t in own], dtype=self.kind).tobytes()
-        at = 0
-        for i, own in zip(plain, tokens):
-            end = at + len(own) * size
-            out[i] = raw[at:end]
-            at = end
         rest = []
         for i, p in enumerate(new):
-            if out[i] is not None:
-                continue
             s = p.decode()
             body = s[1:] if s[0] == " " else s
             if not body.isalpha():
                 rest.append((i, s))
                 continue
+            # one pre-token: the model alone decides
             if p.isascii():
                 s = space + body if body is not s else s
             else:
