@@ -37,6 +37,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,7 +50,7 @@ END_ID = 2
 MAX_BITS = 16
 BLOCK = 512
 SEGMENT_IDS = 1 << 20
-CACHE = 450_000
+CACHE = 600_000
 CHUNK = 1 << 20
 
 
@@ -123,12 +124,8 @@ class Encoder:
         s = _piece_starts(c.buf, c.off)
         e = np.append(s[1:], len(c.buf))
         h = C.span_hashes(c.buf, s, e)
-        order = np.argsort(h)
-        new = np.ones(len(h), dtype=bool)
-        new[1:] = h[order[1:]] != h[order[:-1]]
-        lead = order[new]
-        which = np.empty(len(h), dtype=np.int64)
-        which[order] = np.cumsum(new) - 1
+        which, _ = pd.factorize(h)  # numbered by first appearance
+        lead = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
         keys = [text[a:b] for a, b in zip(s[lead].tolist(), e[lead].tolist())]
         got = list(map(self.known.get, keys))
         missing = [i for i, ids in enumerate(got) if ids is None]
