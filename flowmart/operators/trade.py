@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowmart import schemas
@@ -95,6 +95,8 @@ def order_detail_changelog(feed: DataFrame, dic: DataFrame) -> DataFrame:
     one in its place; further matches add rows.  So each version lives from one arrival to another,
     and both ends follow from the arrivals by joins and minima, without going through the feed row by
     row: a detail with its order starts at the later arrival, its null side ends at its first match.
+    A version that starts at the first match of its detail (of a step of its own) replaces the null side,
+    which was there before: its detail and order came earlier.  All other versions are new rows.
 
     Output: ``op`` (+I a new row, -U the version taken back, +U the one in its place), ``ts``, ``xid``,
     ``xoffset``, ``step`` (the arrival that caused it; ``step`` is the slice's place among changes
@@ -108,35 +110,42 @@ def order_detail_changelog(feed: DataFrame, dic: DataFrame) -> DataFrame:
     base = (lookup_join(od, names, "od_source_type", "dic_code")
             .join(oi, F.col("od_order_id") == F.col("oi_id"))
             .withColumns({"from_": F.greatest("od_at", "oi_at"), "to_": F.lit(None).cast(_AT)}))
-    one = _left_versions(base, oa, "od_id", "oa_odid", "oa_at")
-    two = _left_versions(one, oc, "od_id", "oc_odid", "oc_at")
+    two = _left_versions(_left_versions(base, oa, "od_id", "oa_odid", "oa"), oc, "od_id", "oc_odid", "oc")
     # a row is added at its start; its end takes it back
-    ends = F.array(F.struct(F.col("from_").alias("at"), F.lit(True).alias("add")),
-                   F.struct(F.col("to_").alias("at"), F.lit(False).alias("add")))
-    events = (two.withColumn("e", F.explode(ends)).where("e.at is not null")
-              .select("e.add", "e.at.*", *_wide()))
-    same = ["id", "ts", "xid", "xoffset", "step"]
-    taken = events.where("not add").select(*same, F.lit(True).alias("taken")).distinct()
-    op = (F.when(~F.col("add"), BEFORE).when(F.col("taken"), AFTER).otherwise(INSERT))
-    return (events.join(taken, same, "left").withColumn("op", op)
-            .select("op", "ts", "xid", "xoffset", "step", *schemas.ORDER_DETAIL_OUT))
+    start = F.col("from_")
+    ordered = start["ts"].isNotNull() & start["xid"].isNotNull() & start["xoffset"].isNotNull()
+    replaces = ordered & ((start == F.col("oa_first")) | (start == F.col("oc_first")))
+    ends = F.array(F.struct(F.when(replaces, AFTER).otherwise(INSERT).alias("op"), start.alias("at")),
+                   F.struct(F.lit(BEFORE).alias("op"), F.col("to_").alias("at")))
+    events = two.withColumn("e", F.explode(ends)).where("e.at is not null")
+    return events.select("e.op", "e.at.*", *_wide())
 
 
 _AT = "struct<ts:bigint,xid:bigint,xoffset:bigint,step:int>"
 
 
-def _left_versions(rows: DataFrame, side: DataFrame, key: str, side_key: str, side_at: str) -> DataFrame:
+def _left_versions(rows: DataFrame, side: DataFrame, key: str, side_key: str, p: str) -> DataFrame:
     """LEFT JOIN as an updating join: ``rows`` (alive from ``from_`` until ``to_``, null: for ever)
-    with every match, from the later arrival on, and with a null side while no match has come."""
-    first = side.groupBy(side_key).agg(F.min(side_at).alias("first"))
-    alive = lambda df: df.where("to_ is null or from_ < to_")
-    matched = alive(rows.join(side, F.col(key) == F.col(side_key))
-                    .withColumn("from_", F.greatest("from_", side_at)))
+    with every match, from the later arrival on, and with a null side while no match has come.  Adds
+    the side's columns and ``{p}_first``, its first arrival for the key.
+
+    One join: the first match of a key also gives the row with the null side."""
+    by_key = Window.partitionBy(side_key).orderBy(f"{p}_at")
+    cols = [c for c in side.columns if c not in (side_key, f"{p}_at")]
+    ranked = side.where(F.col(side_key).isNotNull()).select(
+        side_key, f"{p}_at", *cols, F.first(f"{p}_at").over(by_key).alias(f"{p}_first"),
+        F.row_number().over(by_key).alias("nth"))
+    first, at = F.col(f"{p}_first"), F.col(f"{p}_at")
+    version = lambda from_, to_, match: F.struct(
+        from_.alias("from_"), to_.alias("to_"),
+        *[(F.col(c) if match else F.lit(None).cast(side.schema[c].dataType)).alias(c) for c in cols])
     # a null in greatest and least is passed over: no match, no other end
-    lone = alive(rows.join(first, F.col(key) == F.col(side_key), "left").withColumn("to_", F.least("to_", "first")))
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema if f.name != side_key]
-    out = [*rows.columns, *(c for c in side.columns if c != side_key)]
-    return matched.select(*out).unionByName(lone.select(*rows.columns, *none))
+    lone = F.when(at.isNull() | (F.col("nth") == 1), version(F.col("from_"), F.least("to_", first), False))
+    matched = F.when(at.isNotNull(), version(F.greatest("from_", at), F.col("to_"), True))
+    keep = [c for c in rows.columns if c not in ("from_", "to_")]
+    return (rows.join(ranked, F.col(key) == F.col(side_key), "left")
+            .select(*keep, f"{p}_first", F.explode(F.array(lone, matched)).alias("v"))
+            .where("v is not null and (v.to_ is null or v.from_ < v.to_)").select(*keep, f"{p}_first", "v.*"))
 
 
 def fold_changelog(log: DataFrame) -> DataFrame:

@@ -70,3 +70,13 @@ def test_a_line_is_made_and_parsed_once_per_scan(spark, name):
 def test_changes_are_parsed_once(spark):
     plan = Q.queries()["cdc_parse"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.lower().count("parse_json") + plan.count("parseJson") == 1
+
+
+def _optimized(spark, name):
+    return Q.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_changelog_reads_each_part_once(spark):
+    plan = _optimized(spark, "order_detail_changelog")
+    assert plan.count("Relation [o_orderkey") == 1 and plan.count("Relation [l_orderkey") == 3
+    assert "Aggregate" not in plan and plan.count("Join ") == 4
