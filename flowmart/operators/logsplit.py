@@ -25,8 +25,13 @@ def parse_log(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFram
     a required field join the dirty output with their raw text."""
     keep = [c for c in raw.columns if c != value]
     r = F.col(parse.RECORD)
-    good, dirty = parse.split_valid(raw, parse.log_complete(r), value)
-    return good.select(*keep, *parse.log_fields(r), parse.RECORD), dirty.select(*keep, value)
+    typed = {f.name: c for f, c in zip(schemas.LOG.fields, parse.log_fields(r), strict=True)}
+    read = {f"__{n}": typed[n] for n in ("common", "page", "start", "ts")}
+    complete = (F.col("__common.mid").isNotNull() & F.col("__common.is_new").isNotNull() & F.col("__ts").isNotNull()
+                & (F.col("__start").isNotNull() | F.col("__page").isNotNull()))
+    good, dirty = parse.split_valid(raw, complete, value, **read)
+    return good.select(*keep, *[F.col(f"__{n}").alias(n) if f"__{n}" in read else c for n, c in typed.items()],
+                       parse.fields(r).alias(parse.RECORD)), dirty.select(*keep, value)
 
 
 def with_flag(log: DataFrame) -> DataFrame:
@@ -35,7 +40,7 @@ def with_flag(log: DataFrame) -> DataFrame:
     if parse.RECORD not in log.columns:
         return log
     r = F.col(parse.RECORD)
-    common = parse.put(parse.drop_nulls(parse.field(r, "common", "map<string,variant>")),
+    common = parse.put(parse.drop_nulls(parse.entry(r, "common", "map<string,variant>")),
                        is_new=F.col("common.is_new"))
     return log.withColumn(parse.RECORD, parse.put(r, common=parse.as_variant(common)))
 
@@ -98,10 +103,12 @@ def log_layer(raw: DataFrame, value: str = "value", tiebreak: str | None = None,
     valid, dirty = parse_log(raw, value)
     r = F.col(parse.RECORD)
     keep = [tiebreak] if tiebreak else []
-    good, _ = parse.split_valid(raw.select(*keep, value), parse.log_complete(r), value)
-    flags = good.select(*keep, parse.field(r, "common", path="$.mid").alias("mid"),
-                        parse.field(r, "common", path="$.is_new").alias("is_new"),
-                        parse.field(r, "ts", "bigint").alias("ts"))
+    read = {"__mid": parse.field(r, "common", path="$.mid"), "__is_new": parse.field(r, "common", path="$.is_new"),
+            "__ts": parse.field(r, "ts", "bigint")}
+    complete = (F.col("__mid").isNotNull() & F.col("__is_new").isNotNull() & F.col("__ts").isNotNull()
+                & (parse.field(r, "start").isNotNull() | parse.field(r, "page", "struct<>").isNotNull()))
+    good, _ = parse.split_valid(raw.select(*keep, value), complete, value, **read)
+    flags = good.select(*keep, *[F.col(c).alias(c[2:]) for c in read])
     fixed = daily.fix_is_new(valid, "common.mid", "common.is_new", "ts", tiebreak, tz,
                              states=daily.visitor_states(flags, "mid", "is_new", "ts", tiebreak, tz))
     out = split_log(with_flag(fixed))

@@ -7,6 +7,9 @@ JSON object makes a record: text after it, a list or a bare value does not.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,17 +20,16 @@ RECORD = "record"
 _END = "end-of-record"
 
 
-def _items(value: Column) -> Column:
-    """The line read as the first item of a list, with what follows it."""
-    return F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{_END}"]'))),
-                             "$", "array<variant>")
+def _line(value: Column) -> Column:
+    """The line as VARIANT, read as the first item of a list, with what follows it."""
+    return F.try_parse_json(F.concat(F.lit("["), value, F.lit(f',"{_END}"]')))
 
 
-def _only_record(items: Column) -> Column:
-    """``map<string,variant>`` of the first item; null unless it is an object and all there is
-    (duplicate keys count as malformed)."""
-    whole = (F.size(items) == 2) & (F.try_variant_get(F.get(items, F.lit(1)), "$", "string") == _END)
-    return F.when(whole, F.try_variant_get(F.get(items, F.lit(0)), "$", "map<string,variant>"))
+def _only_record(line: Column) -> Column:
+    """The first item; null unless it is an object and all there is (duplicate keys count as malformed)."""
+    at = lambda path, kind: F.try_variant_get(line, path, kind)
+    whole = (at("$[1]", "string") == _END) & at("$[2]", "variant").isNull() & at("$[0]", "struct<>").isNotNull()
+    return F.when(whole, at("$[0]", "variant"))
 
 
 def bind(df: DataFrame, **columns: Column) -> DataFrame:
@@ -40,23 +42,36 @@ def bind(df: DataFrame, **columns: Column) -> DataFrame:
 def field(record: Column, name: str, kind: str = "string", path: str = "$") -> Column:
     """One field of a record as ``kind``; null when absent or not convertible.  An object or
     list read as string gives its JSON text."""
-    return F.try_variant_get(record[name], path, kind)
+    return F.try_variant_get(record, f"$.{name}{path[1:]}", kind)
+
+
+def entry(m: Column, name: str, kind: str = "string") -> Column:
+    """:func:`field` of a ``map<string,variant>``."""
+    return F.try_variant_get(m[name], "$", kind)
+
+
+def fields(record: Column) -> Column:
+    """The top-level fields of a record as ``map<string,variant>``."""
+    return F.try_variant_get(record, "$", "map<string,variant>")
 
 
-def with_record(df: DataFrame, value: str = "value", strict: bool = False) -> DataFrame:
-    """Adds ``record``: the line's top-level fields as ``map<string,variant>``, null unless the line
-    is exactly one JSON object.  ``strict=True`` (P2) fails the job on the first malformed line, as
-    the reference's DWS jobs do.
+def with_record(df: DataFrame, value: str = "value", strict: bool = False, blank: bool = True) -> DataFrame:
+    """Adds ``record``: the line as a VARIANT object, null unless the line is exactly one JSON object.
+    ``strict=True`` (P2) fails the job on the first malformed line, as the reference's DWS jobs do.
+    ``blank=False`` leaves null and blank lines out; they are looked for in the bound line, as a filter on
+    an expression would make each line a second time.
 
     The line, the list it is read in and the record are bound one after the other, so a line that
-    is itself an expression is made once and parsed once.
+    is itself an expression is made once and parsed once.  Fields are read from the record by their
+    paths: a map of variants would hold the names of all keys once for each field.
     """
-    bound = bind(bind(df, **{value: F.col(value)}), __items=_items(F.col(value)))
-    rec = _only_record(F.col("__items"))
+    lines = bind(df, **{value: F.col(value)})
+    bound = bind(lines if blank else lines.where(F.trim(value) != ""), __line=_line(F.col(value)))
+    rec = _only_record(F.col("__line"))
     if strict:
         rec = F.coalesce(rec, F.raise_error(F.concat(F.lit("malformed record: "), F.col(value)))
-                         .cast("map<string,variant>"))
-    return bind(bound, **{RECORD: rec}).drop("__items")
+                         .cast("variant"))
+    return bind(bound, **{RECORD: rec}).drop("__line")
 
 
 def drop_nulls(m: Column) -> Column:
@@ -99,20 +114,25 @@ def log_complete(record: Column) -> Column:
                | field(record, "page", "struct<page_id:string>").isNotNull()))
 
 
-def split_valid(df: DataFrame, complete: Column, value: str = "value") -> tuple[DataFrame, DataFrame]:
+def split_valid(df: DataFrame, complete: Column, value: str = "value",
+                **read: Column) -> tuple[DataFrame, DataFrame]:
     """(rows with a complete record, dirty lines) from one parse.  Null and blank lines give
-    neither (the reference parses them to nothing)."""
-    p = with_record(df.where(F.trim(value) != ""), value)
+    neither (the reference parses them to nothing).  ``read`` are fields of the record that are read
+    once per line for ``complete`` and all that follows, under these names."""
+    p = with_record(df, value, blank=False)
+    if read:
+        p = bind(p, **read)
     ok = F.col(RECORD).isNotNull() & F.coalesce(complete, F.lit(False))
-    return p.where(ok), p.where(~ok).drop(RECORD)
+    return p.where(ok), p.where(~ok).drop(RECORD, *read)
 
 
 def parse_cdc(raw: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
     """S3: (changes with ``schemas.CDC`` fields, dirty lines).  A change needs its database, table
-    and type."""
+    and type; they are read first, so a slice reads the rest of its own changes only."""
     r = F.col(RECORD)
     keep = [c for c in raw.columns if c != value]
-    need = field(r, "database").isNotNull() & field(r, "table").isNotNull() & field(r, "type").isNotNull()
-    good, dirty = split_valid(raw, need, value)
-    return good.select(*keep, *[field(r, f.name, f.dataType.simpleString()).alias(f.name)
-                                for f in schemas.CDC]), dirty
+    need = ("database", "table", "type")
+    good, dirty = split_valid(raw, reduce(and_, (F.col(f"__{n}").isNotNull() for n in need)), value,
+                              **{f"__{n}": field(r, n) for n in need})
+    return good.select(*keep, *[(F.col(f"__{f.name}") if f.name in need else field(
+        r, f.name, f.dataType.simpleString())).alias(f.name) for f in schemas.CDC]), dirty

@@ -191,7 +191,7 @@ def log_error(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = _log_layer(spark, sf_dir)["display"]
-    x = lambda name: parse.field(F.col("display"), name)
+    x = lambda name: parse.entry(F.col("display"), name)
     return d.select("event_id", x("display_type").alias("display_type"), x("item").alias("item"),
                     x("item_type").alias("item_type"), x("order").alias("display_order"),
                     x("pos_id").alias("pos_id"), "page_id", "ts")
@@ -199,7 +199,7 @@ def log_display(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = _log_layer(spark, sf_dir)["action"]
-    x = lambda name: parse.field(F.col("action"), name)
+    x = lambda name: parse.entry(F.col("action"), name)
     return a.select("event_id", x("action_id").alias("action_id"), x("item").alias("item"),
                     x("item_type").alias("item_type"), x("ts").alias("action_ts"), "page_id")
 

@@ -57,13 +57,13 @@ def read_text_stream(spark: SparkSession, path: str | None = None,
 
 
 def _records(raw: DataFrame, strict: bool) -> DataFrame:
-    p = parse.with_record(raw.where(F.trim("value") != ""), strict=strict)
+    p = parse.with_record(raw, strict=strict, blank=False)
     return p.where(F.col(parse.RECORD).isNotNull())
 
 
 def dirty_lines(raw: DataFrame) -> DataFrame:
     """The lines that are not exactly one JSON object."""
-    p = parse.with_record(raw.where(F.trim("value") != ""))
+    p = parse.with_record(raw, blank=False)
     return p.where(F.col(parse.RECORD).isNull()).select("value")
 
 

@@ -91,7 +91,7 @@ def log_lines(records: DataFrame, value: str = "value") -> DataFrame:
     parse per record; each record gives its lines as one array."""
     p = parse.with_record(records, value)
     r = F.col(parse.RECORD)
-    p = p.select("fm_fixed", parse.RECORD, *parse.log_fields(r))
+    p = p.select("fm_fixed", parse.fields(r).alias(parse.RECORD), *parse.log_fields(r))
     p = logsplit.with_flag(p.withColumn("common", F.col("common").withField("is_new", F.col("fm_fixed"))))
 
     def line(kind: str, text: Column) -> Column:

@@ -76,6 +76,12 @@ def _optimized(spark, name):
     return Q.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_the_text_of_a_change_is_built_once(spark):
+    plan = _optimized(spark, "cdc_parse")
+    assert plan.count("StructsToJson") == plan.count("Relation [")
+    assert "map<string,variant>" not in plan and "MapType(StringType,VariantType" not in plan
+
+
 def test_the_changelog_reads_each_part_once(spark):
     plan = _optimized(spark, "order_detail_changelog")
     assert plan.count("Relation [o_orderkey") == 1 and plan.count("Relation [l_orderkey") == 3
