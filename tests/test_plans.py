@@ -76,6 +76,12 @@ def _optimized(spark, name):
     return Q.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
 
 
+@pytest.mark.parametrize("name", ["log_page", "parse_clean", "parse_dirty"])
+def test_the_text_of_a_line_is_built_once(spark, name):
+    # the look for blank lines does not build the line a second time
+    assert _optimized(spark, name).count("phone ") == LOG_QUERIES[name]
+
+
 def test_the_text_of_a_change_is_built_once(spark):
     plan = _optimized(spark, "cdc_parse")
     assert plan.count("StructsToJson") == plan.count("Relation [")
