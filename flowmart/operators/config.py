@@ -78,7 +78,17 @@ def rule_versions(changes: DataFrame, layer: str, evict_moved: bool = False, seq
 
 def in_force(rows: DataFrame, rules: DataFrame, bucket: int = DAY_MS) -> DataFrame:
     """``rows`` (with ``_key`` and ``_at``) and the config columns of the rule in force for each;
-    rows without one are dropped."""
+    rows without one are dropped.
+
+    Before the rows are shuffled, those whose key never has a rule go, and ``data`` loses the columns
+    that no rule of its key ever keeps.  These names per key are as many as the configuration has, and
+    are read as one value before the join.
+    """
+    puts = rules.where("value.put").select("key", F.explode(F.split("value.cfg.sink_columns", ",")).alias("c"))
+    names = (puts.groupBy("key").agg(F.collect_set("c").alias("names"))
+             .agg(F.map_from_entries(F.collect_list(F.struct("key", "names"))).alias("m")))
+    rows = rows.withColumn("_names", names.scalar()[F.col("_key")]).where("_names is not null")
+    rows = rows.withColumn("data", kept("data", "_names")).drop("_names")
     found = asof_join(rows, "_key", "_at", rules, bucket, "_rule").where("_rule.put")
     return found.select(*rows.columns, *[F.col(f"_rule.cfg.{f}").alias(f) for f in CONFIG_FIELDS]).drop("_key", "_at")
 
@@ -137,9 +147,14 @@ def prune(data: Column | str, sink_columns: Column | str) -> Column:
     Exact split on ',' without trimming, as the reference: "id, name" keeps
     "id" only.  Keys that are absent are not added.
     """
+    return kept(data, F.split(F.col(sink_columns) if isinstance(sink_columns, str) else sink_columns, ","))
+
+
+def kept(data: Column | str, names: Column | str) -> Column:
+    """The entries of a map whose keys are in the array ``names``."""
     d = F.col(data) if isinstance(data, str) else data
-    cols = F.split(F.col(sink_columns) if isinstance(sink_columns, str) else sink_columns, ",")
-    return F.map_filter(d, lambda k, v: F.array_contains(cols, k))
+    n = F.col(names) if isinstance(names, str) else names
+    return F.map_filter(d, lambda k, v: F.array_contains(n, k))
 
 
 def pk_or_default(sink_pk: Column | str, default: str = "id") -> Column:

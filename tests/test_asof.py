@@ -124,3 +124,14 @@ def test_a_hot_key_is_combined_before_the_shuffle(spark):
     plan = asof.versions_at(times, v, 10)._jdf.queryExecution().executedPlan().toString()
     # the window runs over distinct times and versions only, and nothing is joined but by equality
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "partial_" in plan
+
+
+def test_only_columns_that_some_rule_of_the_key_keeps_are_carried(spark):
+    history = changes(spark, [(None, rule("t", "x", "id,a"), "c", 1000), (None, rule("t", "y", "id, b"), "u", 2000),
+                              (None, rule("u", "z", "b"), "c", 1000), (rule("w", "w", "id"), None, "d", 1000)])
+    f = feed(spark, [("t", "insert", 1), ("t", "insert", 2), ("u", "insert", 1), ("w", "insert", 2)])
+    rules = config.rule_versions(history, "dim", seq="seq")
+    got = sorted((r.table, r.ts, dict(r.data)) for r in dim.route_asof(f, rules).collect())
+    assert got == [("t", 1, {"id": "0", "a": "1"}), ("t", 2, {"id": "1"}), ("u", 1, {"b": "2"})]
+    none = dim.route_asof(f, rules.where("false"))
+    assert none.count() == 0

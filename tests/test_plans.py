@@ -92,3 +92,11 @@ def test_the_changelog_reads_each_part_once(spark):
     plan = _optimized(spark, "order_detail_changelog")
     assert plan.count("Relation [o_orderkey") == 1 and plan.count("Relation [l_orderkey") == 3
     assert "Aggregate" not in plan and plan.count("Join ") == 4
+
+
+@pytest.mark.parametrize("name", ["dim_route_asof", "dwd_route_asof"])
+def test_changes_are_pruned_before_they_are_shuffled(spark, name):
+    lines = _optimized(spark, name).split("\n")
+    depth = lambda x: len(x) - len(x.lstrip(" :+-"))
+    join = min(depth(x) for x in lines if "Join " in x)
+    assert any("map_filter" in x and "array_contains" in x and depth(x) > join for x in lines)
