@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,9 +29,9 @@ def route(
     its default), ``table``, ``type``, ``ts``, ``xid``, ``xoffset`` and the
     pruned ``data`` map.
     """
-    c = config.select("source_table", "sink_table", "sink_columns", "sink_pk")
+    c = config.select("source_table", "sink_table", F.split("sink_columns", ",").alias("_names"), "sink_pk")
     rows = feed.where(F.col("type").isin(*types))
-    return routed(rows.join(c, rows["table"] == c["source_table"], "inner"))
+    return routed(rows.join(c, rows["table"] == c["source_table"], "inner"), cfg.kept("data", "_names"))
 
 
 def route_asof(
@@ -51,11 +51,12 @@ def route_asof(
     return routed(cfg.in_force(rows, rules, bucket))
 
 
-def routed(joined: DataFrame) -> DataFrame:
-    """The output of :func:`route` from changes and the columns of their rule."""
+def routed(joined: DataFrame, data: Column | None = None) -> DataFrame:
+    """The output of :func:`route` from changes and the columns of their rule (``data``: as pruned by it)."""
+    data = cfg.prune("data", "sink_columns") if data is None else data
     return joined.select(
         "sink_table", cfg.pk_or_default("sink_pk").alias("sink_pk"),
-        "table", "type", "ts", "xid", "xoffset", cfg.prune("data", "sink_columns").alias("data"))
+        "table", "type", "ts", "xid", "xoffset", data.alias("data"))
 
 
 def upsert_fold(

@@ -13,9 +13,9 @@ def route(feed: DataFrame, config: DataFrame) -> DataFrame:
     sink table, ``data`` pruned to the configured columns.  Output:
     ``sink_table`` (the per-row topic), ``table``, ``type``, ``ts``, ``xid``, ``xoffset``, ``data``.
     """
-    c = config.select("config_key", "sink_table", "sink_columns")
+    c = config.select("config_key", "sink_table", F.split("sink_columns", ",").alias("_names"))
     keyed = feed.withColumn("_key", route_key())
-    return routed(keyed.join(c, keyed["_key"] == c["config_key"], "inner"))
+    return routed(keyed.join(c, keyed["_key"] == c["config_key"], "inner"), cfg.kept("data", "_names"))
 
 
 def route_asof(feed: DataFrame, rules: DataFrame, bucket: int = cfg.DAY_MS) -> DataFrame:
@@ -30,10 +30,10 @@ def route_key() -> Column:
     return F.concat(F.col("table"), F.lit("_"), F.col("type"))
 
 
-def routed(joined: DataFrame) -> DataFrame:
-    """The output of :func:`route` from changes and the columns of their rule."""
-    return joined.select("sink_table", "table", "type", "ts", "xid", "xoffset",
-                         cfg.prune("data", "sink_columns").alias("data"))
+def routed(joined: DataFrame, data: Column | None = None) -> DataFrame:
+    """The output of :func:`route` from changes and the columns of their rule (``data``: as pruned by it)."""
+    data = cfg.prune("data", "sink_columns") if data is None else data
+    return joined.select("sink_table", "table", "type", "ts", "xid", "xoffset", data.alias("data"))
 
 
 def to_topic_records(rows: DataFrame) -> DataFrame:

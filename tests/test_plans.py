@@ -100,3 +100,8 @@ def test_changes_are_pruned_before_they_are_shuffled(spark, name):
     depth = lambda x: len(x) - len(x.lstrip(" :+-"))
     join = min(depth(x) for x in lines if "Join " in x)
     assert any("map_filter" in x and "array_contains" in x and depth(x) > join for x in lines)
+
+
+@pytest.mark.parametrize("name", ["topic_records", "dwd_route", "dim_route", "dim_upsert"])
+def test_the_columns_of_a_rule_are_not_split_for_each_key(spark, name):
+    assert "split(" not in _optimized(spark, name)
