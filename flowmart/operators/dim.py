@@ -75,7 +75,11 @@ def upsert_fold(
     is combined before the shuffle; the value decides only between changes that
     the feed itself does not order.
     """
-    return plain_cells(last_cells(cells_of(routed), order), null_as_empty)
+    # records are spread first, in partitions of about one size in bytes, keys together: a large file
+    # read by one task would otherwise be sorted there as cells, many times its size
+    spread = (routed.withColumn("__pk", F.col("data")[F.col("sink_pk")])
+              .hint("rebalance", F.col("sink_table"), F.col("__pk")))
+    return plain_cells(last_cells(cells_of(spread), order), null_as_empty)
 
 
 def cells_of(routed: DataFrame) -> DataFrame:

@@ -105,3 +105,8 @@ def test_changes_are_pruned_before_they_are_shuffled(spark, name):
 @pytest.mark.parametrize("name", ["topic_records", "dwd_route", "dim_route", "dim_upsert"])
 def test_the_columns_of_a_rule_are_not_split_for_each_key(spark, name):
     assert "split(" not in _optimized(spark, name)
+
+
+@pytest.mark.parametrize("name", ["dim_upsert", "dim_upsert_wide"])
+def test_upserted_records_are_spread_by_size_before_their_cells_are_sorted(spark, name):
+    assert "RebalancePartitions" in _optimized(spark, name)
