@@ -139,6 +139,77 @@ def test_secret_threshold_keeps_the_stated_recall(trained):
     assert net.precision == pytest.approx(y[p >= net.threshold].mean())
 
 
+def test_secret_network_learns_from_every_candidate(spark, monkeypatch):
+    """More findings than the 3,000 of the sample that was drawn once, in several blocks: all are trained on or
+    held out, by their number, however the table is partitioned, and the threshold counts all held-out ones."""
+    rng = random.Random(5)
+    word = lambda lo, hi: "".join(rng.choice("aeioulnrst") for _ in range(rng.randint(lo, hi)))
+    texts = [f"{word(1, 5)} {word(12, 20)}/{word(2, 9)} and {word(3, 6)}" for _ in range(4_000)] * 2
+    texts += [f"token={word(4, 9)}{rng.getrandbits(64):x} {word(2, 5)}" for _ in range(700)] + [None, ""]
+    want = {}
+    for t in texts:
+        for c in secret_scan.candidates(t or "", secret_scan.base_spans(t or "")):
+            if c["label"] or secret_scan.WORDS.fullmatch(c["context"][secret_scan.BEFORE:][:secret_scan.INSIDE].rstrip("\0")):
+                want[c["context"], c["label"]] = want.get((c["context"], c["label"]), 0) + 1
+    tables = {}
+    written = C.written
+    monkeypatch.setattr(C, "written", lambda df, name, **o: tables.setdefault(name, written(df, name, **o)))
+    monkeypatch.setattr(C, "drop", lambda df: None)
+    monkeypatch.setattr(secret_scan, "ROWS", 900)
+    monkeypatch.setattr(secret_scan, "EPOCHS", 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    nets = []
+    for parts in (3, 5):
+        tables.clear()
+        nets.append(secret_scan.learn(docs.repartition(parts).mapInArrow(secret_scan._scan, secret_scan._ROWS)))
+    assert np.allclose(nets[0].vector(), nets[1].vector(), atol=1e-4)
+
+    packed = tables["op2-findings"].toArrow()
+    assert len(packed) > 2
+    blocks = [x for b in packed.to_batches() for x in secret_scan._blocks(iter([b]))]
+    got = {}
+    for _, codes, label, n, held in blocks:
+        assert (codes.shape[0], held.sum()) == (len(n), -(-len(n) // 3))
+        for c, y, k in zip(codes, label, n):
+            got[c.tobytes(), int(y)] = int(k)
+    assert got == {(secret_scan._codes([c]).tobytes(), y): k for (c, y), k in want.items()}
+    assert sum(got.values()) >= 8_700
+
+    net, held = nets[1], tables["op2-held"].toPandas()
+    share = secret_scan.MASS / sum(want.values())
+    assert len(held) == sum(x[4].sum() for x in blocks) + sum(i % 6 < 2 for i in range(secret_scan.GENERATED))
+    assert held.weight.sum() == pytest.approx(share * sum(n[h].sum() for *_, n, h in blocks) + 1_668, abs=2)
+    good = held[held.label > 0].sort_values("z")
+    below = good.weight.cumsum() - good.weight
+    z = good.z[below <= (1 - secret_scan.RECALL) * good.weight.sum()].max()
+    assert net.scale > 0 and net.threshold == pytest.approx(float(net.calibrated(np.float32(z))), rel=1e-4)
+    d = secret_scan.platt_sums(*(held[c].to_numpy() for c in ("z", "label", "weight")), net.scale, net.shift,
+                               1 - 1 / (good.weight.sum() + 2), 1 / (held.weight.sum() - good.weight.sum() + 2))
+    assert abs(d[1:3]).max() < 0.01 * held.weight.sum()
+
+
+def test_secret_words_are_told_in_linear_time():
+    plain = re.compile(r"[._/=+-]*(?:(?:[A-Za-z]?[a-z]{1,23}|[A-Z]{1,16}|[0-9]{1,4})(?:[._/=+-]+|$))+")
+    rng = random.Random(9)
+    for _ in range(3_000):
+        t = "".join(rng.choice(["a", "bc", "D", "EF", "7", "x" * 23, "y" * 24, "Z" * 16, "1234", ".", "/", "+="])
+                    for _ in range(rng.randint(1, 7)))
+        assert bool(plain.fullmatch(t)) == bool(secret_scan.WORDS.fullmatch(t)), t
+    began = time.monotonic()
+    assert not any(secret_scan.WORDS.fullmatch("ab." * 15 + "aB1") for _ in range(2_000))
+    assert time.monotonic() - began < 5
+
+
+def test_least_is_the_quantile_of_the_sorted_list():
+    rng = np.random.default_rng(2)
+    for n in (1, 7, 200, 1_000):
+        z = np.round(rng.normal(0, 2, n), 1).astype(np.float32)
+        key = secret_scan.ordered(z)
+        assert (np.argsort(key, kind="stable") == np.argsort(z + np.float32(0), kind="stable")).all()
+        at, below = secret_scan.least(key, np.ones(n), n * 0.015)
+        assert secret_scan.unordered(at) == np.sort(z)[int(n * 0.015)] and below == (z < secret_scan.unordered(at)).sum()
+
+
 def test_pii(docs, pairs):
     got = pii.digest(pii.find(docs)).collect()
     want = sorted(((d, K.sha(K.joined(K.personal(t)))) for d, t in pairs), key=repr)
