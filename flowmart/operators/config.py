@@ -147,7 +147,10 @@ def prune(data: Column | str, sink_columns: Column | str) -> Column:
     Exact split on ',' without trimming, as the reference: "id, name" keeps
     "id" only.  Keys that are absent are not added.
     """
-    return kept(data, F.split(F.col(sink_columns) if isinstance(sink_columns, str) else sink_columns, ","))
+    d = F.col(data) if isinstance(data, str) else data
+    names = F.col(sink_columns) if isinstance(sink_columns, str) else sink_columns
+    # looked for in the text itself: nothing is split for each key
+    return F.map_filter(d, lambda k, v: F.call_function("find_in_set", k, names) > 0)
 
 
 def kept(data: Column | str, names: Column | str) -> Column:

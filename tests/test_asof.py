@@ -135,3 +135,21 @@ def test_only_columns_that_some_rule_of_the_key_keeps_are_carried(spark):
     assert got == [("t", 1, {"id": "0", "a": "1"}), ("t", 2, {"id": "1"}), ("u", 1, {"b": "2"})]
     none = dim.route_asof(f, rules.where("false"))
     assert none.count() == 0
+
+
+def test_the_times_are_looked_for_once(spark, tmp):
+    """The rows are read for their times once, not for the versions inside the buckets and again for the carried ones."""
+    spark.createDataFrame([("t", i) for i in range(50)], "key string, at bigint").write.parquet(f"{tmp}/times")
+    spark.createDataFrame([("t", 7, "x"), ("t", 21, "y")], "key string, at bigint, value string").write.parquet(f"{tmp}/v")
+    got = asof.versions_at(spark.read.parquet(f"{tmp}/times"), spark.read.parquet(f"{tmp}/v"), 10)
+    run = got.select("key", "at", "value")
+    assert len(run.collect()) == 43
+    plan = run._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("/times") == 1 and "ReusedExchange" in plan
+
+
+def test_prune_without_columns(spark):
+    df = spark.createDataFrame([({"id": "1", "a,b": "2", "": "3"}, c) for c in ("id,a,b", "a,b,", "", " id", None)],
+                               "data map<string,string>, cols string")
+    got = [r[0] for r in df.select(config.prune("data", "cols")).collect()]
+    assert got == [{"id": "1"}, {"": "3"}, {"": "3"}, {}, {}]

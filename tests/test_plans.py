@@ -110,3 +110,10 @@ def test_the_columns_of_a_rule_are_not_split_for_each_key(spark, name):
 @pytest.mark.parametrize("name", ["dim_upsert", "dim_upsert_wide"])
 def test_upserted_records_are_spread_by_size_before_their_cells_are_sorted(spark, name):
     assert "RebalancePartitions" in _optimized(spark, name)
+
+
+@pytest.mark.parametrize("name", ["dim_route_asof", "dwd_route_asof"])
+def test_the_columns_of_a_rule_in_force_are_not_split_for_each_key(spark, name):
+    # of the plan above the join: what is read once for all rows may be split
+    plan = _optimized(spark, name)
+    assert "map_filter" in plan.split("Join ")[0] and "split(" not in plan.split("Join ")[0]
