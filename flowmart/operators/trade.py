@@ -103,18 +103,22 @@ def order_detail_changelog(feed: DataFrame, dic: DataFrame) -> DataFrame:
     that the feed does not order, a take-back comes before its replacement) and the 37 columns.
     Folded (:func:`fold_changelog`), it is :func:`order_detail`.
     """
-    parts = {t: rows.withColumn("at", F.struct("ts", "xid", "xoffset", F.lit(RANK[t]).alias("step")))
-             for t, (rows, _) in slices(feed, ("ts", "xid", "xoffset")).items()}
-    od, oi, oa, oc = _sided(parts, ["at"])
+    parts = {t: rows for t, (rows, _) in slices(feed, _PLACE).items()}
+    od, oi, oa, oc = _sided(parts, _PLACE)
     names = dic.select(F.col("dic_code"), F.col("dic_name"))
-    base = (lookup_join(od, names, "od_source_type", "dic_code")
-            .join(oi, F.col("od_order_id") == F.col("oi_id"))
-            .withColumns({"from_": F.greatest("od_at", "oi_at"), "to_": F.lit(None).cast(_AT)}))
-    two = _left_versions(_left_versions(base, oa, "od_id", "oa_odid", "oa"), oc, "od_id", "oc_odid", "oc")
+    # the detail is joined while it is narrow; the order, the widest side, is shuffled and joined once, at the end
+    rows = (lookup_join(od, names, "od_source_type", "dic_code")
+            .join(_ranked(oa, "oa_odid", "oa"), F.col("od_id") == F.col("oa_odid"), "left")
+            .join(_ranked(oc, "oc_odid", "oc"), F.col("od_id") == F.col("oc_odid"), "left")
+            .join(oi, F.col("od_order_id") == F.col("oi_id")))
+    base = rows.withColumns({"from_": F.greatest(_at("od", "order_detail"), _at("oi", "order_info")),
+                             "to_": F.lit(None).cast(_AT)})
+    one = _left_versions(base, "oa", "order_detail_activity", ("activity_id", "activity_rule_id"))
+    two = _left_versions(one, "oc", "order_detail_coupon", ("coupon_id", "coupon_use_id"))
     # a row is added at its start; its end takes it back
     start = F.col("from_")
     ordered = start["ts"].isNotNull() & start["xid"].isNotNull() & start["xoffset"].isNotNull()
-    replaces = ordered & ((start == F.col("oa_first")) | (start == F.col("oc_first")))
+    replaces = ordered & ((start == F.col("oa_from")) | (start == F.col("oc_from")))
     ends = F.array(F.struct(F.when(replaces, AFTER).otherwise(INSERT).alias("op"), start.alias("at")),
                    F.struct(F.lit(BEFORE).alias("op"), F.col("to_").alias("at")))
     events = two.withColumn("e", F.explode(ends)).where("e.at is not null")
@@ -122,30 +126,41 @@ def order_detail_changelog(feed: DataFrame, dic: DataFrame) -> DataFrame:
 
 
 _AT = "struct<ts:bigint,xid:bigint,xoffset:bigint,step:int>"
+_PLACE = ("ts", "xid", "xoffset")
 
 
-def _left_versions(rows: DataFrame, side: DataFrame, key: str, side_key: str, p: str) -> DataFrame:
-    """LEFT JOIN as an updating join: ``rows`` (alive from ``from_`` until ``to_``, null: for ever)
-    with every match, from the later arrival on, and with a null side while no match has come.  Adds
-    the side's columns and ``{p}_first``, its first arrival for the key.
+def _at(p: str, table: str, of: str = "") -> Column:
+    """The arrival of a side from its place in the feed, which is shuffled as plain columns."""
+    return F.struct(*[F.col(f"{p}_{of}{c}").alias(c) for c in _PLACE], F.lit(RANK[table]).alias("step"))
 
-    One join: the first match of a key also gives the row with the null side."""
-    by_key = Window.partitionBy(side_key).orderBy(f"{p}_at")
-    cols = [c for c in side.columns if c not in (side_key, f"{p}_at")]
-    ranked = side.where(F.col(side_key).isNotNull()).select(
-        side_key, f"{p}_at", *cols, F.first(f"{p}_at").over(by_key).alias(f"{p}_first"),
-        F.row_number().over(by_key).alias("nth"))
-    first, at = F.col(f"{p}_first"), F.col(f"{p}_at")
+
+def _ranked(side: DataFrame, key: str, p: str) -> DataFrame:
+    """The changes of a side by their order within its key: ``{p}_nth``, and for later ones the place of
+    the first."""
+    by_key = Window.partitionBy(key).orderBy(*[f"{p}_{c}" for c in _PLACE])
+    nth = F.row_number().over(by_key)
+    first = lambda c: F.when(nth > 1, F.first(f"{p}_{c}").over(by_key))
+    return side.where(F.col(key).isNotNull()).select(
+        "*", nth.alias(f"{p}_nth"), *[first(c).alias(f"{p}_first_{c}") for c in _PLACE])
+
+
+def _left_versions(rows: DataFrame, p: str, table: str, cols: Sequence[str]) -> DataFrame:
+    """LEFT JOIN as an updating join, of ``rows`` (alive from ``from_`` until ``to_``, null: for ever)
+    that are left-joined with :func:`_ranked`: every match, from the later arrival on, and a null side
+    while no match has come, made with the first match of the key.  Adds ``{p}_from``, the first arrival
+    for the key; ``cols`` are the side's."""
+    nth = F.col(f"{p}_nth")
+    at = F.when(nth.isNotNull(), _at(p, table))
+    first = F.when(nth == 1, at).when(nth > 1, _at(p, table, "first_"))
     version = lambda from_, to_, match: F.struct(
         from_.alias("from_"), to_.alias("to_"),
-        *[(F.col(c) if match else F.lit(None).cast(side.schema[c].dataType)).alias(c) for c in cols])
+        *[(F.col(c) if match else F.lit(None).cast(rows.schema[c].dataType)).alias(c) for c in cols])
     # a null in greatest and least is passed over: no match, no other end
-    lone = F.when(at.isNull() | (F.col("nth") == 1), version(F.col("from_"), F.least("to_", first), False))
-    matched = F.when(at.isNotNull(), version(F.greatest("from_", at), F.col("to_"), True))
-    keep = [c for c in rows.columns if c not in ("from_", "to_")]
-    return (rows.join(ranked, F.col(key) == F.col(side_key), "left")
-            .select(*keep, f"{p}_first", F.explode(F.array(lone, matched)).alias("v"))
-            .where("v is not null and (v.to_ is null or v.from_ < v.to_)").select(*keep, f"{p}_first", "v.*"))
+    lone = F.when(nth.isNull() | (nth == 1), version(F.col("from_"), F.least("to_", first), False))
+    matched = F.when(nth.isNotNull(), version(F.greatest("from_", at), F.col("to_"), True))
+    keep = [c for c in rows.columns if c not in ("from_", "to_", *cols)]
+    return (rows.select(*keep, first.alias(f"{p}_from"), F.explode(F.array(lone, matched)).alias("v"))
+            .where("v is not null and (v.to_ is null or v.from_ < v.to_)").select(*keep, f"{p}_from", "v.*"))
 
 
 def fold_changelog(log: DataFrame) -> DataFrame:

@@ -117,3 +117,9 @@ def test_the_columns_of_a_rule_in_force_are_not_split_for_each_key(spark, name):
     # of the plan above the join: what is read once for all rows may be split
     plan = _optimized(spark, name)
     assert "map_filter" in plan.split("Join ")[0] and "split(" not in plan.split("Join ")[0]
+
+
+def test_the_changelog_shuffles_the_order_once(spark):
+    joins = [x for x in _optimized(spark, "order_detail_changelog").split("\n") if "Join " in x]
+    # the order, the widest side, comes last: it is not shuffled again with each detail
+    assert "oi_id" in joins[0] and not any("oi_id" in x for x in joins[1:])
